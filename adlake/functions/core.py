@@ -88,7 +88,7 @@ def contains_text(haystack: ColLike, needle: ColLike, mode: str = "contains",
     if ignore_case:
         h, n = F.lower(h), F.lower(n)
     if mode == "like":
-        return h.like(F.concat(F.lit("%"), n, F.lit("%")))
+        return F.like(h, F.concat(F.lit("%"), n, F.lit("%")))
     return F.contains(h, n)
 
 
