@@ -131,7 +131,7 @@ def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence, name_fmt: str = "{}") -> DataFrame:
     """AG11/RS5: ``groupby([row, col]).size().unstack()`` with a known column
     domain (explicit pivot values keep it a single pass; absent -> NULL)."""
-    p = df.groupBy(row).pivot(col, list(values)).agg(F.count("*"))
+    p = df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
     return p.select(row, *[F.col(f"`{v}`").alias(name_fmt.format(v)) for v in values])
 
 
@@ -141,13 +141,6 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None, suffix: str =
     return df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c + suffix) for c in cols])
 
 
-def adjacency(edges: DataFrame, src: str, dst: str, attrs: Sequence[str] = ()) -> DataFrame:
-    """AG15: sorted adjacency list per source vertex.  The list of one vertex
-    is bounded by its degree; ``sort_array`` makes it deterministic."""
-    item = F.struct(F.col(dst), *[F.col(a) for a in attrs])
-    return edges.groupBy(src).agg(F.sort_array(F.collect_list(item)).alias("neighbours"))
-
-
 # ------------------------------------------------------------- reshape
 
 def unpivot_wide(df: DataFrame, ids: Sequence[str], values: Sequence[str],

@@ -9,6 +9,7 @@ from adlake.plans.registry import REGISTRY
 _MODULES = (
     "adlake.plans.keys_ppc",
     "adlake.plans.keys_relational",
+    "adlake.plans.keys_aggwin",
 )
 
 
