@@ -10,6 +10,7 @@ _MODULES = (
     "adlake.plans.keys_ppc",
     "adlake.plans.keys_relational",
     "adlake.plans.keys_aggwin",
+    "adlake.plans.keys_functions",
 )
 
 
