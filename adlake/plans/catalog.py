@@ -11,6 +11,7 @@ _MODULES = (
     "adlake.plans.keys_relational",
     "adlake.plans.keys_aggwin",
     "adlake.plans.keys_functions",
+    "adlake.plans.keys_marts",
 )
 
 

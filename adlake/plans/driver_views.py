@@ -169,3 +169,91 @@ status_daily AS (
          ELSE 'Healthy' END AS inventory_status
   FROM lineitem
 )"""
+
+
+# ------------------------------------------------------------- MA2 inputs
+# campaign = customer (o_custkey) on an order date; product id text = 'P' || partkey;
+# an order's creative asins = its line parts ordered by line number.
+
+def _asin(c) -> "F.Column":
+    return F.concat(F.lit("P"), F.col(c).cast("string"))
+
+
+def order_asins(lineitem: DataFrame) -> DataFrame:
+    """Per order, the product ids of its lines by line number (bounded by the
+    lines of one order)."""
+    lines = lineitem.select("l_orderkey", F.struct("l_linenumber", _asin("l_partkey").alias("a")).alias("x"))
+    return (lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+            .select("l_orderkey", F.transform("xs", lambda x: x["a"]).alias("asins")))
+
+
+def campaigns_api(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    oa = order_asins(lineitem)
+    o = orders.where(F.col("o_orderstatus") == "F")
+    j = o.join(oa, F.col("o_orderkey") == F.col("l_orderkey"))
+    camp = F.struct(F.col("o_custkey").alias("campaignid"), F.struct(F.col("asins").alias("asins")).alias("creative"))
+    return j.select(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("report_date")).alias("params"),
+                    F.array(F.struct(F.array(camp).alias("campaigns"))).alias("payload"))
+
+
+AD_GROUP_PRIORITIES = (("1-URGENT",), ("2-HIGH",), ("3-MEDIUM",), ("4-NOT SPECIFIED", "5-LOW"))
+
+
+def ad_groups(orders: DataFrame, lineitem: DataFrame) -> list[DataFrame]:
+    oa = order_asins(lineitem)
+    j = orders.join(oa, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    name = F.concat(F.lit("cmp "), F.col("o_orderpriority"), F.lit(" "),
+                    F.coalesce(F.array_join(F.slice("asins", 1, 2), "+"), F.lit("none")))
+    base = j.select(F.col("o_custkey").alias("campaign_id"), name.alias("campaign_name"),
+                    F.to_date("o_orderdate").alias("report_date"), "o_orderpriority")
+    return [base.where(F.col("o_orderpriority").isin(*ps)).drop("o_orderpriority") for ps in AD_GROUP_PRIORITIES]
+
+
+def product_master(part: DataFrame) -> DataFrame:
+    cur = part.select(_asin("p_partkey").alias("child_asin"), F.col("p_brand").alias("brand"),
+                      F.to_date(F.lit("2024-01-01")).alias("last_updated_date"))
+    old = part.where(F.col("p_size") < 5).select(_asin("p_partkey").alias("child_asin"), F.lit("OLD").alias("brand"),
+                                                 F.to_date(F.lit("2023-06-01")).alias("last_updated_date"))
+    return cur.unionByName(old)
+
+
+def pnl(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(F.to_date("l_shipdate").alias("purchased_date_utc"), _asin("l_partkey").alias("asin"),
+                           F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
+                            .otherwise(F.col("l_extendedprice")).alias("item_price_usd"))
+
+
+def bulk_ops(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    o = orders.where(F.col("o_orderpriority") == "5-LOW").select("o_orderkey", "o_custkey")
+    j = o.join(lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+    return j.select(F.col("o_custkey").alias("campaign_id"),
+                    *[F.when(F.col("l_linenumber") == i, _asin("l_partkey")).alias(f"creative_asins{i}")
+                      for i in (1, 2, 3)])
+
+
+SQL_MA2_INPUTS = """
+order_asins AS (
+  SELECT l_orderkey, list(a ORDER BY l_linenumber, a) AS asins
+  FROM (SELECT l_orderkey, l_linenumber, 'P' || CAST(l_partkey AS VARCHAR) AS a FROM lineitem) GROUP BY 1),
+api_rows AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS report_date, o.o_custkey AS campaign_id,
+         oa.asins[1] AS creative_asin1, oa.asins[2] AS creative_asin2, oa.asins[3] AS creative_asin3
+  FROM orders o JOIN order_asins oa ON o.o_orderkey = oa.l_orderkey WHERE o.o_orderstatus = 'F'),
+ad_groups AS (
+  SELECT o.o_custkey AS campaign_id,
+         'cmp ' || o.o_orderpriority || ' ' || COALESCE(array_to_string(oa.asins[1:2], '+'), 'none') AS campaign_name,
+         CAST(o.o_orderdate AS DATE) AS report_date
+  FROM orders o LEFT JOIN order_asins oa ON o.o_orderkey = oa.l_orderkey),
+product_master AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS child_asin, p_brand AS brand, DATE '2024-01-01' AS last_updated_date FROM part
+  UNION ALL
+  SELECT 'P' || CAST(p_partkey AS VARCHAR), 'OLD', DATE '2023-06-01' FROM part WHERE p_size < 5),
+pnl AS (
+  SELECT CAST(l_shipdate AS DATE) AS purchased_date_utc, 'P' || CAST(l_partkey AS VARCHAR) AS asin,
+         CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS item_price_usd FROM lineitem),
+bulk AS (
+  SELECT o.o_custkey AS campaign_id,
+         CASE WHEN l.l_linenumber = 1 THEN 'P' || CAST(l.l_partkey AS VARCHAR) END AS creative_asins1,
+         CASE WHEN l.l_linenumber = 2 THEN 'P' || CAST(l.l_partkey AS VARCHAR) END AS creative_asins2,
+         CASE WHEN l.l_linenumber = 3 THEN 'P' || CAST(l.l_partkey AS VARCHAR) END AS creative_asins3
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE o.o_orderpriority = '5-LOW')"""
