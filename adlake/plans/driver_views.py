@@ -257,3 +257,126 @@ bulk AS (
          CASE WHEN l.l_linenumber = 2 THEN 'P' || CAST(l.l_partkey AS VARCHAR) END AS creative_asins2,
          CASE WHEN l.l_linenumber = 3 THEN 'P' || CAST(l.l_partkey AS VARCHAR) END AS creative_asins3
   FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE o.o_orderpriority = '5-LOW')"""
+
+
+# ------------------------------------------------------------- MA3 inputs
+# a rank reading = an event: product = user_id, phrase = event_type,
+# rank text = props.k (a non-number for error events), niche = user mod 25 -> nation,
+# marketplace = the nation's region name.
+
+def rank_raw(events: DataFrame) -> DataFrame:
+    return events.select(F.col("ts").alias("timestamp_ingested"), F.col("user_id").alias("asin"),
+                         F.col("event_type").alias("phrase"),
+                         F.when(F.col("event_type") == "error", F.lit("x"))
+                          .otherwise(F.get_json_object("props", "$.k")).alias("rank"),
+                         F.pmod("user_id", F.lit(25)).alias("niche_id"))
+
+
+def niche_master(nation: DataFrame, region: DataFrame) -> DataFrame:
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").cast("bigint").alias("niche_id"), F.col("r_name").alias("marketplace_id"))
+
+
+def date_dimension(events: DataFrame) -> DataFrame:
+    d = events.select(F.to_date("ts").alias("full_date")).distinct()
+    return d.select("full_date", sunday_week("full_date").alias("week_number"), F.year("full_date").alias("year"))
+
+
+SQL_MA3_INPUTS = f"""
+rank_raw AS (
+  SELECT ts AS timestamp_ingested, user_id AS asin, event_type AS phrase,
+         CASE WHEN event_type = 'error' THEN 'x' ELSE json_extract_string(props, '$.k') END AS rank,
+         user_id % 25 AS niche_id FROM events),
+niche_master AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS niche_id, r_name AS marketplace_id
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+date_dimension AS (
+  SELECT full_date, {sql_week('full_date')} AS week_number, year(full_date) AS year
+  FROM (SELECT DISTINCT CAST(ts AS DATE) AS full_date FROM events))"""
+
+
+# ------------------------------------------------------------- MA4 inputs
+# search-term row = a line item; traffic by day = orders of that day.
+
+def _dec_product(a: str, b: str):
+    return (F.col(a).cast("decimal(18,2)") * F.col(b).cast("decimal(18,2)")).cast("double")
+
+
+def _ptype(c: str):
+    return F.when(F.pmod(c, F.lit(8)) < 4, F.lit("widgets")).otherwise(F.lit("gizmos"))
+
+
+def search_terms(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
+        F.to_date("l_shipdate").alias("Date"),
+        F.concat(F.lit("brand#"), (F.pmod("l_suppkey", F.lit(25)) + 1).cast("string")).alias("Customer_Search_Term"),
+        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("tgt-"), F.col("l_returnflag"), F.col("l_linestatus"))).alias("Targeting"),
+        F.concat(F.lit("camp-"), F.pmod("l_partkey", F.lit(10)).cast("string")).alias("campaign_name"),
+        F.concat(F.lit("ag-"), F.pmod("l_partkey", F.lit(8)).cast("string")).alias("ad_group_name"),
+        _dec_product("l_extendedprice", "l_tax").alias("spend"),
+        F.col("l_quantity").cast("bigint").alias("Clicks"),
+        F.col("l_extendedprice").alias("_14_Day_Total_Sales"))
+
+
+def sales_traffic(orders: DataFrame) -> DataFrame:
+    return orders.groupBy(F.to_date("o_orderdate").alias("Date")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("Ordered_Product_Sales"),
+        F.count("*").alias("sessions_total"),
+        (F.count("*") * 2).alias("Units_Ordered"),
+        F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("bigint").alias("Total_Order_Items"),
+        F.sum(F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)).cast("bigint").alias("Units_Refunded"),
+        F.count_distinct("o_custkey").alias("Feedback_Received"))
+
+
+def campaign_map(part: DataFrame) -> DataFrame:
+    k10, k8 = F.pmod("p_partkey", F.lit(10)).cast("string"), F.pmod("p_partkey", F.lit(8)).cast("string")
+    main = part.select(F.concat(F.lit("camp-"), k10).alias("campaign"), F.concat(F.lit("CAMP-"), k10).alias("campaign_new"),
+                       F.concat(F.lit("ag-"), k8).alias("ad_group"), F.concat(F.lit("AG-"), k8).alias("ad_group_new"),
+                       _ptype("p_partkey").alias("product_type"))
+    alt = part.where(F.col("p_partkey") == 3).select(
+        F.lit("camp-3").alias("campaign"), F.lit("CAMP-3-ALT").alias("campaign_new"), F.lit("ag-3").alias("ad_group"),
+        F.lit("AG-3").alias("ad_group_new"), F.lit("widgets").alias("product_type"))
+    return main.unionByName(alt)
+
+
+def asin_traffic(lineitem: DataFrame) -> DataFrame:
+    pt = (F.when(F.pmod("l_suppkey", F.lit(3)) == 0, F.lit("widgets"))
+          .when(F.pmod("l_suppkey", F.lit(3)) == 1, F.lit("gizmos")).otherwise(F.lit("spares")))
+    return lineitem.select(F.to_date("l_shipdate").alias("Date"), pt.alias("product_type"),
+                           F.lit(1).cast("bigint").alias("sessions_total"),
+                           F.col("l_quantity").cast("bigint").alias("page_views_total"),
+                           F.col("l_quantity").cast("bigint").alias("units_ordered"),
+                           F.col("l_linenumber").cast("bigint").alias("total_order_items"),
+                           F.col("l_extendedprice").alias("ordered_product_sales"))
+
+
+SQL_MA4_INPUTS = """
+search_terms AS (
+  SELECT CAST(l_shipdate AS DATE) AS Date, 'brand#' || CAST(l_suppkey % 25 + 1 AS VARCHAR) AS Customer_Search_Term,
+    CASE WHEN l_linenumber = 7 THEN NULL ELSE 'tgt-' || l_returnflag || l_linestatus END AS Targeting,
+    'camp-' || CAST(l_partkey % 10 AS VARCHAR) AS campaign_name, 'ag-' || CAST(l_partkey % 8 AS VARCHAR) AS ad_group_name,
+    CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE) AS spend,
+    CAST(l_quantity AS BIGINT) AS Clicks, l_extendedprice AS _14_Day_Total_Sales
+  FROM lineitem),
+sales_traffic AS (
+  SELECT CAST(o_orderdate AS DATE) AS Date,
+    CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS Ordered_Product_Sales,
+    count(*) AS sessions_total, count(*) * 2 AS Units_Ordered,
+    CAST(SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS Total_Order_Items,
+    CAST(SUM(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) AS Units_Refunded,
+    count(DISTINCT o_custkey) AS Feedback_Received
+  FROM orders GROUP BY 1),
+campaign_map AS (
+  SELECT 'camp-' || CAST(p_partkey % 10 AS VARCHAR) AS campaign, 'CAMP-' || CAST(p_partkey % 10 AS VARCHAR) AS campaign_new,
+    'ag-' || CAST(p_partkey % 8 AS VARCHAR) AS ad_group, 'AG-' || CAST(p_partkey % 8 AS VARCHAR) AS ad_group_new,
+    CASE WHEN p_partkey % 8 < 4 THEN 'widgets' ELSE 'gizmos' END AS product_type FROM part
+  UNION ALL
+  SELECT 'camp-3', 'CAMP-3-ALT', 'ag-3', 'AG-3', 'widgets' FROM part WHERE p_partkey = 3),
+asin_traffic AS (
+  SELECT CAST(l_shipdate AS DATE) AS Date,
+    CASE WHEN l_suppkey % 3 = 0 THEN 'widgets' WHEN l_suppkey % 3 = 1 THEN 'gizmos' ELSE 'spares' END AS product_type,
+    CAST(1 AS BIGINT) AS sessions_total, CAST(l_quantity AS BIGINT) AS page_views_total,
+    CAST(l_quantity AS BIGINT) AS units_ordered, CAST(l_linenumber AS BIGINT) AS total_order_items,
+    l_extendedprice AS ordered_product_sales
+  FROM lineitem)"""

@@ -133,3 +133,95 @@ def array_safe_ordinal(spark, sf):
     oa = dv.order_asins(_t(spark, sf).lineitem)
     return oa.select("l_orderkey", safe_ordinal(F.col("asins"), 1).alias("a1"),
                      safe_ordinal(F.col("asins"), 3).alias("a3"), safe_ordinal(F.col("asins"), 9).alias("a9"))
+
+
+WEEKLY_RANK_MARKET = "AMERICA"
+
+WEEKLY_RANK_SQL = f"""
+WITH {dv.SQL_MA3_INPUTS},
+wb AS (SELECT week_number, year, min(full_date) AS wc_date, max(full_date) AS we_date FROM date_dimension GROUP BY 1, 2),
+raw AS (
+  SELECT year(r.timestamp_ingested) AS year, {dv.sql_week('CAST(r.timestamp_ingested AS DATE)')} AS week,
+         wb.wc_date, wb.we_date, r.asin, r.phrase, r.rank AS h10_rank
+  FROM rank_raw r JOIN niche_master n ON n.niche_id = r.niche_id
+  LEFT JOIN wb ON year(r.timestamp_ingested) = wb.year
+              AND {dv.sql_week('CAST(r.timestamp_ingested AS DATE)')} = wb.week_number
+  WHERE n.marketplace_id = '{WEEKLY_RANK_MARKET}'
+  QUALIFY row_number() OVER (PARTITION BY year(r.timestamp_ingested),
+          {dv.sql_week('CAST(r.timestamp_ingested AS DATE)')}, r.asin, r.phrase
+          ORDER BY r.timestamp_ingested DESC, r.rank DESC NULLS LAST) = 1)
+SELECT CAST(wc_date AS VARCHAR) || CAST(asin AS VARCHAR) || phrase AS unique_key, year, week, wc_date, we_date,
+       asin, phrase,
+       CASE WHEN regexp_matches(trim(h10_rank), '^[+-]?[0-9]+$') THEN TRY_CAST(trim(h10_rank) AS BIGINT) END AS h10_rank
+FROM raw
+"""
+
+
+@register("weekly_rank", WEEKLY_RANK_SQL, "MA3,AG3,JO4,JO5,WI2,SF3,SF7,S1")
+def weekly_rank(spark, sf):
+    from adlake.plans.weekly_rank import weekly_rank as wr
+    t = _t(spark, sf)
+    ev = t.events
+    return wr(dv.rank_raw(ev), dv.niche_master(t.nation, t.region), dv.date_dimension(ev), WEEKLY_RANK_MARKET)
+
+
+_ADS_ST_COLS = "Date, Customer_Search_Term, Targeting, spend, Clicks, _14_Day_Total_Sales"
+_TRAFFIC = "Ordered_Product_Sales, sessions_total, Units_Ordered, Total_Order_Items, Units_Refunded, Feedback_Received"
+
+ADS_SUMMARY_SQL = f"""
+WITH {dv.SQL_MA4_INPUTS},
+st AS (SELECT *, month(Date) AS month, year(Date) AS year FROM search_terms),
+st_m AS (SELECT Customer_Search_Term, month, year,
+    CAST(SUM(CAST(spend AS DECIMAL(22,4))) AS DOUBLE) AS st_monthly_spend, CAST(SUM(Clicks) AS BIGINT) AS st_monthly_clicks,
+    CAST(SUM(CAST(_14_Day_Total_Sales AS DECIMAL(22,4))) AS DOUBLE) AS st_monthly_sales FROM st GROUP BY 1, 2, 3),
+kw_m AS (SELECT Targeting, month, year,
+    CAST(SUM(CAST(spend AS DECIMAL(22,4))) AS DOUBLE) AS kw_monthly_spend, CAST(SUM(Clicks) AS BIGINT) AS kw_monthly_clicks,
+    CAST(SUM(CAST(_14_Day_Total_Sales AS DECIMAL(22,4))) AS DOUBLE) AS kw_monthly_sales FROM st GROUP BY 1, 2, 3),
+inst AS (SELECT Date, count(*) AS instances FROM search_terms GROUP BY 1),
+adj AS (SELECT s.Date, Ordered_Product_Sales / instances AS ordered_product_sales_adjusted,
+    sessions_total / instances AS sessions_adjusted, Units_Ordered / instances AS units_ordered_adjusted,
+    Total_Order_Items / instances AS total_order_items_adjusted, Units_Refunded / instances AS units_refunded_adjusted,
+    Feedback_Received / instances AS feedback_received_adjusted
+  FROM sales_traffic s LEFT JOIN inst ON s.Date = inst.Date),
+cmap AS (SELECT DISTINCT campaign, campaign_new FROM campaign_map),
+amap AS (SELECT DISTINCT ad_group, ad_group_new, product_type FROM campaign_map),
+std AS (
+  SELECT st.Date, st.Customer_Search_Term, st.Targeting, st.spend, st.Clicks, st._14_Day_Total_Sales, st.month, st.year,
+    IFNULL(cmap.campaign_new, st.campaign_name) AS campaign_name, IFNULL(amap.ad_group_new, st.ad_group_name) AS ad_group_name,
+    amap.product_type, st_monthly_spend, st_monthly_clicks, st_monthly_sales, kw_monthly_spend, kw_monthly_clicks,
+    kw_monthly_sales, s.Ordered_Product_Sales, s.sessions_total, s.Units_Ordered, s.Total_Order_Items, s.Units_Refunded,
+    s.Feedback_Received, adj.ordered_product_sales_adjusted, adj.sessions_adjusted, adj.units_ordered_adjusted,
+    adj.total_order_items_adjusted, adj.units_refunded_adjusted, adj.feedback_received_adjusted
+  FROM st
+  LEFT JOIN st_m ON st.Customer_Search_Term = st_m.Customer_Search_Term AND st.year = st_m.year AND st.month = st_m.month
+  LEFT JOIN kw_m ON st.Targeting = kw_m.Targeting AND st.year = kw_m.year AND st.month = kw_m.month
+  LEFT JOIN adj ON st.Date = adj.Date
+  LEFT JOIN sales_traffic s ON st.Date = s.Date
+  LEFT JOIN cmap ON st.campaign_name = cmap.campaign
+  LEFT JOIN amap ON st.ad_group_name = amap.ad_group),
+divisor AS (SELECT month, year, product_type, count(*) AS divisor FROM std GROUP BY 1, 2, 3),
+traffic AS (
+  SELECT a.year, a.month, a.product_type,
+    CAST(round(CAST(sessions / divisor AS DECIMAL(38,10)), 2) AS DOUBLE) AS monthly_sessions,
+    CAST(round(CAST(page_views / divisor AS DECIMAL(38,10)), 2) AS DOUBLE) AS monthly_pageviews,
+    CAST(round(CAST(units_ordered / divisor AS DECIMAL(38,10)), 2) AS DOUBLE) AS monthly_units_ordered,
+    CAST(round(CAST(ordered_product_sales / divisor AS DECIMAL(38,10)), 2) AS DOUBLE) AS monthly_ordered_product_sales,
+    CAST(round(CAST(total_order_items / divisor AS DECIMAL(38,10)), 2) AS DOUBLE) AS monthly_total_units_ordered
+  FROM (SELECT year(Date) AS year, month(Date) AS month, product_type, CAST(SUM(sessions_total) AS BIGINT) AS sessions,
+          CAST(SUM(page_views_total) AS BIGINT) AS page_views, CAST(SUM(units_ordered) AS BIGINT) AS units_ordered,
+          CAST(SUM(CAST(ordered_product_sales AS DECIMAL(22,4))) AS DOUBLE) AS ordered_product_sales,
+          CAST(SUM(total_order_items) AS BIGINT) AS total_order_items
+        FROM asin_traffic GROUP BY 1, 2, 3) a
+  LEFT JOIN divisor d ON a.year = d.year AND a.month = d.month AND a.product_type = d.product_type)
+SELECT std.* EXCLUDE (month, year), traffic.monthly_sessions, traffic.monthly_pageviews, traffic.monthly_units_ordered,
+       traffic.monthly_ordered_product_sales, traffic.monthly_total_units_ordered
+FROM std LEFT JOIN traffic ON std.year = traffic.year AND std.month = traffic.month AND std.product_type = traffic.product_type
+"""
+
+
+@register("ads_summary", ADS_SUMMARY_SQL, "MA4,AG1,AG2,AG16,AG17,JO1,JO3,JO17,PR5,SF13")
+def ads_summary(spark, sf):
+    from adlake.plans.ads_summary import ads_summary as ads
+    t = _t(spark, sf)
+    li = t.lineitem
+    return ads(dv.search_terms(li), dv.sales_traffic(t.orders), dv.campaign_map(t.part), dv.asin_traffic(li))
