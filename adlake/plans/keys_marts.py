@@ -225,3 +225,250 @@ def ads_summary(spark, sf):
     t = _t(spark, sf)
     li = t.lineitem
     return ads(dv.search_terms(li), dv.sales_traffic(t.orders), dv.campaign_map(t.part), dv.asin_traffic(li))
+
+
+# ----------------------------------------------------------------- MA6
+SNAPSHOT_RUN = "2024-01-30"
+
+_SNAP_SQL = """
+snap AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS run_id, user_id AS tour_id,
+    CASE WHEN bool_or(event_type = 'error' AND value >= 99) THEN 'returned_error'
+         ELSE CAST(SUM(CAST(round(value * 100) AS BIGINT)) // 100 AS VARCHAR) END AS slots
+  FROM events GROUP BY 1, 2)"""
+
+
+def _snapshots(spark, sf):
+    """Slot snapshot per run (day) and tour (user): whole units of value, or
+    'returned_error' when the fetch failed (an error event of value >= 99)."""
+    ev = _t(spark, sf).events
+    g = ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.col("user_id").alias("tour_id")).agg(
+        F.max((F.col("event_type") == "error") & (F.col("value") >= 99)).alias("_err"),
+        F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("_c"))
+    return g.select("run_id", "tour_id", F.when(F.col("_err"), F.lit("returned_error"))
+                    .otherwise(F.expr("_c div 100").cast("string")).alias("slots"))
+
+
+_CHANGE_SQL = f"""
+WITH {_SNAP_SQL},
+cur AS (SELECT tour_id, slots AS current_slots FROM snap WHERE run_id = '{SNAPSHOT_RUN}'),
+prev AS (SELECT tour_id, slots AS previous_slots, run_id AS previous_run_id FROM snap
+         WHERE run_id = (SELECT max(run_id) FROM snap WHERE run_id < '{SNAPSHOT_RUN}')),
+pair AS (SELECT cur.tour_id, current_slots, previous_slots, previous_run_id FROM cur LEFT JOIN prev ON cur.tour_id = prev.tour_id),
+ch AS (
+  SELECT tour_id,
+    CASE WHEN regexp_matches(trim(current_slots), '^[+-]?[0-9]+$') THEN TRY_CAST(trim(current_slots) AS BIGINT) END AS current,
+    CASE WHEN regexp_matches(trim(previous_slots), '^[+-]?[0-9]+$') THEN TRY_CAST(trim(previous_slots) AS BIGINT) END AS previous
+  FROM pair),
+k AS (SELECT tour_id, current, previous, current - previous AS change FROM ch),
+flagged AS (
+  SELECT *, CASE WHEN (current BETWEEN 0 AND 10 AND change < -6) OR (current BETWEEN 11 AND 50 AND change < -8)
+    OR (current BETWEEN 51 AND 150 AND change < -10) OR (current BETWEEN 151 AND 400 AND change < -15)
+    OR (current BETWEEN 401 AND 1000 AND change < -20) OR (current >= 1001 AND change < -40)
+    THEN 'Yes' ELSE 'No' END AS drop_flag FROM k)"""
+
+
+@register("snapshot_previous", f"""
+WITH {_SNAP_SQL},
+cur AS (SELECT tour_id, slots AS current_slots FROM snap WHERE run_id = '{SNAPSHOT_RUN}'),
+prev AS (SELECT tour_id, slots AS previous_slots, run_id AS previous_run_id FROM snap
+         WHERE run_id = (SELECT max(run_id) FROM snap WHERE run_id < '{SNAPSHOT_RUN}'))
+SELECT cur.tour_id, current_slots, previous_slots, previous_run_id FROM cur LEFT JOIN prev ON cur.tour_id = prev.tour_id
+""", "SK9,JO13")
+def snapshot_previous(spark, sf):
+    from adlake.plans.operations import snapshot_pair
+    return snapshot_pair(_snapshots(spark, sf), SNAPSHOT_RUN)
+
+
+@register("inventory_change", _CHANGE_SQL + "\nSELECT * FROM flagged", "MA6,JO13,WI9,FI13,SF3")
+def inventory_change(spark, sf):
+    from adlake.plans.operations import inventory_change as ic
+    return ic(_snapshots(spark, sf), SNAPSHOT_RUN)
+
+
+@register("topk_increase", _CHANGE_SQL + "\nSELECT * FROM flagged WHERE change > 1 ORDER BY change DESC, tour_id LIMIT 12",
+          "SO2")
+def topk_increase(spark, sf):
+    from adlake.plans.operations import inventory_change as ic, top_increases
+    return top_increases(ic(_snapshots(spark, sf), SNAPSHOT_RUN), 12)
+
+
+@register("ordered_drops", _CHANGE_SQL + "\nSELECT * FROM flagged WHERE drop_flag = 'Yes' AND change IS NOT NULL",
+          "SO3")
+def ordered_drops(spark, sf):
+    from adlake.plans.operations import inventory_change as ic, flagged_drops
+    return flagged_drops(ic(_snapshots(spark, sf), SNAPSHOT_RUN))
+
+
+@register("banded_rule", f"""
+WITH {_SNAP_SQL},
+n AS (SELECT run_id, tour_id,
+        CASE WHEN regexp_matches(trim(slots), '^[+-]?[0-9]+$') THEN TRY_CAST(trim(slots) AS BIGINT) END AS current,
+        lag(CASE WHEN regexp_matches(trim(slots), '^[+-]?[0-9]+$') THEN TRY_CAST(trim(slots) AS BIGINT) END)
+          OVER (PARTITION BY tour_id ORDER BY run_id) AS previous FROM snap)
+SELECT run_id, tour_id, current, current - previous AS change,
+  CASE WHEN (current BETWEEN 0 AND 10 AND current - previous < -6) OR (current BETWEEN 11 AND 50 AND current - previous < -8)
+    OR (current BETWEEN 51 AND 150 AND current - previous < -10) OR (current BETWEEN 151 AND 400 AND current - previous < -15)
+    OR (current BETWEEN 401 AND 1000 AND current - previous < -20) OR (current >= 1001 AND current - previous < -40)
+    THEN 'Yes' ELSE 'No' END AS drop_flag
+FROM n
+""", "FI13,WI9")
+def banded_rule(spark, sf):
+    from pyspark.sql import Window
+    from adlake.operators.filters import banded_flag
+    from adlake.plans.operations import DROP_BANDS
+    s = _snapshots(spark, sf)
+    cur = F.col("slots").try_cast("bigint")
+    prev = F.lag(cur).over(Window.partitionBy("tour_id").orderBy("run_id"))
+    x = s.select("run_id", "tour_id", cur.alias("current"), prev.alias("previous"))
+    ch = F.col("current") - F.col("previous")
+    return x.select("run_id", "tour_id", "current", ch.alias("change"),
+                    banded_flag(F.col("current"), ch, DROP_BANDS).alias("drop_flag"))
+
+
+# ----------------------------------------------------------------- MA7
+ALERT_AS_OF, ALERT_HOUR, ALERT_PCT, ALERT_MIN_ABS = "2024-01-29", 13, 50.0, 5.0
+
+SPEND_ALERT_SQL = f"""
+WITH r AS (
+  SELECT user_id AS campaign_id, 'campaign-' || CAST(user_id AS VARCHAR) AS name, ts, value AS cost FROM events
+  WHERE hour(ts) = {ALERT_HOUR}
+    AND CAST(ts AS DATE) BETWEEN DATE '{ALERT_AS_OF}' - INTERVAL 28 DAY AND DATE '{ALERT_AS_OF}'),
+g AS (SELECT campaign_id,
+  CAST(SUM(CASE WHEN CAST(ts AS DATE) = DATE '{ALERT_AS_OF}' THEN CAST(cost AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS today,
+  CAST(SUM(CASE WHEN CAST(ts AS DATE) <> DATE '{ALERT_AS_OF}' AND dayofweek(ts) = dayofweek(DATE '{ALERT_AS_OF}')
+                THEN CAST(cost AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS history,
+  max(name) AS name FROM r GROUP BY 1),
+h AS (SELECT *, history / CAST(4 AS DOUBLE) AS average FROM g),
+k AS (SELECT campaign_id, name, today, average, today - average AS difference,
+        CASE WHEN average = 0 THEN CAST('inf' AS DOUBLE) ELSE (today - average) / average * 100.0 END AS pct_change FROM h)
+SELECT * FROM k WHERE difference >= {ALERT_MIN_ABS} AND abs(pct_change) > {ALERT_PCT}"""
+
+
+def _alerts(spark, sf):
+    from adlake.plans.operations import AlertParams, spend_alert as sa
+    ev = _t(spark, sf).events
+    cost = ev.select(F.col("user_id").alias("campaign_id"),
+                     F.concat(F.lit("campaign-"), F.col("user_id").cast("string")).alias("name"), "ts",
+                     F.col("value").alias("cost"))
+    return sa(cost, AlertParams(ALERT_AS_OF, ALERT_HOUR, ALERT_PCT, ALERT_MIN_ABS))
+
+
+@register("spend_alert", SPEND_ALERT_SQL, "MA7,SC6,AG9,FI14,S13")
+def spend_alert(spark, sf):
+    return _alerts(spark, sf)
+
+
+@register("alert_messages", f"""
+WITH a AS ({SPEND_ALERT_SQL})
+SELECT 'account-' || CAST(campaign_id % 5 AS VARCHAR) AS account, campaign_id,
+  printf('%s (%s): spend %.2f vs average %.2f, change %s%%', name, CAST(campaign_id AS VARCHAR),
+    CAST(round(CAST(today AS DECIMAL(38,10)), 2) AS DOUBLE), CAST(round(CAST(average AS DECIMAL(38,10)), 2) AS DOUBLE),
+    CASE WHEN isinf(pct_change) OR isnan(pct_change) THEN 'inf'
+         ELSE printf('%.1f', CAST(round(CAST(pct_change AS DECIMAL(38,10)), 1) AS DOUBLE)) END) AS message
+FROM a
+""", "SK10,SF13")
+def alert_messages(spark, sf):
+    from adlake.plans.operations import alert_messages as am
+    a = _alerts(spark, sf)
+    return am(a, F.concat(F.lit("account-"), (F.col("campaign_id") % 5).cast("string")))
+
+
+# ----------------------------------------------------------------- MA9
+@register("estimate_mean", """
+WITH req AS (SELECT event_id AS request_id, event_type AS text, event_type = 'error' AS is_negative FROM events),
+resp AS (SELECT event_id AS request_id, value AS clicks_min,
+           CASE WHEN event_id % 9 = 0 THEN NULL
+                ELSE value + CAST(json_extract_string(props, '$.k') AS DOUBLE) / 4 END AS clicks_max,
+           CAST(json_extract_string(props, '$.k') AS DOUBLE) AS impr_min,
+           CAST(json_extract_string(props, '$.k') AS DOUBLE) + 1 AS impr_max FROM events)
+SELECT req.request_id, text,
+  CAST(round_even((CAST(clicks_min AS DECIMAL(18,2)) + CAST(clicks_max AS DECIMAL(18,2))) * CAST(0.5 AS DECIMAL(2,1)), 2) AS DOUBLE) AS clicks_mean,
+  CAST(round_even((CAST(impr_min AS DECIMAL(18,2)) + CAST(impr_max AS DECIMAL(18,2))) * CAST(0.5 AS DECIMAL(2,1)), 2) AS DOUBLE) AS impressions_mean
+FROM req JOIN resp ON req.request_id = resp.request_id
+WHERE NOT COALESCE(is_negative, FALSE)
+""", "MA9,JO15,SF22,FI15")
+def estimate_mean(spark, sf):
+    from adlake.plans.operations import estimate_mean as em
+    ev = _t(spark, sf).events
+    k = F.get_json_object("props", "$.k").cast("double")
+    req = ev.select(F.col("event_id").alias("request_id"), F.col("event_type").alias("text"),
+                    (F.col("event_type") == "error").alias("is_negative"))
+    resp = ev.select(F.col("event_id").alias("request_id"), F.col("value").alias("clicks_min"),
+                     F.when(F.col("event_id") % 9 == 0, F.lit(None).cast("double"))
+                      .otherwise(F.col("value") + k / 4).alias("clicks_max"),
+                     k.alias("impr_min"), (k + 1).alias("impr_max"))
+    return em(req, resp)
+
+
+# ----------------------------------------------------------------- MA10
+@register("trends_long", """
+WITH counts AS (SELECT 'geo-' || CAST(user_id % 25 AS VARCHAR) AS geo, event_type AS keyword, count(*) AS n
+                FROM events GROUP BY 1, 2),
+batch AS (SELECT keyword, CAST(floor((row_number() OVER (ORDER BY keyword) - 1) / 3) AS BIGINT) AS batch_id
+          FROM (SELECT DISTINCT event_type AS keyword FROM events)),
+grid AS (SELECT g.geo, b.keyword, b.batch_id FROM (SELECT DISTINCT geo FROM counts) g CROSS JOIN batch b),
+long AS (SELECT grid.batch_id, grid.geo, grid.keyword, counts.n AS raw
+         FROM grid LEFT JOIN counts ON grid.geo = counts.geo AND grid.keyword = counts.keyword),
+mx AS (SELECT batch_id, max(raw) AS m FROM long GROUP BY 1)
+SELECT long.batch_id, geo, keyword, raw, CASE WHEN m > 0 THEN (100 * raw) // m END AS score
+FROM long JOIN mx ON long.batch_id = mx.batch_id
+""", "MA10,RS1,RS6,SE4")
+def trends_long(spark, sf):
+    from pyspark.sql import Window
+    from adlake.plans.operations import trends_long as tl
+    ev = _t(spark, sf).events
+    counts = ev.groupBy(F.concat(F.lit("geo-"), (F.col("user_id") % 25).cast("string")).alias("geo"),
+                        F.col("event_type").alias("keyword")).agg(F.count("*").alias("n"))
+    kw = ev.select(F.col("event_type").alias("keyword")).distinct()
+    batch = kw.select("keyword", F.floor((F.row_number().over(Window.orderBy("keyword")) - 1) / 3)
+                      .cast("bigint").alias("batch_id"))
+    return tl(counts, "geo", "keyword", "n", batch)
+
+
+# ----------------------------------------------------------------- MA5
+AVAILABLE_AS_OF = "2001-06-01"
+
+
+@register("available_items", f"""
+WITH slots AS (SELECT l_partkey AS tour_id, l_shipdate AS inventory_date, l_linestatus = 'F' AS closed,
+                      NULLIF(l_suppkey % 7, 0) AS price_profile_id FROM lineitem),
+catalogue AS (SELECT p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN 'INACTIVE' ELSE 'ACTIVE' END AS status FROM part),
+ids AS (SELECT DISTINCT tour_id AS id FROM slots
+        WHERE CAST(inventory_date AS DATE) >= DATE '{AVAILABLE_AS_OF}' - INTERVAL 1 DAY AND closed = false
+          AND price_profile_id IS NOT NULL
+          AND tour_id IN (SELECT id FROM catalogue WHERE status = 'ACTIVE')),
+vt AS (SELECT l_partkey AS tour_id, l_suppkey AS vendor_detail_id, l_linenumber AS priority,
+              CASE l_returnflag WHEN 'N' THEN NULL WHEN 'A' THEN false ELSE true END AS is_inventory_automated FROM lineitem),
+vendor AS (SELECT tour_id AS id, vendor_detail_id,
+             CASE WHEN is_inventory_automated = false THEN 'No' ELSE 'Yes' END AS inventory_automated FROM vt
+           QUALIFY row_number() OVER (PARTITION BY tour_id ORDER BY priority, vendor_detail_id NULLS FIRST,
+                   is_inventory_automated NULLS FIRST) = 1),
+tg AS (SELECT DISTINCT p_size AS id, 'group-' || CAST(p_size AS VARCHAR) AS name, n_name AS city
+       FROM part JOIN nation ON p_size % 25 = n_nationkey)
+SELECT ids.id, p.p_name AS tour_name, tg.name AS group_name, tg.city, vendor.vendor_detail_id,
+       s.s_name AS vendor_name, vendor.inventory_automated
+FROM ids LEFT JOIN part p ON ids.id = p.p_partkey LEFT JOIN tg ON p.p_size = tg.id
+LEFT JOIN vendor ON ids.id = vendor.id LEFT JOIN supplier s ON vendor.vendor_detail_id = s.s_suppkey
+""", "MA5,AG7,JO1,JO10,WI6,FI3")
+def available_items(spark, sf):
+    from adlake.plans.operations import available_items as ai
+    t = _t(spark, sf)
+    li, part = t.lineitem, t.part
+    slots = li.select(F.col("l_partkey").alias("tour_id"), F.col("l_shipdate").alias("inventory_date"),
+                      (F.col("l_linestatus") == "F").alias("closed"),
+                      F.nullif(F.col("l_suppkey") % 7, F.lit(0)).alias("price_profile_id"))
+    catalogue = part.select(F.col("p_partkey").alias("id"),
+                            F.when(F.col("p_type") == "PROMO", "INACTIVE").otherwise("ACTIVE").alias("status"))
+    vt = li.select(F.col("l_partkey").alias("tour_id"), F.col("l_suppkey").alias("vendor_detail_id"),
+                   F.col("l_linenumber").alias("priority"),
+                   F.when(F.col("l_returnflag") == "N", F.lit(None).cast("boolean"))
+                    .otherwise(F.col("l_returnflag") != "A").alias("is_inventory_automated"))
+    tour = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                       F.col("p_size").alias("tour_group_id"))
+    tg = (part.select("p_size").distinct()
+          .join(F.broadcast(t.nation), F.pmod("p_size", F.lit(25)) == F.col("n_nationkey"))
+          .select(F.col("p_size").alias("id"), F.concat(F.lit("group-"), F.col("p_size").cast("string")).alias("name"),
+                  F.col("n_name").alias("city")))
+    vd = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return ai(tour, tg, slots, catalogue, vt, vd, AVAILABLE_AS_OF)
