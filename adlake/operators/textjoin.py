@@ -47,8 +47,15 @@ def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: D
     pos = [n for n in lengths if n > 0]
     out = None
     if pos:
-        subs = F.array_distinct(F.flatten(F.array(*[_substrings(text, n) for n in pos])))
-        exploded = left.select(*ids, F.explode(subs).alias("_key"))
+        src = left.select(*ids, text.alias("_text"))
+        # substring expansion is CPU-heavy per row: when the scan yields fewer
+        # tasks than the shuffle parallelism (few large files), spread the rows
+        # first; on a large input the scan already has enough splits.
+        target = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if src.rdd.getNumPartitions() < target:
+            src = src.repartition(target, *ids)
+        subs = F.array_distinct(F.flatten(F.array(*[_substrings(F.col("_text"), n) for n in pos])))
+        exploded = src.select(*ids, F.explode(subs).alias("_key"))
         out = exploded.join(k.where(F.length("_key") > 0), "_key", "inner").select(*ids, "_key")
     if 0 in lengths:
         # the empty key matches every non-NULL text: at most one such key
