@@ -12,6 +12,7 @@ _MODULES = (
     "adlake.plans.keys_aggwin",
     "adlake.plans.keys_functions",
     "adlake.plans.keys_marts",
+    "adlake.plans.keys_io",
 )
 
 
