@@ -429,3 +429,44 @@ WHERE rn <= 3 GROUP BY 1
 def nth_rows_to_columns(spark, sf):
     return R.nth_rows_to_columns(_t(spark, sf).lineitem, ["l_orderkey"], ["l_linenumber", "l_partkey"],
                                  "l_partkey", 3)
+
+
+@register("seasonal_decompose", f"""
+WITH {SQL_DENSE_DAILY},
+t AS (SELECT series_id, day, cents / 100.0 AS value,
+        CASE WHEN count(*) OVER w = 7 THEN CAST(SUM(cents) OVER w AS DOUBLE) / 700.0 END AS trend,
+        CAST((row_number() OVER o - 1) % 7 AS INTEGER) AS phase
+      FROM series
+      WINDOW w AS (PARTITION BY series_id ORDER BY day ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING),
+             o AS (PARTITION BY series_id ORDER BY day)),
+ph AS (SELECT series_id, phase, CAST(avg(value - trend) AS DECIMAL(38,10)) AS pm FROM t GROUP BY 1, 2),
+g AS (SELECT series_id, CAST(SUM(pm) AS DOUBLE) / 7.0 AS gm FROM ph GROUP BY 1),
+seas AS (SELECT ph.series_id, phase, CAST(pm AS DOUBLE) - gm AS seasonal FROM ph JOIN g ON ph.series_id = g.series_id)
+SELECT t.series_id, day, value,
+  CAST(round(CAST(trend AS DECIMAL(38,10)), 6) AS DOUBLE) AS trend,
+  CAST(round(CAST(seasonal AS DECIMAL(38,10)), 6) AS DOUBLE) AS seasonal,
+  CAST(round(CAST(value - trend - seasonal AS DECIMAL(38,10)), 6) AS DOUBLE) AS resid
+FROM t LEFT JOIN seas ON t.series_id = seas.series_id AND t.phase = seas.phase
+""", "TS2,WI8")
+def seasonal_decompose(spark, sf):
+    return TS.seasonal_decompose(events_daily(spark, sf), 7)
+
+
+@register("acf", f"""
+WITH {SQL_DENSE_DAILY},
+d AS (SELECT series_id, day, count(*) OVER (PARTITION BY series_id) * cents - SUM(cents) OVER (PARTITION BY series_id) AS d,
+             count(*) OVER (PARTITION BY series_id) AS n FROM series),
+g AS (SELECT series_id, any_value(n) AS n, CAST(SUM(d * d) AS BIGINT) AS den FROM d GROUP BY 1),
+x AS (SELECT a.series_id, k AS lag, CAST(SUM(a.d * b.d) AS BIGINT) AS num
+      FROM (SELECT series_id, day, d, row_number() OVER (PARTITION BY series_id ORDER BY day) AS pos FROM d) a
+      CROSS JOIN range(1, 21) r(k)
+      LEFT JOIN (SELECT series_id, d, row_number() OVER (PARTITION BY series_id ORDER BY day) AS pos FROM d) b
+        ON a.series_id = b.series_id AND b.pos = a.pos - k
+      GROUP BY 1, 2)
+SELECT x.series_id, CAST(x.lag AS INTEGER) AS lag,
+  CASE WHEN g.den > 0 THEN CAST(COALESCE(x.num, 0) AS DOUBLE) / CAST(g.den AS DOUBLE) END AS acf,
+  CAST(g.n AS BIGINT) AS n, 1.96 / sqrt(CAST(g.n AS DOUBLE)) AS band
+FROM x JOIN g ON x.series_id = g.series_id
+""", "TS4")
+def acf_key(spark, sf):
+    return TS.acf(events_daily(spark, sf), 20)

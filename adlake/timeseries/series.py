@@ -88,3 +88,45 @@ def time_split(s: DataFrame, skip: int = 3, train_frac: float = 0.9) -> DataFram
     return (t.where(test | (F.col("pos") >= skip))
             .select("series_id", "day", (F.col("cents") / 100.0).alias("value"), "pos",
                     F.when(test, F.lit("test")).otherwise(F.lit("train")).alias("split")))
+
+
+def seasonal_decompose(s: DataFrame, period: int = 7) -> DataFrame:
+    """Additive classical decomposition per series: trend = centred MA,
+    seasonal = per-phase mean of the detrended values minus the mean of those
+    phase means, residual = value - trend - seasonal (NULL at the ends).
+
+    Fully native: windows + one grouped aggregate per (series, phase) joined
+    back; the phase table has ``period`` rows per series."""
+    w = _w()
+    t = centered_ma(s, period).withColumn("phase", ((F.row_number().over(w) - 1) % period).cast("int"))
+    t = t.withColumn("detrended", F.col("value") - F.col("trend"))
+    ph = t.groupBy("series_id", "phase").agg(F.avg("detrended").alias("_pm"))
+    ph = ph.withColumn("_pm", F.col("_pm").cast("decimal(38,10)"))
+    grand = ph.groupBy("series_id").agg((F.sum("_pm").cast("double") / float(period)).alias("_g"))
+    seas = ph.join(grand, "series_id").select("series_id", "phase", (F.col("_pm").cast("double") - F.col("_g")).alias("seasonal"))
+    out = t.join(seas, ["series_id", "phase"], "left")
+    r6 = lambda c: F.round(c.cast("decimal(38,10)"), 6).cast("double")
+    return out.select("series_id", "day", "value", r6(F.col("trend")).alias("trend"),
+                      r6(F.col("seasonal")).alias("seasonal"),
+                      r6(F.col("value") - F.col("trend") - F.col("seasonal")).alias("resid"))
+
+
+def acf(s: DataFrame, nlags: int = 20) -> DataFrame:
+    """Autocorrelation for lags 1..nlags per series, exact: with n values
+    and sum S, the centred values are carried as the integers n*c - S, so
+    every sum of products is an integer and the ratio is order-independent.
+    Output is long: (series_id, lag, acf, n, band) with band = 1.96/sqrt(n)."""
+    whole = Window.partitionBy("series_id")
+    d = s.select("series_id", "day", (F.count("*").over(whole) * F.col("cents") - F.sum("cents").over(whole)).alias("d"),
+                 F.count("*").over(whole).alias("n"))
+    w = _w()
+    lagged = d.select("series_id", "n", "d", *[(F.col("d") * F.lag("d", k).over(w)).alias(f"p{k}")
+                                               for k in range(1, nlags + 1)])
+    g = lagged.groupBy("series_id").agg(F.first("n").alias("n"), F.sum(F.col("d") * F.col("d")).alias("den"),
+                                        *[F.sum(f"p{k}").alias(f"p{k}") for k in range(1, nlags + 1)])
+    long = g.select("series_id", "n", "den", F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"p{k}").alias("num"))
+                                                              for k in range(1, nlags + 1)])).alias("x"))
+    return long.select("series_id", F.col("x.lag").alias("lag"),
+                       F.when(F.col("den") > 0, F.coalesce(F.col("x.num"), F.lit(0)).cast("double") / F.col("den").cast("double")).alias("acf"),
+                       F.col("n").cast("bigint").alias("n"),
+                       (F.lit(1.96) / F.sqrt(F.col("n").cast("double"))).alias("band"))
