@@ -470,3 +470,16 @@ FROM x JOIN g ON x.series_id = g.series_id
 """, "TS4")
 def acf_key(spark, sf):
     return TS.acf(events_daily(spark, sf), 20)
+
+
+@register("adf_test", None, "TS3,UD3")
+def adf_test(spark, sf):
+    """Augmented Dickey-Fuller per daily series (grouped numpy fit)."""
+    from adlake.timeseries.models import adf
+    return adf(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"))
+
+
+@register("pacf", None, "TS4,UD3")
+def pacf_key(spark, sf):
+    from adlake.timeseries.models import pacf
+    return pacf(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"), 20)
