@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op7_warc, op10_mixing
+from adlake.llm import op7_warc, op8_quality, op10_mixing
 from adlake.llm.tables import table
 
 
@@ -14,13 +14,17 @@ def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = op10_mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_warc_chunks, op10_fair_mix)}
+    return {f.__name__: f for f in (op7_warc_chunks, op8_compression_bands, op10_fair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
