@@ -21,7 +21,7 @@ from adlake.llm.tables import written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 
 
 def n_words(text: Column) -> Column:
