@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.tables import shared_path
+from adlake.llm.tables import shared_path, written
 
 SEPARATOR = "\r\n\r\n"
 CHUNK_CHARS = 1 << 18  # at most 1 MB of UTF-8
@@ -47,8 +47,9 @@ def planned_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Dat
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("payload_digest", F.sha1(F.col("html").cast("binary"))).withColumn(
         "payload_bytes", F.octet_length("html").cast("bigint"))
-    keeper = (rows.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
-              .agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies")).where("copies > 1"))
+    keeper = written(  # from a table, so that the join can split a hot payload
+        rows.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
+        .agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies")).where("copies > 1"), "warc-keepers")
     out = rows.join(keeper, ["payload_digest", "payload_bytes"], "left")
     revisit = F.col("copies").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     return out.select(

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op7_warc, op8_quality, op10_mixing
+from adlake.llm import op4_decontaminate, op7_warc, op8_quality, op10_mixing
 from adlake.llm.tables import table
 
 
+def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
 def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -24,7 +28,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_warc_chunks, op8_compression_bands, op10_fair_mix)}
+    return {f.__name__: f for f in (op4_prefix_join, op7_warc_chunks, op8_compression_bands, op10_fair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -47,3 +51,31 @@ SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_di
             ELSE greatest(1, CAST(ceil(length(p.html) / 262144.0) AS INTEGER)) END AS n_chunks
 FROM p LEFT JOIN k USING (payload_digest)
 """
+
+SQL["op4_prefix_join"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS s
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p
+        FROM d CROSS JOIN (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, p, iw.n FROM dw JOIN iw ON dw.n = iw.n AND dw.s = iw.s),
+covered AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM hit) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hit GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
