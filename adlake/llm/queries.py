@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op4_decontaminate, op7_warc, op8_quality, op10_mixing
+from adlake.llm import op4_decontaminate, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
 from adlake.llm.tables import table
 
 
@@ -14,6 +14,10 @@ def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_lines.report(table(spark, sf_dir, "documents"))
+
+
 def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -22,13 +26,17 @@ def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op9_line_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_units.report(table(spark, sf_dir, "documents"))
+
+
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = op10_mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_prefix_join, op7_warc_chunks, op8_compression_bands, op10_fair_mix)}
+    return {f.__name__: f for f in (op4_prefix_join, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -79,3 +87,39 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+SQL["op6_line_runs"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS no
+  FROM documents),
+b AS (
+  SELECT doc_id, no, body, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS pos
+  FROM (SELECT *, trim(line, E' \t\n\x0b\x0c\r') AS body FROM l) WHERE body <> ''),
+p AS (SELECT *, lead(body) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM b),
+f AS (
+  SELECT *, next IS NOT NULL AND row_number() OVER (PARTITION BY body, next ORDER BY doc_id, pos) > 1 AS pair,
+         length(body) >= 200 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) > 1 AS alone
+  FROM p),
+g AS (SELECT *, pair OR alone OR coalesce(lag(pair) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone FROM f),
+r AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS run FROM g)
+SELECT l.doc_id, count(pos) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE run) AS n_runs,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.no) FILTER (WHERE NOT coalesce(gone, false)), '')) AS kept_sha256
+FROM l LEFT JOIN r ON l.doc_id = r.doc_id AND l.no = r.no GROUP BY 1
+"""
+
+SQL["op9_line_hashes"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS no
+  FROM documents),
+n AS (
+  SELECT *, trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS body,
+         coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM l),
+g AS (SELECT *, length(body) >= 60 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, no) > 1 AS gone FROM n)
+SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
+       CAST(coalesce(sum(length(line)) FILTER (WHERE gone), 0) AS BIGINT) AS n_removed_chars,
+       coalesce(string_agg(CAST(CAST(place AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(place AS BIGINT) + length(line) AS VARCHAR), ',' ORDER BY no)
+                FILTER (WHERE gone), '') AS spans,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM g GROUP BY 1
+"""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlake.session import checkpoint_dir
 
@@ -28,3 +29,10 @@ def written(df: DataFrame, name: str, *parts: str) -> DataFrame:
         writer = writer.partitionBy(*parts)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A document's identity: its id and 128 bits of its text.  Rows equal in
+    both are one document; a null id is a value like any other, below all."""
+    return F.struct(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("k1"),
+                    F.xxhash64(F.lit("2"), F.col(text)).alias("k2"))
