@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
+from adlake.llm import op2_pii, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
 from adlake.llm.tables import table
 
 
+def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_pii.report(table(spark, sf_dir, "documents"))
+
+
 def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -40,7 +44,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_prefix_join, op5_entropy_windows, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
+    return {f.__name__: f for f in (op2_weak_supervision, op4_prefix_join, op5_entropy_windows, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
