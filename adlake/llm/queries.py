@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op2_pii, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
+from adlake.llm import op1_jaccard, op2_pii, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
 from adlake.llm.tables import table
 
 
+def op1_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_jaccard.report(table(spark, sf_dir, "documents"))
+
+
 def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_pii.report(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_weak_supervision, op4_prefix_join, op5_entropy_windows, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
+    return {f.__name__: f for f in (op1_signature_trees, op2_weak_supervision, op4_prefix_join, op5_entropy_windows, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -131,3 +135,20 @@ SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM g GROUP BY 1
 """
+
+SQL["op1_signature_trees"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, least(d.doc_id, min(reach.b)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+"""
