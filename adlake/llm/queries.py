@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op1_jaccard, op2_pii, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
+from adlake.llm import op1_jaccard, op2_pii, op3_suffixes, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
 from adlake.llm.tables import table
 
 
@@ -18,6 +18,10 @@ def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_pii.report(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -48,7 +52,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_signature_trees, op2_weak_supervision, op4_prefix_join, op5_entropy_windows, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
+    return {f.__name__: f for f in (op1_signature_trees, op2_weak_supervision, op3_suffix_levels, op4_prefix_join, op5_entropy_windows, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -152,3 +156,23 @@ reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN lin
 SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, least(d.doc_id, min(reach.b)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """
+
+SQL["op3_suffix_levels"] = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, place, md5(substr(h, 2 * place + 1, 800)) AS digest
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS place FROM d WHERE length(h) >= 800)),
+r AS (SELECT doc_id, place FROM (SELECT *, count(*) OVER (PARTITION BY digest) AS n FROM w) WHERE n > 1),
+s AS (
+  SELECT doc_id, place, CASE WHEN place <= lag(place) OVER (PARTITION BY doc_id ORDER BY place) + 400 THEN 0 ELSE 1 END AS new FROM r),
+g AS (SELECT doc_id, place, sum(new) OVER (PARTITION BY doc_id ORDER BY place) AS no FROM s),
+spans AS (SELECT doc_id, no, min(place) AS lo, max(place) + 400 AS hi FROM g GROUP BY 1, 2),
+gaps AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM spans),
+cut AS (
+  SELECT gaps.doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) || substr(any_value(h), 2 * max(hi) + 1) AS kept
+  FROM gaps JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""

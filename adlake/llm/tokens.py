@@ -39,7 +39,7 @@ WORD_BYTES = {k: _word_bytes(k) for k in ("space", "alnum")}
 
 
 @lru_cache(maxsize=None)
-def _byte_values(lower: bool) -> np.ndarray:
+def byte_values(lower: bool) -> np.ndarray:
     values = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
     if lower:
         values[0x41:0x5B] = values[0x61:0x7B]
@@ -47,7 +47,7 @@ def _byte_values(lower: bool) -> np.ndarray:
 
 
 @lru_cache(maxsize=None)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     base = 0xD6E8FEB86659FD93
     inverse = pow(base, -1, 2**64)
     up = np.full(n, base, dtype=np.uint64)
@@ -111,9 +111,9 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray,
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
     """64-bit hash of each word; equal words have equal hashes everywhere."""
     out = np.empty(len(starts), dtype=np.uint64)
-    values = _byte_values(lower)
+    values = byte_values(lower)
     size = PIECE + LONG_WORD
-    up, down = _powers(size)
+    up, down = powers(size)
     at = 0
     while at < len(starts):
         if ends[at] - starts[at] > LONG_WORD:
