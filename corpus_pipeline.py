@@ -2,25 +2,55 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows of `docs` and
 returns a DataFrame that is written as Parquet and read again for the next one.
+All but the last return the columns of `docs`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adlake.llm import op10_mixing
+from adlake.llm import op1_jaccard, op4_decontaminate, op6_lines, op8_quality, op10_mixing
 from adlake.llm.tables import table, written
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression bands or the base rules reject go."""
+    return op8_quality.kept_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of line runs are cut out of the texts, and n_chars follows.
+    A document of which no line is left goes."""
+    rows = op6_lines.deduplicated(docs)
+    emptied = (F.col("_lines.n_removed") > 0) & (F.col("_lines.n_removed") == F.col("_lines.n_lines"))
+    changed = F.col("_lines.n_removed") > 0
+    new = {"text": F.col("_lines.kept"), "n_chars": F.length("_lines.kept")}
+    return rows.where(~emptied).select(*[
+        F.when(changed, new[c].cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return op1_jaccard.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    return op4_decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for every time the mix takes a document, in the order of the mix."""
     return op10_mixing.mixed(docs)
 
 
-STAGES = [("mixing", mixing)]
+STAGES = [
+    ("quality rules", quality_rules), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination), ("mixing sources to target weights", mixing)]
 
-# Compression ratios and signature trees have no SQL form; tests/llm compares
-# the stages with brute force.
+# Compression ratios and the mix's shuffled order have no SQL form; tests/llm
+# holds the stages against brute force.
 ORACLE_SQL = None
 
 
