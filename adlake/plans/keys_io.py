@@ -1,4 +1,4 @@
-"""Registered keys for sinks and ingestion (SK3, SK4, SK6, MA8).
+"""Registered keys for sinks and ingestion (SK3-SK7, SC8, MA8).
 
 These keys run a write into a fresh folder under the session's checkpoint
 directory (the shared folder named by ``spark.checkpoint.dir``) and return
@@ -7,23 +7,19 @@ the written table read back, so the result reflects the sink semantics.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlake.operators.relational import union_all_by_name
 from adlake.operators.schema import add_columns_if_missing, fill_numeric_and_text, normalise
 from adlake.plans.registry import register
-from adlake.session import checkpoint_dir
-from adlake.sources.sinks import append_with_quarantine as awq, replace_from
+from adlake.session import scratch_path
+from adlake.sources.sinks import append_with_quarantine as awq, max_dates, replace_from
 from adlake.sources.tables import Tables
 
-REPLACE_HISTORY_END = "1998-06-01"
 REPLACE_BATCH = ("1998-01-01", "1998-03-01")
-
-
-def _scratch(spark, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/adlake-{name}-{uuid.uuid4().hex}"
+INGEST_AS_OF, INGEST_LOOKBACK = "2001-06-01", 180
+SALES_LOADED_TO = {"SG": "2000-03-31", "MY": "2000-09-30"}
 
 
 @register("replace_from_date", f"""
@@ -34,13 +30,13 @@ SELECT o_orderkey, o_totalprice * 2, CAST(o_orderdate AS DATE) FROM orders
 WHERE CAST(o_orderdate AS DATE) >= DATE '{REPLACE_BATCH[0]}' AND CAST(o_orderdate AS DATE) < DATE '{REPLACE_BATCH[1]}'
 """, "SK3,FI9,SC10")
 def replace_from_date(spark, sf):
-    """History up to June 1998 is loaded, then a corrected batch for
-    Jan-Feb 1998 replaces everything from its first day: the Mar-May
-    partitions of the history must disappear."""
+    """The whole history is loaded, then a corrected batch for Jan-Feb 1998
+    replaces everything from its first day: all later partitions of the
+    history must disappear."""
     o = Tables(spark, sf).orders.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("report_date"))
-    path = _scratch(spark, "replace")
-    replace_from(o.where(F.col("report_date") < REPLACE_HISTORY_END), path, "report_date")
-    batch = o.where(F.col("report_date").between(REPLACE_BATCH[0], F.date_sub(F.lit(REPLACE_BATCH[1]).cast("date"), 1)))
+    path = scratch_path(spark, "replace")
+    replace_from(o, path, "report_date")
+    batch = o.where((F.col("report_date") >= REPLACE_BATCH[0]) & (F.col("report_date") < REPLACE_BATCH[1]))
     replace_from(batch.withColumn("o_totalprice", F.col("o_totalprice") * 2), path, "report_date",
                  start=REPLACE_BATCH[0])
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "report_date")
@@ -73,31 +69,78 @@ WITH src AS (
     COALESCE(CASE WHEN c_nationkey < 12 THEN o_orderstatus END, '0') AS so_details2,
     CASE WHEN c_nationkey < 12 THEN 'SG' ELSE 'MY' END AS country
   FROM orders JOIN customer ON o_custkey = c_custkey)
-SELECT * FROM src WHERE po_date IS NOT NULL AND po_date < DATE '{REPLACE_BATCH[0]}'
-UNION ALL
-SELECT * FROM src WHERE po_date IS NOT NULL AND po_date >= DATE '{REPLACE_BATCH[0]}' AND po_date < DATE '{REPLACE_BATCH[1]}'
-""", "MA8,SK4,PR7,PR8,PR9,PR10,PR12,PR13,SE4,FI4,SF1,S9")
+SELECT po_number, vendor, po_date,
+  CASE WHEN po_date >= DATE '{INGEST_AS_OF}' - INTERVAL {INGEST_LOOKBACK} DAY THEN amount * 2 ELSE amount END AS amount,
+  note, tax, so_details2, country
+FROM src WHERE po_date IS NOT NULL
+""", "MA8,SK4,SC9,PR7,PR8,PR9,PR10,PR12,PR13,SE4,FI4,SF1,S9")
 def ingest_two_regions(spark, sf):
+    """Purchase orders of both regions: the whole history, then each region's
+    last 180 days once more, with corrected amounts."""
     t = Tables(spark, sf)
     sg = _region_orders(t, "SG", list(range(0, 12)), True)
     my = _region_orders(t, "MY", list(range(12, 25)), False)
     allr = fill_numeric_and_text(union_all_by_name([sg, my]).dropna(subset=["po_date"]))
-    path = _scratch(spark, "ingest")
-    replace_from(allr.where(F.col("po_date") < REPLACE_HISTORY_END), path, "po_date", scope=["country"])
-    batch = allr.where((F.col("po_date") >= REPLACE_BATCH[0]) & (F.col("po_date") < REPLACE_BATCH[1]))
-    replace_from(batch, path, "po_date", start=REPLACE_BATCH[0], scope=["country"])
+    path = scratch_path(spark, "purchases")
+    replace_from(allr, path, "po_date", scope=["country"])
+    since = F.date_sub(F.to_date(F.lit(INGEST_AS_OF)), INGEST_LOOKBACK)
+    start = spark.range(1).select(since.alias("d")).first()["d"]
+    batch = allr.where(F.col("po_date") >= since).withColumn("amount", F.col("amount") * 2)
+    replace_from(batch, path, "po_date", start=start, scope=["country"])
     return spark.read.parquet(path).select("po_number", "vendor", "po_date", "amount", "note", "tax",
                                            "so_details2", "country")
 
 
+@register("replace_region_from_date", f"""
+WITH src AS (
+  SELECT o_orderkey AS document_no, CAST(o_orderdate AS DATE) AS posting_date, o_totalprice AS local_net_sales,
+    n_name AS warehouse_code, CASE WHEN c_nationkey < 12 THEN 'SG' ELSE 'MY' END AS country
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+loaded AS (
+  SELECT * FROM src WHERE posting_date <= CASE country WHEN 'SG' THEN DATE '{SALES_LOADED_TO["SG"]}' ELSE DATE '{SALES_LOADED_TO["MY"]}' END),
+latest AS (SELECT country, max(posting_date) AS day FROM loaded GROUP BY 1)
+SELECT document_no, posting_date, CASE WHEN posting_date >= day THEN local_net_sales * 2 ELSE local_net_sales END AS local_net_sales,
+  warehouse_code, country
+FROM src JOIN latest USING (country)
+""", "SK4,SC8,MA8")
+def replace_region_from_date(spark, sf):
+    """Sales invoices of both regions, loaded up to different days: each region
+    goes on from its own last loaded day, which is ingested once more."""
+    t = Tables(spark, sf)
+    src = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+           .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("o_orderkey").alias("document_no"), F.to_date("o_orderdate").alias("posting_date"),
+        F.col("o_totalprice").alias("local_net_sales"), F.col("n_name").alias("warehouse_code"),
+        F.when(F.col("c_nationkey") < 12, "SG").otherwise("MY").alias("country")))
+    path = scratch_path(spark, "sales")
+    to = F.when(F.col("country") == "SG", F.lit(SALES_LOADED_TO["SG"])).otherwise(F.lit(SALES_LOADED_TO["MY"]))
+    replace_from(src.where(F.col("posting_date") <= to.cast("date")), path, "posting_date", scope=["country"])
+    cursor = max_dates(spark.read.parquet(path), "country", "posting_date")
+    batch = None
+    for country, day in sorted(cursor.items()):  # one request a region, as each has its own day
+        own = src.where((F.col("country") == country) & (F.col("posting_date") >= F.lit(day)))
+        batch = own if batch is None else batch.unionByName(own)
+    if batch is not None:
+        replace_from(batch.withColumn("local_net_sales", F.col("local_net_sales") * 2), path, "posting_date", start=cursor, scope=["country"])
+    return spark.read.parquet(path).select("document_no", "posting_date", "local_net_sales", "warehouse_code", "country")
+
+
 @register("append_with_quarantine", """
-SELECT event_id, user_id, event_type, value FROM events
-WHERE value > 0 AND event_type <> 'error' AND json_extract_string(props, '$.k') IS NOT NULL
+SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS day,
+  concat_ws(',', CASE WHEN NOT coalesce(value > 0, false) THEN 'positive_value' END,
+            CASE WHEN NOT coalesce(event_type <> 'error', false) THEN 'not_error' END,
+            CASE WHEN json_extract_string(props, '$.k') IS NULL THEN 'has_k' END) AS failed_rules
+FROM events
 """, "SK6,SK5,SK7")
 def append_with_quarantine(spark, sf):
-    ev = Tables(spark, sf).events.select("event_id", "user_id", "event_type", "value", "props")
+    """Both sides of a day-partitioned append in files of at most 6,000 rows."""
+    ev = Tables(spark, sf).events.select("event_id", "user_id", "event_type", "value", "props", F.to_date("ts").alias("day"))
     rules = {"positive_value": F.col("value") > 0, "not_error": F.col("event_type") != "error",
              "has_k": F.get_json_object("props", "$.k").isNotNull()}
-    good, bad = _scratch(spark, "good"), _scratch(spark, "bad")
-    awq(ev, good, bad, rules)
-    return spark.read.parquet(good).select("event_id", "user_id", "event_type", "value")
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    awq(ev, good, bad, rules, partition_by=["day"], max_records_per_file=6000)
+    cols = ["event_id", "user_id", "event_type", "value", "day"]
+    sides = [spark.read.schema(ev.schema).parquet(good).select(*cols, F.lit("").alias("failed_rules"))]
+    bad_schema = T.StructType([*ev.schema.fields, T.StructField("failed_rules", T.ArrayType(T.StringType()))])
+    sides.append(spark.read.schema(bad_schema).parquet(bad).select(*cols, F.array_join("failed_rules", ",").alias("failed_rules")))
+    return sides[0].unionByName(sides[1])

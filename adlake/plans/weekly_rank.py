@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from adlake.functions.core import sunday_week
 from adlake.operators.relational import latest_per_key
+from adlake.sources.sinks import write_full, write_partitions
+from adlake.sources.tables import table_exists
 
 
 def week_bounds(date_dimension: DataFrame) -> DataFrame:
@@ -38,3 +40,17 @@ def weekly_rank(rank_raw: DataFrame, niche_master: DataFrame, date_dimension: Da
     return j.select(F.concat(F.col("wc_date").cast("string"), F.col("asin").cast("string"), F.col("phrase")).alias("unique_key"),
                     "year", "week", "wc_date", "we_date", "asin", "phrase",
                     F.col("rank").try_cast("bigint").alias("h10_rank"))
+
+
+def refresh_weekly_rank(rank_raw: DataFrame, niche_master: DataFrame, date_dimension: DataFrame, market: str,
+                        path: str, as_of: str) -> str:
+    """SK2: the incremental model run.  The first run writes the whole table;
+    later ones compute every week that has a reading since ``as_of`` anew, from
+    all of that week's readings, and overwrite exactly those (year, week)
+    partitions.  Returns "full" or "incremental"."""
+    spark = rank_raw.sparkSession
+    if not table_exists(spark, path):
+        write_full(weekly_rank(rank_raw, niche_master, date_dimension, market), path, ["year", "week"])
+        return "full"
+    write_partitions(weekly_rank(rank_raw, niche_master, date_dimension, market, True, as_of), path, ["year", "week"])
+    return "incremental"

@@ -6,23 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from adlake.sources.sinks import split_quarantine
 
-def read_csv_renamed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+
+def read_csv_renamed(spark: SparkSession, path: str, schema: StructType,
+                     titles: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """SC2: CSV whose first line is junk and second line the original header;
-    columns take ``schema``'s names.  Spark has no skip-lines option: the junk
-    line is consumed as the header, and the original header line is dropped
-    as the row whose typed columns do not parse (it holds column titles)."""
+    columns take ``schema``'s names.  Returns (rows, rejected).
+
+    Spark has no skip-lines option: the junk line is consumed as the header,
+    and the row equal to the header line in every column is dropped.  The
+    header is ``titles``, or else the first row read.  A row with a value that
+    its column's type does not parse is not lost: it is in ``rejected``, as
+    text, with the names of those columns."""
     text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
     raw = spark.read.option("header", True).schema(text).csv(path)
-    typed = [f for f in schema.fields if not isinstance(f.dataType, StringType)]
-    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in typed}
-    if typed:
-        keep = None
-        for f in typed:
-            ok = cast[f.name].isNotNull() | F.col(f.name).isNull()
-            keep = ok if keep is None else keep | ok
-        raw = raw.where(keep)
-    return raw.select(*[cast.get(f.name, F.col(f.name)).alias(f.name) for f in schema.fields])
+    if titles is None:
+        first = raw.first()
+        titles = list(first) if first else []
+    is_title = F.lit(bool(titles))
+    for f, title in zip(text.fields, titles):
+        is_title = is_title & F.col(f.name).eqNullSafe(F.lit(title))
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    rules = {name: c.isNotNull() | F.col(name).isNull() for name, c in cast.items()}
+    good, rejected = split_quarantine(raw.where(~is_title), rules)
+    return good.select(*[c.alias(name) for name, c in cast.items()]), rejected
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

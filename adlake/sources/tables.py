@@ -6,8 +6,6 @@ prune columns and push filters into the scan; nothing here triggers a job.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = (
@@ -17,15 +15,22 @@ DRIVER_TABLES = (
 )
 
 
-def table_path(base: str, name: str) -> str:
-    single = os.path.join(base, f"{name}.parquet")
-    return single if os.path.exists(single) or "://" in base else os.path.join(base, name)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """In whichever store the path is."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath))
+
+
+def table_path(spark: SparkSession, base: str, name: str) -> str:
+    """``name.parquet`` (a file or folder) or else the folder ``name``."""
+    single = f"{base.rstrip('/')}/{name}.parquet"
+    return single if path_exists(spark, single) else f"{base.rstrip('/')}/{name}"
 
 
 def load(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Resolve a logical table name under ``base`` (a folder of parquet
     tables) to a lazy DataFrame."""
-    return spark.read.parquet(table_path(base, name))
+    return spark.read.parquet(table_path(spark, base, name))
 
 
 class Tables:
@@ -48,7 +53,4 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     """SC10: catalog table, or a folder that holds a readable table."""
     if "/" not in name_or_path and "\\" not in name_or_path:
         return spark.catalog.tableExists(name_or_path)
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(name_or_path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    return path_exists(spark, name_or_path)
