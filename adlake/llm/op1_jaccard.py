@@ -43,7 +43,7 @@ SHINGLE = 5
 PERCENT = 75
 BUCKET_SHINGLES = 1 << 20  # shingles a bucket gets, about
 BLOCK_SHINGLES = 1 << 21  # shingles in a block
-LEAF_SETS = 512
+LEAF_SETS = 256
 LEAF_SHINGLES = 1 << 20
 BAND = 1.4  # above 100 / PERCENT, so that links are between neighbouring bands
 FAN_OUT = 8
