@@ -99,8 +99,27 @@ def text_pieces(col: pa.Array, match: int, window: int) -> Iterator[tuple[np.nda
             yield data[at : at + PIECE + match - 1], np.array([first]), np.zeros(1, np.int64), np.array([at])
 
 
+def _local(row: np.ndarray, lo: np.ndarray, hi: np.ndarray, seed: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of one text with equal seed and span are repeats of each other:
+    (which to index, how many each stands for, the spans [first, last] of
+    suffixes that such repeats own).  A text that repeats itself every few
+    bytes has an anchor every few bytes; this leaves one of each kind."""
+    key = mix(seed * _A + span * _B + row.astype(np.uint64) * _C)
+    _, index, inverse, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    repeated = n[inverse] > 1
+    order = np.sort(index)
+    ends = np.flatnonzero(repeated)
+    if len(ends):
+        joined = (np.diff(ends) == 1) & (row[ends[1:]] == row[ends[:-1]]) & (lo[ends[1:]] == hi[ends[:-1]] + 1)
+        first = ends[np.concatenate([[True], ~joined])]
+        last = ends[np.concatenate([~joined, [True]])]
+    else:
+        first = last = ends
+    return order, np.minimum(n[inverse[order]], 2), np.stack([first, last], axis=1)
+
+
 def _suffixes(match: int, window: int):
-    names = ["k1", "k2", "at", "lo", "hi", "seed", "span"]
+    names = ["k1", "k2", "at", "lo", "hi", "seed", "span", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,17 +140,26 @@ def _suffixes(match: int, window: int):
                 span = mix(hashed.of(lo, hi + match) + (at - lo).astype(np.uint64) * _B + (hi - lo).astype(np.uint64) * _C)
                 own = np.searchsorted(begins, lo, side="right") - 1
                 move = shift[own] - begins[own]
+                index, n, runs = _local(own, lo, hi, seed, span)
                 columns = [k1[rows[own]], k2[rows[own]], *[(x + move).astype(np.int32) for x in (at, lo, hi)], seed.view(np.int64), span.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+                begin, end = runs.T
+                whole = [c[begin] for c in columns]  # repeats inside the text: n is 0
+                whole[4] = columns[4][end]
+                arrays = [np.concatenate([c[index], w]) for c, w in zip(columns, whole)]
+                arrays.append(np.concatenate([n, np.zeros(len(begin), n.dtype)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], names=names)
 
     return run
 
 
-_SUFFIX_SQL = "k1 long, k2 long, at int, lo int, hi int, seed long, span long"
+_SUFFIX_SQL = "k1 long, k2 long, at int, lo int, hi int, seed long, span long, n int"
 
 
 def suffixes(docs: DataFrame, match: int = MATCH, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
-    """The anchored suffixes of every row of `docs`, with a batch number."""
+    """The anchored suffixes of every row of `docs`, with a batch number and
+    how many equal ones of that text a row stands for (2: two or more).  Rows
+    with n = 0 are no suffixes but places where strings repeated inside the
+    text start."""
     rows = docs.select(document_key().alias("d"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = rows.select("d.k1", "d.k2", "text").mapInArrow(_suffixes(match, window), _SUFFIX_SQL)
     return found.withColumn("batch", F.pmod(F.xxhash64("k1", "k2"), F.lit(batches)).cast("int"))
@@ -152,7 +180,7 @@ class Levels:
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (rank, a), (_, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((rank + 1, self._run(a.unionByName(b).groupBy("seed").agg(F.sum("n").alias("n")))))
-        run = self._run(suffixes.groupBy("seed").agg(F.count("*").alias("n")))
+        run = self._run(suffixes.groupBy("seed").agg(F.sum("n").alias("n")))
         shared = [run.where("n > 1").select("seed")]
         shared += [run.hint("merge").join(level, "seed").select("seed") for _, level in self.levels]
         self.levels.append((0, run))
@@ -175,11 +203,11 @@ def shared_seeds(found: DataFrame, batches: int = BATCHES) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, need: str, whole: str, ref: list[str], name: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose `whole` occurs twice, representatives in doubt).
+    """(rows whose `whole` occurs twice, by their `n`, representatives in doubt).
 
     A representative stands for each (need, whole); it is in doubt where
     another `whole` has the same `need`."""
-    classes = written(rows.groupBy(need, whole).agg(F.min(F.struct(*ref)).alias("ref"), F.count("*").alias("n")), f"{name}-classes")
+    classes = written(rows.groupBy(need, whole).agg(F.min(F.struct(*ref)).alias("ref"), F.sum("n").alias("n")), f"{name}-classes")
     twice = written(classes.where("n > 1").select(need, whole), f"{name}-twice")
     several = written(classes.groupBy(need).agg(F.count("*").alias("kinds")).where("kinds > 1").select(need), f"{name}-several")
     return rows.join(twice, [need, whole]), classes.join(several, need).select(need, "ref.*")
@@ -264,16 +292,17 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, ba
     """(texts, spans): the texts with matching seeds (k1, k2, text), once each,
     and the places (k1, k2, lo, hi), hi included, where repeated strings start."""
     found = written(suffixes(docs, match, window, batches), "suffixes", "batch")
-    hits = written(found.drop("batch").join(shared_seeds(found, batches), "seed"), "suffix-hits")
-    some = written(hits.select("k1", "k2").distinct(), "suffix-documents")
+    suffix, inside = found.where("n > 0"), found.where("n = 0")
+    hits = written(suffix.drop("batch").join(shared_seeds(suffix, batches), "seed"), "suffix-hits")
+    some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents")
     rows = docs.select(document_key().alias("d"), "text").select("d.k1", "d.k2", F.col("text").cast("string").alias("text"))
     texts = written(rows.join(some, ["k1", "k2"]).dropDuplicates(["k1", "k2"]), "suffix-texts")
 
     whole, doubt = _repeated(hits, "seed", "span", ["k1", "k2", "at", "lo", "hi"], "suffix")
-    spans = [whole.select("k1", "k2", "lo", "hi")]
+    spans = [inside.select("k1", "k2", "lo", "hi"), whole.select("k1", "k2", "lo", "hi")]
     ranges = _with_texts(texts, doubt, ["at", "lo", "hi", "seed"]).mapInArrow(
         _ranges(match), "k1 long, k2 long, at int, near int, far int, seed long, need long, whole long")
-    ranges = written(ranges, "suffix-ranges")
+    ranges = written(ranges.withColumn("n", F.lit(1)), "suffix-ranges")
     whole, doubt = _repeated(ranges, "need", "whole", ["k1", "k2", "at", "near", "far", "seed"], "range")
     spans.append(whole.select("k1", "k2", (F.col("at") - F.col("far")).alias("lo"), (F.col("at") - F.col("near")).alias("hi")))
     strings = _with_texts(texts, doubt, ["at", "near", "far", "seed"]).mapInArrow(_strings(match), "k1 long, k2 long, start int, whole long")

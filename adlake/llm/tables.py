@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 from adlake.session import checkpoint_dir
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of 8 MB where the session has Spark's
+    default of 64 MB: a batch is held several times over, by every task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, "67108864b").rstrip("b") or 0) == 64 << 20:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -67,7 +67,7 @@ def test_levels_merge_geometrically(spark):
     for b in range(11):
         seeds = [random.Random(b).randrange(60) for _ in range(12)]
         seen.update(seeds)
-        for df in index.add(spark.createDataFrame([(s,) for s in seeds], "seed long")):
+        for df in index.add(spark.createDataFrame([(s, 1) for s in seeds], "seed long, n int")):
             shared += [r.seed for r in df.collect()]
         ranks = [rank for rank, _ in index.levels]
         assert ranks == sorted(ranks, reverse=True) and len(ranks) <= 5
