@@ -1,4 +1,4 @@
-"""Even and sales-weighted allocation (AG16, MA2 divisors).
+"""Even allocation (AG16).
 
 Row counts per key are a partial aggregate; the per-key measure is divided
 once per key and joined back to the detail rows (AQE splits a hot key on the
@@ -17,14 +17,9 @@ from pyspark.sql import functions as F
 def even_allocation(rows: DataFrame, measures: DataFrame, keys: Sequence[str],
                     outputs: dict[str, str]) -> DataFrame:
     """Spread each per-key measure evenly over the detail rows of that key:
-    ``allocated = measure / rows_with_key``.  Keys with no measure get NULL."""
+    ``allocated = measure / rows_with_key``.  Keys with no measure, and rows
+    with a NULL key, get NULL; every detail row stays."""
     n = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     per_row = n.join(measures, list(keys), "left").select(
         *keys, *[(F.col(m) / F.col("_n")).alias(o) for m, o in outputs.items()])
-    return rows.join(per_row, list(keys), "inner")
-
-
-def weighted_shares(df: DataFrame, keys: Sequence[str], weight: str, out: str = "share") -> DataFrame:
-    """``weight / Σ weight`` per key (NULL when the total is 0)."""
-    tot = df.groupBy(*keys).agg(F.sum(weight).alias("_tot"))
-    return df.join(tot, list(keys), "left").withColumn(out, F.try_divide(F.col(weight), F.col("_tot"))).drop("_tot")
+    return rows.join(per_row, list(keys), "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 def positions(df: DataFrame, group: Sequence[str], order_key: str, bucket_width: int = 1 << 16) -> DataFrame:
     """Exact 0-based row position of each row inside ``group`` ordered by a
     numeric ``order_key`` (ties broken arbitrarily but consistently by the
-    window sort), without sorting a whole group in one task.
+    window sort), without sorting a whole group in one task.  A NULL group is
+    a group like any other; rows with a NULL ``order_key`` come first.
 
     Rows are split into key-range buckets; a small per-(group, bucket) count
     table gives each bucket's offset (a running sum over buckets), and the
@@ -24,9 +26,11 @@ def positions(df: DataFrame, group: Sequence[str], order_key: str, bucket_width:
     offsets = counts.select(*group, "_b", F.coalesce(F.sum("_cnt").over(wg), F.lit(0)).alias("_off"))
     wb = Window.partitionBy(*group, "_b").orderBy(order_key)
     inner = x.withColumn("_rn", F.row_number().over(wb) - 1)
-    return (inner.join(offsets, [*group, "_b"], "inner")
-            .withColumn("pos", (F.col("_off") + F.col("_rn")).cast("bigint"))
-            .drop("_b", "_rn", "_off"))
+    keys = [*group, "_b"]
+    right = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in keys], "_off")
+    same = reduce(lambda a, c: a & c, [inner[c].eqNullSafe(right[f"_o_{c}"]) for c in keys])
+    return (inner.join(right, same).withColumn("pos", (F.col("_off") + F.col("_rn")).cast("bigint"))
+            .drop("_b", "_rn", "_off", *[f"_o_{c}" for c in keys]))
 
 
 def chunk_groups(df: DataFrame, group: Sequence[str], order_key: str, size: int,

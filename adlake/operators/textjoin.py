@@ -2,30 +2,30 @@
 
 ``LEFT JOIN keys ON text LIKE '%' || key || '%'`` is a theta join; Spark can
 only run it as a broadcast nested loop, which compares every text with every
-key.  Here each text is expanded into its substrings of exactly the lengths
-that occur among the keys, and those substrings are equi-joined to the keys:
+key.  Here every place of a text is a row that holds the next few characters,
+and these rows are equi-joined to the keys on a short prefix:
 
-* work per text = (text length) x (number of distinct key lengths), linear in
-  the data, with the whole text processed (no prefixes);
-* the key side is distinct, so the join never fans out beyond real matches;
-* a hot substring is an ordinary skewed equi-join key, which AQE splits.
+* texts are first cut into overlapping pieces, so a place is found in constant
+  time however long the text is, and no row holds more than a piece;
+* a place is a candidate only if its first ``PREFIX`` characters (fewer for
+  shorter keys) begin some key; the rest of the key is compared after the join;
+* keys are distinct, and pairs are made distinct after the join, so the result
+  never grows beyond real matches; a hot prefix is an ordinary skewed join key,
+  which AQE splits.
 
-The set of distinct key lengths is a tiny aggregate (bounded by the longest
-key), read once when the plan is built.
+The distinct key lengths are a small aggregate, read once when the plan is
+built; the texts themselves are not touched before the action.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _substrings(text: Column, length: int) -> Column:
-    n = F.length(text) - length + 1
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, length))) \
-            .otherwise(F.array().cast("array<string>"))
+PREFIX = 4
+PIECE = 1024
 
 
 def key_lengths(keys: DataFrame, key_col: str) -> list[int]:
@@ -33,36 +33,40 @@ def key_lengths(keys: DataFrame, key_col: str) -> list[int]:
     return sorted(int(r["n"]) for r in rows)
 
 
+def _places(texts: DataFrame, ids: Sequence[str], longest: int) -> DataFrame:
+    """(ids..., _next): for each place of ``_text`` the next ``longest``
+    characters, fewer at the end."""
+    size = max(PIECE, longest)
+    pieces = texts.select(*ids, F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("_pieces"))
+    overlapping = F.transform("_pieces", lambda x, i: F.struct(
+        x.alias("own"), F.concat(x, F.coalesce(F.left(F.get("_pieces", i + 1), F.lit(longest - 1)), F.lit(""))).alias("all")))
+    pieces = pieces.select(*ids, F.explode(overlapping).alias("_p"))
+    starts = F.transform(F.sequence(F.lit(1), F.length("_p.own")), lambda i: F.substring(F.col("_p.all"), i, F.lit(longest)))
+    return pieces.select(*ids, F.explode(starts).alias("_next"))
+
+
 def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: DataFrame,
                      key_col: str, ignore_case: bool = False) -> DataFrame:
     """Pairs (ids..., key) where ``text`` contains ``key`` (literal match;
-    each pair once)."""
-    k = keys.select(F.col(key_col).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    each pair once).  A NULL key matches nothing, the empty key every text
+    that is not NULL."""
+    k = keys.select(F.col(key_col).alias("_key")).where(F.col("_key").isNotNull())
     if ignore_case:
-        k = k.select(F.lower("_key").alias("_key")).distinct()
+        k = k.select(F.lower("_key").alias("_key"))
+    k = k.distinct()
+    text = F.lower(F.col(text_col)) if ignore_case else F.col(text_col)
+    texts = left.select(*ids, text.alias("_text")).where(F.col("_text").isNotNull())
     lengths = key_lengths(k, "_key")
-    text = F.col(text_col)
-    if ignore_case:
-        text = F.lower(text)
-    pos = [n for n in lengths if n > 0]
-    out = None
-    if pos:
-        src = left.select(*ids, text.alias("_text"))
-        # substring expansion is CPU-heavy per row: when the scan yields fewer
-        # tasks than the shuffle parallelism (few large files), spread the rows
-        # first; on a large input the scan already has enough splits.
-        target = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        if src.rdd.getNumPartitions() < target:
-            src = src.repartition(target, *ids)
-        subs = F.array_distinct(F.flatten(F.array(*[_substrings(F.col("_text"), n) for n in pos])))
-        exploded = src.select(*ids, F.explode(subs).alias("_key"))
-        out = exploded.join(k.where(F.length("_key") > 0), "_key", "inner").select(*ids, "_key")
-    if 0 in lengths:
-        # the empty key matches every non-NULL text: at most one such key
-        empty = left.where(text.isNotNull()).select(*ids, F.lit("").alias("_key"))
-        out = empty if out is None else out.unionByName(empty)
+    out = texts.select(*ids, F.lit("").alias("_key")) if 0 in lengths else None
+    if lengths and lengths[-1] > 0:
+        widths = sorted({min(n, PREFIX) for n in lengths if n > 0})
+        heads = F.array_distinct(F.array(*[F.left("_next", F.lit(w)) for w in widths])) if len(widths) > 1 else F.array(F.left("_next", F.lit(widths[0])))
+        places = _places(texts, ids, lengths[-1]).select(*ids, "_next", F.explode(heads).alias("_head"))
+        wanted = k.where(F.length("_key") > 0).select("_key", F.left("_key", F.lit(PREFIX)).alias("_head"))
+        found = places.join(wanted, "_head").where(F.startswith("_next", "_key")).select(*ids, "_key").distinct()
+        out = found if out is None else out.unionByName(found)
     if out is None:
-        return left.select(*ids, F.lit(None).cast("string").alias("_key")).where(F.lit(False))
+        out = texts.select(*ids, F.lit(None).cast("string").alias("_key")).where(F.lit(False))
     return out.withColumnRenamed("_key", key_col)
 
 

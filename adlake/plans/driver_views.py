@@ -203,7 +203,7 @@ def ad_groups(orders: DataFrame, lineitem: DataFrame) -> list[DataFrame]:
     oa = order_asins(lineitem)
     j = orders.join(oa, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     name = F.concat(F.lit("cmp "), F.col("o_orderpriority"), F.lit(" "),
-                    F.coalesce(F.array_join(F.slice("asins", 1, 2), "+"), F.lit("none")))
+                    F.coalesce(F.array_join("asins", "+"), F.lit("none")))
     base = j.select(F.col("o_custkey").alias("campaign_id"), name.alias("campaign_name"),
                     F.to_date("o_orderdate").alias("report_date"), "o_orderpriority")
     return [base.where(F.col("o_orderpriority").isin(*ps)).drop("o_orderpriority") for ps in AD_GROUP_PRIORITIES]
@@ -241,7 +241,7 @@ api_rows AS (
   FROM orders o JOIN order_asins oa ON o.o_orderkey = oa.l_orderkey WHERE o.o_orderstatus = 'F'),
 ad_groups AS (
   SELECT o.o_custkey AS campaign_id,
-         'cmp ' || o.o_orderpriority || ' ' || COALESCE(array_to_string(oa.asins[1:2], '+'), 'none') AS campaign_name,
+         'cmp ' || o.o_orderpriority || ' ' || COALESCE(array_to_string(oa.asins, '+'), 'none') AS campaign_name,
          CAST(o.o_orderdate AS DATE) AS report_date
   FROM orders o LEFT JOIN order_asins oa ON o.o_orderkey = oa.l_orderkey),
 product_master AS (

@@ -95,7 +95,7 @@ SELECT user_id,
   CAST(SUM(CASE WHEN CAST(ts AS DATE) = DATE '{EVENTS_AS_OF}' THEN CAST(value AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS today,
   CAST(SUM(CASE WHEN CAST(ts AS DATE) < DATE '{EVENTS_AS_OF}'
                  AND dayofweek(ts) = dayofweek(DATE '{EVENTS_AS_OF}') THEN CAST(value AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS same_weekday,
-  CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS budget,
+  CAST(coalesce(SUM(CAST(value AS DECIMAL(18,2))) FILTER (WHERE CAST(ts AS DATE) = DATE '{EVENTS_AS_OF}'), 0) AS DOUBLE) AS budget,
   max(event_type) AS name
 FROM events WHERE CAST(ts AS DATE) >= DATE '{EVENTS_AS_OF}' - INTERVAL 28 DAY
 GROUP BY 1
@@ -110,7 +110,7 @@ def conditional_sums(spark, sf):
         F.sum(F.when(d == asof, v).otherwise(zero)).cast("double").alias("today"),
         F.sum(F.when((d < asof) & (F.dayofweek(d) == F.dayofweek(asof)), v).otherwise(zero))
          .cast("double").alias("same_weekday"),
-        money_sum("value").alias("budget"),
+        F.sum(F.when(d == asof, v).otherwise(zero)).cast("double").alias("budget"),  # the current day's only
         F.max("event_type").alias("name")))
 
 
@@ -174,17 +174,17 @@ def adjacency(spark, sf):
 WITH daily AS (
   SELECT CAST(o_orderdate AS DATE) AS d, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS traffic
   FROM orders GROUP BY 1),
-rows_per_day AS (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DATE) AS d, daily.traffic / r.n AS allocated
-FROM lineitem l JOIN rows_per_day r ON CAST(l.l_shipdate AS DATE) = r.d
-LEFT JOIN daily ON CAST(l.l_shipdate AS DATE) = daily.d
+detail AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 7 THEN CAST(l_shipdate AS DATE) END AS d FROM lineitem)
+SELECT l_orderkey, l_linenumber, detail.d, daily.traffic / count(*) OVER (PARTITION BY detail.d) AS allocated
+FROM detail LEFT JOIN daily ON detail.d = daily.d
 """, "AG16")
 def even_allocation(spark, sf):
     from adlake.operators.allocation import even_allocation as ea
     t = _t(spark, sf)
     daily = (t.orders.groupBy(F.to_date("o_orderdate").alias("d"))
              .agg(money_sum("o_totalprice").alias("traffic")))
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("d"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") < 7, F.to_date("l_shipdate")).alias("d"))
     return ea(rows, daily, ["d"], {"traffic": "allocated"})
 
 

@@ -25,13 +25,9 @@ FROM {_LEFT_BUILDING_SQL} j
 """, "SF1,S9")
 def fn_coalesce(spark, sf):
     from adlake.operators.schema import fill_numeric_and_text
-    j = _left_building(spark, sf)
-    filled = fill_numeric_and_text(j.select("o_orderkey", F.col("c_mktsegment").alias("segment_filled"),
-                                            F.col("c_acctbal").alias("balance_filled")))
-    base = j.select("o_orderkey", F.coalesce("c_name", F.lit("unknown")).alias("name"),
-                    F.coalesce("c_acctbal", F.lit(0.0)).alias("balance"))
-    # both sides come from the same scan; a positional zip needs a key: orderkey is unique
-    return base.join(filled, "o_orderkey")
+    return fill_numeric_and_text(_left_building(spark, sf).select(
+        "o_orderkey", F.coalesce("c_name", F.lit("unknown")).alias("name"), F.coalesce("c_acctbal", F.lit(0.0)).alias("balance"),
+        F.col("c_mktsegment").alias("segment_filled"), F.col("c_acctbal").alias("balance_filled")))
 
 
 @register("fn_safe_divide", """
@@ -53,7 +49,7 @@ _PROP_TEXT_SQL = """CASE WHEN event_id % 7 = 0 THEN replace(substr(props, 7), '}
 def _prop_text(ev):
     """A text number derived from props ('{"k": 69}' -> ' 69 '), with a
     fractional and a non-numeric variant mixed in."""
-    raw = F.substring("props", 7, 1000)
+    raw = F.expr("substring(props, 7)")
     return (F.when(F.col("event_id") % 7 == 0, F.concat(F.regexp_replace(raw, "}", ""), F.lit(".5")))
             .when(F.col("event_id") % 11 == 0, F.lit("n/a"))
             .otherwise(F.concat(F.lit(" "), F.regexp_replace(raw, "}", " "))))
