@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.operators.reshape import global_rank
+
 
 def category_codes(df: DataFrame, col: str, out: str) -> DataFrame:
     """pandas ``astype('category').cat.codes``: 0-based code in sorted order
-    of the distinct non-NULL values; NULL -> -1.  The ranking window runs over
-    the distinct values only (the category domain), then joins back."""
-    cats = df.where(F.col(col).isNotNull()).select(col).distinct()
-    codes = cats.select(F.col(col).alias("_v"),
-                        (F.row_number().over(Window.orderBy(col)) - 1).alias("_code"))
+    of the distinct non-NULL values; NULL -> -1.  The distinct values are
+    ranked by ranges, then joined back."""
+    cats = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_v")).distinct()
+    codes = global_rank(cats, "_v", "_code").withColumn("_code", F.col("_code").cast("int"))
     j = df.join(codes, df[col] == codes["_v"], "left")
     return j.withColumn(out, F.coalesce(F.col("_code"), F.lit(-1))).drop("_v", "_code")
 

@@ -15,8 +15,8 @@ def name_filter(df: DataFrame, name_col: str, not_contains: Sequence[str] = (),
     """Every ``not_contains`` term absent AND (any ``contains`` term present),
     case-insensitive; optional status set; distinct ids.
 
-    Emptiness of the result is an action the caller runs (``isEmpty``), kept
-    out of the plan."""
+    That nothing matches is an error for the alert job, which checks it as an
+    action (``operations.require_campaigns``), outside the plan."""
     name = F.lower(F.col(name_col))
     conds: list[Column] = [~F.contains(name, F.lit(t.lower())) for t in not_contains]
     if contains:

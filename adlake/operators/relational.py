@@ -59,11 +59,6 @@ def first_by_priority(df: DataFrame, keys: Sequence[str], priority: Sequence[str
     return pick_per_key(df, keys, priority, latest=False, payload=payload)
 
 
-def row_number_col(partition: Sequence[str], order: Sequence[Column | str]) -> Column:
-    from pyspark.sql import Window
-    return F.row_number().over(Window.partitionBy(*partition).orderBy(*_cols(order)))
-
-
 # ------------------------------------------------------------- unions
 
 def union_tagged(arms: Sequence[tuple[DataFrame, dict]]) -> DataFrame:
@@ -152,8 +147,8 @@ def unpivot_wide(df: DataFrame, ids: Sequence[str], values: Sequence[str],
 def nth_rows_to_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                         value: str, n: int = 3, prefix: str = "slot") -> DataFrame:
     """RS4/JO7: the first ``n`` values per key (by ``order``) as columns
-    ``slot1..n``.  One grouped pass: ``min_by``-style picks over a bounded
-    top-n, no self-joins."""
+    ``slot1..n``.  A row number inside the key (Spark stops it at ``n`` rows of
+    a key before the shuffle), then one grouped pass; no self-joins."""
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)

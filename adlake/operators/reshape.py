@@ -8,6 +8,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlake.session import materialise
+
 
 def positions(df: DataFrame, group: Sequence[str], order_key: str, bucket_width: int = 1 << 16) -> DataFrame:
     """Exact 0-based row position of each row inside ``group`` ordered by a
@@ -33,6 +35,19 @@ def positions(df: DataFrame, group: Sequence[str], order_key: str, bucket_width:
             .drop("_b", "_rn", "_off", *[f"_o_{c}" for c in keys]))
 
 
+def global_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
+    """0-based position of each row in the order of ``col`` (NULL last; ties in
+    any order).  Rows are range-partitioned and numbered inside their range; a
+    range is shifted by the counts of the ranges before it, one row each."""
+    ranges = materialise(df.repartitionByRange(F.col(col).isNull(), F.col(col)).withColumn("_gr_part", F.spark_partition_id()), "rank")
+    own = Window.partitionBy("_gr_part").orderBy(F.col(col).asc_nulls_last())
+    before = Window.orderBy("_gr_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (ranges.groupBy("_gr_part").agg(F.count("*").alias("_gr_n"))
+             .select("_gr_part", F.coalesce(F.sum("_gr_n").over(before), F.lit(0)).alias("_gr_shift")))
+    return (ranges.withColumn("_gr_no", F.row_number().over(own) - 1).join(shift, "_gr_part")
+            .withColumn(out, (F.col("_gr_no") + F.col("_gr_shift")).cast("bigint")).drop("_gr_part", "_gr_no", "_gr_shift"))
+
+
 def chunk_groups(df: DataFrame, group: Sequence[str], order_key: str, size: int,
                  out: str = "batch_id") -> DataFrame:
     """RS6: consecutive chunks of ``size`` rows per group (keywords scored in

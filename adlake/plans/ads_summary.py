@@ -2,9 +2,9 @@
 daily traffic, renamed campaigns and monthly product traffic per row.
 
 Inputs (see FIXTURES.md): ``search_terms``, ``sales_traffic``,
-``campaign_map``, ``asin_traffic``.  Six left joins in the source order; the
-small per-key tables (daily traffic, mappings) are broadcast by AQE from
-runtime sizes, the monthly aggregates are partial aggregates.
+``campaign_map``, ``asin_traffic``.  The small per-key tables (daily traffic,
+mappings) are broadcast by AQE from runtime sizes, the monthly aggregates are
+partial aggregates.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ ASIN_T = (("sessions_total", "sessions", "monthly_sessions"), ("page_views_total
           ("total_order_items", "total_order_items", "monthly_total_units_ordered"))
 
 
-def _exact_sum(c: str, scale: int = 4):
-    return F.sum(F.col(c).cast(f"decimal(22,{scale})")).cast("double")
+def _exact_decimal(c: str):
+    return F.sum(F.col(c).cast("decimal(22,4)")).cast("decimal(28,4)").alias(c)
 
 
 def round2(c):
@@ -32,38 +32,41 @@ def round2(c):
 
 def ads_summary(search_terms: DataFrame, sales_traffic: DataFrame, campaign_map: DataFrame,
                 asin_traffic: DataFrame) -> DataFrame:
-    st = search_terms.withColumn("month", F.month("Date")).withColumn("year", F.year("Date"))
-    measures = lambda p: [_exact_sum("spend").alias(f"{p}_monthly_spend"),
-                          F.sum("Clicks").alias(f"{p}_monthly_clicks"),
-                          _exact_sum("_14_Day_Total_Sales").alias(f"{p}_monthly_sales")]
-    st_m = st.groupBy("Customer_Search_Term", "month", "year").agg(*measures("st"))
-    kw_m = st.groupBy("Targeting", "month", "year").agg(*measures("kw"))
-    inst = search_terms.groupBy("Date").agg(F.count("*").alias("instances"))
-    adj = sales_traffic.join(inst, "Date", "left").select(
-        "Date", *[(F.col(t) / F.col("instances")).alias(a) for t, a in zip(TRAFFIC, ADJUSTED)])
-    cmap = campaign_map.select(F.col("campaign").alias("campaign_name"), "campaign_new").distinct()
-    amap = campaign_map.select(F.col("ad_group").alias("ad_group_name"), "ad_group_new", "product_type").distinct()
+    """The fact table is read three times: its rows, one aggregate by (term,
+    targeting, date) that all monthly totals and daily row counts come from,
+    and one by (campaign, ad group, month), whose counts, carried through the
+    mappings, are the rows of a product type."""
+    facts = search_terms.withColumn("month", F.month("Date")).withColumn("year", F.year("Date"))
+    sums = [_exact_decimal("spend"), F.sum("Clicks").alias("Clicks"), _exact_decimal("_14_Day_Total_Sales"), F.sum("rows").alias("rows")]
+    base = facts.withColumn("rows", F.lit(1)).groupBy("Customer_Search_Term", "Targeting", "Date", "month", "year").agg(*sums)
 
-    base_cols = [c for c in search_terms.columns if c not in ("campaign_name", "ad_group_name")]
-    j = (st.join(st_m, ["Customer_Search_Term", "month", "year"], "left")
-           .join(kw_m, ["Targeting", "month", "year"], "left")
-           .join(adj, "Date", "left")
-           .join(sales_traffic, "Date", "left")
-           .join(cmap, "campaign_name", "left")
-           .join(amap, "ad_group_name", "left"))
-    std = j.select(*base_cols, "month", "year",
-                   F.coalesce("campaign_new", "campaign_name").alias("campaign_name"),
-                   F.coalesce("ad_group_new", "ad_group_name").alias("ad_group_name"),
-                   "product_type",
-                   "st_monthly_spend", "st_monthly_clicks", "st_monthly_sales",
-                   "kw_monthly_spend", "kw_monthly_clicks", "kw_monthly_sales",
-                   *TRAFFIC, *ADJUSTED)
+    def monthly(key: str, stem: str) -> DataFrame:
+        g = base.where(F.col(key).isNotNull()).groupBy(key, "month", "year").agg(*sums)
+        return g.select(key, "month", "year", F.col("spend").cast("double").alias(f"{stem}_monthly_spend"), F.col("Clicks").alias(f"{stem}_monthly_clicks"),
+                        F.col("_14_Day_Total_Sales").cast("double").alias(f"{stem}_monthly_sales"))
 
-    divisor = std.groupBy("month", "year", "product_type").agg(F.count("*").alias("divisor"))
-    at = (asin_traffic.groupBy(F.year("Date").alias("year"), F.month("Date").alias("month"), "product_type")
-          .agg(*[(_exact_sum(src) if src == "ordered_product_sales" else F.sum(src)).alias(mid)
-                 for src, mid, _ in ASIN_T]))
-    traffic = at.join(divisor, ["year", "month", "product_type"], "left").select(
-        "year", "month", "product_type", *[round2(F.col(mid) / F.col("divisor")).alias(out) for _, mid, out in ASIN_T])
-    out = std.join(traffic, ["year", "month", "product_type"], "left")
-    return out.select(*[c for c in std.columns if c not in ("month", "year")], *[o for _, _, o in ASIN_T])
+    per_day = base.groupBy("Date").agg(F.sum("rows").alias("_rows"))
+    daily = sales_traffic.join(per_day, "Date", "left").select(
+        "Date", *TRAFFIC, *[(F.col(t) / F.col("_rows")).alias(a) for t, a in zip(TRAFFIC, ADJUSTED)])
+    campaigns = campaign_map.select(F.col("campaign").alias("campaign_name"), "campaign_new").distinct()
+    groups = campaign_map.select(F.col("ad_group").alias("ad_group_name"), "ad_group_new", "product_type").distinct()
+
+    def mapped(rows: DataFrame) -> DataFrame:  # a name with two new names makes two rows
+        return rows.join(campaigns, "campaign_name", "left").join(groups, "ad_group_name", "left")
+
+    per_type = mapped(facts.groupBy("campaign_name", "ad_group_name", "month", "year").agg(F.count("*").alias("rows")))
+    per_type = per_type.where("product_type is not null").groupBy("year", "month", "product_type").agg(F.sum("rows").alias("divisor"))
+    products = (asin_traffic.groupBy(F.year("Date").alias("year"), F.month("Date").alias("month"), "product_type")
+                .agg(*[(_exact_decimal(c).cast("double") if c == "ordered_product_sales" else F.sum(c)).alias(f"_{c}") for c, _, _ in ASIN_T]))
+    products = products.join(per_type, ["year", "month", "product_type"], "left").select(
+        "year", "month", "product_type", *[round2(F.col(f"_{c}") / F.col("divisor")).alias(out) for c, _, out in ASIN_T])
+
+    rows = (mapped(facts).join(monthly("Customer_Search_Term", "st"), ["Customer_Search_Term", "month", "year"], "left")
+            .join(monthly("Targeting", "kw"), ["Targeting", "month", "year"], "left").join(daily, "Date", "left")
+            .join(products, ["year", "month", "product_type"], "left"))
+    kept = [c for c in search_terms.columns if c not in ("campaign_name", "ad_group_name")]
+    return rows.select(
+        *kept, F.coalesce("campaign_new", "campaign_name").alias("campaign_name"),
+        F.coalesce("ad_group_new", "ad_group_name").alias("ad_group_name"), "product_type",
+        *[f"{stem}_monthly_{m}" for stem in ("st", "kw") for m in ("spend", "clicks", "sales")],
+        *TRAFFIC, *ADJUSTED, *[out for _, _, out in ASIN_T])

@@ -12,10 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-from adlake.operators.filters import banded_flag
-from adlake.operators.lookup import first_match_lookup
+from adlake.operators.filters import banded_flag, name_filter
+from adlake.operators.lookup import first_match_lookup, last_match_lookup
 from adlake.operators.relational import first_by_priority
+from adlake.operators.reshape import global_rank, positions
 
 # Stock bands (low, high, change threshold) for the drop flag;
 # a band matches when low <= current <= high and change < threshold.
@@ -30,34 +30,37 @@ def _round_half_up(c: Column, n: int) -> Column:
 
 def available_items(tour: DataFrame, tour_group: DataFrame, slots: DataFrame, catalogue: DataFrame,
                     vendor_tour: DataFrame, vendor_detail: DataFrame, as_of: str) -> DataFrame:
+    """Tours that can be booked since the day before ``as_of``, with their
+    group and first vendor.  Group and vendor hang on the tour that was found,
+    so an available id without a tour row has neither."""
     since = F.date_sub(F.to_date(F.lit(as_of)), 1)
     ids = (slots.where((F.to_date("inventory_date") >= since) & (F.col("closed") == F.lit(False))
                        & F.col("price_profile_id").isNotNull())
-           .select(F.col("tour_id").alias("id")).distinct()
-           .join(catalogue.where(F.col("status") == "ACTIVE").select("id"), "id", "left_semi"))
+           .select("tour_id").distinct()
+           .join(catalogue.where(F.col("status") == "ACTIVE").select(F.col("id").alias("tour_id")), "tour_id", "left_semi"))
     vendor = first_by_priority(vendor_tour, ["tour_id"], ["priority"],
-                               payload=["vendor_detail_id", "is_inventory_automated"])
-    vendor = vendor.select(F.col("tour_id").alias("id"), "vendor_detail_id",
+                               payload=["vendor_detail_id", "is_inventory_automated", "fulfillment_type"])
+    vendor = vendor.select(F.col("tour_id").alias("found_id"), "vendor_detail_id", "fulfillment_type",
                            F.when(F.col("is_inventory_automated") == F.lit(False), F.lit("No"))
                             .otherwise(F.lit("Yes")).alias("inventory_automated"))
     vd = vendor_detail.select(F.col("id").alias("vendor_detail_id"), F.col("name").alias("vendor_name"))
-    t = tour.select("id", F.col("name").alias("tour_name"), "tour_group_id")
-    g = tour_group.select(F.col("id").alias("tour_group_id"), F.col("name").alias("group_name"), "city")
-    return (ids.join(t, "id", "left").join(g, "tour_group_id", "left")
-               .join(vendor, "id", "left").join(vd, "vendor_detail_id", "left")
-               .select("id", "tour_name", "group_name", "city", "vendor_detail_id", "vendor_name",
-                       "inventory_automated"))
+    t = tour.select(F.col("id").alias("tour_id"), F.col("id").alias("found_id"), F.col("name").alias("tour_name"),
+                    F.col("tour_group_id").alias("group_id"))
+    g = tour_group.select(F.col("id").alias("group_id"), F.col("id").alias("tour_group_id"), F.col("name").alias("product_name"), "city")
+    return (ids.join(t, "tour_id", "left").join(g, "group_id", "left")
+               .join(vendor, "found_id", "left").join(vd, "vendor_detail_id", "left")
+               .select("tour_id", "tour_group_id", "tour_name", "product_name", "inventory_automated",
+                       "fulfillment_type", "vendor_name", "city"))
 
 
 # ------------------------------------------------------------------- MA6
 
-def snapshot_pair(snap: DataFrame, run_id: str) -> DataFrame:
-    """Current run beside the previous run (greatest run_id below it),
-    looked up by tour id (first match)."""
+def snapshot_pair(snap: DataFrame, run_id: str, pos: str = "row_no") -> DataFrame:
+    """Current run beside the previous run (greatest run_id below it), looked
+    up by tour id; of several previous rows the first by ``pos`` counts."""
     cur = snap.where(F.col("run_id") == run_id).select("tour_id", F.col("slots").alias("current_slots"))
     prev_run = snap.where(F.col("run_id") < run_id).agg(F.max("run_id")).scalar()
-    prev = first_match_lookup(snap.where(F.col("run_id") == prev_run).withColumn("_pos", F.col("tour_id")),
-                              "tour_id", "_pos", ["slots", "run_id"])
+    prev = first_match_lookup(snap.where(F.col("run_id") == prev_run), "tour_id", pos, ["slots", "run_id"])
     prev = prev.select("tour_id", F.col("slots").alias("previous_slots"), F.col("run_id").alias("previous_run_id"))
     return cur.join(prev, "tour_id", "left")
 
@@ -87,62 +90,114 @@ def flagged_drops(change: DataFrame) -> DataFrame:
 class AlertParams:
     as_of: str
     hour: int
-    pct_threshold: float
-    min_abs: float
     lookback_days: int = 28
     weekdays: int = 4
     direction: str = "up"        # or "both"
+    mode: str = "hour"           # or "cumulative": all hours up to ``hour``
+    earliest_hour: int = 0
+    not_contains: tuple[str, ...] = ()
+    contains: tuple[str, ...] = ()
+    ignore_paused: bool = True
+    active_days: int = 30
 
     def validate(self) -> None:
-        if not (0 <= self.hour <= 23):
-            raise ValueError("hour must be within 0..23")
-        if self.pct_threshold <= 0 or self.min_abs <= 0:
-            raise ValueError("thresholds must be positive")
+        if not (0 <= self.hour <= 23 and 0 <= self.earliest_hour <= 23):
+            raise ValueError("hours must be within 0..23")
         if self.lookback_days < 1 or self.weekdays < 1:
             raise ValueError("lookback must be at least one day")
+        if self.direction not in ("up", "both") or self.mode not in ("hour", "cumulative"):
+            raise ValueError("unknown direction or mode")
+
+
+def alert_thresholds(config: DataFrame) -> DataFrame:
+    """JO14: (account, pct, min_abs, contact) from a config sheet of texts
+    (account, pct, abs, contact, pos); an account's last row counts.  Accounts
+    whose thresholds are no positive numbers are left out: they get no alerts."""
+    last = last_match_lookup(config, "account", "pos", ["pct", "abs", "contact"])
+    rows = last.select("account", F.col("pct").try_cast("double").alias("pct"), F.col("abs").try_cast("double").alias("min_abs"), "contact")
+    return rows.where((F.col("pct") > 0) & (F.col("min_abs") > 0))
 
 
-def spend_alert(cost: DataFrame, p: AlertParams) -> DataFrame:
-    """cost: campaign_id, name, ts, cost.  Same hour of day, same weekday over
-    the lookback, averaged over ``weekdays``; alert when the increase is at
-    least ``min_abs`` and the relative change exceeds ``pct_threshold``.
-    A campaign with no history has an infinite change (as in the source)."""
+def alert_campaigns(cost: DataFrame, p: AlertParams) -> DataFrame:
+    """FI7: ids of campaigns seen in the days before ``as_of`` whose status and
+    name pass the filters."""
+    asof = F.to_date(F.lit(p.as_of))
+    recent = cost.where(F.to_date("ts").between(F.date_sub(asof, p.active_days), F.date_sub(asof, 1)))
+    statuses = ["ENABLED"] if p.ignore_paused else ["ENABLED", "PAUSED"]
+    return name_filter(recent, "name", p.not_contains, p.contains, "status", statuses, "campaign_id")
+
+
+def require_campaigns(ids: DataFrame) -> DataFrame:
+    """The action outside the plan: an error if the filters leave nothing."""
+    if ids.isEmpty():
+        raise ValueError("No campaigns found with the given settings.")
+    return ids
+
+
+def overspending(totals: DataFrame, thresholds: DataFrame, p: AlertParams) -> DataFrame:
+    """FI14 on (account, ..., today, history): the absolute minimum first, then
+    the relative change.  No history means an infinite change."""
+    g = totals.join(thresholds, "account").withColumn("average", F.col("history") / float(p.weekdays))
+    g = g.withColumn("difference", F.col("today") - F.col("average"))
+    g = g.withColumn("pct_change", F.when(F.col("average") == 0, F.lit(float("inf"))).otherwise(F.col("difference") / F.col("average") * 100.0))
+    big = F.col("difference") >= F.col("min_abs") if p.direction == "up" else F.abs("difference") >= F.col("min_abs")
+    return g.where(big & (F.abs("pct_change") > F.col("pct")))
+
+
+def spend_alert(cost: DataFrame, config: DataFrame, p: AlertParams) -> DataFrame:
+    """cost: account, campaign_id, name, status, ts, cost, amount (budget).
+    Spend of the current date against the average of the same weekdays in the
+    lookback, at the same hour, for enabled rows of the chosen campaigns;
+    thresholds come from the account's config row.  The budget is the current
+    date's only.  Before ``earliest_hour`` nothing alerts."""
     p.validate()
     asof = F.to_date(F.lit(p.as_of))
     d = F.to_date("ts")
-    rows = cost.where((F.hour("ts") == p.hour) & d.between(F.date_sub(asof, p.lookback_days), asof))
-    v = F.col("cost").cast("decimal(18,2)")
-    zero = F.lit(0).cast("decimal(18,2)")
-    g = rows.groupBy("campaign_id").agg(
-        F.sum(F.when(d == asof, v).otherwise(zero)).cast("double").alias("today"),
-        F.sum(F.when((d != asof) & (F.dayofweek(d) == F.dayofweek(asof)), v).otherwise(zero)).cast("double").alias("history"),
-        F.max("name").alias("name"))
-    avg = F.col("history") / float(p.weekdays)
-    g = g.withColumn("average", avg).withColumn("difference", F.col("today") - F.col("average"))
-    pct = F.when(F.col("average") == 0, F.lit(float("inf"))).otherwise(F.col("difference") / F.col("average") * 100.0)
-    g = g.withColumn("pct_change", pct)
-    big = F.col("difference") >= p.min_abs if p.direction == "up" else F.abs(F.col("difference")) >= p.min_abs
-    return g.where(big & (F.abs(F.col("pct_change")) > p.pct_threshold)).select(
-        "campaign_id", "name", "today", "average", "difference", "pct_change")
-
-
-def alert_messages(alerts: DataFrame, account: Column) -> DataFrame:
-    """SK10: one rendered message per alert row (delivery is out of scope)."""
-    pct = F.col("pct_change")
-    pct_text = F.when(F.isnan(pct) | (F.abs(pct) == float("inf")), F.lit("inf")) \
-                .otherwise(F.format_string("%.1f", _round_half_up(pct, 1)))
-    msg = F.format_string("%s (%s): spend %.2f vs average %.2f, change %s%%",
-                          F.col("name"), F.col("campaign_id").cast("string"),
-                          _round_half_up(F.col("today"), 2), _round_half_up(F.col("average"), 2), pct_text)
-    return alerts.select(account.alias("account"), "campaign_id", msg.alias("message"))
+    at_hour = F.hour("ts") == p.hour if p.mode == "hour" else F.hour("ts") <= p.hour
+    rows = (cost.where((F.col("status") == "ENABLED") & at_hour & d.between(F.date_sub(asof, p.lookback_days), asof)
+                       & F.lit(p.hour >= p.earliest_hour))
+            .join(alert_campaigns(cost, p), "campaign_id", "left_semi"))
+    money = lambda c, when: F.coalesce(F.sum(F.when(when, F.col(c).cast("decimal(18,2)"))).cast("double"), F.lit(0.0))
+    g = rows.groupBy("account", "campaign_id").agg(
+        F.max("name").alias("name"), money("cost", d == asof).alias("today"), money("amount", d == asof).alias("budget"),
+        money("cost", (d != asof) & (F.dayofweek(d) == F.dayofweek(asof))).alias("history"))
+    return overspending(g, alert_thresholds(config), p).select(
+        "account", "contact", "campaign_id", "name", F.lit(p.hour).alias("hour"), "today", "budget", "average", "difference", "pct_change", "pct")
+
+
+# The message texts, numbers with two decimals.
+ALERT_HEAD = "The following campaigns have exceeded the %s%% spend threshold:\n\n"
+ALERT_ITEM = ("%d. \nName: %s\nChange(%%): %s\nChange(abs): %s\nHour: %d\n"
+              "Daily Budget ($): %s\nSpend ($): %s\n\n")
+MESSAGE_CAMPAIGNS = 200  # an account with more gets further messages
+
+
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """SK10: (account, part, subject, body): one body for an account, its
+    campaigns numbered by id (delivery is out of scope)."""
+    two = lambda c: F.when(F.abs(c) == float("inf"), F.lit("Infinity")).otherwise(F.format_string("%.2f", _round_half_up(c, 2)))
+    no = positions(alerts, ["account"], "campaign_id").withColumn("part", F.floor(F.col("pos") / MESSAGE_CAMPAIGNS).cast("bigint"))
+    item = F.format_string(ALERT_ITEM, (F.col("pos") + 1).cast("int"), F.col("name"), two(F.col("pct_change")), two(F.col("difference")),
+                           F.col("hour"), two(F.col("budget")), two(F.col("today")))
+    g = no.groupBy("account", "part").agg(
+        F.max("contact").alias("contact"), F.max("pct").alias("pct"), F.sort_array(F.collect_list(F.struct("pos", item.alias("text")))).alias("items"))
+    body = F.concat(F.lit("@"), F.col("contact"), F.lit("\n"), F.format_string(ALERT_HEAD, two(F.col("pct"))),
+                    F.array_join(F.transform("items", lambda x: x["text"]), ""))
+    return g.select("account", "part", F.concat("account", F.lit(" Campaigns exceeded threshold.")).alias("subject"), body.alias("body"))
 
 
 # ------------------------------------------------------------------- MA9
 
+def unique_requests(keywords: DataFrame, text: str = "text") -> DataFrame:
+    """AG8: one estimate request for each distinct keyword text; its id is the
+    smallest of the keyword rows, and it is negative if any of them is."""
+    return keywords.groupBy(text).agg(F.min("request_id").alias("request_id"), F.max(F.coalesce("is_negative", F.lit(False))).alias("is_negative"))
+
+
 def _mean2(lo: Column, hi: Column) -> Column:
-    """Banker's rounding of the exact decimal mean to 2 places; NULL only
-    when an estimate is NULL (0 stays 0)."""
-    s = lo.cast("decimal(18,2)") + hi.cast("decimal(18,2)")
+    """The exact mean of both, rounded once to 2 places (half to even); NULL
+    only when an estimate is NULL (0 stays 0)."""
+    s = lo.cast("decimal(28,10)") + hi.cast("decimal(28,10)")
     return F.bround(s * F.lit(0.5).cast("decimal(2,1)"), 2).cast("double")
 
 
@@ -156,18 +211,26 @@ def estimate_mean(requests: DataFrame, responses: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ MA10
 
-def trends_long(counts: DataFrame, geo: str, keyword: str, value: str, batch: DataFrame) -> DataFrame:
-    """Wide scores per geo (one column per keyword) melted to long, then
-    scaled 0..100 inside each keyword batch (scores are only comparable
-    within one batch)."""
-    kws = [r[0] for r in batch.select(keyword).orderBy(keyword).collect()]
-    wide = counts.groupBy(geo).pivot(keyword, kws).agg(F.sum(value))
-    long = wide.unpivot([geo], kws, keyword, value)
-    j = long.join(batch, keyword, "inner")
-    mx = j.groupBy("batch_id").agg(F.max(value).alias("_max"))
-    return (j.join(mx, "batch_id").select(
-        "batch_id", geo, keyword, F.col(value).alias("raw"),
-        F.when(F.col("_max") > 0, F.expr(f"(100 * `{value}`) div _max")).alias("score")))
-
-
-
+def trends_long(counts: DataFrame, geo: str, keyword: str, value: str, size: int = 3) -> DataFrame:
+    """Scores of keywords fetched in batches of ``size`` (by name): every geo
+    has a score for every keyword of a batch, NULL where it has no value,
+    scaled 0..100 by the batch's greatest value (scores are only comparable
+    inside a batch).
+
+    A batch is a table of ``size`` fixed slots for each geo, as it comes from
+    the service; the slots are then turned into rows.  Neither the number of
+    keywords nor of batches shapes the plan."""
+    ranked = global_rank(counts.where(F.col(keyword).isNotNull()).select(keyword).distinct(), keyword, "_no")
+    batch = ranked.select(F.col(keyword), F.floor(F.col("_no") / size).cast("bigint").alias("batch_id"), (F.col("_no") % size).cast("int").alias("_slot"))
+    slots = range(size)
+    names = batch.groupBy("batch_id").agg(*[F.max(F.when(F.col("_slot") == i, F.col(keyword))).alias(f"_k{i}") for i in slots])
+    last = names.agg(F.max("batch_id")).scalar()
+    frame = counts.select(geo).distinct().withColumn("batch_id", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    wide = counts.join(batch, keyword).groupBy("batch_id", geo).agg(
+        *[F.sum(F.when(F.col("_slot") == i, F.col(value))).alias(f"_v{i}") for i in slots])
+    filled = frame.join(wide, ["batch_id", geo], "left").join(names, "batch_id")
+    long = filled.select("batch_id", geo, F.explode(F.array(*[F.struct(F.col(f"_k{i}").alias(keyword), F.col(f"_v{i}").alias("raw")) for i in slots])).alias("_x"))
+    long = long.select("batch_id", geo, f"_x.{keyword}", "_x.raw").where(F.col(keyword).isNotNull())
+    top = long.groupBy("batch_id").agg(F.max("raw").alias("_max"))
+    return long.join(top, "batch_id").select(
+        "batch_id", geo, keyword, "raw", F.when(F.col("_max") > 0, F.expr("(100 * raw) div _max")).alias("score"))

@@ -1,9 +1,10 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
+import pytest
 
 from adlake.plans.divisors import sales_divisors
-from adlake.plans.operations import AlertParams, inventory_change, spend_alert
+from adlake.plans.operations import (AlertParams, alert_campaigns, alert_messages, estimate_mean, inventory_change, require_campaigns,
+                                     spend_alert, trends_long, unique_requests)
 
 D = dt.date(2024, 1, 10)
 
@@ -35,26 +36,70 @@ def test_divisor_golden_cases(spark):
 
 
 def test_drop_flag_golden(spark):
-    snap = spark.createDataFrame([
+    snap = spark.createDataFrame([(*r, i) for i, r in enumerate([
         ("r1", 1, "17"), ("r2", 1, "10"),       # 10, change -7 -> Yes
         ("r1", 2, "16"), ("r2", 2, "10"),       # change -6 -> No
         ("r1", 3, "1042"), ("r2", 3, "1001"),   # change -41 -> Yes
         ("r1", 4, "returned_error"), ("r2", 4, "5"),
-        ("r2", 5, "3")], "run_id string, tour_id long, slots string")
+        ("r2", 5, "3")])], "run_id string, tour_id long, slots string, row_no int")
     out = {r.tour_id: (r.change, r.drop_flag) for r in inventory_change(snap, "r2").collect()}
     assert out[1] == (-7, "Yes") and out[2] == (-6, "No") and out[3] == (-41, "Yes")
     assert out[4] == (None, "No") and out[5] == (None, "No")
 
 
+def _spend(spark, rows):
+    return spark.createDataFrame([("acc", c, f"c{c}", status, ts, cost, 7.25) for c, status, ts, cost in rows],
+                                 "account string, campaign_id long, name string, status string, ts timestamp, cost double, amount double")
+
+
+def _config(spark, rows):
+    return spark.createDataFrame([(a, p, m, "who", i) for i, (a, p, m) in enumerate(rows)], "account string, pct string, abs string, contact string, pos int")
+
+
+ASOF = dt.datetime(2024, 1, 29, 13, 5)
+HISTORY = [dt.timedelta(days=7 * k) for k in range(1, 5)]
+
+
 def test_spend_alert_golden(spark):
-    asof = dt.datetime(2024, 1, 29, 13, 5)
-    hist = [(1, "c1", asof - dt.timedelta(days=7 * k), 10.0) for k in range(1, 5)]
-    rows = hist + [(1, "c1", asof, 25.0)]
-    rows += [(2, "c2", asof - dt.timedelta(days=7 * k), 10.0) for k in range(1, 5)] + [(2, "c2", asof, 19.0)]
-    rows += [(3, "c3", asof, 8.0)]
-    df = spark.createDataFrame(rows, "campaign_id long, name string, ts timestamp, cost double")
-    out = {r.campaign_id: r for r in spend_alert(df, AlertParams("2024-01-29", 13, 50.0, 10.0)).collect()}
-    assert set(out) == {1}
-    assert out[1].pct_change == 150.0
-    df3 = spend_alert(df, AlertParams("2024-01-29", 13, 50.0, 5.0)).where(F.col("campaign_id") == 3).collect()
-    assert df3 and df3[0].pct_change == float("inf")
+    rows = [(c, "ENABLED", ASOF - d, 10.0) for c in (1, 2, 4) for d in HISTORY] + [(1, "ENABLED", ASOF, 25.0), (2, "ENABLED", ASOF, 19.0)]
+    rows += [(3, "ENABLED", ASOF, 8.0), (3, "ENABLED", ASOF - dt.timedelta(days=2), 1.0)]       # no history on that weekday
+    rows += [(4, "ENABLED", ASOF - dt.timedelta(hours=1), 500.0)]                              # another hour
+    rows += [(5, "PAUSED", ASOF, 90.0), (5, "PAUSED", ASOF - HISTORY[0], 1.0)]
+    rows += [(6, "ENABLED", ASOF - dt.timedelta(days=35), 1.0), (6, "ENABLED", ASOF, 50.0)]      # not active in the last 30 days
+    cost = _spend(spark, rows)
+    run = lambda config, **kw: {r.campaign_id: r for r in spend_alert(cost, _config(spark, config), AlertParams("2024-01-29", 13, **kw)).collect()}
+    out = run([("acc", "1", "1"), ("acc", "50", "10"), ("other", "1", "1")])                   # the last row of an account counts
+    assert set(out) == {1} and out[1].pct_change == 150.0 and out[1].budget == 7.25 and out[1].contact == "who"
+    out = run([("acc", "50", "5")])
+    assert set(out) == {1, 2, 3} and out[3].pct_change == float("inf")
+    assert run([("acc", "fifty", "5")]) == {} == run([("acc", "50", "-1")]) == run([("acc", "50", "5")], earliest_hour=14)
+    assert set(run([("acc", "50", "5")], not_contains=("C1",), contains=("c1", "c2"))) == {2}
+    assert set(run([("acc", "50", "5")], mode="cumulative")) == {1, 2, 3, 4}
+    assert set(run([("acc", "50", "5")], direction="both")) == {1, 2, 3, 4}
+    with pytest.raises(ValueError, match="No campaigns"):
+        require_campaigns(alert_campaigns(cost, AlertParams("2024-01-29", 13, contains=("nothing",))))
+    body = alert_messages(spend_alert(cost, _config(spark, [("acc", "50", "5")]), AlertParams("2024-01-29", 13))).collect()
+    assert len(body) == 1 and body[0].subject == "acc Campaigns exceeded threshold."
+    assert body[0].body.startswith("@who\nThe following campaigns have exceeded the 50.00% spend threshold:\n\n1. \nName: c1\nChange(%): 150.00\n"
+                                   "Change(abs): 15.00\nHour: 13\nDaily Budget ($): 7.25\nSpend ($): 25.00\n\n2. \nName: c2\n")
+    assert "Change(%): Infinity" in body[0].body
+
+
+def test_estimates(spark):
+    req = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "b", True), (4, "c", False)], "request_id long, text string, is_negative boolean")
+    resp = spark.createDataFrame([(1, 0.016, 0.006, 0.0, 0.0), (2, 9.0, 9.0, 9.0, 9.0), (3, 1.0, 1.0, 1.0, 1.0), (4, 1.0, None, 0.0, 3.0)],
+                                 "request_id long, clicks_min double, clicks_max double, impr_min double, impr_max double")
+    out = {r.text: (r.clicks_mean, r.impressions_mean) for r in estimate_mean(unique_requests(req), resp).collect()}
+    assert out == {"a": (0.01, 0.0), "c": (None, 1.5)}
+
+
+def test_previous_snapshot_takes_the_first_row(spark):
+    snap = spark.createDataFrame([("r1", 1, "9", 5), ("r1", 1, "4", 2), ("r2", 1, "6", 1), ("r0", 1, "1", 0)], "run_id string, tour_id long, slots string, row_no int")
+    assert [(r.current, r.previous) for r in inventory_change(snap, "r2").collect()] == [(6, 4)]
+
+
+def test_trends_batches(spark):
+    counts = spark.createDataFrame([("g1", "a", 4), ("g2", "b", 8), ("g1", "d", 5), ("g1", "é", 1)], "geo string, keyword string, n long")
+    out = {(r.batch_id, r.geo, r.keyword): (r.raw, r.score) for r in trends_long(counts, "geo", "keyword", "n").collect()}
+    assert len(out) == 8 and out[0, "g1", "a"] == (4, 50) and out[0, "g2", "b"] == (8, 100) and out[0, "g1", "b"] == (None, None)
+    assert out[1, "g1", "é"] == (1, 100) and out[1, "g2", "é"] == (None, None)

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from adlake.operators import relational as R
 from adlake.operators.allocation import even_allocation
-from adlake.operators.reshape import positions
-from adlake.operators.textjoin import contains_join
+from adlake.operators.reshape import chunk_groups, global_rank, positions
+from adlake.operators.textjoin import contains_join, contains_matches
 
 
 def _plan(df):
@@ -40,12 +40,12 @@ def test_pick_per_key_is_aggregate_and_total_order(spark):
 
 
 def test_even_allocation_sums_back(spark):
-    rows = spark.createDataFrame([(d, i) for d in ("x", "y", "z") for i in range({"x": 3, "y": 1, "z": 4}[d])],
+    rows = spark.createDataFrame([(d, i) for d in ("x", "y", "z") for i in range({"x": 3, "y": 1, "z": 4}[d])] + [(None, 1), (None, 2)],
                                  "d string, i int")
     meas = spark.createDataFrame([("x", 9.0), ("y", 5.0), ("q", 1.0)], "d string, m double")
     out = even_allocation(rows, meas, ["d"], {"m": "a"})
     tot = {r.d: r.s for r in out.groupBy("d").agg(F.sum("a").alias("s")).collect()}
-    assert tot["x"] == 9.0 and tot["y"] == 5.0 and tot["z"] is None
+    assert tot["x"] == 9.0 and tot["y"] == 5.0 and tot["z"] is None and tot[None] is None and out.count() == 10
 
 
 def test_positions_exact_across_buckets(spark):
@@ -56,6 +56,30 @@ def test_positions_exact_across_buckets(spark):
         assert [r.pos for r in sorted((r for r in out if r.g == g), key=lambda r: r.k)] == list(range(len(ks)))
 
 
+def test_positions_and_chunks_keep_null_groups_and_keys(spark):
+    df = spark.createDataFrame([("a", 3), ("a", None), (None, 70000), (None, 2), (None, None)], "g string, k long")
+    got = sorted(((r.g, r.k, r.pos) for r in positions(df, ["g"], "k").collect()), key=str)
+    assert got == sorted([("a", None, 0), ("a", 3, 1), (None, None, 0), (None, 2, 1), (None, 70000, 2)], key=str)
+    assert chunk_groups(df, ["g"], "k", 2).count() == 5
+
+
+def test_global_rank_has_no_window_over_all_rows(spark):
+    df = spark.createDataFrame([(v,) for v in ("b", "é", "a", None, "c", "z")], "v string")
+    ranked = global_rank(df, "v")
+    assert [r.v for r in sorted(ranked.collect(), key=lambda r: r["rank"])] == ["a", "b", "c", "z", "é", None]
+
+
+def test_contains_join_of_long_texts(spark):
+    rnd = random.Random(5)
+    texts = [(i, "".join(rnd.choice("aBcé ") for _ in range(rnd.choice([0, 5, 1023, 1024, 1025, 4000])))) for i in range(25)]
+    keys = sorted({"".join(rnd.choice("aBcé ") for _ in range(rnd.randint(1, 7))) for _ in range(40)} | {texts[0][1][1020:1030], "", "x" * 1500})
+    left, right = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame([(k,) for k in keys] + [(None,)], "k string")
+    for fold in (False, True):
+        low = (lambda s: s.lower()) if fold else (lambda s: s)
+        got = {(r.id, r.k) for r in contains_matches(left, ["id"], "t", right, "k", ignore_case=fold).collect()}
+        assert got == {(i, low(k)) for i, t in texts for k in keys if low(k) in low(t)}
+
+
 def test_nth_rows_to_columns(spark):
     df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (1, 3, "c"), (1, 4, "d"), (2, 1, "x")],
                                "k int, o int, v string")
