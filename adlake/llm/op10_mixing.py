@@ -21,7 +21,7 @@ from adlake.llm.tables import written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-ROWS_PER_BUCKET = 4_000
+ROWS_PER_BUCKET = 2_000
 
 
 def n_words(text: Column) -> Column:
@@ -146,12 +146,11 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats:
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mix itself: a row of `docs` for every time it is taken, with
     mix_round and mix_finish, range-sorted by finish time.  Rows equal in
-    doc_id and text count as one document here."""
+    doc_id and text are taken alike, as often as the one that is taken most."""
     plan = mix_plan(docs, weights, max_repeats)
     taken = (plan.where("rounds > 0").groupBy("doc_id", "place")
              .agg(F.max(F.struct("rounds", "first_finish", "source_size", "target")).alias("_mix")))
-    keyed = (docs.dropDuplicates(["doc_id", "text"]) if docs.columns else docs).withColumn(
-        "_place", F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")))
+    keyed = docs.withColumn("_place", F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")))
     hit = (keyed["doc_id"].cast("bigint").eqNullSafe(taken["doc_id"])) & (keyed["_place"] == taken["place"])
     rows = keyed.join(taken, hit).select(*[keyed[c] for c in docs.columns], "_mix")
     out = rows.select(
