@@ -462,7 +462,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = components(docs)
     keep = found.where("n_shingles = 0").select("doc_id", "k1", "k2").unionByName(found.where("n_shingles > 0").select("first.*")).distinct()
     keep = written(keep, "jaccard-kept").select(F.struct("doc_id", "k1", "k2").alias("_doc"), F.lit(True).alias("_keep"))
-    rows = docs.withColumn("_doc", document_key()).join(keep, "_doc")
     bare = F.length(F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) == 0
-    kept = rows.where(~bare).dropDuplicates(["_doc"]).unionByName(rows.where(bare))
-    return kept.select(*[F.col(c) for c in docs.columns])
+    rows = docs.withColumn("_doc", document_key()).join(keep, "_doc")
+    own = F.when(bare, F.monotonically_increasing_id()).otherwise(F.lit(-1))  # documents without shingles are no repeats
+    return rows.withColumn("_own", own).dropDuplicates(["_doc", "_own"]).select(*[F.col(c) for c in docs.columns])
