@@ -456,8 +456,8 @@ def seasonal_decompose(spark, sf):
 WITH {SQL_DENSE_DAILY},
 d AS (SELECT series_id, day, count(*) OVER (PARTITION BY series_id) * cents - SUM(cents) OVER (PARTITION BY series_id) AS d,
              count(*) OVER (PARTITION BY series_id) AS n FROM series),
-g AS (SELECT series_id, any_value(n) AS n, CAST(SUM(d * d) AS BIGINT) AS den FROM d GROUP BY 1),
-x AS (SELECT a.series_id, k AS lag, CAST(SUM(a.d * b.d) AS BIGINT) AS num
+g AS (SELECT series_id, any_value(n) AS n, SUM(CAST(d AS HUGEINT) * d) AS den FROM d GROUP BY 1),
+x AS (SELECT a.series_id, k AS lag, SUM(CAST(a.d AS HUGEINT) * b.d) AS num
       FROM (SELECT series_id, day, d, row_number() OVER (PARTITION BY series_id ORDER BY day) AS pos FROM d) a
       CROSS JOIN range(1, 21) r(k)
       LEFT JOIN (SELECT series_id, d, row_number() OVER (PARTITION BY series_id ORDER BY day) AS pos FROM d) b
@@ -479,6 +479,13 @@ def adf_test(spark, sf):
     return adf(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"))
 
 
+@register("arima_forecast", None, "TS5,TS6,UD3")
+def arima_forecast(spark, sf):
+    """ARIMA(1,1,1) per daily series: fitted values and a 25-step forecast."""
+    from adlake.timeseries.models import arima
+    return arima(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"), order=(1, 1, 1), steps=25)
+
+
 @register("pacf", None, "TS4,UD3")
 def pacf_key(spark, sf):
     from adlake.timeseries.models import pacf

@@ -1,4 +1,4 @@
-"""Per-series model statistics that are not SQL-expressible (TS3, TS4 PACF).
+"""Per-series models that are not SQL-expressible (TS3, TS4 PACF, TS5, TS6).
 
 Each runs as ``groupBy(series_id).applyInPandas`` over the *daily* series, so
 one group holds one row per calendar day of one series (bounded by the
@@ -21,8 +21,16 @@ ADF_CRIT_CONSTANT = {
     "10%": (-2.56677, -1.5384, -2.809, 0.0),
 }
 
-ADF_SCHEMA = ("series_id long, adf_stat double, used_lag int, nobs int, "
+# MacKinnon (1994) approximate p-value of that statistic: the
+# normal distribution of a polynomial in tau, one up to TAU_STAR, one above.
+TAU_LEAST, TAU_STAR, TAU_MOST = -18.83, -1.61, 2.74
+TAU_SMALL_P = (2.1659, 1.4412, 0.038269)
+TAU_LARGE_P = (1.7339, 0.93202, -0.12745, -0.010368)
+NORMAL_975 = 1.959963984540054
+
+ADF_SCHEMA = ("series_id long, adf_stat double, p_value double, used_lag int, nobs int, "
               "crit_1 double, crit_5 double, crit_10 double")
+ARIMA_SCHEMA = ("series_id long, kind string, step int, day date, mean double, std_error double, lower double, upper double")
 PACF_SCHEMA = "series_id long, lag int, pacf double"
 
 
@@ -65,17 +73,29 @@ def adf_one(y: np.ndarray, maxlag: int | None = None) -> tuple[float, int, int]:
     return stat, lag, len(target)
 
 
+def adf_p_value(stat: float) -> float:
+    if math.isnan(stat):
+        return math.nan
+    if stat > TAU_MOST:
+        return 1.0
+    if stat < TAU_LEAST:
+        return 0.0
+    coefs = TAU_SMALL_P if stat <= TAU_STAR else TAU_LARGE_P
+    x = sum(c * stat ** i for i, c in enumerate(coefs))
+    return 0.5 * (1.0 + math.erf(x / math.sqrt(2.0)))
+
+
 def _adf_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("day")
     y = pdf["value"].to_numpy(dtype=float)
     sid = int(pdf["series_id"].iloc[0])
     if len(y) < 8:
-        return pd.DataFrame([[sid, np.nan, 0, len(y), np.nan, np.nan, np.nan]],
-                            columns=["series_id", "adf_stat", "used_lag", "nobs", "crit_1", "crit_5", "crit_10"])
+        return pd.DataFrame([[sid, np.nan, np.nan, 0, len(y), np.nan, np.nan, np.nan]],
+                            columns=["series_id", "adf_stat", "p_value", "used_lag", "nobs", "crit_1", "crit_5", "crit_10"])
     stat, lag, nobs = adf_one(y)
     crit = [sum(b / nobs ** i for i, b in enumerate(ADF_CRIT_CONSTANT[k])) for k in ("1%", "5%", "10%")]
-    return pd.DataFrame([[sid, stat, lag, nobs, *crit]],
-                        columns=["series_id", "adf_stat", "used_lag", "nobs", "crit_1", "crit_5", "crit_10"])
+    return pd.DataFrame([[sid, stat, adf_p_value(stat), lag, nobs, *crit]],
+                        columns=["series_id", "adf_stat", "p_value", "used_lag", "nobs", "crit_1", "crit_5", "crit_10"])
 
 
 def adf(daily: DataFrame) -> DataFrame:
@@ -118,3 +138,104 @@ def pacf(daily: DataFrame, nlags: int = 20) -> DataFrame:
         sid = int(pdf["series_id"].iloc[0])
         return pd.DataFrame({"series_id": sid, "lag": np.arange(1, len(vals) + 1, dtype="int32"), "pacf": vals})
     return daily.select("series_id", "day", "value").groupBy("series_id").applyInPandas(f, PACF_SCHEMA)
+
+
+def _lags(x: np.ndarray, n: int, start: int) -> np.ndarray:
+    """Columns x[t-1] .. x[t-n] for t = start .."""
+    return np.column_stack([x[start - i : len(x) - i] for i in range(1, n + 1)]) if n else np.zeros((len(x) - start, 0))
+
+
+class Arima:
+    """ARIMA(p, d, q) with a constant, by Hannan-Rissanen regression: a long
+    autoregression estimates the shocks, then the differenced series is
+    regressed on its own lags and on lagged shocks, which are estimated once
+    more from that fit."""
+
+    def __init__(self, y: np.ndarray, order: tuple[int, int, int] = (3, 1, 2)) -> None:
+        self.y, (self.p, self.d, self.q) = np.asarray(y, float), order
+        w = np.diff(self.y, n=self.d)
+        n = len(w)
+        self.mean = float(w.mean()) if n else 0.0
+        x = w - self.mean
+        long = min(max(self.p + self.q + 2, int(round(10 * math.log10(max(n, 10))))), n // 3)
+        if n < 3 * (self.p + self.q + 2) or not x.any():
+            self.ar, self.ma = np.zeros(self.p), np.zeros(self.q)
+        else:
+            shocks = np.zeros(n)
+            if self.q:
+                design = _lags(x, long, long)
+                shocks[long:] = x[long:] - design @ np.linalg.lstsq(design, x[long:], rcond=None)[0]
+            for _ in range(2 if self.q else 1):
+                start = max(self.p, self.q + (long if self.q else 0))
+                design = np.hstack([_lags(x, self.p, start), _lags(shocks, self.q, start)])
+                beta = np.linalg.lstsq(design, x[start:], rcond=None)[0]
+                self.ar, self.ma = _inside(beta[: self.p]), -_inside(-beta[self.p :])
+                shocks = self._shocks(x)
+        self.x, self.shocks = x, self._shocks(x)
+        used = max(n - self.p, 1)
+        self.sigma2 = float((self.shocks[self.p :] ** 2).sum() / max(used - self.p - self.q - 1, 1)) if n else math.nan
+
+    def _shocks(self, x: np.ndarray) -> np.ndarray:
+        e = np.zeros(len(x))
+        for t in range(len(x)):
+            e[t] = x[t] - sum(a * x[t - i] for i, a in enumerate(self.ar, 1) if t >= i) - sum(m * e[t - j] for j, m in enumerate(self.ma, 1) if t >= j)
+        return e
+
+    def fitted(self) -> np.ndarray:
+        """One-step predictions on the scale of the series; the first d places
+        have none."""
+        out = np.full(len(self.y), np.nan)
+        out[self.d :] = self.y[self.d :] - self.shocks
+        return out
+
+    def forecast(self, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        """Means and standard errors of the next steps."""
+        x, e = list(self.x), list(self.shocks)
+        for _ in range(steps):
+            t = len(x)
+            x.append(sum(a * x[t - i] for i, a in enumerate(self.ar, 1) if t >= i) + sum(m * e[t - j] for j, m in enumerate(self.ma, 1) if t >= j))
+            e.append(0.0)
+        mean = np.array(x[len(x) - steps :]) + self.mean
+        for k in range(self.d):  # undo the differences, the last one first
+            mean = np.diff(self.y, n=self.d - 1 - k)[-1] + np.cumsum(mean)
+        whole = np.array([1.0, *(-self.ar)])
+        for _ in range(self.d):
+            whole = np.convolve(whole, [1.0, -1.0])
+        psi = np.zeros(steps)
+        for j in range(steps):
+            psi[j] = (1.0 if j == 0 else self.ma[j - 1] if j <= self.q else 0.0) - sum(whole[i] * psi[j - i] for i in range(1, min(j, len(whole) - 1) + 1))
+        return mean, np.sqrt(self.sigma2 * np.cumsum(psi ** 2))
+
+
+def _inside(coefs: np.ndarray) -> np.ndarray:
+    """Shrink the coefficients of 1 - c1 B - c2 B^2 .. until its roots lie
+    outside the unit circle, so that recursions stay bounded."""
+    for _ in range(200):
+        if not len(coefs) or not coefs.any() or np.abs(np.roots(np.concatenate([[1.0], -coefs]))).max() < 0.995:
+            break
+        coefs = coefs * 0.97 ** np.arange(1, len(coefs) + 1)
+    return coefs
+
+
+def arima(daily: DataFrame, order: tuple[int, int, int] = (3, 1, 2), steps: int = 25) -> DataFrame:
+    """TS5/TS6 for every series (series_id, day, value): rows of kind 'fitted'
+    (step counts the days) and 'forecast' (step 1 ..) with standard error and
+    95% interval.  A series too short for the order gets a drift only."""
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("day")
+        days = pd.to_datetime(pdf["day"])
+        y = pdf["value"].to_numpy(dtype=float)
+        if len(y) <= order[1] + 1:
+            return pd.DataFrame(columns=[c.split()[0] for c in ARIMA_SCHEMA.split(", ")])
+        model = Arima(y, order)
+        mean, error = model.forecast(steps)
+        fitted = pd.DataFrame({"kind": "fitted", "step": np.arange(len(y)), "day": days.dt.date.to_numpy(), "mean": model.fitted(),
+                               "std_error": np.nan, "lower": np.nan, "upper": np.nan})
+        ahead = pd.DataFrame({"kind": "forecast", "step": np.arange(1, steps + 1), "day": (days.iloc[-1] + pd.to_timedelta(np.arange(1, steps + 1), unit="D")).date,
+                              "mean": mean, "std_error": error, "lower": mean - NORMAL_975 * error, "upper": mean + NORMAL_975 * error})
+        out = pd.concat([fitted, ahead], ignore_index=True)
+        out.insert(0, "series_id", int(pdf["series_id"].iloc[0]))
+        return out
+
+    return daily.select("series_id", "day", "value").groupBy("series_id").applyInPandas(fit, ARIMA_SCHEMA)

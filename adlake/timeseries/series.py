@@ -20,6 +20,12 @@ def cents(c: Column | str) -> Column:
     return F.round(c * 100).cast("bigint")
 
 
+def wide(c: Column | str) -> Column:
+    """An integer whose products and sums of products stay exact: up to 19
+    digits, so a product has up to 38."""
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)")
+
+
 def daily_rollup(df: DataFrame, series: str, ts: str, value: str) -> DataFrame:
     """Σ value (in cents) per series per day; partial aggregation map-side."""
     return (df.select(F.col(series).alias("series_id"), F.to_date(ts).alias("day"),
@@ -47,10 +53,12 @@ def rolling_stats(s: DataFrame, n: int = 12) -> DataFrame:
     """Trailing mean and sample std over ``n`` rows, NULL until ``n`` rows
     exist (pandas ``rolling(n)``)."""
     w = _w().rowsBetween(-(n - 1), 0)
-    k, s1, s2 = F.count("*").over(w), F.sum("cents").over(w), F.sum(F.col("cents") * F.col("cents")).over(w)
+    c = wide("cents")
+    k, s1, s2 = F.count("*").over(w), F.sum(c).over(w), F.sum(c * c).over(w)
     full = k == n
     mean = F.when(full, s1.cast("double") / float(n * 100))
-    std = F.when(full, F.sqrt((F.lit(n) * s2 - s1 * s1).cast("double") / float(n * (n - 1))) / 100.0)
+    spread = F.lit(n).cast("decimal(3,0)") * s2 - wide(s1) * wide(s1)
+    std = F.when(full, F.sqrt(spread.cast("double") / float(n * (n - 1))) / 100.0)
     return s.select("series_id", "day", (F.col("cents") / 100.0).alias("value"),
                     mean.alias("rolling_mean"), std.alias("rolling_std"))
 
@@ -120,6 +128,7 @@ def acf(s: DataFrame, nlags: int = 20) -> DataFrame:
     d = s.select("series_id", "day", (F.count("*").over(whole) * F.col("cents") - F.sum("cents").over(whole)).alias("d"),
                  F.count("*").over(whole).alias("n"))
     w = _w()
+    d = d.withColumn("d", wide("d"))
     lagged = d.select("series_id", "n", "d", *[(F.col("d") * F.lag("d", k).over(w)).alias(f"p{k}")
                                                for k in range(1, nlags + 1)])
     g = lagged.groupBy("series_id").agg(F.first("n").alias("n"), F.sum(F.col("d") * F.col("d")).alias("den"),

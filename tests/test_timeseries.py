@@ -1,6 +1,6 @@
 import numpy as np
 
-from adlake.timeseries.models import adf_one, pacf_values
+from adlake.timeseries.models import Arima, adf_one, adf_p_value, arima, pacf_values
 
 
 def test_adf_separates_stationary_from_random_walk():
@@ -31,3 +31,62 @@ def test_grouped_keys_run(spark):
     assert a and all(r.nobs >= 0 for r in a)
     p = queries()["pacf"](spark, SMOKE).collect()
     assert p and all(1 <= r.lag <= 20 for r in p)
+
+
+def _simulated(n, phi, theta=0.0, d=0, seed=0):
+    rng = np.random.default_rng(seed)
+    e = rng.standard_normal(n + 200)
+    x = np.zeros(n + 200)
+    for t in range(1, len(x)):
+        x[t] = phi * x[t - 1] + e[t] + theta * e[t - 1]
+    x = x[200:]
+    return np.cumsum(x) if d else x
+
+
+def test_arima_recovers_simulated_coefficients():
+    for phi, theta, d, order in ((0.7, 0.0, 0, (1, 0, 0)), (-0.5, 0.0, 1, (1, 1, 0)), (0.6, 0.4, 0, (1, 0, 1)), (0.5, 0.3, 1, (1, 1, 1))):
+        m = Arima(_simulated(3000, phi, theta, d, seed=3), order)
+        assert abs(m.ar[0] - phi) < 0.08, (phi, m.ar)
+        assert not theta or abs(m.ma[0] - theta) < 0.1, (theta, m.ma)
+        assert abs(m.sigma2 - 1.0) < 0.1
+
+
+def test_forecast_intervals_cover():
+    inside = total = 0
+    for seed in range(60):
+        y = _simulated(425, 0.6, 0.3, 1, seed=seed)
+        mean, error = Arima(y[:400], (1, 1, 1)).forecast(25)
+        hit = np.abs(y[400:] - mean) <= 1.96 * error
+        inside, total = inside + hit.sum(), total + len(hit)
+        assert (np.diff(error) > 0).all()
+    assert 0.88 < inside / total <= 1.0
+
+
+def test_adf_p_value():
+    assert abs(adf_p_value(-2.8615) - 0.05) < 0.001 and abs(adf_p_value(-3.4303) - 0.01) < 0.0005
+    assert adf_p_value(5.0) == 1.0 and adf_p_value(-30.0) == 0.0 and adf_p_value(0.0) > 0.9
+    assert adf_p_value(adf_one(_simulated(400, 0.3))[0]) < 0.01 < 0.1 < adf_p_value(adf_one(_simulated(400, 0.0, d=1, seed=1))[0])
+
+
+def test_long_series_with_large_values_is_exact(spark):
+    import datetime as dt
+    from adlake.timeseries.series import acf, rolling_stats
+    values = [100_000 + (2_000 if i % 2 else -2_000) * (1 + i % 5) for i in range(1000)]
+    s = spark.createDataFrame([(1, dt.date(2020, 1, 1) + dt.timedelta(days=i), v * 100) for i, v in enumerate(values)], "series_id long, day date, cents long")
+    x = np.array(values, float)
+    x -= x.mean()
+    for r in acf(s).collect():
+        assert abs(r.acf - (x[: -r.lag] @ x[r.lag :]) / (x @ x)) < 1e-12
+    rows = rolling_stats(s.withColumn("cents", s["cents"] * 100_000)).orderBy("day").collect()
+    assert rows[10].rolling_std is None
+    assert abs(rows[500].rolling_std / (np.std(values[489:501], ddof=1) * 1e5) - 1) < 1e-9
+
+
+def test_arima_groups(spark):
+    import datetime as dt
+    rows = [(k, dt.date(2024, 1, 1) + dt.timedelta(days=i), float(v)) for k in (1, 2) for i, v in enumerate(_simulated(120, 0.5, d=1, seed=k))]
+    rows += [(3, dt.date(2024, 1, 1), 5.0), *[(4, dt.date(2024, 1, 1) + dt.timedelta(days=i), 2.0 * i) for i in range(6)]]
+    out = arima(spark.createDataFrame(rows, "series_id long, day date, value double")).collect()
+    ahead = [r for r in out if r.kind == "forecast"]
+    assert {r.series_id for r in ahead} == {1, 2, 4} and len(ahead) == 75
+    assert all(r.lower <= r.mean <= r.upper for r in ahead) and [r.mean for r in ahead if r.series_id == 4][:2] == [12.0, 14.0]
