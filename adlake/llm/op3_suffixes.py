@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from adlake.llm.tables import document_key, written
+from adlake.llm.tables import document_key, maybe_in, written
 from adlake.llm.tokens import byte_values, column_bytes, mix, pieces, powers
 
 MATCH = 400
@@ -293,10 +293,11 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, ba
     and the places (k1, k2, lo, hi), hi included, where repeated strings start."""
     found = written(suffixes(docs, match, window, batches), "suffixes", "batch")
     suffix, inside = found.where("n > 0"), found.where("n = 0")
-    hits = written(suffix.drop("batch").join(shared_seeds(suffix, batches), "seed"), "suffix-hits")
+    shared = shared_seeds(suffix, batches)
+    hits = written(maybe_in(suffix.drop("batch"), "seed", shared).join(shared, "seed"), "suffix-hits")
     some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents")
     rows = docs.select(document_key().alias("d"), "text").select("d.k1", "d.k2", F.col("text").cast("string").alias("text"))
-    texts = written(rows.join(some, ["k1", "k2"]).dropDuplicates(["k1", "k2"]), "suffix-texts")
+    texts = written(maybe_in(rows, "k1", some).join(some, ["k1", "k2"]).dropDuplicates(["k1", "k2"]), "suffix-texts")
 
     whole, doubt = _repeated(hits, "seed", "span", ["k1", "k2", "at", "lo", "hi"], "suffix")
     spans = [inside.select("k1", "k2", "lo", "hi"), whole.select("k1", "k2", "lo", "hi")]

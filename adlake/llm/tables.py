@@ -43,6 +43,19 @@ def written(df: DataFrame, name: str, *parts: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+FILTER_BUCKETS = 1 << 20
+
+
+def maybe_in(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose hash `key` (long) may be among `keys`, before a join that
+    would shuffle them all: a semi-join with the remainders of the keys, a
+    broadcast of at most FILTER_BUCKETS numbers however many keys there are.
+    With very many keys it keeps everything, and the join decides alone."""
+    some = keys.select(F.pmod(F.col(key), F.lit(FILTER_BUCKETS)).alias("_bucket")).distinct()
+    return (rows.withColumn("_bucket", F.pmod(F.col(key), F.lit(FILTER_BUCKETS)))
+            .join(F.broadcast(some), "_bucket", "left_semi").drop("_bucket"))
+
+
 def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """A document's identity: its id and 128 bits of its text.  Rows equal in
     both are one document; a null id is a value like any other, below all."""
