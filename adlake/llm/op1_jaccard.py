@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.components import connected
-from adlake.llm.tables import document_key, written
+from adlake.llm.tables import document_key, maybe_in, written
 from adlake.llm.tokens import shingle_sets
 
 SHINGLE = 5
@@ -261,7 +261,8 @@ def candidate_sets(docs: DataFrame, sets: DataFrame, shingle: int, percent: int)
     """(cid, n, prefix, tokens) of the classes that share enough shingles."""
     some = sets.where(F.col("shared") * 100 >= F.col("n") * percent).where("n > 0")
     classes = written(some.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("d")), "jaccard-classes")
-    texts = docs.select(document_key().alias("d"), "text").join(classes, "d").dropDuplicates(["cid"])
+    rows = docs.select(document_key().alias("d"), "text").withColumn("k1", F.col("d.k1"))
+    texts = maybe_in(rows, "k1", classes.select("d.k1")).join(classes, "d").dropDuplicates(["cid"])
     blocks = written(texts.select("cid", F.col("text").cast("string")).mapInArrow(_as_blocks(shingle), _BLOCK_SQL), "jaccard-sets")
     buckets = _buckets(classes.agg(F.sum("n")).first()[0] or 0)
     counts = (blocks.select("block", "tokens").mapInArrow(_count_out(buckets), "bucket int, block long, tokens binary, n binary")
