@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import tempfile
 
@@ -18,8 +19,49 @@ def test_hourly_spend_stream_matches_batch_for_closed_windows(spark):
     got = {(r.campaign_id, r.hour_start): (r.cost, r.n) for r in spark.read.parquet(sink).collect()}
     batch = hourly_spend(ev).collect()
     max_ts = ev.agg(F.max("ts")).first()[0]
-    import datetime as dt
     closed = {(r.campaign_id, r.hour_start): (r.cost, r.n) for r in batch
               if r.hour_end <= max_ts - dt.timedelta(minutes=20)}
     assert closed and all(got.get(k) == v for k, v in closed.items())
     assert set(got) <= {(r.campaign_id, r.hour_start) for r in batch}
+
+
+def _cost_rows():
+    asof = dt.datetime(2024, 1, 29, 13, 5)
+    rows = [("acc", c, f"c{c}", "ENABLED", asof - dt.timedelta(days=7 * k), 10.0, 3.0) for c in (1, 2) for k in range(1, 5)]
+    rows += [("acc", 1, "c1", "ENABLED", asof, 20.0, 3.0), ("acc", 1, "c1", "ENABLED", asof + dt.timedelta(minutes=9), 5.0, 4.0),
+             ("acc", 2, "c2", "ENABLED", asof, 12.0, 3.0), ("acc", 2, "c2", "PAUSED", asof, 90.0, 3.0),
+             ("acc", 3, "c3", "ENABLED", asof - dt.timedelta(days=1), 1.0, 3.0), ("acc", 3, "c3", "ENABLED", asof, 9.0, 3.0)]
+    return rows, "account string, campaign_id long, name string, status string, ts timestamp, cost double, amount double"
+
+
+def test_streamed_alerts_equal_the_batch_job(spark, tmp_path):
+    from adlake.plans.operations import AlertParams, spend_alert
+    from adlake.streaming.spend_stream import hourly_history, run_spend_alerts
+    rows, schema = _cost_rows()
+    cost = spark.createDataFrame(rows, schema)
+    config = spark.createDataFrame([("acc", "50", "5", "who", 1)], "account string, pct string, abs string, contact string, pos int")
+    today = cost.where("ts >= '2024-01-29'")
+    late = spark.createDataFrame([("acc", 9, "c9", "ENABLED", dt.datetime(2024, 1, 29, 18, 0), 0.0, 0.0)], schema)  # closes the windows before
+    today.unionByName(late).coalesce(1).write.parquet(str(tmp_path / "in"))
+    p = AlertParams("2024-01-29", 13)
+    history = hourly_history(cost.where("ts < '2024-01-29'"))
+    run_spend_alerts(spark, str(tmp_path / "in"), cost.schema, history, config, p, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    cols = ["account", "contact", "campaign_id", "name", "hour", "today", "budget", "average", "difference", "pct_change", "pct"]
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(*cols).collect()))
+    want = sorted(map(tuple, spend_alert(cost, config, p).select(*cols).collect()))
+    assert got == want and [r[2] for r in got] == [1, 3]
+
+
+def test_streamed_upsert_equals_the_batch_result(spark, tmp_path):
+    from adlake.sources.sinks import replace_from
+    from adlake.streaming.upsert import run_upsert_by_date
+    day = lambda n: dt.date(2024, 1, n)
+    batches = [[(day(i), "a", 1) for i in range(1, 6)] + [(day(2), "b", 1)], [(day(3), "a", 2), (day(4), "a", 2)], [(day(2), "b", 3)]]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "d date, region string, v int")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        replace_from(df, str(tmp_path / "want"), "d", scope=["region"])
+    query = run_upsert_by_date(spark, str(tmp_path / "in"), df.schema, str(tmp_path / "got"), "d", str(tmp_path / "ck"), scope=["region"])
+    query.awaitTermination()
+    held = lambda name: sorted((r.region, r.d, r.v) for r in spark.read.parquet(str(tmp_path / name)).collect())
+    assert held("got") == held("want") == [("a", day(1), 1), ("a", day(2), 1), ("a", day(3), 2), ("a", day(4), 2), ("b", day(2), 3)]
