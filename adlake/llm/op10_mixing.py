@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.tables import written
+from adlake.llm.tables import own_columns, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -145,16 +145,17 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats:
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mix itself: a row of `docs` for every time it is taken, with
-    mix_round and mix_finish, range-sorted by finish time.  Rows equal in
+    mix_round and mix_finish (in place of columns of these names), range-sorted
+    by finish time.  Rows equal in
     doc_id and text are taken alike, as often as the one that is taken most."""
     plan = mix_plan(docs, weights, max_repeats)
     taken = (plan.where("rounds > 0").groupBy("doc_id", "place")
              .agg(F.max(F.struct("rounds", "first_finish", "source_size", "target")).alias("_mix")))
-    keyed = docs.withColumn("_place", F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")))
-    hit = (keyed["doc_id"].cast("bigint").eqNullSafe(taken["doc_id"])) & (keyed["_place"] == taken["place"])
-    rows = keyed.join(taken, hit).select(*[keyed[c] for c in docs.columns], "_mix")
+    taken = taken.select(F.col("doc_id").alias("__id"), F.col("place").alias("__at"), F.col("_mix").alias("__mix"))
+    keyed = docs.withColumn("__place", F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")))
+    rows = keyed.join(taken, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__place") == F.col("__at")))
     out = rows.select(
-        *docs.columns, F.explode(F.sequence(F.lit(0), F.col("_mix.rounds") - 1)).alias("mix_round"), "_mix")
-    finish = F.col("_mix.first_finish") + F.col("mix_round") * F.col("_mix.source_size") / F.col("_mix.target")
-    out = out.withColumn("mix_finish", finish).drop("_mix")
+        *own_columns(docs, "mix_round", "mix_finish"), F.explode(F.sequence(F.lit(0), F.col("__mix.rounds") - 1)).alias("mix_round"), "__mix")
+    finish = F.col("__mix.first_finish") + F.col("mix_round") * F.col("__mix.source_size") / F.col("__mix.target")
+    out = out.withColumn("mix_finish", finish).drop("__mix")
     return out.repartitionByRange("mix_finish").sortWithinPartitions("mix_finish", "doc_id")

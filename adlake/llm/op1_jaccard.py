@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.components import connected
-from adlake.llm.tables import document_key, maybe_in, written
+from adlake.llm.tables import document_key, maybe_in, own_columns, written
 from adlake.llm.tokens import shingle_sets
 
 SHINGLE = 5
@@ -462,8 +462,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     without shingles all stay.  All columns as they are."""
     found = components(docs)
     keep = found.where("n_shingles = 0").select("doc_id", "k1", "k2").unionByName(found.where("n_shingles > 0").select("first.*")).distinct()
-    keep = written(keep, "jaccard-kept").select(F.struct("doc_id", "k1", "k2").alias("_doc"), F.lit(True).alias("_keep"))
+    keep = written(keep, "jaccard-kept").select(F.struct("doc_id", "k1", "k2").alias("__doc"))
     bare = F.length(F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) == 0
-    rows = docs.withColumn("_doc", document_key()).join(keep, "_doc")
+    rows = docs.withColumn("__doc", document_key()).join(keep, "__doc")
     own = F.when(bare, F.monotonically_increasing_id()).otherwise(F.lit(-1))  # documents without shingles are no repeats
-    return rows.withColumn("_own", own).dropDuplicates(["_doc", "_own"]).select(*[F.col(c) for c in docs.columns])
+    return rows.withColumn("__own", own).dropDuplicates(["__doc", "__own"]).select(*own_columns(docs))

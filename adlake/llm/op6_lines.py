@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.tables import document_key, written
+from adlake.llm.tables import document_key, own_columns, written
 
 MIN_LINES = 2
 LONG_LINE = 200
@@ -75,22 +75,22 @@ def without_lines(lines: Column, gone: Column) -> Column:
 
 
 def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
-    """All rows and columns of `docs` and `_lines` with n_lines (not blank),
+    """All rows and columns of `docs` and `_lines` (in place of a column of that name) with n_lines (not blank),
     n_removed, n_runs and kept, the text left.
 
     Null texts have no lines and kept is empty; blank lines stay.  Rows equal
     in doc_id and text are one document and share a result; lines are equal if
     they are after trimming white space.  An empty table gives an empty one."""
-    gone = repeated_lines(docs, min_lines, long_line).withColumnRenamed("doc", "_doc")
-    rows = docs.withColumn("_doc", document_key()).join(gone, "_doc", "left").select(
-        *[docs[c] for c in docs.columns], F.split(F.coalesce(docs["text"], F.lit("")), "\n").alias("_all"),
-        F.col("gone").alias("_gone"), F.col("n_runs").alias("_runs"))
-    kept = F.when(F.col("_gone").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(without_lines(F.col("_all"), F.col("_gone")))
+    gone = repeated_lines(docs, min_lines, long_line).select(
+        F.col("doc").alias("__doc"), F.col("gone").alias("__gone"), F.col("n_runs").alias("__runs"))
+    rows = docs.withColumn("__doc", document_key()).join(gone, "__doc", "left").select(
+        *own_columns(docs), F.split(F.coalesce(F.col("text"), F.lit("")), "\n").alias("__all"), "__gone", "__runs")
+    kept = F.when(F.col("__gone").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(without_lines(F.col("__all"), F.col("__gone")))
     measured = F.struct(
-        F.size(F.filter("_all", lambda x: _trimmed(x) != "")).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce(F.col("_runs"), F.lit(0)).cast("bigint").alias("n_runs"), kept.alias("kept"))
-    return rows.select(*docs.columns, measured.alias("_lines"))
+        F.size(F.filter("__all", lambda x: _trimmed(x) != "")).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(F.col("__runs"), F.lit(0)).cast("bigint").alias("n_runs"), kept.alias("kept"))
+    return rows.select(*own_columns(docs, "_lines"), measured.alias("_lines"))
 
 
 def report(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:

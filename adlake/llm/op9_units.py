@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from adlake.llm.tables import document_key, written
+from adlake.llm.tables import document_key, own_columns, written
 
 SEPARATORS = {"line": r"\n", "paragraph": r"\n(?:[\x20\x09-\x0D]*\n)+"}
 MIN_CHARS = 60  # shorter normalised units repeat by chance and stay
@@ -76,19 +76,19 @@ def cut_units(text: Column, units: Column, unit: str = "line") -> Column:
 
 
 def deduplicated(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS) -> DataFrame:
-    """All rows and columns of `docs` and `_units` with n_units, n_removed,
+    """All rows and columns of `docs` and `_units` (in place of a column of that name) with n_units, n_removed,
     kept (the text left) and spans (offsets of removed units in the original).
 
     Null and empty texts have no units of that length and nothing to remove;
     kept is then empty.  Rows equal in doc_id and text are one document and
     share a result.  An empty table gives an empty one."""
     gone = later_units(unit_rows(docs, unit, min_chars))
-    rows = docs.withColumn("_doc", document_key()).join(gone.select(F.col("doc").alias("_doc"), F.col("units").alias("_gone")), "_doc", "left")
-    rows = rows.withColumn("_cut", cut_units(F.col("text").cast("string"), F.col("_gone"), unit))
+    rows = docs.withColumn("__doc", document_key()).join(gone.select(F.col("doc").alias("__doc"), F.col("units").alias("__gone")), "__doc", "left")
+    rows = rows.withColumn("__cut", cut_units(F.col("text").cast("string"), F.col("__gone"), unit))
     measured = F.struct(
         F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", SEPARATORS[unit]))).cast("bigint").alias("n_units"),
-        (F.size("_cut.spans") / 2).cast("bigint").alias("n_removed"), F.col("_cut.kept").alias("kept"), F.col("_cut.spans").alias("spans"))
-    return rows.select(*[docs[c] for c in docs.columns], measured.alias("_units"))
+        (F.size("__cut.spans") / 2).cast("bigint").alias("n_removed"), F.col("__cut.kept").alias("kept"), F.col("__cut.spans").alias("spans"))
+    return rows.select(*own_columns(docs, "_units"), measured.alias("_units"))
 
 
 def report(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS) -> DataFrame:

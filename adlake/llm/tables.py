@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from adlake.session import checkpoint_dir
 
 
+def own_columns(df: DataFrame, *without: str) -> list[Column]:
+    """All columns of `df` by their exact names, but those of `without`."""
+    return [F.col(f"`{c}`") for c in df.columns if c not in without]
+
+
 BATCH_BYTES = 8 << 20
 
 

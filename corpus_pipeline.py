@@ -27,7 +27,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     changed = F.col("_lines.n_removed") > 0
     new = {"text": F.col("_lines.kept"), "n_chars": F.length("_lines.kept")}
     return rows.where(~emptied).select(*[
-        F.when(changed, new[c].cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in docs.columns])
+        F.when(changed, new[c].cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
