@@ -25,6 +25,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def sex_of(outcome) -> Column:
+    """'Spayed Female' -> 'Female'; unmapped and NULL stay NULL."""
+    return dict_map(outcome, SEX)
+
+
+def neutered_state(outcome) -> Column:
+    return dict_map(outcome, NEUTERED)
+
+
 def split_nth(text, sep: str, n: int) -> Column:
     """n-th token (0-based) of ``split(text, sep)``; NULL when missing."""
     return F.get(F.split(_c(text), sep), n)
