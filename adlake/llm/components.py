@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from adlake.llm.tables import written
 
 
-def _star(edges: DataFrame, name: str) -> DataFrame:
+ROWS_PER_TASK = 50_000
+
+
+def _star(edges: DataFrame, name: str, tasks: int) -> DataFrame:
     """Each (u, v) with `m`, the least neighbour of u.  The minimum is partial
     and written, so that the join can split a node that has very many edges."""
-    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), f"{name}-least")
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), f"{name}-least")
     return edges.join(least, "u")
 
 
@@ -24,13 +27,14 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
 
     current = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
     before = state(current)
+    tasks = 2 * before[0] // ROWS_PER_TASK + 1  # few edges need few files; their number never grows
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both, name).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        large = written(large, f"{name}-large")
-        small = _star(large, name)
+        large = _star(both, name, tasks).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        large = written(large.coalesce(tasks), f"{name}-large")
+        small = _star(large, name, tasks)
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        current = written(small.select("e.u", "e.v").where("u <> v").distinct(), name)
+        current = written(small.select("e.u", "e.v").where("u <> v").distinct().coalesce(tasks), name)
         now = state(current)
         if now == before:
             break

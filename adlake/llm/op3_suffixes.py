@@ -291,7 +291,7 @@ def _with_texts(texts: DataFrame, marks: DataFrame, fields: list[str]) -> DataFr
 def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): the texts with matching seeds (k1, k2, text), once each,
     and the places (k1, k2, lo, hi), hi included, where repeated strings start."""
-    found = written(suffixes(docs, match, window, batches), "suffixes", "batch")
+    found = written(suffixes(docs, match, window, batches), "suffixes")
     suffix, inside = found.where("n > 0"), found.where("n = 0")
     shared = shared_seeds(suffix, batches)
     hits = written(maybe_in(suffix.drop("batch"), "seed", shared).join(shared, "seed"), "suffix-hits")
