@@ -297,7 +297,8 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, ba
     hits = written(maybe_in(suffix.drop("batch"), "seed", shared).join(shared, "seed"), "suffix-hits")
     some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents")
     rows = docs.select(document_key().alias("d"), "text").select("d.k1", "d.k2", F.col("text").cast("string").alias("text"))
-    texts = written(maybe_in(rows, "k1", some).join(some, ["k1", "k2"]).dropDuplicates(["k1", "k2"]), "suffix-texts")
+    # Copies are dropped inside the tasks that read them, before they could meet in one.
+    texts = written(maybe_in(rows, "k1", some).dropDuplicates(["k1", "k2"]).join(some, ["k1", "k2"]), "suffix-texts")
 
     whole, doubt = _repeated(hits, "seed", "span", ["k1", "k2", "at", "lo", "hi"], "suffix")
     spans = [inside.select("k1", "k2", "lo", "hi"), whole.select("k1", "k2", "lo", "hi")]
