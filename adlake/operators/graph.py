@@ -1,7 +1,7 @@
 """Adjacency lists (AG15) in bounded pages.
 
 A vertex's neighbour list is never collected whole: neighbours are grouped by
-``(vertex, neighbour // page_size)``, so no output row (and no aggregation
+``(vertex, neighbour // page_size)``, repeated links first made one, so no output row (and no aggregation
 buffer) holds more than ``page_size`` ids even for a vertex with a third of
 all edges.
 """
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 def adjacency_paged(edges: DataFrame, src: str, dst: str, page_size: int = 1024) -> DataFrame:
     page = F.floor(F.col(dst) / page_size).cast("bigint")
-    return (edges.groupBy(F.col(src).alias("vertex"), page.alias("page"))
-            .agg(F.sort_array(F.collect_list(dst)).alias("neighbours")))
+    links = edges.select(F.col(src).alias("vertex"), F.col(dst).alias("_neighbour"), page.alias("page")).distinct()
+    return links.groupBy("vertex", "page").agg(F.sort_array(F.collect_list("_neighbour")).alias("neighbours"))
 
 
 def adjacency_both(edges: DataFrame, a: str, b: str, a_name: str, b_name: str,
