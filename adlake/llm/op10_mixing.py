@@ -133,7 +133,7 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats:
     read.  Reruns agree: order and cut are functions of the rows alone."""
     sized = written(sized_rows(docs), "mix-sized")
     targets = written(source_targets(sized, weights, max_repeats), "mix-target")
-    queue = written(queued(sized, targets), "mix-queue")
+    queue = written(queued(sized, targets), "mix-queue", sized.count())
     budget = targets.agg(F.sum("source_size")).first()[0] or 0
     cut = cut_time(queue, budget, max_repeats)
     rounds = F.when(F.col("target") > 0, F.size(F.filter(finish_times(max_repeats), lambda t: t <= F.lit(cut)))).otherwise(0)

@@ -259,25 +259,27 @@ def _prefixes(buckets: int, percent: int):
 
 def candidate_sets(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(cid, n, prefix, tokens) of the classes that share enough shingles."""
+    rows = 10 * sets.count()  # sets are longer than rows of other tables
     some = sets.where(F.col("shared") * 100 >= F.col("n") * percent).where("n > 0")
-    classes = written(some.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("d")), "jaccard-classes")
-    rows = docs.select(document_key().alias("d"), "text").withColumn("k1", F.col("d.k1"))
-    texts = maybe_in(rows, "k1", classes.select("d.k1")).join(classes, "d").dropDuplicates(["cid"])
-    blocks = written(texts.select("cid", F.col("text").cast("string")).mapInArrow(_as_blocks(shingle), _BLOCK_SQL), "jaccard-sets")
+    classes = written(some.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("d")), "jaccard-classes", rows)
+    keyed = docs.select(document_key().alias("d"), "text").withColumn("k1", F.col("d.k1"))
+    texts = maybe_in(keyed, "k1", classes.select("d.k1")).join(classes, "d").dropDuplicates(["cid"])
+    blocks = written(texts.select("cid", F.col("text").cast("string")).mapInArrow(_as_blocks(shingle), _BLOCK_SQL), "jaccard-sets", rows)
     buckets = _buckets(classes.agg(F.sum("n")).first()[0] or 0)
     counts = (blocks.select("block", "tokens").mapInArrow(_count_out(buckets), "bucket int, block long, tokens binary, n binary")
               .groupBy("bucket").applyInArrow(_count_back, "bucket int, block long, n binary"))
     found = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
         _prefixes(buckets, percent), "cid binary, n long, prefix array<long>, tokens binary")
-    return written(found, "jaccard-candidates")
+    return written(found, "jaccard-candidates", rows)
 
 
 def families(candidates: DataFrame) -> DataFrame:
     """(node, root): classes connected by prefix shingles."""
+    rows = candidates.agg(F.sum(F.size("prefix"))).first()[0] or 0
     entries = candidates.select("cid", F.explode("prefix").alias("token"))
-    first = written(entries.groupBy("token").agg(F.min("cid").alias("v"), F.max("cid").alias("last")).where("v <> last").drop("last"), "jaccard-tokens")
+    first = written(entries.groupBy("token").agg(F.min("cid").alias("v"), F.max("cid").alias("last")).where("v <> last").drop("last"), "jaccard-tokens", rows)
     edges = entries.join(first, "token").where("cid <> v").select(F.col("cid").alias("u"), "v").distinct()
-    return connected(edges, "jaccard-families")
+    return connected(edges, "jaccard-families", rows)
 
 
 # 3. Signature trees.
@@ -393,15 +395,16 @@ def cells(candidates: DataFrame, roots: DataFrame) -> DataFrame:
     nodes of its band and those of the next band, as no other sizes can link."""
     own = candidates.join(roots.withColumnRenamed("node", "cid"), "cid").select(
         "root", "cid", "n", "tokens", F.floor(F.log("n") / math.log(BAND)).cast("int").alias("band"))
-    own = written(own, "jaccard-family-sets")
+    n = 10 * candidates.count()
+    own = written(own, "jaccard-family-sets", n)
     small = "sets <= {} and shingles <= {}".format(LEAF_SETS, LEAF_SHINGLES)
     totals = own.groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-    whole = written(totals.select("root", F.expr(small).alias("whole")), "jaccard-family-sizes")
+    whole = written(totals.select("root", F.expr(small).alias("whole")), "jaccard-family-sizes", n)
     parts = own.groupBy("root", "band").agg(F.greatest(F.ceil(F.count("*") / LEAF_SETS), F.ceil(F.sum("n") / LEAF_SHINGLES)).cast("int").alias("nodes"))
-    parts = written(parts, "jaccard-bands")
+    parts = written(parts, "jaccard-bands", n)
     near = (parts.join(parts.select("root", (F.col("band") - 1).alias("band"), F.col("nodes").alias("above")), ["root", "band"], "left")
             .join(parts.select("root", (F.col("band") + 1).alias("band"), F.col("nodes").alias("below")), ["root", "band"], "left"))
-    near = written(near.join(whole, "root"), "jaccard-nodes")
+    near = written(near.join(whole, "root"), "jaccard-nodes", n)
     rows = own.join(near, ["root", "band"])
     node = F.pmod(F.xxhash64("cid"), F.col("nodes")).cast("int")
     count = lambda c: F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
@@ -440,13 +443,14 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     null, and null only where there is none.  Repeated rows are documents with
     equal sets.  Other columns are not read; an empty table gives no rows."""
     sets = written(document_sets(docs, shingle), "jaccard-documents")
-    roots = connected(links(docs, sets, shingle, percent), "jaccard-links")
+    n = sets.count()
+    roots = connected(links(docs, sets, shingle, percent), "jaccard-links", 4 * n)
     some = sets.where("n > 0")
     classes = some.groupBy("cid").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
     named = written(classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-                    .withColumn("root", F.coalesce("root", "cid")), "jaccard-roots")
-    whole = written(named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first")), "jaccard-components")
-    by_class = written(named.select("cid", "root").join(whole, "root").drop("root"), "jaccard-by-class")
+                    .withColumn("root", F.coalesce("root", "cid")), "jaccard-roots", n)
+    whole = written(named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first")), "jaccard-components", n)
+    by_class = written(named.select("cid", "root").join(whole, "root").drop("root"), "jaccard-by-class", n)
     out = ["doc_id", "k1", "k2", F.col("n").alias("n_shingles")]
     alone = sets.where("n = 0").select(*out, F.col("doc_id").alias("component_id"), F.struct("doc_id", "k1", "k2").alias("first"))
     return some.join(by_class, "cid").select(*out, "component_id", "first").unionByName(alone)

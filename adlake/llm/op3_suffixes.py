@@ -174,6 +174,7 @@ class Levels:
     is the logarithm of the batches in it."""
 
     levels: list[tuple[int, DataFrame]] = field(default_factory=list)
+    rows: int | None = None  # bound of a run's rows, if known
 
     def add(self, suffixes: DataFrame) -> list[DataFrame]:
         """Index a batch; the seeds that it has twice or shares with a level."""
@@ -186,30 +187,30 @@ class Levels:
         self.levels.append((0, run))
         return shared
 
-    @staticmethod
-    def _run(rows: DataFrame) -> DataFrame:
-        return written(rows.sortWithinPartitions("seed"), "suffix-run")
+    def _run(self, seeds: DataFrame) -> DataFrame:
+        return written(seeds.sortWithinPartitions("seed"), "suffix-run", self.rows)
 
 
 def shared_seeds(found: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(seed) that two suffixes or more have."""
-    index, shared = Levels(), []
+    rows = found.count()
+    index, shared = Levels(rows=rows), []
     for batch in range(batches):
         shared += index.add(found.where(F.col("batch") == batch))
-    return written(reduce(DataFrame.unionByName, shared).distinct(), "suffix-seeds")
+    return written(reduce(DataFrame.unionByName, shared).distinct(), "suffix-seeds", rows)
 
 
 # Exact lengths.
 
 
-def _repeated(rows: DataFrame, need: str, whole: str, ref: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+def _repeated(rows: DataFrame, need: str, whole: str, ref: list[str], name: str, n: int) -> tuple[DataFrame, DataFrame]:
     """(rows whose `whole` occurs twice, by their `n`, representatives in doubt).
 
     A representative stands for each (need, whole); it is in doubt where
     another `whole` has the same `need`."""
-    classes = written(rows.groupBy(need, whole).agg(F.min(F.struct(*ref)).alias("ref"), F.sum("n").alias("n")), f"{name}-classes")
-    twice = written(classes.where("n > 1").select(need, whole), f"{name}-twice")
-    several = written(classes.groupBy(need).agg(F.count("*").alias("kinds")).where("kinds > 1").select(need), f"{name}-several")
+    classes = written(rows.groupBy(need, whole).agg(F.min(F.struct(*ref)).alias("ref"), F.sum("n").alias("n")), f"{name}-classes", n)
+    twice = written(classes.where("n > 1").select(need, whole), f"{name}-twice", n)
+    several = written(classes.groupBy(need).agg(F.count("*").alias("kinds")).where("kinds > 1").select(need), f"{name}-several", n)
     return rows.join(twice, [need, whole]), classes.join(several, need).select(need, "ref.*")
 
 
@@ -292,26 +293,27 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, ba
     """(texts, spans): the texts with matching seeds (k1, k2, text), once each,
     and the places (k1, k2, lo, hi), hi included, where repeated strings start."""
     found = written(suffixes(docs, match, window, batches), "suffixes")
+    n = found.count()  # bounds the tables below; ranges and strings in doubt are of the same order
     suffix, inside = found.where("n > 0"), found.where("n = 0")
     shared = shared_seeds(suffix, batches)
-    hits = written(maybe_in(suffix.drop("batch"), "seed", shared).join(shared, "seed"), "suffix-hits")
-    some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents")
+    hits = written(maybe_in(suffix.drop("batch"), "seed", shared).join(shared, "seed"), "suffix-hits", n)
+    some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents", n)
     rows = docs.select(document_key().alias("d"), "text").select("d.k1", "d.k2", F.col("text").cast("string").alias("text"))
     # Copies are dropped inside the tasks that read them, before they could meet in one.
-    texts = written(maybe_in(rows, "k1", some).dropDuplicates(["k1", "k2"]).join(some, ["k1", "k2"]), "suffix-texts")
+    texts = written(maybe_in(rows, "k1", some).dropDuplicates(["k1", "k2"]).join(some, ["k1", "k2"]), "suffix-texts", n)
 
-    whole, doubt = _repeated(hits, "seed", "span", ["k1", "k2", "at", "lo", "hi"], "suffix")
+    whole, doubt = _repeated(hits, "seed", "span", ["k1", "k2", "at", "lo", "hi"], "suffix", n)
     spans = [inside.select("k1", "k2", "lo", "hi"), whole.select("k1", "k2", "lo", "hi")]
     ranges = _with_texts(texts, doubt, ["at", "lo", "hi", "seed"]).mapInArrow(
         _ranges(match), "k1 long, k2 long, at int, near int, far int, seed long, need long, whole long")
-    ranges = written(ranges.withColumn("n", F.lit(1)), "suffix-ranges")
-    whole, doubt = _repeated(ranges, "need", "whole", ["k1", "k2", "at", "near", "far", "seed"], "range")
+    ranges = written(ranges.withColumn("n", F.lit(1)), "suffix-ranges", n)
+    whole, doubt = _repeated(ranges, "need", "whole", ["k1", "k2", "at", "near", "far", "seed"], "range", n)
     spans.append(whole.select("k1", "k2", (F.col("at") - F.col("far")).alias("lo"), (F.col("at") - F.col("near")).alias("hi")))
     strings = _with_texts(texts, doubt, ["at", "near", "far", "seed"]).mapInArrow(_strings(match), "k1 long, k2 long, start int, whole long")
-    strings = written(strings, "suffix-strings")
-    twice = written(strings.groupBy("whole").agg(F.count("*").alias("n")).where("n > 1").select("whole"), "string-twice")
+    strings = written(strings, "suffix-strings", n)
+    twice = written(strings.groupBy("whole").agg(F.count("*").alias("n")).where("n > 1").select("whole"), "string-twice", n)
     spans.append(strings.join(twice, "whole").select("k1", "k2", F.col("start").alias("lo"), F.col("start").alias("hi")))
-    return texts, written(reduce(DataFrame.unionByName, spans).distinct(), "suffix-spans")
+    return texts, written(reduce(DataFrame.unionByName, spans).distinct(), "suffix-spans", n)
 
 
 def cut(text: Column, marks: Column, match: int) -> Column:

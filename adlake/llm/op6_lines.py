@@ -37,11 +37,11 @@ def line_rows(docs: DataFrame) -> DataFrame:
                        F.length("at.body").alias("chars"))
 
 
-def _named(rows: DataFrame, by: list[str], step: str) -> DataFrame:
+def _named(rows: DataFrame, by: list[str], step: str, n: int) -> DataFrame:
     """`rows` whose `by` occurs more than once, with its name.  The grouping is
     partial; its result is written, so that the join can split a hot name."""
     names = written(rows.groupBy(*by).agg(F.min(F.struct("doc", "pos")).alias("name"), F.count("*").alias("n"))
-                    .where("n > 1").drop("n"), f"line-names-{step}")
+                    .where("n > 1").drop("n"), f"line-names-{step}", n)
     return rows.join(names, by).drop(*by)
 
 
@@ -49,15 +49,16 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int =
     """(doc, gone, n_runs): numbers of the lines to delete, ascending, and how
     many maximal runs they form."""
     lines = written(line_rows(docs), "lines")
-    once = written(_named(lines, ["id1", "id2"], "1").dropDuplicates(["doc", "pos"]), "line-suffixes-1")
+    n = lines.count()
+    once = written(_named(lines, ["id1", "id2"], "1", n).dropDuplicates(["doc", "pos"]), "line-suffixes-1", n)
     later = F.struct("doc", "pos") > F.col("name")
     suffixes, length = once.select("doc", "pos", "name"), 1
     while length < min_lines:
         step = min(length, min_lines - length)
         ahead = Window.partitionBy("doc").orderBy("pos").rangeBetween(step, step)  # a document's lines
         pairs = suffixes.withColumn("second", F.first("name").over(ahead)).where("second is not null")
-        pairs = written(pairs.select("doc", "pos", F.struct("name", "second").alias("pair")), f"line-pairs-{length + step}")
-        suffixes, length = _named(pairs, ["pair"], str(length + step)), length + step
+        pairs = written(pairs.select("doc", "pos", F.struct("name", "second").alias("pair")), f"line-pairs-{length + step}", n)
+        suffixes, length = _named(pairs, ["pair"], str(length + step), n), length + step
     runs = suffixes.where(later).select("doc", "pos", F.lit(True).alias("starts"))
     own = Window.partitionBy("doc").orderBy("pos")
     marked = (once.withColumn("alone", later & (F.col("chars") >= long_line)).join(runs, ["doc", "pos"], "left")

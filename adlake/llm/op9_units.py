@@ -39,7 +39,7 @@ def later_units(units: DataFrame) -> DataFrame:
     before its shuffle; it is written, so that the join back can be split."""
     units = written(units, "units")
     first = written(units.groupBy("digest").agg(F.min(F.struct("doc", "unit")).alias("first"), F.count("*").alias("n"))
-                    .where("n > 1").drop("n"), "unit-firsts")
+                    .where("n > 1").drop("n"), "unit-firsts", units.count())
     later = units.join(first, "digest").where(F.struct("doc", "unit") > F.col("first"))
     return later.groupBy("doc").agg(F.sort_array(F.collect_set("unit")).alias("units"))
 

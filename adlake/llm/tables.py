@@ -36,15 +36,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/adlake-llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, *parts: str) -> DataFrame:
+ROWS_PER_FILE = 50_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it again: lineage
-    ends there and any executor can be lost afterwards."""
+    ends there and any executor can be lost afterwards.
+
+    `rows`, a bound of the rows where one is known, keeps a small table from
+    becoming as many files as there are shuffle partitions; a table of more
+    rows than partitions x ROWS_PER_FILE is written by all of them."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    writer = df.write.mode("error")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(path)
+    if rows is not None:
+        df = df.coalesce(rows // ROWS_PER_FILE + 1)
+    df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
