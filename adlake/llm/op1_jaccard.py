@@ -172,11 +172,11 @@ _BLOCK_SQL = "block long, cids binary, sizes binary, tokens binary"
 
 def _as_blocks(shingle: int):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
         cids, sets, held = [], [], 0
 
         def done() -> pa.RecordBatch:
             sizes = np.array([len(s) for s in sets], np.int64)
+            block = xxhash.xxh64_intdigest(b"".join(cids)) >> 1  # a class is in one block only
             return pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.array([b"".join(cids)], pa.binary()), pa.array([sizes.tobytes()], pa.binary()), pa.array([np.concatenate(sets).tobytes()], pa.binary())],
                 names=["block", "cids", "sizes", "tokens"])
@@ -189,7 +189,7 @@ def _as_blocks(shingle: int):
                 held += len(tokens)
                 if held >= BLOCK_SHINGLES // 4:
                     yield done()
-                    block, cids, sets, held = block + 1, [], [], 0
+                    cids, sets, held = [], [], 0
         if sets:
             yield done()
 

@@ -68,6 +68,15 @@ def test_small_blocks_buckets_and_leaves(spark, monkeypatch):
     assert sorted(map(tuple, op1.report(frame(spark, rows)).collect()), key=str) == brute(rows)
 
 
+def test_many_partitions_in_one_task(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = corpus(5, n=40, families=8)
+        assert sorted(map(tuple, op1.report(frame(spark, rows).repartition(6)).collect()), key=str) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_one_of_each(spark):
     rows = corpus(4, n=20, families=4)
     docs = frame(spark, rows)
