@@ -42,7 +42,7 @@ from adlake.llm.tokens import shingle_sets
 SHINGLE = 5
 PERCENT = 75
 BUCKET_SHINGLES = 1 << 20  # shingles a bucket gets, about
-BLOCK_SHINGLES = 1 << 21  # shingles in a block
+BLOCK_SHINGLES = 1 << 20  # shingles in a block
 LEAF_SETS = 256
 LEAF_SHINGLES = 1 << 20
 BAND = 1.4  # above 100 / PERCENT, so that links are between neighbouring bands
@@ -187,7 +187,7 @@ def _as_blocks(shingle: int):
                 cids.append(own[row])
                 sets.append(tokens)
                 held += len(tokens)
-                if held >= BLOCK_SHINGLES // 4:
+                if held >= BLOCK_SHINGLES // 2:
                     yield done()
                     cids, sets, held = [], [], 0
         if sets:
