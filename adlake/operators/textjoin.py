@@ -2,78 +2,83 @@
 
 ``LEFT JOIN keys ON text LIKE '%' || key || '%'`` is a theta join; Spark can
 only run it as a broadcast nested loop, which compares every text with every
-key.  Here every place of a text is a row that holds the next few characters,
-and these rows are equi-joined to the keys on a short prefix:
-
-* texts are first cut into overlapping pieces, so a place is found in constant
-  time however long the text is, and no row holds more than a piece;
-* a place is a candidate only if its first ``PREFIX`` characters (fewer for
-  shorter keys) begin some key; the rest of the key is compared after the join;
-* keys are distinct, and pairs are made distinct after the join, so the result
-  never grows beyond real matches; a hot prefix is an ordinary skewed join key,
-  which AQE splits.
-
-The distinct key lengths are a small aggregate, read once when the plan is
-built; the texts themselves are not touched before the action.
+key.  Here the distinct keys become a multi-pattern automaton, and each text is
+read once, where it is, and yields the keys it contains:
+
+* work per text is linear in its length, whatever the number of keys; whole
+  texts are read;
+* keys are taken in blocks of about ``BLOCK_CHARS`` characters; a block, whose
+  size that bounds, is what the driver and each task hold.  More keys are more
+  blocks, and each adds its finds to the text's array;
+* texts are not shuffled, and need no id: the left join is ``explode_outer``
+  of the array.
+
+Blocks are read when the plan is built; the texts are not touched before the
+action.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+
+BLOCK_CHARS = 1 << 20
+
 
-PREFIX = 4
-PIECE = 1024
+def _finder(spark: SparkSession, block: list[str]):
+    """Column function: the distinct keys of a block in a text, sorted."""
+    sent = spark.sparkContext.broadcast(block)
+    built: list = []  # a task builds the automaton once
 
+    @arrow_udf("array<string>")
+    def find(texts: pa.Array) -> pa.Array:
+        import ahocorasick
 
-def key_lengths(keys: DataFrame, key_col: str) -> list[int]:
-    rows = keys.select(F.length(key_col).alias("n")).where(F.col("n").isNotNull()).distinct().collect()
-    return sorted(int(r["n"]) for r in rows)
+        if not built:
+            automaton = ahocorasick.Automaton()
+            for key in sent.value:
+                automaton.add_word(key, key)
+            automaton.make_automaton()
+            built.append(automaton)
+        found = [[] if t is None else sorted({key for _, key in built[0].iter(t)}) for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.string()))
 
+    return find
 
-def _places(texts: DataFrame, ids: Sequence[str], longest: int) -> DataFrame:
-    """(ids..., _next): for each place of ``_text`` the next ``longest``
-    characters, fewer at the end."""
-    size = max(PIECE, longest)
-    pieces = texts.select(*ids, F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("_pieces"))
-    overlapping = F.transform("_pieces", lambda x, i: F.struct(
-        x.alias("own"), F.concat(x, F.coalesce(F.left(F.get("_pieces", i + 1), F.lit(longest - 1)), F.lit(""))).alias("all")))
-    pieces = pieces.select(*ids, F.explode(overlapping).alias("_p"))
-    starts = F.transform(F.sequence(F.lit(1), F.length("_p.own")), lambda i: F.substring(F.col("_p.all"), i, F.lit(longest)))
-    return pieces.select(*ids, F.explode(starts).alias("_next"))
+
+def contained_keys(text: Column, keys: DataFrame, key_col: str, ignore_case: bool = False,
+                   block_chars: int = BLOCK_CHARS) -> Column:
+    """Array of the distinct keys that a text contains (literal match).  A NULL
+    text contains nothing, a NULL key is in nothing, the empty key in every
+    text."""
+    key = F.lower(key_col) if ignore_case else F.col(key_col)
+    k = keys.select(key.alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    total, empty = k.agg(F.sum(F.length("_key")), F.count(F.when(F.col("_key") == "", 1))).first()
+    text = F.lower(text) if ignore_case else text
+    none = F.array().cast("array<string>")
+    parts = [F.when(text.isNotNull(), F.array(F.lit(""))).otherwise(none)] if empty else []
+    blocks = -(-(total or 0) // block_chars)
+    for i in range(blocks):
+        own = k.where((F.col("_key") != "") & (F.pmod(F.xxhash64("_key"), F.lit(blocks)) == i)).orderBy("_key").collect()
+        if own:
+            parts.append(_finder(keys.sparkSession, [r["_key"] for r in own])(text))
+    return F.concat(*parts) if parts else none
 
 
 def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: DataFrame,
                      key_col: str, ignore_case: bool = False) -> DataFrame:
-    """Pairs (ids..., key) where ``text`` contains ``key`` (literal match;
-    each pair once).  A NULL key matches nothing, the empty key every text
-    that is not NULL."""
-    k = keys.select(F.col(key_col).alias("_key")).where(F.col("_key").isNotNull())
-    if ignore_case:
-        k = k.select(F.lower("_key").alias("_key"))
-    k = k.distinct()
-    text = F.lower(F.col(text_col)) if ignore_case else F.col(text_col)
-    texts = left.select(*ids, text.alias("_text")).where(F.col("_text").isNotNull())
-    lengths = key_lengths(k, "_key")
-    out = texts.select(*ids, F.lit("").alias("_key")) if 0 in lengths else None
-    if lengths and lengths[-1] > 0:
-        widths = sorted({min(n, PREFIX) for n in lengths if n > 0})
-        heads = F.array_distinct(F.array(*[F.left("_next", F.lit(w)) for w in widths])) if len(widths) > 1 else F.array(F.left("_next", F.lit(widths[0])))
-        places = _places(texts, ids, lengths[-1]).select(*ids, "_next", F.explode(heads).alias("_head"))
-        wanted = k.where(F.length("_key") > 0).select("_key", F.left("_key", F.lit(PREFIX)).alias("_head"))
-        found = places.join(wanted, "_head").where(F.startswith("_next", "_key")).select(*ids, "_key").distinct()
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = texts.select(*ids, F.lit(None).cast("string").alias("_key")).where(F.lit(False))
-    return out.withColumnRenamed("_key", key_col)
-
-
-def contains_join(left: DataFrame, ids: Sequence[str], text_col: str, keys: DataFrame,
-                  key_col: str, ignore_case: bool = False) -> DataFrame:
+    """Pairs (ids..., key) where ``text`` contains ``key``, each once for a
+    left row."""
+    found = contained_keys(F.col(text_col), keys, key_col, ignore_case)
+    return left.select(*ids, F.explode(found).alias(key_col))
+
+
+def contains_join(left: DataFrame, text_col: str, keys: DataFrame, key_col: str, ignore_case: bool = False) -> DataFrame:
     """Left theta join on containment: every left row once per matching key,
-    or once with a NULL key when nothing matches.  ``ids`` must identify a
-    left row (they are used to re-attach the unmatched rows)."""
-    m = contains_matches(left, ids, text_col, keys, key_col, ignore_case)
-    return left.join(m, list(ids), "left")
+    or once with a NULL key when nothing matches."""
+    found = contained_keys(F.col(text_col), keys, key_col, ignore_case)
+    return left.select("*", F.explode_outer(found).alias(key_col))

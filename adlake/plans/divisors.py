@@ -9,8 +9,8 @@ Inputs:
 * ``pnl``: purchased_date_utc, asin, item_price_usd
 * ``bulk``: campaign_id, creative_asins1..3
 
-Plan notes: the name match is the substring equi-join of
-``operators.textjoin``; the three per-slot sales lookups are one join of the
+Plan notes: the name match is the substring join of ``operators.textjoin``,
+which reads each name once and moves nothing; the three per-slot sales lookups are one join of the
 unpivoted slots with daily sales, folded back by a grouped ``max(when)``
 (one shuffle instead of three); every "one row per key" step is a partial
 aggregate.
@@ -48,7 +48,7 @@ def name_rows(ad_groups: list[DataFrame], product_master: DataFrame) -> DataFram
     camp = pick_per_key(camp, ["campaign_id", "report_date"], ["campaign_name"], latest=False, payload=[])
     asins = latest_per_key(product_master, ["child_asin"], "last_updated_date", payload=["brand"]) \
         .select(F.col("child_asin").alias("asin"))
-    matched = contains_join(camp, ["campaign_id", "report_date", "campaign_name"], "campaign_name", asins, "asin")
+    matched = contains_join(camp, "campaign_name", asins, "asin")
     slots = nth_rows_to_columns(matched, KEY, ["asin"], "asin", 3, prefix="_slot")
     return slots.select(*KEY, *[F.col(f"_slot{i + 1}").alias(s) for i, s in enumerate(SLOTS)],
                         F.when(F.col("_slot1").isNull(), F.lit(3)).otherwise(F.lit(1)).alias("data_source_priority"))

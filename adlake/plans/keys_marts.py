@@ -73,7 +73,7 @@ def contains_join_key(spark, sf):
     t = _t(spark, sf)
     words = t.part.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
     conv = t.conversations.select("conv_id", "turn", "text")
-    return contains_join(conv, ["conv_id", "turn"], "text", words, "word").select("conv_id", "turn", "word")
+    return contains_join(conv, "text", words, "word").select("conv_id", "turn", "word")
 
 
 @register("contains_documents", """

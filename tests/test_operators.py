@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from adlake.operators import relational as R
 from adlake.operators.allocation import even_allocation
 from adlake.operators.reshape import chunk_groups, global_rank, positions
-from adlake.operators.textjoin import contains_join, contains_matches
+from adlake.operators.textjoin import contained_keys, contains_join, contains_matches
 
 
 def _plan(df):
@@ -20,13 +20,13 @@ def test_contains_join_equals_nested_loop(spark):
     keys = sorted({"".join(rnd.choice(alpha) for _ in range(rnd.randint(1, 3))) for _ in range(12)})
     left = spark.createDataFrame(texts, "id int, t string")
     right = spark.createDataFrame([(k,) for k in keys], "k string")
-    got = [(r.id, r.k) for r in contains_join(left, ["id"], "t", right, "k").collect()]
+    got = [(r.id, r.k) for r in contains_join(left, "t", right, "k").collect()]
     want = []
     for i, t in texts:
         ms = [k for k in keys if t is not None and k in t]
         want += [(i, k) for k in ms] or [(i, None)]
     assert sorted(got, key=lambda x: (x[0], x[1] or "")) == sorted(want, key=lambda x: (x[0], x[1] or ""))
-    assert "NestedLoop" not in _plan(contains_join(left, ["id"], "t", right, "k"))
+    assert "NestedLoop" not in _plan(contains_join(left, "t", right, "k"))
 
 
 def test_pick_per_key_is_aggregate_and_total_order(spark):
@@ -77,7 +77,10 @@ def test_contains_join_of_long_texts(spark):
     for fold in (False, True):
         low = (lambda s: s.lower()) if fold else (lambda s: s)
         got = {(r.id, r.k) for r in contains_matches(left, ["id"], "t", right, "k", ignore_case=fold).collect()}
-        assert got == {(i, low(k)) for i, t in texts for k in keys if low(k) in low(t)}
+        want = {(i, low(k)) for i, t in texts for k in keys if low(k) in low(t)}
+        assert got == want
+        blocks = left.select("id", F.explode(contained_keys(F.col("t"), right, "k", fold, block_chars=50)).alias("k"))
+        assert sorted(map(tuple, blocks.collect())) == sorted(want)
 
 
 def test_nth_rows_to_columns(spark):
