@@ -32,20 +32,20 @@ def round2(c):
 
 def ads_summary(search_terms: DataFrame, sales_traffic: DataFrame, campaign_map: DataFrame,
                 asin_traffic: DataFrame) -> DataFrame:
-    """The fact table is read three times: its rows, one aggregate by (term,
-    targeting, date) that all monthly totals and daily row counts come from,
-    and one by (campaign, ad group, month), whose counts, carried through the
-    mappings, are the rows of a product type."""
+    """Beside its rows the fact table gives three small aggregates: one by
+    (term, targeting, month) that all monthly totals come from, row counts by
+    day, and row counts by (campaign, ad group, month), which, carried through
+    the mappings, are the rows of a product type."""
     facts = search_terms.withColumn("month", F.month("Date")).withColumn("year", F.year("Date"))
-    sums = [_exact_decimal("spend"), F.sum("Clicks").alias("Clicks"), _exact_decimal("_14_Day_Total_Sales"), F.sum("rows").alias("rows")]
-    base = facts.withColumn("rows", F.lit(1)).groupBy("Customer_Search_Term", "Targeting", "Date", "month", "year").agg(*sums)
+    sums = [_exact_decimal("spend"), F.sum("Clicks").alias("Clicks"), _exact_decimal("_14_Day_Total_Sales")]
+    base = facts.groupBy("Customer_Search_Term", "Targeting", "month", "year").agg(*sums)
 
     def monthly(key: str, stem: str) -> DataFrame:
         g = base.where(F.col(key).isNotNull()).groupBy(key, "month", "year").agg(*sums)
         return g.select(key, "month", "year", F.col("spend").cast("double").alias(f"{stem}_monthly_spend"), F.col("Clicks").alias(f"{stem}_monthly_clicks"),
                         F.col("_14_Day_Total_Sales").cast("double").alias(f"{stem}_monthly_sales"))
 
-    per_day = base.groupBy("Date").agg(F.sum("rows").alias("_rows"))
+    per_day = facts.groupBy("Date").agg(F.count("*").alias("_rows"))
     daily = sales_traffic.join(per_day, "Date", "left").select(
         "Date", *TRAFFIC, *[(F.col(t) / F.col("_rows")).alias(a) for t, a in zip(TRAFFIC, ADJUSTED)])
     campaigns = campaign_map.select(F.col("campaign").alias("campaign_name"), "campaign_new").distinct()
