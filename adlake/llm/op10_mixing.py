@@ -22,6 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 ROWS_PER_BUCKET = 2_000
+MOST_BINS = 1 << 17  # of the histogram, which one task sums up; one bin is then ordered
 
 
 def n_words(text: Column) -> Column:
@@ -103,7 +104,7 @@ def cut_time(queue: DataFrame, budget: int, max_repeats: int = MAX_REPEATS,
     """The last finish time at which the mix keeps to the budget; entries of
     equal time stay together."""
     n = queue.count()
-    bins = max(64, -(-n // rows_per_bucket) * 4)
+    bins = min(max(64, -(-n // rows_per_bucket) * 4), MOST_BINS)
     entries = (queue.where((F.col("size") > 0) & (F.col("target") > 0))
                .select("size", F.explode(finish_times(max_repeats)).alias("finish"))
                .withColumn("bin", F.least(F.floor(F.col("finish") * bins), F.lit(2 * bins)).cast("bigint")))
