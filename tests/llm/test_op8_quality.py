@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from pydoc_data import topics
 
 import pyarrow as pa
 from hypothesis import given, settings
@@ -64,3 +65,24 @@ def test_long_texts_are_streamed():
     text = b"0123456789 abcdefghij " * 500_000
     packer = op8_quality.zstandard.ZstdCompressor(level=3)
     assert op8_quality.compressed_bytes(packer, memoryview(text)) < len(text) / 100
+
+
+HINDI = (
+    "गाँव के किनारे एक पुराना बरगद का पेड़ था जिसकी छाया में दोपहर को किसान आराम करते थे। "
+    "सुबह होते ही औरतें कुएँ से पानी भरने निकल जातीं और बच्चे अपने बस्ते उठाकर पाठशाला की ओर दौड़ते। "
+    "इस साल बारिश देर से आई, इसलिए लोगों ने मिलकर तालाब की मिट्टी निकाली और नई नहर खोदी। "
+    "जब पहली बूँदें गिरीं तो सबके चेहरे खिल उठे, क्योंकि धान की फसल अब बच सकती थी। "
+    "शाम को चौपाल पर बूढ़े दादा ने बताया कि उनके बचपन में नदी कितनी चौड़ी हुआ करती थी।")
+
+
+def test_clean_long_and_non_latin_texts_are_kept():
+    manual = [t for t in topics.topics.values() if len(t) > 10_000]
+    got = op8_quality.measure(pa.array([HINDI, *manual], pa.string())).to_pylist()
+    assert len(manual) > 5 and all(m["kept"] for m in got)
+    assert got[0]["ratio"] > 2.25 and max(m["ratio"] for m in got) > 2.8
+
+
+def test_repetitive_texts_go_in_any_script():
+    rows = [" ".join(f"{w}{i}" for i in range(300) for w in ws) for ws in (("line",), ("पंक्ति",), ("строка", "та"))]
+    got = op8_quality.measure(pa.array(rows, pa.string())).to_pylist()
+    assert not any(m["kept"] or m["base_failed"] for m in got)
