@@ -46,6 +46,9 @@ _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:[\x20]?(?:\.|\[\.\]|\(dot\))[\x20
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64}[\x20]?(?:@|\[at\]|\(at\)|[\x20]at[\x20])[\x20]?[A-Za-z0-9-]{1,63}"
                     r"(?:[\x20]?(?:\.|\[dot\]|\(dot\)|[\x20]dot[\x20])[\x20]?[A-Za-z0-9-]{1,63}){0,6}", re.I)
 
+_TRIGGER = r"(?i)@|dot|\[at\]|\(at\)"  # what a text with a spelt-out address is scanned for
+_TRIGGERS, _TRIGGER_BYTES = re.compile(_TRIGGER), re.compile(_TRIGGER.encode())
+
 # Gazetteers.
 _CALLING = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52",
             "54", "55", "56", "57", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "351", "352", "353", "358",
@@ -155,7 +158,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
         return bisect_left(begins, b) - bisect_right(ends, a) <= 0
 
     found = [(k, a, b, True) for k, a, b in base]
-    if "@" in text or re.search(r"(?i)dot|\[at\]|\(at\)", text):
+    if _TRIGGERS.search(text):
         found += [(0, *m.span(), False) for m in _SPELT.finditer(text) if free(*m.span())]
     if _DIGIT.search(text):
         found += [(1, *m.span(), False) for m in _DOTTED.finditer(text) if free(*m.span())]
@@ -173,7 +176,7 @@ _CANDIDATE = pa.struct([*_SPAN, ("pattern", pa.string()), ("own", pa.bool_())])
 
 
 def scanned(text: Column) -> Column:
-    """SCAN of a text column.  Rows without a digit, `@` or spelt-out dot are
+    """SCAN of a text column.  Rows without a digit or any of `_TRIGGER` are
     told apart by their bytes and not decoded."""
 
     @arrow_udf(SCAN)
@@ -185,9 +188,9 @@ def scanned(text: Column) -> Column:
             some = False
             for p in range(0, len(body), 1 << 20):
                 part = body[p : p + (1 << 20)]
-                some = some or bool(((part - np.uint8(48) < 10) | (part == 64)).any())
+                some = some or bool((part - np.uint8(48) < 10).any())
             data = body.tobytes()
-            if some or b"dot" in data.lower():
+            if some or _TRIGGER_BYTES.search(data):
                 own, more = scan(data.decode("utf-8", "replace"))
             else:
                 own, more = [], []

@@ -74,6 +74,12 @@ def test_report(spark):
     assert op2.report(docs.limit(0)).count() == 0
 
 
+def test_spelt_out_addresses_without_digits_are_reported(spark):
+    texts = [f"please write to jane.miller {at} example.com {end}" for at in ("[at]", "(at)", "[AT]") for end in ("today", "on day 7") for _ in range(20)]
+    got = op2.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == len(texts) and all(r.spans == "email:16:{}".format(texts[r.doc_id].index(".com") + 4) and r.n_added == 1 for r in got)
+
+
 def test_reliabilities_are_recovered():
     rng = np.random.default_rng(5)
     truth = rng.random(20_000) < 0.3
