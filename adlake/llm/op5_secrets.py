@@ -5,7 +5,8 @@ window of `WINDOW` characters is kept up to date by counts: when the window
 moves, only the counts of the character that leaves and of the one that comes
 change the sum of n*log2(n) (held as integers, so there is no drift).  The
 candidate is reported if its best window reaches the limit of its character
-class and no allow-list pattern suppresses it.
+class and no allow-list pattern suppresses it.  These patterns judge the whole
+candidate: one harmless part doesn't excuse what stands beside it.
 
 DataFrame functions only; every row is scanned where it is read.
 """
@@ -26,11 +27,18 @@ MIN_VALUE = 8  # a shorter assigned value drops the match, and the scan goes on
 WINDOW = 20
 #: (class, pattern of the whole candidate, least bits a character in the best window)
 CLASSES = (("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0), ("one case", r"^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.6), ("any", r"^", 3.8))
+_UUID = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+#: Marks of made-up values, and a character eight times over.
+_MADE_UP = r"(?i:example|placeholder|changeme|dummy|abcdefgh|12345678|87654321)|(.)\1{7}"
+#: A harmless part between separators: a word with a short number, a number, or too short for a key.
+_WORDLIKE = r"(?:[A-Za-z]*[0-9]{0,4}|[0-9]*|[A-Za-z0-9]{1,8})(?![A-Za-z0-9])"
 ALLOWED = (
     r"^[^0-9]*$", r"^[^A-Za-z]*$",  # words, paths and numbers
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs
-    r"(?i)example|placeholder|changeme|dummy", r"(?i)abcdefgh|12345678|87654321", r"(.)\1{7}",
-    r"(?:[A-Za-z]{2,}[/_-]){3,}",  # paths and identifiers made of words
+    f"^{_UUID}$",
+    rf"^(?!.*?(?:(?!{_MADE_UP}).){{{WINDOW}}})",  # no WINDOW characters in a row at which no such mark starts
+    r"^wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY$",  # the key of the AWS manual
+    # Paths and identifiers of three words and more, without a part that isn't harmless.
+    rf"^(?=.*?(?:[A-Za-z]{{2,}}[/_-]){{3}})(?!.*?(?<![A-Za-z0-9])(?!{_WORDLIKE}|{_UUID}|(?<=[0-9a-fA-F]{{4}}-)[0-9a-fA-F]{{12}}(?![A-Za-z0-9]))[A-Za-z0-9])",
 )
 _SCALE = 1 << 20
 _SUM_CHUNK = 1024

@@ -56,6 +56,23 @@ def test_agrees_with_brute_force(spark):
     assert op5.report(docs.limit(0)).count() == 0
 
 
+def test_harmless_parts_do_not_hide_a_secret(spark):
+    key = "Zk3vQ9xT7bL2mN8pR4sW6yD1fG5hJ0cA"
+    secret = [f"https://hooks.corp.io/api/v/prod/deploy/hook/{key}", f"name_of_the_key_{key}", f"AAAAAAAAAAAAAAAA{key}AAAAAAAAAAAAAAAA==",
+              f"12345678{key}", f"{key}/dummy/{key}", f"/docs/example/of/use/{key}", key]
+    harmless = ["https://corp.io/api/of/the/house/version2/page/2021/03", "/usr/share/python3/dist/packages/some/module2", "dummy_placeholder_12345678",
+                "AAAAAAAAAAAAAAAAAAAAAAAAAAAA1AAAAAAAAAAA", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "a/users/of/the/site/123e4567-e89b-12d3-a456-426614174000"]
+    docs = spark.createDataFrame(list(enumerate(secret + harmless)), "doc_id long, text string")
+    got = {r.doc_id: r.n_entropy for r in op5.report(docs).collect()}
+    assert [got[i] for i in range(len(got))] == [1] * len(secret) + [0] * len(harmless)
+
+
+def test_long_candidates_are_judged(spark):
+    rows = ["ab/" * 100_000 + "x1", "A" * 300_000 + "1", "a1" * 4000]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert [r.n_entropy for r in op5.report(docs).orderBy("doc_id").collect()] == [0, 0, 0]
+
+
 def test_many_matches_keep_their_places(spark):
     text = "é " + "token=abcdefgh12 😀 " * 3000
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
