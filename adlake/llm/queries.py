@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op1_jaccard, op2_pii, op3_suffixes, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing
+from adlake.llm import op1_jaccard, op2_pii, op3_suffixes, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing, op12_periods
 from adlake.llm.tables import table
 
 
@@ -51,8 +51,14 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_periods.report(op12_periods.with_repeated_tails(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_signature_trees, op2_weak_supervision, op3_suffix_levels, op4_prefix_join, op5_entropy_windows, op6_line_runs, op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix)}
+    return {f.__name__: f for f in (
+        op1_signature_trees, op2_weak_supervision, op3_suffix_levels, op4_prefix_join, op5_entropy_windows, op6_line_runs,
+        op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix, op12_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
