@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op1_jaccard, op2_pii, op3_suffixes, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing, op12_periods
+from adlake.llm import op1_jaccard, op2_pii, op3_suffixes, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing, op11_topk, op12_periods
 from adlake.llm.tables import table
 
 
@@ -51,6 +51,10 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_topk.report(table(spark, sf_dir, "embeddings"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_periods.report(op12_periods.with_repeated_tails(table(spark, sf_dir, "documents")))
 
@@ -58,7 +62,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_signature_trees, op2_weak_supervision, op3_suffix_levels, op4_prefix_join, op5_entropy_windows, op6_line_runs,
-        op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix, op12_periodic_runs)}
+        op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix, op11_norm_buckets, op12_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -182,3 +186,15 @@ SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remo
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
 """
+
+SQL["op11_norm_buckets"] = r"""
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
