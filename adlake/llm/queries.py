@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import op1_jaccard, op2_pii, op3_suffixes, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing, op11_topk, op12_periods
+from adlake.llm import op1_jaccard, op2_pii, op3_suffixes, op4_decontaminate, op5_secrets, op6_lines, op7_warc, op8_quality, op9_units, op10_mixing, op11_topk, op12_periods, op13_trie
 from adlake.llm.tables import table
 
 
@@ -59,10 +59,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_periods.report(op12_periods.with_repeated_tails(table(spark, sf_dir, "documents")))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_trie.report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_signature_trees, op2_weak_supervision, op3_suffix_levels, op4_prefix_join, op5_entropy_windows, op6_line_runs,
-        op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix, op11_norm_buckets, op12_periodic_runs)}
+        op7_warc_chunks, op8_compression_bands, op9_line_hashes, op10_fair_mix, op11_norm_buckets, op12_periodic_runs,
+        op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -198,3 +203,39 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """
+
+SQL["op13_prefix_trie"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+           list_prepend(CAST(n AS UBIGINT), list_transform(range(8), lambda x: CAST(x AS UBIGINT))),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END)) AS t),
+own AS (
+  SELECT conv_id, list(md5(coalesce(role, '')) || md5(coalesce(text, '')) ORDER BY turn NULLS FIRST) AS w,
+         list(length(coalesce(text, '')) ORDER BY turn NULLS FIRST) AS n
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+h AS (
+  SELECT conv_id, CAST(xor(CAST(4294967295 AS UBIGINT), list_reduce(
+           list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS UBIGINT))),
+           lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1]))) % 6 AS BIGINT) AS h
+  FROM own, crc),
+built AS (
+  SELECT own.conv_id, coalesce(b.w, [])[1 : h] || own.w[h + 1 :] AS w, coalesce(b.n, [])[1 : h] || own.n[h + 1 :] AS n
+  FROM own JOIN h USING (conv_id) LEFT JOIN own b ON b.conv_id = own.conv_id - own.conv_id % 100),
+p AS (
+  SELECT conv_id, d, d = len(w) AS last, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS chars,
+         array_to_string(w[1 : d], ',') AS prefix, CASE WHEN d > 0 THEN array_to_string(w[1 : d - 1], ',') END AS above
+  FROM (SELECT *, unnest(range(len(w) + 1)) AS d FROM built)),
+node AS (
+  SELECT prefix, any_value(above) AS above, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last) AS ends
+  FROM p GROUP BY prefix, d),
+kids AS (SELECT above AS prefix, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+sums AS (
+  SELECT a.prefix, a.d, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * x.chars) AS saved_tokens
+  FROM node x LEFT JOIN kids ON kids.prefix = x.prefix AND kids.d = x.d JOIN p a ON a.conv_id = x.conv_id AND a.d <= x.d GROUP BY 1, 2)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node JOIN sums ON sums.prefix = node.prefix AND sums.d = node.d
+LEFT JOIN kids ON kids.prefix = node.prefix AND kids.d = node.d
+LEFT JOIN node up ON up.prefix = node.above AND up.d = node.d - 1
+"""
