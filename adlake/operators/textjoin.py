@@ -1,84 +1,139 @@
-"""Substring ("text contains key") join without a nested loop (JO6).
+"""Substring ("text contains key") join by an inverted index of q-grams (JO6).
 
 ``LEFT JOIN keys ON text LIKE '%' || key || '%'`` is a theta join; Spark can
-only run it as a broadcast nested loop, which compares every text with every
-key.  Here the distinct keys become a multi-pattern automaton, and each text is
-read once, where it is, and yields the keys it contains:
-
-* work per text is linear in its length, whatever the number of keys; whole
-  texts are read;
-* keys are taken in blocks of about ``BLOCK_CHARS`` characters; a block, whose
-  size that bounds, is what the driver and each task hold.  More keys are more
-  blocks, and each adds its finds to the text's array;
-* texts are not shuffled, and need no id: the left join is ``explode_outer``
-  of the array.
-
-Blocks are read when the plan is built; the texts are not touched before the
-action.
+only run it as a nested loop, which compares every text with every key.  Here a
+text that contains a key contains each of the key's q-grams, so the rarest of
+them is a necessary prefix of the key and an equi-join on it finds the
+candidates:
+
+1. counts: the texts' q-grams, as far as a key has them, are counted (a partial
+   aggregate over the texts, no text moves);
+2. index: a table of the keys under the hash of their rarest q-gram, with its
+   place in the key; a key with a q-gram that no text has is in no text and
+   goes;
+3. candidates: the places of the texts whose q-gram is in the index meet it,
+   with ``AROUND`` bytes to either side, in which the key is compared.  Keys
+   shorter than a gram are looked up among the texts' own 1- to 3-byte grams;
+4. each distinct text (by 128 bits) gets an array of its keys, and the rows are
+   joined with it.  Only keys that reach beyond the bytes around their gram are
+   compared again, with the whole text.
+
+Grams are bytes of UTF-8, where containment is the same as in code points.
+Before anything of a text is shuffled it passes a broadcast filter of at most
+``FILTER_BUCKETS`` remainders; whether the index itself is broadcast is AQE's
+size check.  Each place of a text is a row of generated code.  Everything runs
+in the JVM; no key or text comes to the driver, only which lengths the short
+keys have.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
-BLOCK_CHARS = 1 << 20
-
-
-def _finder(spark: SparkSession, block: list[str]):
-    """Column function: the distinct keys of a block in a text, sorted."""
-    sent = spark.sparkContext.broadcast(block)
-    built: list = []  # a task builds the automaton once
-
-    @arrow_udf("array<string>")
-    def find(texts: pa.Array) -> pa.Array:
-        import ahocorasick
-
-        if not built:
-            automaton = ahocorasick.Automaton()
-            for key in sent.value:
-                automaton.add_word(key, key)
-            automaton.make_automaton()
-            built.append(automaton)
-        found = [[] if t is None else sorted({key for _, key in built[0].iter(t)}) for t in texts.to_pylist()]
-        return pa.array(found, pa.list_(pa.string()))
-
-    return find
-
-
-def contained_keys(text: Column, keys: DataFrame, key_col: str, ignore_case: bool = False,
-                   block_chars: int = BLOCK_CHARS) -> Column:
-    """Array of the distinct keys that a text contains (literal match).  A NULL
-    text contains nothing, a NULL key is in nothing, the empty key in every
-    text."""
-    key = F.lower(key_col) if ignore_case else F.col(key_col)
-    k = keys.select(key.alias("_key")).where(F.col("_key").isNotNull()).distinct()
-    total, empty = k.agg(F.sum(F.length("_key")), F.count(F.when(F.col("_key") == "", 1))).first()
+from adlake.session import materialise
+
+Q = 4  # bytes of a gram
+AROUND = 48  # bytes to either side of a gram that travel with it
+PIECE = 1 << 15  # places of a text that are listed at once
+FILTER_BUCKETS = 1 << 20
+
+
+def _places(texts: DataFrame) -> DataFrame:
+    """(t, u, all, at) for each byte `at`, from 1, of texts (t, u, text)."""
+    n = F.octet_length("all")
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(n / PIECE).cast("int"), F.lit(1)) - 1)
+    pieces = texts.select("t", "u", F.col("text").cast("binary").alias("all")).where(n > 0)
+    pieces = pieces.select("t", "u", "all", F.explode(starts).alias("i"))
+    within = F.sequence(F.col("i") * PIECE + 1, F.least((F.col("i") + 1) * PIECE, n))
+    return pieces.select("t", "u", "all", F.explode(within).alias("at"))
+
+
+def _gram(binary: Column | str, at: Column | str, size: int) -> Column:
+    return F.substring(binary, F.col(at) if isinstance(at, str) else at, F.lit(size))
+
+
+def _among(rows: DataFrame, gram: Column, index: DataFrame) -> DataFrame:
+    """Rows whose `gram` may be one of the index: a semi-join with remainders,
+    a broadcast of FILTER_BUCKETS numbers at most, however many grams."""
+    bucket = lambda g: F.pmod(g, F.lit(FILTER_BUCKETS)).cast("int").alias("bucket")
+    some = index.select(bucket(F.col("gram"))).distinct()
+    return rows.withColumn("bucket", bucket(gram)).join(F.broadcast(some), "bucket", "left_semi").drop("bucket")
+
+
+def gram_index(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(gram, off, key) of the distinct `keys` (key) of Q bytes or more that can
+    occur in `texts` (t, u, text): each under its rarest gram and a place of it."""
+    places = keys.select("key", F.col("key").cast("binary").alias("all"), F.explode(F.sequence(F.lit(1), F.octet_length("key") - Q + 1)).alias("at"))
+    of_keys = materialise(places.select("key", F.xxhash64(_gram("all", "at", Q)).alias("gram"), "at"), "gram-keys")
+    gram = F.xxhash64(_gram("all", "at", Q))
+    counts = _among(_places(texts), gram, of_keys).groupBy(gram.alias("gram")).agg(F.count("*").alias("n"))
+    rarest = (of_keys.join(materialise(counts, "gram-counts"), "gram", "left")
+              .groupBy("key").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "at")).alias("least")))
+    return materialise(rarest.where("least.n > 0").select("least.gram", F.col("least.at").alias("off"), "key"), "gram-index")
+
+
+def _by_rarest_gram(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(t, u, key, sure) for keys of Q bytes or more: found, or to be compared."""
+    index = gram_index(texts, keys)
+    found = _among(_places(texts), F.xxhash64(_gram("all", "at", Q)), index)
+    first = F.greatest(F.col("at") - AROUND, F.lit(1))
+    found = found.select("t", "u", F.xxhash64(_gram("all", "at", Q)).alias("gram"), F.substring("all", first, F.lit(2 * AROUND + Q)).alias("around"),
+                         (F.col("at") - first + 1).alias("here"))
+    hits = found.join(index, "gram")
+    begin, size = F.col("here") - F.col("off") + 1, F.octet_length("key")  # of the key in `around`
+    fits = (F.col("off") <= AROUND + 1) & (size - F.col("off") < AROUND + Q)
+    same = (begin >= 1) & (F.substring("around", F.greatest(begin, F.lit(1)), size) == F.col("key").cast("binary"))
+    return hits.where(~fits | same).select("t", "u", "key", fits.alias("sure")).distinct()
+
+
+def _short(texts: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """(t, u, key, sure) for keys of the given sizes, all under Q bytes."""
+    own = keys.where((F.octet_length("key") > 0) & (F.octet_length("key") < Q)).select(F.col("key").cast("binary").alias("gram"), "key")
+    grams = _places(texts).select("t", "u", F.explode(F.array(*[_gram("all", "at", s) for s in sizes])).alias("gram"))
+    hashed = own.select(F.xxhash64("gram").alias("gram"))
+    hits = _among(grams, F.xxhash64("gram"), hashed).distinct().join(own, "gram")
+    return hits.select("t", "u", "key", F.lit(True).alias("sure"))
+
+
+def _matched(left: DataFrame, keep: Sequence[str], text: Column, keys: DataFrame, key_col: str, ignore_case: bool) -> DataFrame:
+    """Rows (row, found): the `keep` columns of each row of `left` as a struct,
+    and the distinct keys that its text contains."""
+    key = F.col(f"`{key_col}`").cast("string")
+    keys = materialise(keys.select((F.lower(key) if ignore_case else key).alias("key")).where("key is not null").distinct(), "gram-distinct")
+    size = F.octet_length("key")
+    empty, *short, long = keys.agg(*[F.max(size == s) for s in range(Q)], F.max(size >= Q)).first()
+    sizes = [s for s, used in enumerate(short, 1) if used]
     text = F.lower(text) if ignore_case else text
+    rows = left.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text.alias("text"),
+                       F.xxhash64(text).alias("t"), F.xxhash64(F.lit("2"), text).alias("u"))
+    texts = rows.where("text is not null").select("t", "u", "text")
+    hits = ([_by_rarest_gram(texts, keys.where(size >= Q))] if long else []) + ([_short(texts, keys, sizes)] if sizes else [])
     none = F.array().cast("array<string>")
-    parts = [F.when(text.isNotNull(), F.array(F.lit(""))).otherwise(none)] if empty else []
-    blocks = -(-(total or 0) // block_chars)
-    for i in range(blocks):
-        own = k.where((F.col("_key") != "") & (F.pmod(F.xxhash64("_key"), F.lit(blocks)) == i)).orderBy("_key").collect()
-        if own:
-            parts.append(_finder(keys.sparkSession, [r["_key"] for r in own])(text))
-    return F.concat(*parts) if parts else none
+    found = F.when(F.col("text").isNotNull(), F.array(F.lit("")) if empty else none).otherwise(none)
+    if hits:
+        arrays = reduce(DataFrame.unionByName, hits).groupBy("t", "u").agg(
+            F.collect_list(F.when(F.col("sure"), F.col("key"))).alias("sure"), F.collect_list(F.when(~F.col("sure"), F.col("key"))).alias("open"))
+        rows = rows.join(materialise(arrays, "gram-matches"), ["t", "u"], "left")
+        compared = F.filter(F.coalesce("open", none), lambda k: F.contains(F.col("text"), k))
+        found = F.concat(found, F.coalesce("sure", none), compared)
+    return rows.select("row", F.coalesce(found, none).alias("found"))
 
 
-def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: DataFrame,
-                     key_col: str, ignore_case: bool = False) -> DataFrame:
-    """Pairs (ids..., key) where ``text`` contains ``key``, each once for a
-    left row."""
-    found = contained_keys(F.col(text_col), keys, key_col, ignore_case)
-    return left.select(*ids, F.explode(found).alias(key_col))
+def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: DataFrame, key_col: str,
+                     ignore_case: bool = False) -> DataFrame:
+    """Pairs (ids..., key) where ``text`` contains ``key`` (literal match),
+    each distinct key once for a left row.  A NULL text contains nothing, a
+    NULL key is in nothing, the empty key in every text."""
+    rows = _matched(left, ids, F.col(f"`{text_col}`"), keys, key_col, ignore_case)
+    return rows.select("row", F.explode("found").alias("found")).select("row.*", F.col("found").alias(key_col))
 
 
 def contains_join(left: DataFrame, text_col: str, keys: DataFrame, key_col: str, ignore_case: bool = False) -> DataFrame:
     """Left theta join on containment: every left row once per matching key,
     or once with a NULL key when nothing matches."""
-    found = contained_keys(F.col(text_col), keys, key_col, ignore_case)
-    return left.select("*", F.explode_outer(found).alias(key_col))
+    rows = _matched(left, left.columns, F.col(f"`{text_col}`"), keys, key_col, ignore_case)
+    return rows.select("row", F.explode_outer("found").alias("found")).select("row.*", F.col("found").alias(key_col))

@@ -474,19 +474,35 @@ def acf_key(spark, sf):
 
 @register("adf_test", None, "TS3,UD3")
 def adf_test(spark, sf):
-    """Augmented Dickey-Fuller per daily series (grouped numpy fit)."""
+    """Augmented Dickey-Fuller per daily series, from sums of products."""
     from adlake.timeseries.models import adf
     return adf(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"))
 
 
 @register("arima_forecast", None, "TS5,TS6,UD3")
 def arima_forecast(spark, sf):
-    """ARIMA(1,1,1) per daily series: fitted values and a 25-step forecast."""
+    """ARIMA(3,1,2) per daily series: fitted values and a 25-step forecast."""
     from adlake.timeseries.models import arima
-    return arima(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"), order=(1, 1, 1), steps=25)
-
-
-@register("pacf", None, "TS4,UD3")
+    return arima(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"), order=(3, 1, 2), steps=25)
+
+
+@register("pacf", f"""
+WITH RECURSIVE {SQL_DENSE_DAILY},
+d AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY day) AS pos, count(*) OVER (PARTITION BY series_id) AS n,
+             count(*) OVER (PARTITION BY series_id) * cents - SUM(cents) OVER (PARTITION BY series_id) AS d FROM series),
+g AS (SELECT series_id, any_value(n) AS n, CAST(SUM(CAST(d AS HUGEINT) * d) AS DOUBLE) AS den FROM d GROUP BY 1),
+c AS (SELECT a.series_id, a.pos - b.pos AS k, CAST(SUM(CAST(a.d AS HUGEINT) * b.d) AS DOUBLE) AS num
+      FROM d a JOIN d b ON a.series_id = b.series_id AND b.pos < a.pos AND b.pos >= a.pos - 20 GROUP BY 1, 2),
+rho AS (SELECT c.series_id, any_value(least(20, n - 2)) AS lags, list(CASE WHEN den > 0 THEN num / den * n / (n - k) END ORDER BY k) AS rho
+        FROM c JOIN g ON c.series_id = g.series_id GROUP BY 1),
+r AS (
+  SELECT series_id, lags, rho, 1 AS lag, [rho[1]] AS phi FROM rho WHERE lags >= 1
+  UNION ALL
+  SELECT series_id, lags, rho, lag + 1,
+         list_append(list_transform(range(1, lag + 1), lambda j: phi[j] - v * phi[lag + 1 - j]), v)
+  FROM (SELECT *, (rho[lag + 1] - list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * rho[lag + 1 - j])))
+                  / (1 - list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * rho[j]))) AS v FROM r WHERE lag < lags))
+SELECT series_id, CAST(lag AS INTEGER) AS lag, CAST(round(CAST(phi[lag] AS DECIMAL(38,10)), 6) AS DOUBLE) AS pacf FROM r
+""", "TS4")
 def pacf_key(spark, sf):
-    from adlake.timeseries.models import pacf
-    return pacf(TS.first_difference(events_daily(spark, sf)).select("series_id", "day", "value"), 20)
+    return TS.pacf(events_daily(spark, sf), 20)

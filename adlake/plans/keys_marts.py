@@ -78,14 +78,14 @@ def contains_join_key(spark, sf):
 
 @register("contains_documents", """
 WITH words AS (
-  SELECT DISTINCT word FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark) WHERE length(word) >= 7)
+  SELECT DISTINCT word FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark))
 SELECT d.doc_id, w.word FROM documents d JOIN words w ON contains(d.text, w.word)
 """, "JO6")
 def contains_documents(spark, sf):
-    """Which of the longer benchmark words each whole document mentions."""
+    """Which benchmark words each whole document mentions."""
     from adlake.operators.textjoin import contains_matches
     t = _t(spark, sf)
-    words = t.benchmark.select(F.explode(F.split("text", " ")).alias("word")).where(F.length("word") >= 7)
+    words = t.benchmark.select(F.explode(F.split("text", " ")).alias("word"))
     return contains_matches(t.documents, ["doc_id"], "text", words, "word")
 
 

@@ -139,3 +139,28 @@ def acf(s: DataFrame, nlags: int = 20) -> DataFrame:
                        F.when(F.col("den") > 0, F.coalesce(F.col("x.num"), F.lit(0)).cast("double") / F.col("den").cast("double")).alias("acf"),
                        F.col("n").cast("bigint").alias("n"),
                        (F.lit(1.96) / F.sqrt(F.col("n").cast("double"))).alias("band"))
+
+
+def pacf(s: DataFrame, nlags: int = 20) -> DataFrame:
+    """Partial autocorrelations for lags 1..min(nlags, n - 2) per series:
+    Durbin-Levinson on adjusted autocorrelations (sums over n - k products
+    divided by n - k).  A constant series has NULL.  Rounded to 6 decimals."""
+    rho = acf(s, nlags).groupBy("series_id").agg(
+        F.max("n").alias("n"),
+        F.transform(F.sort_array(F.collect_list(F.struct("lag", F.coalesce("acf", F.lit(float("nan"))).alias("acf"), "n"))),
+                    lambda r: F.when(r["lag"] < r["n"], r["acf"] * r["n"] / (r["n"] - r["lag"]))).alias("rho"))  # nlags entries
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+
+    def step(state: Column, k: Column) -> Column:
+        phi, known = state["phi"], F.slice("rho", 1, k - 1)
+        below = 1.0 - dot(phi, known)
+        last = F.when(below != 0, (F.get("rho", k - 1) - dot(phi, F.reverse(known))) / below)
+        return F.struct(F.array_append(F.zip_with(phi, F.reverse(phi), lambda a, b: a - last * b), last).alias("phi"),
+                        F.array_append(state["out"], last).alias("out"))
+
+    empty = F.array().cast("array<double>")
+    lags = F.least(F.lit(nlags), F.col("n") - 2).cast("int")
+    values = F.when(lags >= 1, F.aggregate(F.sequence(F.lit(1), lags), F.struct(empty.alias("phi"), empty.alias("out")), step, lambda t: t["out"]))
+    long = rho.select("series_id", F.posexplode(values).alias("i", "v"))
+    return long.select("series_id", (F.col("i") + 1).alias("lag"),
+                       F.when(~F.isnan("v"), F.round(F.col("v").cast("decimal(38,10)"), 6).cast("double")).alias("pacf"))

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from adlake.operators import relational as R
 from adlake.operators.allocation import even_allocation
 from adlake.operators.reshape import chunk_groups, global_rank, positions
-from adlake.operators.textjoin import contained_keys, contains_join, contains_matches
+from adlake.operators import textjoin
+from adlake.operators.textjoin import contains_join, contains_matches
 
 
 def _plan(df):
@@ -26,7 +27,8 @@ def test_contains_join_equals_nested_loop(spark):
         ms = [k for k in keys if t is not None and k in t]
         want += [(i, k) for k in ms] or [(i, None)]
     assert sorted(got, key=lambda x: (x[0], x[1] or "")) == sorted(want, key=lambda x: (x[0], x[1] or ""))
-    assert "NestedLoop" not in _plan(contains_join(left, "t", right, "k"))
+    plan = _plan(contains_join(left, "t", right, "k"))
+    assert not any(node in plan for node in ("NestedLoop", "Cartesian", "Python", "Arrow", "Window"))
 
 
 def test_pick_per_key_is_aggregate_and_total_order(spark):
@@ -79,8 +81,34 @@ def test_contains_join_of_long_texts(spark):
         got = {(r.id, r.k) for r in contains_matches(left, ["id"], "t", right, "k", ignore_case=fold).collect()}
         want = {(i, low(k)) for i, t in texts for k in keys if low(k) in low(t)}
         assert got == want
-        blocks = left.select("id", F.explode(contained_keys(F.col("t"), right, "k", fold, block_chars=50)).alias("k"))
-        assert sorted(map(tuple, blocks.collect())) == sorted(want)
+
+
+def test_contains_join_keeps_rows_and_columns(spark):
+    rows = [(1, "red shoe", "a", 1), (1, "red shoe", "a", 1), (2, None, "b", 2), (3, "", "c", 3), (4, "blue", "d", 4)] + [(5, "the same text", "e", 5)] * 50
+    left = spark.createDataFrame(rows, "keys int, t string, found string, row int")
+    right = spark.createDataFrame([("shoe",), ("shoe",), ("same text",), ("red shoes",), (None,)], "gram string")
+    got = contains_join(left, "t", right, "gram")
+    assert got.columns == ["keys", "t", "found", "row", "gram"]
+    hits = {1: "shoe", 5: "same text"}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(*r, hits.get(r[0])) for r in rows], key=str)
+    assert contains_join(left, "t", right.limit(0), "gram").where("gram is null").count() == len(rows)
+    assert contains_join(left.limit(0), "t", right, "gram").count() == 0
+    assert {r.gram for r in contains_matches(left, ["keys"], "t", spark.createDataFrame([("",)], "gram string"), "gram").collect()} == {""}
+
+
+def test_contains_join_across_pieces_and_by_the_rarest_gram(spark):
+    size = textjoin.PIECE
+    text = "".join(chr(97 + i * i % 23 + i % 3) for i in range(3 * size)) + "é" * 9
+    keys = [text[k + 5 * n : k + 6 * n] for n in (1, 3, 4, 5, 40, 47, 48, 49, 50, 51, 52, 53, 99, 100, 101, 130) for k in (0, 9, 700)]
+    keys += [text[:60], text[-60:], text[:100] + "!", "!" + text[-70:]]
+    keys += [text[size - 5 : size + 5], text[2 * size - 1 : 2 * size + 40], text[size - 700 : size + 700], "aéé", "éa", "zzzzzz"]
+    left = spark.createDataFrame([(1, text), (2, text[:size]), (3, "common common rare!")], "id int, t string")
+    right = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = {tuple(r) for r in contains_matches(left, ["id"], "t", right, "k").collect()}
+    assert got == {(i, k) for i, t in ((1, text), (2, text[:size]), (3, "common common rare!")) for k in keys if k in t}
+    texts = left.select(F.xxhash64("t").alias("t"), F.lit(0).alias("u"), F.col("t").alias("text"))
+    index = textjoin.gram_index(texts, spark.createDataFrame([("common rare",), ("commonest",)], "key string"))
+    assert [r.key for r in index.collect()] == ["common rare"]  # "mone" is in no text
 
 
 def test_nth_rows_to_columns(spark):
