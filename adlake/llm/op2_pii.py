@@ -43,11 +43,12 @@ _DIGIT = re.compile(r"[0-9]")
 # Candidates beyond the base patterns.
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20().\-/]{0,2}[0-9])++(?![0-9A-Za-z])")
 _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:[\x20]?(?:\.|\[\.\]|\(dot\))[\x20]?[0-9]{1,4}){3}(?![0-9.])")
-_SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64}[\x20]?(?:@|\[at\]|\(at\)|[\x20]at[\x20])[\x20]?[A-Za-z0-9-]{1,63}"
-                    r"(?:[\x20]?(?:\.|\[dot\]|\(dot\)|[\x20]dot[\x20])[\x20]?[A-Za-z0-9-]{1,63}){0,6}", re.I)
-
-_TRIGGER = r"(?i)@|dot|\[at\]|\(at\)"  # what a text with a spelt-out address is scanned for
-_TRIGGERS, _TRIGGER_BYTES = re.compile(_TRIGGER), re.compile(_TRIGGER.encode())
+_AT, _DOT = r"@|\[at\]|\(at\)|[\x20]at[\x20]", r"\.|\[dot\]|\(dot\)|[\x20]dot[\x20]"
+_LOCAL_MOST = 64
+_SPELT = rf"[A-Za-z0-9._%+-]{{1,{_LOCAL_MOST}}}[\x20]?"  # before the sign; what follows is _DOMAIN_PART
+_DOMAIN_PART = rf"(?:{_AT})[\x20]?[A-Za-z0-9-]{{1,63}}(?:[\x20]?(?:{_DOT})[\x20]?[A-Za-z0-9-]{{1,63}}){{0,6}}"
+_SIGN, _SIGN_BYTES = re.compile(f"(?i:{_AT})", re.A), re.compile(f"(?i:{_AT})".encode())
+_BEHIND = re.compile(_DOMAIN_PART, re.I | re.A)
 
 # Gazetteers.
 _CALLING = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52",
@@ -91,6 +92,23 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def spelt_out(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost, non-overlapping matches of _SPELT and _DOMAIN_PART, looked for
+    from each sign for "at" outwards."""
+    done, sign = 0, _SIGN.search(text)
+    while sign:
+        at = sign.start()
+        end = at - 1 if at > done and text[at - 1] == " " else at
+        start = end
+        while start > max(done, end - _LOCAL_MOST) and text[start - 1] in _LOCAL:
+            start -= 1
+        behind = _BEHIND.match(text, at) if start < end else None
+        if behind:
+            yield start, behind.end()
+            done = behind.end()
+        sign = _SIGN.search(text, done if behind else at + 1)
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -116,8 +134,12 @@ def votes(kind: str, text: str, start: int, end: int, strict: bool) -> str:
     if kind == "email":
         name = re.split(r"(?i)@|\[at\]|\(at\)|\sat\s", body, maxsplit=1)
         tail = re.split(r"(?i)\.|\[dot\]|\(dot\)|\sdot\s", name[-1])
-        v["separators"] = "+" if "@" in body or "[" in body or "(" in body else "-" if len(tail) < 2 else "0"
-        v["gazetteer"] = "+" if len(tail) > 1 and tail[-1].strip().lower() in _TLD else "-"
+        plain = not any(c in body for c in "@[(")  # " at ", as in any sentence
+        broken = len(tail) < 2 or re.search(r"\s\.|\.\s", body[len(name[0]) :])  # no dot, or one between sentences
+        v["separators"] = "+" if not plain else "-" if broken else "+" if re.search(r"(?i)\sdot\s", body) else "0"
+        last = tail[-1].strip().lower()
+        listed = last in _TLD  # the list isn't all there is
+        v["gazetteer"] = "-" if len(tail) < 2 or not last.isalpha() or len(last) < 2 else "+" if listed else "-" if plain else "0"
         v["shape"] = "-" if len(tail) < 2 else "+" if re.search(r"[0-9._+-]", name[0]) else "0"
     elif kind == "ip":
         parts = [int(x) for x in re.findall("[0-9]+", body)]
@@ -158,8 +180,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
         return bisect_left(begins, b) - bisect_right(ends, a) <= 0
 
     found = [(k, a, b, True) for k, a, b in base]
-    if _TRIGGERS.search(text):
-        found += [(0, *m.span(), False) for m in _SPELT.finditer(text) if free(*m.span())]
+    found += [(0, a, b, False) for a, b in spelt_out(text) if free(a, b)]
     if _DIGIT.search(text):
         found += [(1, *m.span(), False) for m in _DOTTED.finditer(text) if free(*m.span())]
         dotted = {m.span() for m in _DOTTED.finditer(text)}
@@ -176,8 +197,8 @@ _CANDIDATE = pa.struct([*_SPAN, ("pattern", pa.string()), ("own", pa.bool_())])
 
 
 def scanned(text: Column) -> Column:
-    """SCAN of a text column.  Rows without a digit or any of `_TRIGGER` are
-    told apart by their bytes and not decoded."""
+    """SCAN of a text column.  Rows without a digit or a sign for "at", of which
+    every candidate has one, are told apart by their bytes and not decoded."""
 
     @arrow_udf(SCAN)
     def run(col: pa.Array) -> pa.Array:
@@ -190,7 +211,7 @@ def scanned(text: Column) -> Column:
                 part = body[p : p + (1 << 20)]
                 some = some or bool((part - np.uint8(48) < 10).any())
             data = body.tobytes()
-            if some or _TRIGGER_BYTES.search(data):
+            if some or _SIGN_BYTES.search(data):
                 own, more = scan(data.decode("utf-8", "replace"))
             else:
                 own, more = [], []

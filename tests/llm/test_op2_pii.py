@@ -53,8 +53,29 @@ def test_base_spans_of_any_text(t):
     assert op2.base_spans(t) == brute(t)
 
 
+SPELT = re.compile(op2._SPELT + op2._DOMAIN_PART, re.I | re.A)
+
+
+def test_spelt_out_addresses_agree_with_the_plain_pattern():
+    rnd = random.Random(11)
+    parts = ["a", "b.c", "x" * 70, "@", "[at]", "(AT)", " at ", " ", "at", " at at ", ".", "[dot]", " dot ", "(dot)", "é", "-", "ſ", "dot", "\n"]
+    for _ in range(4000):
+        t = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14)))
+        assert list(op2.spelt_out(t)) == [m.span() for m in SPELT.finditer(t)], t
+
+
+def test_every_sign_alone_gives_a_candidate():
+    for at in ("@", "[at]", "(at)", " at ", " [at] ", " (at) ", " @ ", " At "):
+        for dot in (".", "[dot]", "(dot)", " dot ", " . "):
+            t = f"please write to jane.miller{at}example{dot}com today"
+            kinds = [c[:3] for c in op2.scan(t)[1]]
+            assert kinds == [(0, 16, t.index("com") + 3)], t
+            alone = f"to jane{at}example"
+            assert op2._SIGN_BYTES.search(alone.encode()) and [c[:3] for c in op2.scan(alone)[1]] == [(0, 3, len(alone))]
+
+
 def test_scan_is_linear_and_keeps_base():
-    for t in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "1 " * 150_000, "+1 " * 100_000, "a@" * 150_000, "(1) " * 70_000, "a dot " * 50_000):
+    for t in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "1 " * 150_000, "+1 " * 100_000, "a@" * 150_000, "(1) " * 70_000, "a dot " * 50_000, "a at " * 60_000, "x" * 300_000 + " at ", " at " * 70_000, "a[at]" * 60_000):
         base, found = op2.scan(t)
         assert [x[:3] for x in found if x[4]] == base
 
@@ -75,7 +96,7 @@ def test_report(spark):
 
 
 def test_spelt_out_addresses_without_digits_are_reported(spark):
-    texts = [f"please write to jane.miller {at} example.com {end}" for at in ("[at]", "(at)", "[AT]") for end in ("today", "on day 7") for _ in range(20)]
+    texts = [f"please write to jane.miller {at} example.com {end}" for at in ("[at]", "(at)", "[AT]", "at") for end in ("today", "on day 7") for _ in range(20)]
     got = op2.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert len(got) == len(texts) and all(r.spans == "email:16:{}".format(texts[r.doc_id].index(".com") + 4) and r.n_added == 1 for r in got)
 
