@@ -38,7 +38,8 @@ ALLOWED = (
     rf"^(?!.*?(?:(?!{_MADE_UP}).){{{WINDOW}}})",  # no WINDOW characters in a row at which no such mark starts
     r"^wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY$",  # the key of the AWS manual
     # Paths and identifiers of three words and more, without a part that isn't harmless.
-    rf"^(?=.*?(?:[A-Za-z]{{2,}}[/_-]){{3}})(?!.*?(?<![A-Za-z0-9])(?!{_WORDLIKE}|{_UUID}|(?<=[0-9a-fA-F]{{4}}-)[0-9a-fA-F]{{12}}(?![A-Za-z0-9]))[A-Za-z0-9])",
+    # Words are tried from their first letter only, and whole: a long one costs its length once.
+    rf"^(?=.*?(?<![A-Za-z])[A-Za-z]{{2,}}+[/_-](?:[A-Za-z]{{2,}}+[/_-]){{2}})(?!.*?(?<![A-Za-z0-9])(?!{_WORDLIKE}|{_UUID}|(?<=[0-9a-fA-F]{{4}}-)[0-9a-fA-F]{{12}}(?![A-Za-z0-9]))[A-Za-z0-9])",
 )
 _SCALE = 1 << 20
 _SUM_CHUNK = 1024

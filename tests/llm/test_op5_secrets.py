@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -73,6 +74,24 @@ def test_long_candidates_are_judged(spark):
     assert [r.n_entropy for r in op5.report(docs).orderBy("doc_id").collect()] == [0, 0, 0]
 
 
+def test_time_follows_the_length_of_a_run(spark):
+    rnd = random.Random(2)
+    draw = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    small = "abcdefghijklmnopqrstuvwxyz"
+
+    def seconds(n):
+        rows = [draw(small, n) + "1", draw(small + "0123456789", n), draw(small, n // 2) + "/" + draw(small, n // 2) + "/x1", "1" + (draw(small, n // 100) + "_") * 100]
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4).cache()
+        docs.count()
+        begun = time.time()
+        assert {r.doc_id for r in op5.report(docs).collect() if r.n_entropy} >= {0, 1, 2}
+        return time.time() - begun
+
+    seconds(1000)  # compiled by now
+    short, long = seconds(100_000), seconds(1_000_000)
+    assert long < 25 * max(short, 1.0), (short, long)
+
+
 def test_many_matches_keep_their_places(spark):
     text = "é " + "token=abcdefgh12 😀 " * 3000
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
