@@ -151,12 +151,12 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: in
     doc_id and text are taken alike, as often as the one that is taken most."""
     plan = mix_plan(docs, weights, max_repeats)
     taken = (plan.where("rounds > 0").groupBy("doc_id", "place")
-             .agg(F.max(F.struct("rounds", "first_finish", "source_size", "target")).alias("_mix")))
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("place").alias("__at"), F.col("_mix").alias("__mix"))
-    keyed = docs.withColumn("__place", F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")))
-    rows = keyed.join(taken, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__place") == F.col("__at")))
-    out = rows.select(
-        *own_columns(docs, "mix_round", "mix_finish"), F.explode(F.sequence(F.lit(0), F.col("__mix.rounds") - 1)).alias("mix_round"), "__mix")
-    finish = F.col("__mix.first_finish") + F.col("mix_round") * F.col("__mix.source_size") / F.col("__mix.target")
-    out = out.withColumn("mix_finish", finish).drop("__mix")
+             .agg(F.max(F.struct("rounds", "first_finish", "source_size", "target")).alias("mix")))
+    taken = taken.select(F.struct("doc_id", "place").alias("key"), "mix")
+    row = F.struct(*own_columns(docs, "mix_round", "mix_finish"))  # in a struct their names can't clash
+    key = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")).alias("place"))
+    rows = docs.select(row.alias("row"), key.alias("of"))
+    rows = rows.join(taken, rows["of"].eqNullSafe(taken["key"])).select("row", "mix", F.explode(F.sequence(F.lit(0), F.col("mix.rounds") - 1)).alias("round"))
+    finish = F.col("mix.first_finish") + F.col("round") * F.col("mix.source_size") / F.col("mix.target")
+    out = rows.select("row.*", F.col("round").alias("mix_round"), finish.alias("mix_finish"))
     return out.repartitionByRange("mix_finish").sortWithinPartitions("mix_finish", "doc_id")

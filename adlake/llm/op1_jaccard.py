@@ -466,8 +466,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     without shingles all stay.  All columns as they are."""
     found = components(docs)
     keep = found.where("n_shingles = 0").select("doc_id", "k1", "k2").unionByName(found.where("n_shingles > 0").select("first.*")).distinct()
-    keep = written(keep, "jaccard-kept").select(F.struct("doc_id", "k1", "k2").alias("__doc"))
+    keep = written(keep, "jaccard-kept").select(F.struct("doc_id", "k1", "k2").alias("doc"))
     bare = F.length(F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) == 0
-    rows = docs.withColumn("__doc", document_key()).join(keep, "__doc")
-    own = F.when(bare, F.monotonically_increasing_id()).otherwise(F.lit(-1))  # documents without shingles are no repeats
-    return rows.withColumn("__own", own).dropDuplicates(["__doc", "__own"]).select(*own_columns(docs))
+    rows = docs.select(F.struct(*own_columns(docs)).alias("row"), document_key().alias("doc"), bare.alias("bare"))  # names of `docs` can't clash in a struct
+    rows = rows.join(keep, "doc")
+    own = F.when(F.col("bare"), F.monotonically_increasing_id()).otherwise(F.lit(-1))  # documents without shingles are no repeats
+    return rows.withColumn("own", own).dropDuplicates(["doc", "own"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -75,23 +75,23 @@ def without_lines(lines: Column, gone: Column) -> Column:
     return F.array_join(F.flatten(F.zip_with(before, behind, lambda a, b: F.slice(lines, a + 2, b - a - 1))), "\n")
 
 
-def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
-    """All rows and columns of `docs` and `_lines` (in place of a column of that name) with n_lines (not blank),
-    n_removed, n_runs and kept, the text left.
+def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE, name: str = "_lines") -> DataFrame:
+    """All rows and columns of `docs` and `name` (in place of a column of that
+    name) with n_lines (not blank), n_removed, n_runs and kept, the text left.
 
     Null texts have no lines and kept is empty; blank lines stay.  Rows equal
     in doc_id and text are one document and share a result; lines are equal if
     they are after trimming white space.  An empty table gives an empty one."""
-    gone = repeated_lines(docs, min_lines, long_line).select(
-        F.col("doc").alias("__doc"), F.col("gone").alias("__gone"), F.col("n_runs").alias("__runs"))
-    rows = docs.withColumn("__doc", document_key()).join(gone, "__doc", "left").select(
-        *own_columns(docs), F.split(F.coalesce(F.col("text"), F.lit("")), "\n").alias("__all"), "__gone", "__runs")
-    kept = F.when(F.col("__gone").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(without_lines(F.col("__all"), F.col("__gone")))
+    gone = repeated_lines(docs, min_lines, long_line)
+    rows = docs.select(F.struct(*own_columns(docs)).alias("row"), document_key().alias("doc")).join(gone, "doc", "left")  # names of `docs` can't clash in a struct
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    rows = rows.select("row", F.split(text, "\n").alias("all"), text.alias("text"), "gone", "n_runs")
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(without_lines(F.col("all"), F.col("gone")))
     measured = F.struct(
-        F.size(F.filter("__all", lambda x: _trimmed(x) != "")).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce(F.col("__runs"), F.lit(0)).cast("bigint").alias("n_runs"), kept.alias("kept"))
-    return rows.select(*own_columns(docs, "_lines"), measured.alias("_lines"))
+        F.size(F.filter("all", lambda x: _trimmed(x) != "")).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(F.col("n_runs"), F.lit(0)).cast("bigint").alias("n_runs"), kept.alias("kept"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != name], measured.alias(name))
 
 
 def report(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:

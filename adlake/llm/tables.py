@@ -15,6 +15,15 @@ def own_columns(df: DataFrame, *without: str) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c not in without]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores in front until no column of `df` has it (names
+    that differ in case alone are one)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 BATCH_BYTES = 8 << 20
 
 

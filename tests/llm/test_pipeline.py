@@ -101,10 +101,10 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_odd_columns_and_rows(spark, tmp_path):
     long = " ".join(f"word{i * 7 % 997}" for i in range(40_000))  # repeats itself: the rules reject it
-    odd = {"_doc": "a", "kept": 1, "size": None, "k1": 2.5, "cid": "b", "place": "p", "a.b": 3, "mix_finish": "old", "n_words": True}
+    odd = {"__doc": "d", "_lines": "l", "__mix": "m", "__own": 4, "__place": 5, "row": "r", "doc": "o", "gone": 6, "of": 7, "_doc": "a", "kept": 1, "size": None, "k1": 2.5, "cid": "b", "place": "p", "a.b": 3, "mix_finish": "old", "n_words": True}
     texts = [long, None, "", " \n", "x" * 100_000, long, " ".join(f"{i}é" for i in range(80)), " ".join(f"{i}é" for i in range(80))]
     rows = [(None if i == 6 else i % 6, t, None, None if i % 2 else "s", None, *odd.values()) for i, t in enumerate(texts)]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, _doc string, kept int, size string, k1 double, cid string, place string, `a.b` int, mix_finish string, n_words boolean"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __doc string, _lines string, __mix string, __own int, __place int, row string, doc string, gone int, of int, _doc string, kept int, size string, k1 double, cid string, place string, `a.b` int, mix_finish string, n_words boolean"
     docs = spark.createDataFrame(rows, schema)
     spark.createDataFrame([(None, None), (1, ""), (2, "no such words here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
@@ -112,6 +112,8 @@ def test_odd_columns_and_rows(spark, tmp_path):
         if k < 4:
             assert out.columns == docs.columns and out.schema["text"].dataType == docs.schema["text"].dataType, name
         n = out.count()
+        kept = [c for c in odd if c not in ("mix_finish", "a.b")]
+        assert {tuple(r) for r in out.select(*kept).collect()} <= {tuple(odd[c] for c in kept)}, name
         assert n == {0: 0, 1: n, 2: 6, 3: 8}.get(k, n), (name, n)
     assert set(docs.columns) <= set(out.columns) and dict(out.dtypes)["mix_finish"] == "double"
 
@@ -120,3 +122,7 @@ def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    odd = spark.createDataFrame([], "doc_id long, text string, source string, n_chars long, __doc string, _lines string, __mix string, __own int, __place int")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, odd, str(tmp_path))
+        assert out.count() == 0 and out.columns[: len(odd.columns)] == odd.columns, name
