@@ -13,6 +13,7 @@ _MODULES = (
     "adlake.plans.keys_functions",
     "adlake.plans.keys_marts",
     "adlake.plans.keys_io",
+    "adlake.plans.keys_landed",
     "adlake.plans.keys_ml",
 )
 

@@ -14,8 +14,9 @@ from adlake.operators.relational import union_all_by_name
 from adlake.operators.schema import add_columns_if_missing, fill_numeric_and_text, normalise
 from adlake.plans.registry import register
 from adlake.session import scratch_path
-from adlake.sources.sinks import append_with_quarantine as awq, max_dates, replace_from
+from adlake.sources.sinks import append_with_quarantine as awq, max_dates
 from adlake.sources.tables import Tables
+from adlake.sources.versioned import VersionedTable
 
 REPLACE_BATCH = ("1998-01-01", "1998-03-01")
 INGEST_AS_OF, INGEST_LOOKBACK = "2001-06-01", 180
@@ -34,12 +35,11 @@ def replace_from_date(spark, sf):
     replaces everything from its first day: all later partitions of the
     history must disappear."""
     o = Tables(spark, sf).orders.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("report_date"))
-    path = scratch_path(spark, "replace")
-    replace_from(o, path, "report_date")
+    table = VersionedTable(spark, scratch_path(spark, "replace"))
+    table.replace_from(o, "report_date")
     batch = o.where((F.col("report_date") >= REPLACE_BATCH[0]) & (F.col("report_date") < REPLACE_BATCH[1]))
-    replace_from(batch.withColumn("o_totalprice", F.col("o_totalprice") * 2), path, "report_date",
-                 start=REPLACE_BATCH[0])
-    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "report_date")
+    table.replace_from(batch.withColumn("o_totalprice", F.col("o_totalprice") * 2), "report_date", start=REPLACE_BATCH[0])
+    return table.read().select("o_orderkey", "o_totalprice", "report_date")
 
 
 def _region_orders(t, country: str, nations, with_details: bool):
@@ -81,13 +81,13 @@ def ingest_two_regions(spark, sf):
     sg = _region_orders(t, "SG", list(range(0, 12)), True)
     my = _region_orders(t, "MY", list(range(12, 25)), False)
     allr = fill_numeric_and_text(union_all_by_name([sg, my]).dropna(subset=["po_date"]))
-    path = scratch_path(spark, "purchases")
-    replace_from(allr, path, "po_date", scope=["country"])
+    table = VersionedTable(spark, scratch_path(spark, "purchases"))
+    table.replace_from(allr, "po_date", scope=["country"])
     since = F.date_sub(F.to_date(F.lit(INGEST_AS_OF)), INGEST_LOOKBACK)
     start = spark.range(1).select(since.alias("d")).first()["d"]
     batch = allr.where(F.col("po_date") >= since).withColumn("amount", F.col("amount") * 2)
-    replace_from(batch, path, "po_date", start=start, scope=["country"])
-    return spark.read.parquet(path).select("po_number", "vendor", "po_date", "amount", "note", "tax",
+    table.replace_from(batch, "po_date", start=start, scope=["country"])
+    return table.read().select("po_number", "vendor", "po_date", "amount", "note", "tax",
                                            "so_details2", "country")
 
 
@@ -112,17 +112,17 @@ def replace_region_from_date(spark, sf):
         F.col("o_orderkey").alias("document_no"), F.to_date("o_orderdate").alias("posting_date"),
         F.col("o_totalprice").alias("local_net_sales"), F.col("n_name").alias("warehouse_code"),
         F.when(F.col("c_nationkey") < 12, "SG").otherwise("MY").alias("country")))
-    path = scratch_path(spark, "sales")
+    table = VersionedTable(spark, scratch_path(spark, "sales"))
     to = F.when(F.col("country") == "SG", F.lit(SALES_LOADED_TO["SG"])).otherwise(F.lit(SALES_LOADED_TO["MY"]))
-    replace_from(src.where(F.col("posting_date") <= to.cast("date")), path, "posting_date", scope=["country"])
-    cursor = max_dates(spark.read.parquet(path), "country", "posting_date")
+    table.replace_from(src.where(F.col("posting_date") <= to.cast("date")), "posting_date", scope=["country"])
+    cursor = max_dates(table.read(), "country", "posting_date")
     batch = None
     for country, day in sorted(cursor.items()):  # one request a region, as each has its own day
         own = src.where((F.col("country") == country) & (F.col("posting_date") >= F.lit(day)))
         batch = own if batch is None else batch.unionByName(own)
     if batch is not None:
-        replace_from(batch.withColumn("local_net_sales", F.col("local_net_sales") * 2), path, "posting_date", start=cursor, scope=["country"])
-    return spark.read.parquet(path).select("document_no", "posting_date", "local_net_sales", "warehouse_code", "country")
+        table.replace_from(batch.withColumn("local_net_sales", F.col("local_net_sales") * 2), "posting_date", start=cursor, scope=["country"])
+    return table.read().select("document_no", "posting_date", "local_net_sales", "warehouse_code", "country")
 
 
 @register("append_with_quarantine", """

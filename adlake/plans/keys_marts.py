@@ -318,19 +318,26 @@ FROM pair JOIN limits USING (account)
 WHERE today - average >= min_abs AND (average = 0 OR abs((today - average) / average * 100.0) > pct)"""
 
 
-def _alerts(spark, sf):
-    from adlake.plans.operations import AlertParams, spend_alert as sa
+def alert_inputs(spark, sf, *more):
+    """Cost rows, with `more` columns of events, and the config sheet of the
+    alert keys."""
     t = _t(spark, sf)
     cost = t.events.select(
         F.concat(F.lit("account-"), (F.col("user_id") % 5).cast("string")).alias("account"), F.col("user_id").alias("campaign_id"),
         F.concat(F.lit("Campaign-"), F.col("user_id").cast("string")).alias("name"),
         F.when(F.col("event_type") == "error", "PAUSED").otherwise("ENABLED").alias("status"), "ts", F.col("value").alias("cost"),
-        F.get_json_object("props", "$.k").cast("double").alias("amount"))
+        F.get_json_object("props", "$.k").cast("double").alias("amount"), *more)
     key = F.col("n_nationkey")
     config = t.nation.select(
         F.concat(F.lit("account-"), (key % 5).cast("string")).alias("account"),
         F.when(key % 5 == 3, "n/a").otherwise((key + 30).cast("string")).alias("pct"), (key % 5 + 1).cast("string").alias("abs"),
         F.lower("n_name").alias("contact"), key.alias("pos"))
+    return cost, config
+
+
+def _alerts(spark, sf):
+    from adlake.plans.operations import AlertParams, spend_alert as sa
+    cost, config = alert_inputs(spark, sf)
     return sa(cost, config, AlertParams(ALERT_AS_OF, ALERT_HOUR, not_contains=ALERT_NOT, contains=ALERT_ANY))
 
 

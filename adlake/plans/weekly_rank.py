@@ -9,12 +9,14 @@ exactly the affected week partitions (see ``sources.sinks``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.functions.core import sunday_week
 from adlake.operators.relational import latest_per_key
-from adlake.sources.sinks import write_full, write_partitions
+from adlake.sources.sinks import append_partitioned, write_full, write_partitions
 from adlake.sources.tables import table_exists
 
 
@@ -54,3 +56,37 @@ def refresh_weekly_rank(rank_raw: DataFrame, niche_master: DataFrame, date_dimen
         return "full"
     write_partitions(weekly_rank(rank_raw, niche_master, date_dimension, market, True, as_of), path, ["year", "week"])
     return "incremental"
+
+
+def land_readings(rank_raw: DataFrame, source: str) -> None:
+    """Readings appended to a source table partitioned by day."""
+    append_partitioned(rank_raw.withColumn("day", F.to_date("timestamp_ingested")), source, ["day"])
+
+
+def readings_since(spark: SparkSession, source: str, mark: dt.date | None) -> DataFrame:
+    """The source from a day on: only its partitions are listed and read."""
+    rows = spark.read.parquet(source)
+    return rows if mark is None else rows.where(F.col("day") >= F.lit(mark))
+
+
+def high_water_mark(spark: SparkSession, path: str) -> dt.date | None:
+    """The first day of the last week in the target; None without a target.  Its
+    (year, week) partitions are folder names, so two weeks at most are read."""
+    if not table_exists(spark, path):
+        return None
+    table = spark.read.parquet(path)
+    last = table.select("year", "week").distinct().orderBy(F.desc("year"), F.desc("week")).first()
+    if last is None:
+        return None
+    return table.where((F.col("year") == last["year"]) & (F.col("week") == last["week"])).agg(F.min("wc_date")).first()[0]
+
+
+def run_incremental(spark: SparkSession, source: str, niche_master: DataFrame, date_dimension: DataFrame, market: str, path: str) -> dt.date | None:
+    """SK2: one run of the incremental model.  The mark is read from the target:
+    the week it begins may have new readings, weeks before may not; from there
+    on whole weeks are computed and overwrite their (year, week) partitions.
+    Without a target, or in one without a dated week, all are.  Returns the mark."""
+    mark = high_water_mark(spark, path)
+    rows = weekly_rank(readings_since(spark, source, mark).drop("day"), niche_master, date_dimension, market)
+    (write_full if mark is None else write_partitions)(rows, path, ["year", "week"])
+    return mark

@@ -134,3 +134,26 @@ def test_readers(spark, tmp_path):
     assert [tuple(r) for r in rows_from_json_grid(grid, "g", ["n", "s"]).collect()] == [(0, "1", "a"), (1, "2", None)]
     out = write_csv_report(spark.createDataFrame([(1, "p")], "n int, s string"), str(tmp_path), "rep", "2024-01-01")
     assert out.endswith("rep_2024-01-01") and spark.read.option("header", True).csv(out).collect()[0].s == "p"
+
+
+def test_incremental_model_reads_only_new_partitions(spark, tmp_path):
+    from adlake.plans.weekly_rank import high_water_mark, land_readings, readings_since, run_incremental, weekly_rank
+    source, path = str(tmp_path / "raw"), str(tmp_path / "model")
+    make = lambda rows: spark.createDataFrame([(dt.datetime(2024, 1, d, h), 1, p, r, 5) for d, h, p, r in rows],
+                                              "timestamp_ingested timestamp, asin long, phrase string, rank string, niche_id long")
+    niche = spark.createDataFrame([(5, "m")], "niche_id long, marketplace_id string")
+    dates = spark.createDataFrame([(day(i), int(day(i).strftime("%U")), 2024) for i in range(1, 29)], "full_date date, week_number int, year int")
+    assert high_water_mark(spark, path) is None
+    landings = [[(2, 8, "a", "9"), (8, 8, "a", "7"), (8, 9, "b", "3")], [(10, 8, "a", "x"), (16, 8, "c", "1")], [(16, 9, "c", "2"), (25, 1, "a", "4")], [(25, 1, "a", "4")]]
+    marks, everything = [], []
+    for rows in landings:
+        land_readings(make(rows), source)
+        everything += rows
+        marks.append(run_incremental(spark, source, niche, dates, "m", path))
+        cols = ["year", "week", "asin", "phrase", "h10_rank", "unique_key"]
+        got = sorted(map(tuple, spark.read.parquet(path).select(*cols).collect()), key=str)
+        assert got == sorted(map(tuple, weekly_rank(make(everything), niche, dates, "m").select(*cols).collect()), key=str)
+    assert marks == [None, day(7), day(14), day(21)]
+    scan = weekly_rank(readings_since(spark, source, day(14)).drop("day"), niche, dates, "m")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-14" in plan
