@@ -1,23 +1,28 @@
 """Feature pipeline, split, tree models and evaluation on Spark ML (ML3-ML9).
 
-Everything is a Spark ML pipeline: fitting is distributed over the rows of the
-fit table, and only the trees come to the driver.  Fits may be bounded by
+Fitting is distributed over the rows of the fit table, and only the trees come
+to the driver.  Fits may be bounded by
 ``max_fit_rows`` (rows in hash order, so the choice is repeatable); scoring and
 evaluation always cover all rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlake.ml.boosting import Bins, Boosted, boost, fit_bins
+from adlake.session import materialise
+
 MAX_DEPTH = 30  # the deepest tree Spark builds; the source asks for 35
 MAX_FIT_ROWS = 1_000_000
 
@@ -35,10 +40,15 @@ def label_indexer(label: str, out: str = "label_index") -> StringIndexer:
     return StringIndexer(inputCol=label, outputCol=out, handleInvalid="error", stringOrderType="alphabetAsc")
 
 
+def hash_slot(key: str, slots: int) -> Column:
+    """0..slots-1 by the MD5 of a key's text: repeatable, whatever the
+    partitioning, and the same in any SQL engine.  A NULL key has slot 0."""
+    return F.coalesce(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % slots, F.lit(0)).cast("int")
+
+
 def hash_split(df: DataFrame, key: str, train_percent: int = 70) -> tuple[DataFrame, DataFrame]:
-    """ML4: a split by the hash of a key: repeatable, and rows of one key stay
-    together, whatever the partitioning."""
-    slot = F.pmod(F.xxhash64(key), F.lit(100))
+    """ML4: a split by the hash of a key; rows of one key stay together."""
+    slot = hash_slot(key, 100)
     return df.where(slot < train_percent), df.where(slot >= train_percent)
 
 
@@ -56,23 +66,57 @@ def decision_tree(label: str = "label_index", depth: int = MAX_DEPTH, seed: int
     return DecisionTreeClassifier(labelCol=label, maxDepth=min(depth, MAX_DEPTH), seed=seed)
 
 
-def random_forest(label: str = "label_index", trees: int = 500, depth: int = 10, subset: str = "auto", seed: int = 1) -> RandomForestClassifier:
+def random_forest(label: str = "label_index", trees: int = 500, depth: int = MAX_DEPTH, subset: str = "auto", seed: int = 1) -> RandomForestClassifier:
     """ML6."""
     return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy=subset, seed=seed)
 
 
-def boosted_trees(label: str = "label_index", depth: int = 3, eta: float = 0.3, rounds: int = 20, seed: int = 1) -> OneVsRest:
-    """ML9: boosting is binary in Spark, so one model a class."""
-    return OneVsRest(labelCol=label, classifier=GBTClassifier(maxDepth=depth, stepSize=eta, maxIter=rounds, seed=seed))
-
-
-def grid_search(train: DataFrame, label: str = "label_index", trees: Sequence[int] = (50, 400), subsets: Sequence[str] = ("auto", "sqrt", "log2"),
-                folds: int = 5, depth: int = 10, parallelism: int = 2, seed: int = 1) -> CrossValidatorModel:
-    """ML7: cross-validated accuracy over trees x feature subsets."""
-    forest = random_forest(label, depth=depth, seed=seed)
-    grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.featureSubsetStrategy, list(subsets)).build()
-    return CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=accuracy_evaluator(label), numFolds=folds,
-                          parallelism=parallelism, seed=seed).fit(train)
+def boosted_trees(train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], classes: Sequence[str], rounds: int = 100,
+                  depth: int = 3, eta: float = 0.3, folds: int = 0, key: str | None = None) -> tuple[Boosted, Bins, DataFrame]:
+    """ML9: multiclass boosting with log-loss.  With `folds`, one model for each
+    fold by the hash of `key`, trained on the others; the scored rows have
+    `fold`, `model`, `class_no` and `scores`."""
+    bins = fit_bins(train, numeric, categorical)
+    number = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(f"`{label}`").cast("string"))
+    rows = train.withColumn("bins", bins.column()).withColumn("class_no", F.nullif(number, F.lit(0)).cast("int") - 1)
+    rows = rows.withColumn("fold", hash_slot(key, folds) if folds else F.lit(-1))
+    fitted, scored = boost(rows, "class_no", "bins", len(classes), max(1, folds), rounds, depth, eta, held_out="fold" if folds else None)
+    return fitted, bins, scored
+
+
+SAME_SUBSETS = {"auto": "sqrt"}  # what "auto" means for a forest of classifiers
+
+
+def grid_predictions(rows: DataFrame, key: str, label: str = "label_index", trees: Sequence[int] = (50, 400), subsets: Sequence[str] = ("auto", "sqrt", "log2"),
+                     folds: int = 5, depth: int = MAX_DEPTH, parallelism: int = 4, seed: int = 1) -> DataFrame:
+    """ML7: (trees, subset, fold, key, label, predicted): every row, with
+    `features`, predicted by each cell's forest of the other folds.  Folds are a
+    column by the hash of the key; the fits share the cluster, `parallelism` at
+    a time; cells of equal parameters share their fit."""
+    rows = materialise(rows.select(key, "features", label).withColumn("fold", hash_slot(key, folds)), "grid-rows")
+    strategies = sorted({SAME_SUBSETS.get(s, s) for s in subsets})
+    cells = [(n, s, fold) for n in trees for s in strategies for fold in range(folds)]
+
+    def fit(cell: tuple[int, str, int]) -> DataFrame:
+        n, strategy, fold = cell
+        model = random_forest(label, n, depth, strategy, seed).fit(rows.where(F.col("fold") != fold))
+        return model.transform(rows.where(F.col("fold") == fold)).select(
+            F.lit(n).alias("trees"), F.lit(strategy).alias("subset"), "fold", key, F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("predicted"))
+
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(inheritable_thread_target(rows.sparkSession)(fit), cells)
+    held = materialise(reduce(DataFrame.unionByName, found), "grid-predictions")
+    again = [held.where(F.col("subset") == SAME_SUBSETS[s]).withColumn("subset", F.lit(s)) for s in subsets if s in SAME_SUBSETS]
+    return reduce(DataFrame.unionByName, again, held.where(F.col("subset").isin(list(subsets))))
+
+
+def grid_metrics(predictions: DataFrame) -> DataFrame:
+    """Rows, hits and accuracy of every cell by fold, and over all folds (fold
+    NULL, accuracy the mean of the folds')."""
+    hit = (F.col("label") == F.col("predicted")).cast("bigint")
+    by_fold = predictions.groupBy("trees", "subset", "fold").agg(F.count("*").alias("n"), F.sum(hit).alias("hits"), (F.sum(hit) / F.count("*")).alias("accuracy"))
+    whole = by_fold.groupBy("trees", "subset").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.avg("accuracy").alias("accuracy"))
+    return by_fold.unionByName(whole.withColumn("fold", F.lit(None).cast("int")))
 
 
 def accuracy_evaluator(label: str = "label_index") -> MulticlassClassificationEvaluator:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.ml import models as M
+from adlake.ml.boosting import log_loss
 from adlake.plans.registry import register
 from adlake.sources.tables import Tables
 
@@ -33,16 +35,50 @@ def labelled(spark, sf) -> DataFrame:
         (F.size(F.array_distinct(F.split(text, " "))) / F.size(F.split(text, " "))).alias("variety"))
 
 
-@register("quality_models", None, "ML3,ML4,ML5,ML6,ML9")
+@register("train_test_split", """
+SELECT doc_id, quality, CASE WHEN CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 70 THEN 'train' ELSE 'test' END AS side
+FROM documents JOIN labels USING (doc_id)
+""", "ML4")
+def train_test_split(spark, sf):
+    t = Tables(spark, sf)
+    rows = t.documents.join(t.labels, "doc_id").select("doc_id", "quality")
+    train, test = M.hash_split(rows, "doc_id")
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+CATEGORICAL, NUMERIC = ["lang", "source"], ["chars", "symbols", "capitals", "variety"]
+BOOSTING_ROUNDS = 20
+
+
+@register("quality_models", None, "ML3,ML5,ML6")
 def quality_models(spark, sf):
-    """The quality label of held-out documents by a tree, a forest and boosted
-    trees, fitted on at most 200,000 of the others."""
-    train, held = M.hash_split(labelled(spark, sf), "doc_id")
+    """The quality label of held-out documents by a tree of depth 30 and a
+    forest of 500, fitted on at most 200,000 of the others."""
+    train, held = M.hash_split(labelled(spark, sf).where("quality is not null"), "doc_id")
     train = M.fit_rows(train, "doc_id", 200_000)
     out = None
-    for name, model in (("tree", M.decision_tree(depth=10)), ("forest", M.random_forest(trees=30, depth=8)), ("boosted", M.boosted_trees(rounds=5))):
-        fitted = M.fit_pipeline(train, ["lang", "source"], ["chars", "symbols", "capitals", "variety"], "quality", model)
+    for name, model in (("tree", M.decision_tree()), ("forest", M.random_forest())):
+        fitted = M.fit_pipeline(train, CATEGORICAL, NUMERIC, "quality", model)
         rows = fitted.transform(held).select(F.lit(name).alias("model"), "doc_id", F.col("label_index").cast("int").alias("label"),
                                              F.col("prediction").cast("int").alias("predicted"))
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@register("boosted_log_loss", None, "ML9")
+def boosted_log_loss(spark, sf):
+    """Multiclass boosting of the quality and toxic labels together: log-loss
+    and accuracy of 3 models, each on the fold it didn't see."""
+    rows = labelled(spark, sf).join(Tables(spark, sf).labels.select("doc_id", "toxic"), "doc_id")
+    rows = rows.withColumn("kind", F.concat("quality", F.lit("/"), F.col("toxic").cast("string")))
+    _, _, scored = M.boosted_trees(rows, "kind", NUMERIC, CATEGORICAL, ["0/0", "0/1", "1/0", "1/1"], rounds=BOOSTING_ROUNDS, folds=3, key="doc_id")
+    return log_loss(scored.where(F.col("fold") == F.col("model")), "class_no", ["fold"])
+
+
+@register("grid_search", None, "ML7,ML8")
+def grid_search(spark, sf):
+    """Forests of 50 and 400 trees by three rules for the feature subset, in 5
+    folds: accuracy of each cell and fold, and over the folds."""
+    rows = M.fit_rows(labelled(spark, sf).where("quality is not null"), "doc_id", 200_000)
+    stages = Pipeline(stages=[*M.feature_stages(CATEGORICAL, NUMERIC), M.label_indexer("quality")])
+    return M.grid_metrics(M.grid_predictions(stages.fit(rows).transform(rows), "doc_id"))

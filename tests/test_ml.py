@@ -1,7 +1,11 @@
 import random
 
+import numpy as np
 from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
 from adlake.functions.features import neutered_state, sex_of
+from adlake.ml import boosting
 from adlake.ml import models as M
 
 
@@ -37,17 +41,88 @@ def test_hash_split_is_repeatable(spark):
 
 def test_models_learn_separable_data(spark):
     train, held = M.hash_split(animals(spark).fillna(0.0, ["days"]), "id")
-    for model in (M.decision_tree(), M.random_forest(trees=15), M.boosted_trees(rounds=3)):
+    for model in (M.decision_tree(), M.random_forest(trees=15)):
         fitted = M.fit_pipeline(train, ["kind", "sex"], ["days"], "outcome", model)
         assert M.accuracy_evaluator().evaluate(fitted.transform(held)) > 0.9
 
 
-def test_grid_search(spark):
+def test_grid_metrics_equal_sql_over_predictions(spark):
+    import duckdb
     df = animals(spark, 300).fillna(0.0, ["days"])
     stages = [*M.feature_stages(["kind", "sex"], ["days"]), M.label_indexer("outcome")]
-    train = Pipeline(stages=stages).fit(df).transform(df).select("features", "label_index")
-    found = M.grid_search(train, trees=(1, 8), subsets=("sqrt",), folds=2, depth=6)
-    assert len(found.avgMetrics) == 2 and max(found.avgMetrics) > 0.8 and found.bestModel.getNumTrees in (1, 8)
+    rows = Pipeline(stages=stages).fit(df).transform(df)
+    found = M.grid_predictions(rows, "id", trees=(1, 8), subsets=("auto", "sqrt", "log2"), folds=5, depth=6)
+    predictions = found.toArrow()
+    assert predictions.num_rows == 300 * 6
+    want = duckdb.sql("""SELECT trees, subset, fold, count(*) AS n, count(*) FILTER (WHERE label = predicted) AS hits FROM predictions GROUP BY ALL""").fetchall()
+    got = M.grid_metrics(found).collect()
+    assert sorted((r.trees, r.subset, r.fold, r.n, r.hits) for r in got if r.fold is not None) == sorted(want) and len(want) == 30
+    assert all(r.n == 300 and r.accuracy > 0.5 for r in got if r.fold is None and r.trees == 8) and len(got) == 36
+    folds = {r.id: r.fold for r in found.collect()}
+    assert all(len({f}) == 1 for f in folds.values()) and set(folds.values()) == set(range(5))
+
+
+def _boost_by_hand(x, y, classes, rounds, depth, eta, reg=1.0, least=1.0):
+    """The same rule from rows: every split of every node is tried."""
+    scores = np.zeros((len(x), classes))
+    for _ in range(rounds):
+        p = np.exp(scores - scores.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        step = np.zeros_like(scores)
+        for k in range(classes):
+            g, h = p[:, k] - (y == k), p[:, k] * (1 - p[:, k])
+            parts = [np.arange(len(x))]
+            for _ in range(depth):
+                below = []
+                for rows in parts:
+                    best = (0.0, None)
+                    G, H = g[rows].sum(), h[rows].sum()
+                    for f in range(x.shape[1]):
+                        for b in range(int(x.max())):
+                            left = x[rows, f] <= b
+                            GL, HL = g[rows][left].sum(), h[rows][left].sum()
+                            if HL >= least and H - HL >= least:
+                                gain = round(GL ** 2 / (HL + reg) + (G - GL) ** 2 / (H - HL + reg) - G ** 2 / (H + reg), 6)
+                                if gain > best[0]:
+                                    best = (gain, left)
+                    below += [rows, rows[:0]] if best[1] is None else [rows[best[1]], rows[~best[1]]]
+                parts = below
+            for rows in parts:
+                step[rows, k] = -eta * g[rows].sum() / (h[rows].sum() + reg)
+        scores += step
+    return scores
+
+
+def test_boosting_equals_the_rule_by_hand(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 4, (240, 3))
+    y = np.where(x[:, 0] > 1, np.where(x[:, 1] > 2, 2, 1), 0)
+    y = np.where(rng.random(240) < 0.1, rng.integers(0, 3, 240), y)
+    rows = spark.createDataFrame([(i, [int(v) for v in x[i]], int(y[i])) for i in range(240)], "id long, bins array<int>, y int")
+    fitted, scored = boosting.boost(rows, "y", "bins", 3, rounds=4, depth=2, eta=0.3)
+    want = _boost_by_hand(x, y, 3, 4, 2, 0.3)
+    got = {r.id: r.scores for r in scored.collect()}
+    assert np.allclose([got[i] for i in range(240)], want, atol=1e-6)
+    chance = np.exp(want) / np.exp(want).sum(1, keepdims=True)
+    again = {r.id: r.p for r in rows.repartition(5).select("id", fitted.probabilities(F.col("bins")).alias("p")).collect()}
+    assert np.allclose([again[i] for i in range(240)], chance, atol=1e-6)
+    loss = boosting.log_loss(scored, "y").collect()[0]
+    assert abs(loss.log_loss + np.log(chance[np.arange(240), y]).mean()) < 1e-6 and loss.n == 240
+
+
+def test_boosting_folds_and_odd_rows(spark):
+    df = animals(spark, 400)
+    fitted, bins, scored = M.boosted_trees(df.withColumn("outcome", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("outcome"))), "outcome", ["days"], ["kind", "sex"],
+                                           ["adopt", "return", "transfer"], rounds=6, folds=3, key="id")
+    assert scored.count() == 1200 and set(bins.categorical["kind"]) == {"bird", "cat", "dog"}
+    held = {r.fold: r for r in boosting.log_loss(scored.where("fold = model"), "class_no", ["fold"]).collect()}
+    assert len(held) == 3 and all(r.log_loss < 0.5 and r.accuracy > 0.85 for r in held.values())
+    seen = boosting.log_loss(scored.where("fold <> model"), "class_no", ["model"]).collect()
+    assert sum(r.n for r in seen) == 2 * sum(r.n for r in held.values())
+    again = M.boosted_trees(df.withColumn("outcome", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("outcome"))).repartition(9), "outcome", ["days"], ["kind", "sex"],
+                            ["adopt", "return", "transfer"], rounds=2, folds=3, key="id")[0]
+    assert all((a == b).all() for a, b in zip(again.leaf, fitted.leaf))
+    assert boosting.boost(spark.createDataFrame([], "bins array<int>, y int"), "y", "bins", 2, rounds=1)[1].count() == 0
 
 
 def test_accuracy_by_group(spark):
