@@ -4,6 +4,13 @@ Units (lines or paragraphs) are normalised and digested; digests are grouped
 globally; the earliest ranked occurrence of a digest stays and all others are
 removed, with their places in the original text kept.  Rank: document id (null
 first), text digest, unit number.
+
+A passage that is repeated inside longer lines shows in finer units: sentences,
+which end at a full stop, question or exclamation mark before white space, or at
+the line's end.  Sentences of any length are grouped; a sentence repeats by
+chance, but a run of neighbours that all occur elsewhere, PASSAGE_CHARS
+characters together, doesn't.  `passages` reports these runs, the earliest
+occurrence among them.
 """
 
 from __future__ import annotations
@@ -11,13 +18,15 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from adlake.llm.tables import document_key, own_columns, written
+from adlake.llm.tables import document_key, maybe_in, own_columns, written
 
 SEPARATORS = {"line": r"\n", "paragraph": r"\n(?:[\x20\x09-\x0D]*\n)+"}
+SENTENCE = r"[.!?]+(?:[\x20\x09-\x0D]+|(?![\s\S]))|\n+"
+PASSAGE_CHARS = 100  # of the normalised sentences of a run, at least
 MIN_CHARS = 60  # shorter normalised units repeat by chance and stay
 
 
@@ -44,6 +53,22 @@ def later_units(units: DataFrame) -> DataFrame:
     return later.groupBy("doc").agg(F.sort_array(F.collect_set("unit")).alias("units"))
 
 
+def passages(docs: DataFrame, min_chars: int = PASSAGE_CHARS) -> DataFrame:
+    """(doc, n_passages, n_passage_chars) of the documents that hold any: runs
+    of neighbouring sentences which all occur at another place, too, of at least
+    `min_chars` normalised characters together.  Sentences are counted by a
+    partial aggregate; of those only that may repeat are shuffled again."""
+    sentences = F.filter(F.transform(F.split("text", SENTENCE), normalised), lambda x: x != "")
+    units = docs.select(document_key().alias("doc"), F.posexplode(sentences).alias("pos", "body"))
+    units = units.select("doc", "pos", F.length("body").alias("chars"), F.xxhash64("body").alias("d1"), F.hash("body").alias("d2"))
+    units = written(units, "unit-sentences")
+    repeated = written(units.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "unit-repeated", units.count())
+    found = maybe_in(units, "d1", repeated).join(repeated, ["d1", "d2"]).dropDuplicates(["doc", "pos"])
+    runs = found.withColumn("run", F.col("pos") - F.row_number().over(Window.partitionBy("doc").orderBy("pos")))
+    runs = runs.groupBy("doc", "run").agg(F.sum("chars").alias("chars")).where(F.col("chars") >= min_chars)
+    return runs.groupBy("doc").agg(F.count("*").alias("n_passages"), F.sum("chars").alias("n_passage_chars"))
+
+
 def cut_units(text: Column, units: Column, unit: str = "line") -> Column:
     """Struct of the text without the given units and the code-point offsets
     (start, end, start, end, ...) of what went.  A unit goes with the separator
@@ -75,6 +100,17 @@ def cut_units(text: Column, units: Column, unit: str = "line") -> Column:
     return cut(text, units)
 
 
+def _cut_rows(docs: DataFrame, found: DataFrame, unit: str, more: list[str]) -> DataFrame:
+    """(row, units, *more): `docs`' columns as a struct, in which no name can
+    clash, and what was found, by document."""
+    rows = docs.select(F.struct(*own_columns(docs)).alias("row"), document_key().alias("doc")).join(found, "doc", "left")
+    text = F.col("row.text")
+    rows = rows.select("row", *more, cut_units(text.cast("string"), F.col("units"), unit).alias("cut"))
+    return rows.select("row", *more, F.struct(
+        F.when(text.isNull(), 0).otherwise(F.size(F.split(text, SEPARATORS[unit]))).cast("bigint").alias("n_units"),
+        (F.size("cut.spans") / 2).cast("bigint").alias("n_removed"), F.col("cut.kept").alias("kept"), F.col("cut.spans").alias("spans")).alias("units"))
+
+
 def deduplicated(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of `docs` and `_units` (in place of a column of that name) with n_units, n_removed,
     kept (the text left) and spans (offsets of removed units in the original).
@@ -82,23 +118,22 @@ def deduplicated(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS
     Null and empty texts have no units of that length and nothing to remove;
     kept is then empty.  Rows equal in doc_id and text are one document and
     share a result.  An empty table gives an empty one."""
-    gone = later_units(unit_rows(docs, unit, min_chars))
-    rows = docs.withColumn("__doc", document_key()).join(gone.select(F.col("doc").alias("__doc"), F.col("units").alias("__gone")), "__doc", "left")
-    rows = rows.withColumn("__cut", cut_units(F.col("text").cast("string"), F.col("__gone"), unit))
-    measured = F.struct(
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", SEPARATORS[unit]))).cast("bigint").alias("n_units"),
-        (F.size("__cut.spans") / 2).cast("bigint").alias("n_removed"), F.col("__cut.kept").alias("kept"), F.col("__cut.spans").alias("spans"))
-    return rows.select(*own_columns(docs, "_units"), measured.alias("_units"))
+    rows = _cut_rows(docs, later_units(unit_rows(docs, unit, min_chars)), unit, [])
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "_units"], F.col("units").alias("_units"))
 
 
-def report(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS) -> DataFrame:
+def report(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS, passage_chars: int = PASSAGE_CHARS) -> DataFrame:
     """doc_id, n_units, n_removed, n_removed_chars, spans (start:end, comma
-    joined) and kept_sha256 of every row of `docs`."""
-    rows = deduplicated(docs.select("doc_id", "text"), unit, min_chars)
-    spans = F.col("_units.spans")
+    joined), kept_sha256, n_passages and n_passage_chars of every row of `docs`."""
+    docs = docs.select("doc_id", "text")
+    later = later_units(unit_rows(docs, unit, min_chars))
+    rows = _cut_rows(docs, later.join(passages(docs, passage_chars), "doc", "full"), unit, ["n_passages", "n_passage_chars"])
+    spans = F.col("units.spans")
     pairs = F.transform(F.filter(F.transform(spans, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: p["i"] % 2 == 0),
                         lambda p: F.concat_ws(":", p["x"].cast("string"), F.get(spans, p["i"] + 1).cast("string")))
+    zero = F.lit(0).cast("bigint")
     return rows.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "_units.n_units", "_units.n_removed",
-        F.aggregate(F.transform(spans, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_removed_chars"),
-        F.array_join(pairs, ",").alias("spans"), F.sha2("_units.kept", 256).alias("kept_sha256"))
+        F.col("row.doc_id").cast("bigint").alias("doc_id"), "units.n_units", "units.n_removed",
+        F.aggregate(F.transform(spans, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), zero, lambda a, x: a + x).alias("n_removed_chars"),
+        F.array_join(pairs, ",").alias("spans"), F.sha2("units.kept", 256).alias("kept_sha256"),
+        F.coalesce("n_passages", zero).alias("n_passages"), F.coalesce("n_passage_chars", zero).alias("n_passage_chars"))

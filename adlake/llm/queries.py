@@ -146,13 +146,25 @@ n AS (
   SELECT *, trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS body,
          coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM l),
+s AS (
+  SELECT doc_id, no, trim(lower(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS body
+  FROM (SELECT doc_id, unnest(string_split_regex(text, '[.!?]+(?:[\x20\x09-\x0D]+|\z)|\n+')) AS part,
+               unnest(range(len(string_split_regex(text, '[.!?]+(?:[\x20\x09-\x0D]+|\z)|\n+')))) AS no FROM documents WHERE text IS NOT NULL)),
+sp AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS pos, length(body) AS chars, count(*) OVER (PARTITION BY body) > 1 AS again
+  FROM s WHERE body <> ''),
+sr AS (
+  SELECT doc_id, sum(chars) AS chars
+  FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM sp WHERE again) GROUP BY doc_id, run HAVING sum(chars) >= 100),
+passages AS (SELECT doc_id, count(*) AS n_passages, sum(chars) AS n_passage_chars FROM sr GROUP BY 1),
 g AS (SELECT *, length(body) >= 60 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, no) > 1 AS gone FROM n)
-SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
+SELECT g.doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
        CAST(coalesce(sum(length(line)) FILTER (WHERE gone), 0) AS BIGINT) AS n_removed_chars,
        coalesce(string_agg(CAST(CAST(place AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(place AS BIGINT) + length(line) AS VARCHAR), ',' ORDER BY no)
                 FILTER (WHERE gone), '') AS spans,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM g GROUP BY 1
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT gone), '')) AS kept_sha256,
+       CAST(coalesce(any_value(n_passages), 0) AS BIGINT) AS n_passages, CAST(coalesce(any_value(n_passage_chars), 0) AS BIGINT) AS n_passage_chars
+FROM g LEFT JOIN passages USING (doc_id) GROUP BY 1
 """
 
 SQL["op1_signature_trees"] = r"""

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -86,18 +87,65 @@ def brute_units(rows, separator, min_chars, key):
     return out
 
 
+def brute_passages(rows, least):
+    """(doc_id, text) -> runs of sentences that all occur twice or more."""
+    docs = {r[:2] for r in rows if r[1] is not None}
+    split = {d: [u for u in (re.sub(r"[\x20\x09-\x0D]+", " ", x).lower().strip(" ") for x in re.split(op9_units.SENTENCE, d[1])) if u] for d in docs}
+    seen = Counter(u for units in split.values() for u in units)
+    out = {}
+    for d, units in split.items():
+        runs, run = [], 0
+        for u in [*units, None]:
+            if u is not None and seen[u] > 1:
+                run += len(u)
+            else:
+                runs, run = runs + [run], 0
+        out[d] = (sum(n >= least for n in runs), sum(n for n in runs if n >= least))
+    return out
+
+
 @pytest.mark.parametrize("seed,unit,min_chars", [(1, "line", 6), (2, "line", 60), (3, "paragraph", 6), (4, "line", 1)])
 def test_op9_agrees_with_brute_force(spark, seed, unit, min_chars):
     rows = documents(seed)
+    rnd = random.Random(seed)
+    rows += [(700 + i, "".join(rnd.choice([f"only {i} {j}. ", "a sentence that is here twice? ", "short! ", "line 3 \n", "é.x. "]) for j in range(25)), "c", "d") for i in range(12)]
     docs = frame(spark, rows)
     keys = {(r.doc_id, r.text): (r.doc_id is not None, r.doc_id or 0, r.k1, r.k2)
             for r in docs.withColumn("d", op9_units.document_key()).select("doc_id", "text", "d.k1", "d.k2").collect()}
     want = brute_units(rows, op9_units.SEPARATORS[unit], min_chars, lambda d: keys[d[:2]])
-    got = op9_units.report(docs, unit, min_chars).collect()
-    expected = [(r[0], *want.get(r[:2], (0, 0, 0, "", sha("")))) for r in rows]
+    held = brute_passages(rows, 30)
+    got = op9_units.report(docs, unit, min_chars, 30).collect()
+    expected = [(r[0], *want.get(r[:2], (0, 0, 0, "", sha(""))), *held.get(r[:2], (0, 0))) for r in rows]
+    assert len({r.n_passages for r in got}) > 2
     assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
 
 
+def test_passages_inside_lines_are_found(spark):
+    """Passages of 51 words and more, in the middle of other lines, are held by
+    every document they were put into, and other documents hold none."""
+    rnd = random.Random(12)
+    pool = ["".join(rnd.choice("etaoinshrdlucm") for _ in range(rnd.randint(2, 8))) for _ in range(400)]
+    sentence = lambda: " ".join(rnd.choice(pool) for _ in range(rnd.choice([1, 2, 5, 9, 14]))).capitalize() + "."
+    prose = lambda words: " ".join(sentence() for _ in range(words // 6))
+
+    def passage():
+        out = []
+        while len(" ".join(out).split()) <= 50:
+            out.append(sentence())
+        return rnd.choice([" ", "\n"]).join(out)
+
+    planted = [passage() for _ in range(20)]
+    rows, holds = [], set()
+    for i in range(400):
+        words = prose(150).split(" ")
+        if i < 80:
+            words.insert(rnd.randint(0, len(words)), planted[i % 20])
+            holds.add(i)
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id for r in op9_units.report(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_passages}
+    assert len(got & holds) >= 76 and len(got - holds) <= 4
+
+
 def test_empty_tables_and_columns(spark):
     empty = frame(spark, [])
     assert op6_lines.report(empty).count() == 0 and op9_units.report(empty).count() == 0
