@@ -8,23 +8,29 @@ are joined on that shingle alone.  Its place in the window fixes the alignment
 (positional bound), the window must fit in the document (length bound), and the
 words of every aligned window are then compared one by one.
 
-The benchmark is taken in blocks of at most `BLOCK_WINDOWS` windows; only a
-block, whose size that bound proves, is sent to the driver and to all tasks.
-Documents never move: the join runs where they are read.
+The benchmark is taken in blocks of about `BLOCK_WINDOWS` windows; only a
+block, whose size that bounds, is sent to the driver and to all tasks, and with
+more than one block its hits are written and its index let go before the next
+is read.  The join runs where documents are read; texts never move, but to
+leave out the documents that hold windows of a benchmark of several blocks.
+Tasks know windows by number; items come in by joins on the few distinct sets
+of windows that documents hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from adlake.llm.tables import written
+from adlake.llm.tables import document_key, own_columns, written
 from adlake.llm.tokens import column_bytes, pieces, window_hashes, word_hashes, words
 
 WINDOW = 10
@@ -42,9 +48,9 @@ def hashed_words(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         yield first, last, word_hashes(data, starts, ends, lower=True), of
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(words array<long>, items array<string>): every distinct window and the
-    items that have it.  Null item ids are windows without an item."""
+def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(wid, words array<long>): every distinct window, numbered; (wid, item):
+    the items that have it.  Null item ids are windows without an item."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,17 +67,21 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                     [pa.array(items, pa.string()), pa.array(found, pa.list_(pa.int64()))], names=["item", "words"])
 
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(cut, "item string, words array<long>").groupBy("words").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    cuts = written(rows.mapInArrow(cut, "item string, words array<long>").distinct(), "bench-cuts")
+    windows = written(cuts.select("words").distinct().withColumn("wid", F.monotonically_increasing_id()), "bench-windows")
+    items = cuts.where("item is not null").join(windows, "words").select("wid", "item")
+    return windows, written(items, "bench-items")
 
 
 @dataclass
 class Block:
-    """Windows of a block.  `flat` has the words of all windows, window i from
-    starts[i]; shingles of size min(SHINGLE, window length)."""
+    """Windows of a block.  `flat` has the words of all windows, window i, whose
+    number is wids[i], from starts[i]; shingles of size min(SHINGLE, window
+    length)."""
 
     flat: np.ndarray
     starts: np.ndarray
-    items: list[list[str]]
+    wids: np.ndarray
 
     def lengths(self) -> np.ndarray:
         return np.diff(self.starts)
@@ -90,16 +100,16 @@ class Block:
         return join(size, np.int64), join(value, np.uint64), join(owner, np.int64), join(offset, np.int64)
 
 
-def read_blocks(windows: DataFrame, block_windows: int = BLOCK_WINDOWS) -> Iterator[Block]:
-    """The windows in blocks.  Blocks are cut by hash, so one holds about
-    `block_windows` windows; a window's items are at most the block's rows."""
-    n = windows.count()
-    blocks = max(1, -(-n // block_windows))
-    for i in range(blocks):
-        rows = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == i).orderBy("words").collect()
-        lengths = np.array([len(r.words) for r in rows], np.int64)
-        flat = np.array([w for r in rows for w in r.words], np.int64).view(np.uint64)
-        yield Block(flat, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), [list(r["items"]) for r in rows])
+def n_blocks(windows: DataFrame, block_windows: int = BLOCK_WINDOWS) -> int:
+    return max(1, -(-windows.count() // block_windows))
+
+
+def read_block(windows: DataFrame, blocks: int, no: int) -> Block:
+    """The windows of block `no`, cut by hash."""
+    rows = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == no).orderBy("words").toArrow()
+    lists = rows.column("words").combine_chunks()
+    starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return Block(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), starts, rows.column("wid").to_numpy())
 
 
 class _Lookup:
@@ -204,7 +214,7 @@ def matches(index: Index, lookups: dict[int, _Lookup], hashed: np.ndarray, of: n
     return np.concatenate(starts_out), np.concatenate(windows_out)
 
 
-FOUND = "n_words long, n_hit long, hits array<long>, items array<string>"
+FOUND = "n_words long, n_hit long, hits array<long>, windows array<long>"
 
 
 def _merged(spans: np.ndarray) -> np.ndarray:
@@ -215,18 +225,17 @@ def _merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[new, 0], np.append(reach[np.flatnonzero(new)[1:] - 1], reach[-1])], axis=1)
 
 
-def found_in(spark: SparkSession, index: Index):
-    """Column function (text, earlier result or null) -> FOUND with this
-    block's hits (flat start, end word numbers) and items added."""
-    sent = spark.sparkContext.broadcast(index)
+def found_in(sent: Broadcast):
+    """Column function: text -> FOUND, `hits` being merged word spans (flat
+    start, end word numbers) and `windows` the numbers of the windows, of the
+    index that was sent."""
 
     @arrow_udf(FOUND)
-    def find(text: pa.Array, before: pa.Array) -> pa.Array:
+    def find(text: pa.Array) -> pa.Array:
         index = sent.value
         lookups = {k: _Lookup(v[0]) for k, v in index.by_size.items()}
-        lengths, names = index.block.lengths(), index.block.items
-        earlier = before.to_pylist() if before.null_count < len(before) else [None] * len(text)
-        counts, covered, hits, items = [], [], [], []
+        lengths, wids = index.block.lengths(), index.block.wids
+        counts, covered, hits, held = [], [], [], []
         for first, last, hashed, of in hashed_words(text):
             start, window = matches(index, lookups, hashed, of)
             row = np.searchsorted(of, start, side="right") - 1
@@ -234,49 +243,98 @@ def found_in(spark: SparkSession, index: Index):
             start, window = start[order], window[order]
             cut = np.searchsorted(row[order], np.arange(last - first + 1))
             for i in range(last - first):
-                old = earlier[first + i] or {}
-                own, spans = set(old.get("items", ())), np.array(old.get("hits", ()), np.int64).reshape(-1, 2)
+                spans = np.zeros((0, 2), np.int64)
                 a, b = cut[i], cut[i + 1]
                 if b > a:
                     begin = start[a:b] - of[i]
-                    spans = np.concatenate([spans, np.stack([begin, begin + lengths[window[a:b]]], axis=1)])
-                    for w in np.unique(window[a:b]):
-                        own.update(names[w])
-                spans = _merged(spans) if len(spans) else spans
+                    spans = _merged(np.stack([begin, begin + lengths[window[a:b]]], axis=1))
                 counts.append(int(of[i + 1] - of[i]))
                 covered.append(int((spans[:, 1] - spans[:, 0]).sum()))
                 hits.append(spans.ravel())
-                items.append(sorted(own))
+                held.append(np.sort(wids[np.unique(window[a:b])]))
         return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(covered, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-            names=["n_words", "n_hit", "hits", "items"])
+            [pa.array(counts, pa.int64()), pa.array(covered, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(held, pa.list_(pa.int64()))],
+            names=["n_words", "n_hit", "hits", "windows"])
 
     return find
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> Column:
-    """Column over the rows of `docs`: FOUND, `hits` being merged word spans.
+def _index(docs: DataFrame, windows: DataFrame, blocks: int, no: int) -> Index:
+    block = read_block(windows, blocks, no)
+    return prefix_index(block, corpus_counts(docs, block))
+
+
+def block_hits(docs: DataFrame, windows: DataFrame, blocks: int) -> DataFrame:
+    """(doc, hits, windows) of the documents that hold windows, a row for each
+    block that they hold windows of.  A block's rows are written, and its
+    broadcast given up, before the next block is read."""
+    spark, parts = docs.sparkSession, []
+    for no in range(blocks):
+        sent = spark.sparkContext.broadcast(_index(docs, windows, blocks, no))
+        rows = docs.select(document_key().alias("doc"), found_in(sent)(F.col("text").cast("string")).alias("f"))
+        parts.append(written(rows.where("f.n_hit > 0").select("doc", "f.hits", "f.windows").dropDuplicates(["doc"]), f"bench-hits-{no}"))
+        sent.destroy()
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _word_counts(text: Column) -> Column:
+    @arrow_udf("long")
+    def count(col: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.diff(of) for _, _, _, of in hashed_words(col)] or [np.zeros(0, np.int64)]), pa.int64())
+
+    return count(text)
+
+
+def _covered(hits: Column) -> Column:
+    """Words in the union of several lists of spans."""
+    @arrow_udf("long")
+    def count(col: pa.Array) -> pa.Array:
+        spans = (_merged(np.concatenate([np.array(x, np.int64) for x in lists]).reshape(-1, 2)) for lists in col.to_pylist())
+        return pa.array([int((s[:, 1] - s[:, 0]).sum()) for s in spans], pa.int64())
+
+    return count(hits)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_words, n_hit, windows) of every row of `docs`, and (wid, item).
 
     Null and empty texts have no words and no hits; an empty benchmark hits
     nothing; repeated items and rows count as they stand."""
-    windows = written(benchmark_windows(benchmark, window), "bench-windows")
-    found: Column = F.lit(None).cast("struct<" + ",".join(f.replace(" ", ":") for f in FOUND.split(", ")) + ">")
-    for block in read_blocks(windows, block_windows):
-        index = prefix_index(block, corpus_counts(docs, block))
-        found = found_in(docs.sparkSession, index)(F.col("text").cast("string"), found)
-    return found
+    windows, items = benchmark_windows(benchmark, window)
+    blocks = n_blocks(windows, block_windows)
+    doc_id, text = F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")
+    if blocks == 1:
+        sent = docs.sparkSession.sparkContext.broadcast(_index(docs, windows, 1, 0))
+        found = docs.select(doc_id, found_in(sent)(text).alias("f")).select("doc_id", "f.n_words", "f.n_hit", "f.windows")
+    else:
+        hits = block_hits(docs, windows, blocks)
+        hits = hits.groupBy("doc").agg(F.collect_list("hits").alias("hits"), F.array_sort(F.flatten(F.collect_list("windows"))).alias("windows"))
+        hits = written(hits.select("doc", "windows", _covered(F.col("hits")).alias("n_hit")), "bench-hits")
+        rows = docs.select(doc_id, document_key().alias("doc"), _word_counts(text).alias("n_words")).join(hits, "doc", "left")
+        found = rows.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("windows", F.array().cast("array<bigint>")).alias("windows"))
+    return written(found, "bench-found"), items
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the
-    item list of every row of `docs`."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), contamination(docs, benchmark, window, block_windows).alias("f"))
+    item list of every row of `docs`.  Ties and repeated rows get equal results."""
+    found, items = contamination(docs, benchmark, window, block_windows)
+    found = found.withColumn("held", F.when(F.size("windows") > 0, F.struct(F.xxhash64("windows").alias("h1"), F.xxhash64(F.lit("2"), "windows").alias("h2"))))
+    sets = found.where("held is not null").dropDuplicates(["held"]).select("held", F.explode("windows").alias("wid"))
+    lists = sets.join(items, "wid").groupBy("held").agg(F.array_sort(F.collect_set("item")).alias("items"))  # what a document has
+    rows = found.join(written(lists, "bench-sets"), "held", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return rows.select(
-        "doc_id", "f.n_words", "f.n_hit",
-        F.size("f.items").cast("bigint").alias("n_items"), F.sha2(F.array_join("f.items", ","), 256).alias("items_sha256"),
-        (F.col("f.n_hit") > 0).alias("contaminated"), F.col("f.items").alias("items"))
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` without any benchmark window."""
-    return docs.where(contamination(docs, benchmark)["n_hit"] == 0)
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), "items")
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of `docs` without any benchmark window, all columns as they are."""
+    windows, _ = benchmark_windows(benchmark, window)
+    blocks = n_blocks(windows, block_windows)
+    if blocks == 1:
+        sent = docs.sparkSession.sparkContext.broadcast(_index(docs, windows, 1, 0))
+        return docs.where(found_in(sent)(F.col("text").cast("string"))["n_hit"] == 0)
+    hit = written(block_hits(docs, windows, blocks).select("doc").distinct(), "bench-hit")
+    rows = docs.select(F.struct(*own_columns(docs)).alias("row"), document_key().alias("doc")).join(hit, "doc", "left_anti")
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

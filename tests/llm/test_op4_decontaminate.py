@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import random
 import re
@@ -62,4 +63,30 @@ def test_blocks_and_empty_tables(spark):
     assert run(spark, [], bench) == []
     d = spark.createDataFrame(docs, "doc_id long, text string, items string, n_words string")
     b = spark.createDataFrame(bench, "item_id long, text string")
-    assert op4.clean_documents(d, b).count() == sum(not r[5] for r in brute(docs, bench))
+    for size in (40, 100_000):
+        clean = op4.clean_documents(d, b, block_windows=size)
+        assert clean.columns == d.columns and clean.count() == sum(not r[5] for r in brute(docs, bench))
+
+
+def test_only_one_block_is_held(spark, monkeypatch):
+    """Twenty blocks: when a block is read, the index before is gone."""
+    docs, bench = planted(4)
+    alive, read = [], op4.read_block
+
+    def watched(*args):
+        gc.collect()
+        alive.append(sum(isinstance(x, op4.Index) for x in gc.get_objects()))
+        return read(*args)
+
+    monkeypatch.setattr(op4, "read_block", watched)
+    n = op4.benchmark_windows(spark.createDataFrame(bench, "item_id long, text string"))[0].count()
+    assert run(spark, docs, bench, block_windows=-(-n // 20)) == brute(docs, bench)
+    assert len(alive) >= 15 and max(alive) <= 1, alive
+
+
+def test_a_window_that_many_items_share(spark):
+    phrase = "the same ten words stand in every one of these items"
+    bench = [(i, phrase + f" and {i}") for i in range(700)]
+    docs = [(i, f"x {phrase} y{i}", None, None) for i in range(60)]
+    got = run(spark, docs, bench)
+    assert got == brute(docs, bench) and got[0][3] == 700
