@@ -62,11 +62,13 @@ def _buckets(shingles: int) -> int:
     return max(1, -(-shingles // BUCKET_SHINGLES))
 
 
-def _cut(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order by bucket (stable) and the first place of each bucket."""
+def _cut(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, dict[int, tuple[int, int]]]:
+    """Order by bucket (stable), and the places of each bucket that is there:
+    the work follows the shingles, however many buckets there are."""
     bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    present, first = np.unique(bucket[order], return_index=True)
+    return order, dict(zip(present.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(tokens)])))
 
 
 def _low(tokens: np.ndarray) -> np.ndarray:
@@ -96,13 +98,11 @@ def _send(buckets: int, shingle: int):
         once, who, more = _low(tokens[once[order1]]), owner[once[order1]].astype(np.uint16), _low(more[order2])
         rows = {name: [] for name in _MESSAGE.names}
         home = block % buckets
-        for b in range(buckets):
-            if at1[b + 1] > at1[b] or at2[b + 1] > at2[b] or b == home:
-                step = np.diff(who[at1[b] : at1[b + 1]], prepend=np.uint16(0))  # ascending: small steps pack well
-                for name, value in zip(_MESSAGE.names, (
-                        b, block, once[at1[b] : at1[b + 1]].tobytes(), step.tobytes(), more[at2[b] : at2[b + 1]].tobytes(),
-                        head.tobytes() if b == home else None)):
-                    rows[name].append(value)
+        for b in sorted(at1.keys() | at2.keys() | {home}):
+            (p, q), (r, t) = at1.get(b, (0, 0)), at2.get(b, (0, 0))
+            step = np.diff(who[p:q], prepend=np.uint16(0))  # ascending: small steps pack well
+            for name, value in zip(_MESSAGE.names, (b, block, once[p:q].tobytes(), step.tobytes(), more[r:t].tobytes(), head.tobytes() if b == home else None)):
+                rows[name].append(value)
         return pa.RecordBatch.from_pydict(rows, schema=_MESSAGE)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +209,7 @@ def _count_out(buckets: int):
             for block, tokens in zip(batch.column(0).to_pylist(), batch.column(1)):
                 distinct, n, at = _unique_by_bucket(np.frombuffer(tokens.as_buffer(), np.uint64), buckets)
                 low, n = _low(distinct), n.astype(np.uint32)
-                cut = [(b, at[b], at[b + 1]) for b in range(buckets) if at[b + 1] > at[b]]
+                cut = [(b, p, q) for b, (p, q) in at.items()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b for b, *_ in cut], pa.int32()), pa.array([block] * len(cut), pa.int64()),
                      pa.array([low[p:q].tobytes() for _, p, q in cut], pa.binary()), pa.array([n[p:q].tobytes() for _, p, q in cut], pa.binary())],
@@ -238,7 +238,7 @@ def _prefixes(buckets: int, percent: int):
             distinct, _, at = _unique_by_bucket(tokens, buckets)
             n = np.zeros(len(distinct), np.int64)
             for b, x in back.items():
-                n[at[b] : at[b + 1]] = x
+                n[slice(*at[b])] = x
             order = np.argsort(distinct)
             count = n[order][np.searchsorted(distinct[order], tokens)]
             ends = np.cumsum(sizes)

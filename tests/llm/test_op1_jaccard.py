@@ -68,6 +68,18 @@ def test_small_blocks_buckets_and_leaves(spark, monkeypatch):
     assert sorted(map(tuple, op1.report(frame(spark, rows)).collect()), key=str) == brute(rows)
 
 
+def test_messages_follow_the_shingles_not_the_buckets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, 50, dtype=np.uint64)) for _ in range(40)]
+    heads = [(i, True, i, i, len(s), np.void(bytes(16)), 0) for i, s in enumerate(sets)]
+    send = op1._send(1 << 24, 5).__closure__
+    block_messages = next(c.cell_contents for c in send if callable(c.cell_contents))
+    batch = block_messages(7, heads, sets)
+    assert 1900 < batch.num_rows <= 2001
+    order, at = op1._cut(np.concatenate(sets), 1 << 24)
+    assert sorted(x for p, q in at.values() for x in range(p, q)) == list(range(len(order)))
+
+
 def test_many_partitions_in_one_task(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
