@@ -120,7 +120,7 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 SQL["op6_line_runs"] = r"""
-WITH l AS (
+WITH RECURSIVE l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS no
   FROM documents),
 b AS (
@@ -132,10 +132,26 @@ f AS (
          length(body) >= 200 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) > 1 AS alone
   FROM p),
 g AS (SELECT *, pair OR alone OR coalesce(lag(pair) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone FROM f),
+first AS (
+  SELECT doc_id, pos, first_value(doc_id) OVER w AS src, first_value(pos) OVER w AS src_pos
+  FROM p WHERE next IS NOT NULL WINDOW w AS (PARTITION BY body, next ORDER BY doc_id, pos)),
+later AS (SELECT * FROM first WHERE src <> doc_id OR src_pos <> pos),
+starts AS (
+  SELECT a.* FROM later a LEFT JOIN later c ON c.doc_id = a.doc_id AND c.pos = a.pos - 1 AND c.src = a.src AND c.src_pos = a.src_pos - 1
+  WHERE c.doc_id IS NULL),
+grown AS (
+  SELECT *, 2 AS n FROM starts
+  UNION ALL
+  SELECT g.doc_id, g.pos, g.src, g.src_pos, g.n + 1
+  FROM grown g JOIN b x ON x.doc_id = g.doc_id AND x.pos = g.pos + g.n JOIN b y ON y.doc_id = g.src AND y.pos = g.src_pos + g.n AND y.body = x.body),
+whole AS (
+  SELECT doc_id, count(*) AS n_copied_runs, max(n) AS longest_run
+  FROM (SELECT doc_id, pos, max(n) AS n FROM grown GROUP BY 1, 2) GROUP BY 1),
 r AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS run FROM g)
 SELECT l.doc_id, count(pos) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE run) AS n_runs,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.no) FILTER (WHERE NOT coalesce(gone, false)), '')) AS kept_sha256
-FROM l LEFT JOIN r ON l.doc_id = r.doc_id AND l.no = r.no GROUP BY 1
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.no) FILTER (WHERE NOT coalesce(gone, false)), '')) AS kept_sha256,
+       CAST(coalesce(any_value(n_copied_runs), 0) AS BIGINT) AS n_copied_runs, CAST(coalesce(any_value(longest_run), 0) AS BIGINT) AS longest_run
+FROM l LEFT JOIN r ON l.doc_id = r.doc_id AND l.no = r.no LEFT JOIN whole ON whole.doc_id = l.doc_id GROUP BY 1
 """
 
 SQL["op9_line_hashes"] = r"""

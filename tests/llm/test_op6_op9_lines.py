@@ -58,6 +58,31 @@ def brute_lines(rows, min_lines, long_line, key):
     return out
 
 
+def brute_copies(rows, min_lines, key):
+    """(doc_id, text) -> number and greatest length of maximal later copies."""
+    docs = sorted({r[:2] for r in rows if r[1] is not None}, key=key)
+    seqs = [[x.strip(SPACE) for x in d[1].split("\n") if x.strip(SPACE)] for d in docs]
+    first, out = {}, {}
+    for i, s in enumerate(seqs):
+        for p in range(len(s) - min_lines + 1):
+            first.setdefault(tuple(s[p : p + min_lines]), (i, p))
+    for i, s in enumerate(seqs):
+        lengths, before = [], None
+        for p in range(len(s) - min_lines + 1):
+            j, q = first[tuple(s[p : p + min_lines])]
+            if (j, q) == (i, p):
+                before = None
+                continue
+            if before != (j, q - 1):
+                n = 0
+                while p + n < len(s) and q + n < len(seqs[j]) and s[p + n] == seqs[j][q + n]:
+                    n += 1
+                lengths.append(n)
+            before = (j, q)
+        out[docs[i]] = (len(lengths), max(lengths, default=0))
+    return out
+
+
 @pytest.mark.parametrize("seed,min_lines", [(1, 2), (2, 3), (3, 1), (4, 4)])
 def test_op6_agrees_with_brute_force(spark, seed, min_lines):
     rows = documents(seed)
@@ -65,8 +90,10 @@ def test_op6_agrees_with_brute_force(spark, seed, min_lines):
     keys = {(r.doc_id, r.text): (r.doc_id is not None, r.doc_id or 0, r.k1, r.k2)
             for r in docs.withColumn("d", op6_lines.document_key()).select("doc_id", "text", "d.k1", "d.k2").collect()}
     want = brute_lines(rows, min_lines, 200, lambda d: keys[d[:2]])
+    copies = brute_copies(rows, min_lines, lambda d: keys[d[:2]])
     got = op6_lines.report(docs, min_lines=min_lines).collect()
-    expected = [(r[0], *want.get(r[:2], (0, 0, 0, sha("")))) for r in rows]
+    expected = [(r[0], *want.get(r[:2], (0, 0, 0, sha(""))), *copies.get(r[:2], (0, 0))) for r in rows]
+    assert max(r.longest_run for r in got) > min_lines
     assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
 
 
