@@ -13,10 +13,11 @@ of at least `PERCENT` percent.  The join is exact:
    band and at most `LEAF_SETS` sets, and below these the nodes that a cell
    builds.  Nodes hold the OR of their sets' shingle bitmaps and their range of
    sizes.  Node pairs are traversed from the root; a pair is pruned when its
-   sizes are too far apart, when its greatest possible overlap (common bits and
-   the bits lost to collisions) is too small, or when all its sets are connected
-   already.  Pairs of sets that remain are intersected exactly.
-4. Links become components.
+   sizes are too far apart, or when its greatest possible overlap (common bits
+   and the bits lost to collisions) is too small.  Pairs of sets that remain are
+   intersected exactly.
+4. A cell gives every set the number of its links there and the few links that
+   connect its sets, never all pairs; these become components, and link counts.
 
 Shingles travel in blocks: a task sends one array of 4-byte shingles to each
 bucket of the hash space, each shingle once a block, so a shingle that a third
@@ -47,6 +48,7 @@ LEAF_SETS = 256
 LEAF_SHINGLES = 1 << 20
 BAND = 1.4  # above 100 / PERCENT, so that links are between neighbouring bands
 FAN_OUT = 8
+COLUMNS = 4096
 
 _HEAD = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("k1", "<i8"), ("k2", "<i8"), ("n", "<i8"), ("cid", "V16"), ("local", "<i8")])
 _MESSAGE = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("once", pa.binary()), ("who", pa.binary()), ("more", pa.binary()), ("head", pa.binary())])
@@ -285,13 +287,6 @@ def families(candidates: DataFrame) -> DataFrame:
 # 3. Signature trees.
 
 
-def _find(parent: list[int], x: int) -> int:
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
-
-
 class SignatureTree:
     """Sets sorted by size and first shingle in nodes of FAN_OUT.  Level 0 has
     the sets, each level above the OR of its children's bitmaps, their least
@@ -352,49 +347,94 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def cell_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links (i, j) that connect what exact links connect: between `left` and
-    `right` (numbered on from left), or inside `left`.  A pair whose sets are
-    connected by then needs no intersection."""
-    everything = left + (right or [])
+def links_among(pairs: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the pairs of `sets` link.  Few pairs are intersected one by one;
+    of many, the common shingles are counted for all at once, as products of
+    0/1 matrices over some COLUMNS shingles at a time."""
+    if len(pairs) <= 4 * len(sets):
+        return np.array([linked(sets[i], sets[j], percent) for i, j in pairs.tolist()], bool)
+    size = np.array([len(x) for x in sets], np.int64)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, again = np.repeat(np.arange(len(sets)), size), times > 1
+    place = np.cumsum(again) - 1
+    use = again[column]
+    owner, column = owner[use], place[column[use]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(sets), len(sets)))
+    for first in range(0, int(again.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        part = np.zeros((len(sets), COLUMNS))
+        part[owner[a:b], column[a:b] - first] = 1
+        common += part @ part.T
+    both = common[pairs[:, 0], pairs[:, 1]].astype(np.int64)
+    return 100 * both >= percent * (size[pairs[:, 0]] + size[pairs[:, 1]] - both)
+
+
+def cell_join(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int = PERCENT) -> np.ndarray:
+    """All links (i, j) between `left` and `right` (numbered on from left), or
+    inside `left`: what the trees leave is intersected."""
     if not left or right == []:
-        return []
+        return np.zeros((0, 2), np.int64)
+    everything = left + (right or [])
     bits = 1 << max(9, math.ceil(math.log2(8 * max(len(s) for s in everything))))
     first = SignatureTree(left, bits)
     second = first if right is None else SignatureTree(right, bits)
-    parent, out = list(range(len(everything))), []
-    for i, j in tree_pairs(first, second, percent).tolist():
-        i, j = first.order[i], second.order[j] + (0 if right is None else len(left))
-        a, b = _find(parent, i), _find(parent, j)
-        if a != b and linked(everything[i], everything[j], percent):
-            parent[max(a, b)] = min(a, b)
-            out.append((i, j))
+    pairs = tree_pairs(first, second, percent)
+    pairs = np.stack([np.array(first.order)[pairs[:, 0]], np.array(second.order)[pairs[:, 1]] + (0 if right is None else len(left))], axis=1)
+    return pairs[links_among(pairs, everything, percent)]
+
+
+def spanning(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Some of the links that connect what all of them connect."""
+    label, out = np.arange(n), []
+    order = np.argsort(pairs[:, 0], kind="stable")
+    pairs = pairs[order]
+    at = np.searchsorted(pairs[:, 0], np.arange(n + 1))
+    for i in range(n):
+        near = pairs[at[i] : at[i + 1], 1]
+        for j in near[label[near] != label[i]].tolist():
+            if label[j] != label[i]:
+                out.append((i, j))
+                label[label == label[j]] = label[i]
     return out
 
 
+def cell_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect what all links of a cell connect."""
+    return spanning(cell_join(left, right, percent), len(left) + len(right or []))
+
+
 def _cell(percent: int):
     def links(table: pa.Table) -> pa.Table:
+        """A cell's sets -> links (u, v) that connect them, and for each set (u)
+        the number n of documents of other sets that it links with here."""
+        side = table["side"].to_numpy()
+        order = np.argsort(side, kind="stable")
+        table = table.take(pa.array(order))
         sets = [np.frombuffer(x, np.uint64) for x in table["tokens"].to_pylist()]
-        side = table["side"].to_pylist()
-        order = sorted(range(len(sets)), key=lambda i: side[i])
-        n_left = side.count(0)
-        cids = [table["cid"][i].as_py() for i in order]
-        sets = [sets[i] for i in order]
-        own = table["cell"][0].as_py()["inside"]
-        found = cell_links(sets if own else sets[:n_left], None if own else sets[n_left:], percent)
-        return pa.table({"u": pa.array([cids[i] for i, _ in found], pa.binary()), "v": pa.array([cids[j] for _, j in found], pa.binary())})
+        cids, copies = table["cid"].combine_chunks(), table["copies"].to_numpy()
+        n_left = int((side == 0).sum())
+        inside = table["cell"][0].as_py()["inside"]
+        pairs = cell_join(sets, None, percent) if inside else cell_join(sets[:n_left], sets[n_left:], percent)
+        some = np.array(spanning(pairs, len(sets)), np.int64).reshape(-1, 2)
+        counts = np.bincount(pairs[:, 0], copies[pairs[:, 1]], len(sets)) + np.bincount(pairs[:, 1], copies[pairs[:, 0]], len(sets))
+        held = np.flatnonzero(counts)
+        return pa.table({"u": pa.concat_arrays([cids.take(pa.array(some[:, 0])), cids.take(pa.array(held))]),
+                         "v": pa.concat_arrays([cids.take(pa.array(some[:, 1])), pa.nulls(len(held), cids.type)]),
+                         "n": pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(counts[held].astype(np.int64))])})
 
     return links
 
 
 def cells(candidates: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cell, side, cid, tokens): the node pairs below each family's root.
+    """(cell, side, cid, tokens, copies): the node pairs below each family's root.
 
     A family that fits a leaf is one cell.  Else its sets are in nodes by size
     band and, where a band is large, by digest; each node meets itself, the
     nodes of its band and those of the next band, as no other sizes can link."""
     own = candidates.join(roots.withColumnRenamed("node", "cid"), "cid").select(
-        "root", "cid", "n", "tokens", F.floor(F.log("n") / math.log(BAND)).cast("int").alias("band"))
+        "root", "cid", "n", "tokens", "copies", F.floor(F.log("n") / math.log(BAND)).cast("int").alias("band"))
     n = 10 * candidates.count()
     own = written(own, "jaccard-family-sets", n)
     small = "sets <= {} and shingles <= {}".format(LEAF_SETS, LEAF_SHINGLES)
@@ -420,23 +460,27 @@ def cells(candidates: DataFrame, roots: DataFrame) -> DataFrame:
     downward = F.transform(count("below"), lambda j: cell(F.col("band") - 1, no, -j - 1, F.col("node"), F.lit(1)))
     single = F.array(cell(F.lit(-1), yes, F.lit(0), F.lit(0), F.lit(0)))
     rows = rows.withColumn("place", F.explode(F.when(F.col("whole"), single).otherwise(F.concat(among, upward, downward))))
-    return rows.select(F.struct("root", "place.at.band", "place.at.inside", "place.at.low", "place.at.high").alias("cell"), "place.side", "cid", "tokens")
+    return rows.select(F.struct("root", "place.at.band", "place.at.inside", "place.at.low", "place.at.high").alias("cell"), "place.side", "cid", "tokens", "copies")
 
 
-def links(docs: DataFrame, sets: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Links (u, v) between set digests that connect all linked classes."""
+def links(docs: DataFrame, sets: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v) between set digests that connect all linked classes, and
+    (cid, n): with how many documents of other classes a class links."""
+    rows = sets.count()
     candidates = candidate_sets(docs, sets, shingle, percent)
-    placed = cells(candidates, families(candidates))
-    return placed.groupBy("cell").applyInArrow(_cell(percent), "u binary, v binary")
+    copies = sets.where("n > 0").groupBy(F.col("cid").alias("node")).agg(F.count("*").alias("copies"))
+    placed = cells(candidates, written(families(candidates).join(copies, "node"), "jaccard-copies", rows))
+    found = written(placed.groupBy("cell").applyInArrow(_cell(percent), "u binary, v binary, n long"), "jaccard-found", 10 * rows)
+    return found.where("v is not null").select("u", "v"), found.where("n is not null").groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))
 
 
 # 4. Components.
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, k1, k2, n_shingles, component_id, first) of every row of `docs`:
-    the smallest doc_id reachable by links and the (doc_id, k1, k2) of the
-    component's first document.
+    """(doc_id, k1, k2, n_shingles, component_id, first, n_links) of every row
+    of `docs`: the smallest doc_id reachable by links, the (doc_id, k1, k2) of
+    the component's first document, and with how many other rows it links.
 
     Null and empty texts have no shingles and link with nothing.  Rows with a
     null doc_id take part; they are reported under the smallest id that isn't
@@ -444,20 +488,24 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     equal sets.  Other columns are not read; an empty table gives no rows."""
     sets = written(document_sets(docs, shingle), "jaccard-documents")
     n = sets.count()
-    roots = connected(links(docs, sets, shingle, percent), "jaccard-links", 4 * n)
+    edges, linked_with = links(docs, sets, shingle, percent)
+    roots = connected(edges, "jaccard-links", 4 * n)
     some = sets.where("n > 0")
-    classes = some.groupBy("cid").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
+    classes = some.groupBy("cid").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "k1", "k2")).alias("first"), F.count("*").alias("copies"))
+    classes = classes.join(linked_with.withColumnRenamed("n", "others"), "cid", "left")
     named = written(classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
                     .withColumn("root", F.coalesce("root", "cid")), "jaccard-roots", n)
     whole = written(named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first")), "jaccard-components", n)
-    by_class = written(named.select("cid", "root").join(whole, "root").drop("root"), "jaccard-by-class", n)
+    n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    by_class = written(named.select("cid", "root", n_links).join(whole, "root").drop("root"), "jaccard-by-class", n)
     out = ["doc_id", "k1", "k2", F.col("n").alias("n_shingles")]
-    alone = sets.where("n = 0").select(*out, F.col("doc_id").alias("component_id"), F.struct("doc_id", "k1", "k2").alias("first"))
-    return some.join(by_class, "cid").select(*out, "component_id", "first").unionByName(alone)
+    alone = sets.where("n = 0").select(*out, F.col("doc_id").alias("component_id"), F.struct("doc_id", "k1", "k2").alias("first"), F.lit(0).cast("bigint").alias("n_links"))
+    return some.join(by_class, "cid").select(*out, "component_id", "first", "n_links").unionByName(alone)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    return components(docs).select("doc_id", "n_shingles", "component_id")
+    """doc_id, n_shingles, component_id and n_links of every row of `docs`."""
+    return components(docs).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

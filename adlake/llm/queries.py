@@ -196,8 +196,10 @@ common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b
 link AS (
   SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
 reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
-SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, least(d.doc_id, min(reach.b)) AS component_id
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, least(d.doc_id, min(reach.b)) AS component_id,
+       CAST(coalesce(any_value(m.n_links), 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY 1) m USING (doc_id) GROUP BY d.doc_id
 """
 
 SQL["op3_suffix_levels"] = r"""

@@ -14,19 +14,27 @@ def shingles(text, k=5):
     return {tuple(found[i : i + k]) for i in range(len(found) - k + 1)} if len(found) >= k else ({tuple(found)} if found else set())
 
 
+def _find(parent, x):
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
 def brute(rows, percent=75):
     sets = [shingles(t) for _, t, *_ in rows]
-    parent = list(range(len(rows)))
+    parent, links = list(range(len(rows))), [0] * len(rows)
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
             if a and b and 100 * len(a & b) >= percent * len(a | b):
-                parent[op1._find(parent, i)] = op1._find(parent, j)
+                parent[_find(parent, i)] = _find(parent, j)
+                links[i], links[j] = links[i] + 1, links[j] + 1
     least = {}
     for i, r in enumerate(rows):
         if r[0] is not None:
-            root = op1._find(parent, i)
+            root = _find(parent, i)
             least[root] = min(r[0], least.get(root, r[0]))
-    return sorted(((r[0], len(sets[i]), least.get(op1._find(parent, i))) for i, r in enumerate(rows)), key=str)
+    return sorted(((r[0], len(sets[i]), least.get(_find(parent, i)), links[i]) for i, r in enumerate(rows)), key=str)
 
 
 def corpus(seed, n=60, families=6):
@@ -96,12 +104,12 @@ def test_one_of_each(spark):
     assert kept.columns == docs.columns
     kept = kept.collect()
     groups = {}
-    for r, (_, n, c) in zip(sorted(rows, key=lambda r: str((r[0], len(shingles(r[1]))))), brute(rows)):
+    for r, (_, n, c, _) in zip(sorted(rows, key=lambda r: str((r[0], len(shingles(r[1]))))), brute(rows)):
         groups.setdefault(("alone", id(r)) if n == 0 else c, []).append(r)
     bare = [r for r in rows if not shingles(r[1])]
     assert sum(not shingles(r.text) for r in kept) == len(bare)
     full = [r for r in kept if shingles(r.text)]
-    assert len(full) == len({c for i, n, c in brute(rows) if n})
+    assert len(full) == len({c for i, n, c, _ in brute(rows) if n})
     assert op1.one_of_each(docs.limit(0)).count() == 0 and op1.report(docs.limit(0)).count() == 0
 
 
@@ -117,14 +125,16 @@ def test_trees_lose_no_link():
         cut = int(rng.integers(0, len(sets) + 1))
         for left, right in ((sets, None), (sets[:cut], sets[cut:])):
             want = [(i, j) for i in range(len(sets)) for j in range(i) if op1.linked(sets[i], sets[j], 75) and (right is None or j < cut <= i)]
-            same = lambda pairs: {x: op1._find(p, x) for p in [join(pairs)] for x in range(len(sets))}
+            same = lambda pairs: {x: _find(p, x) for p in [join(pairs)] for x in range(len(sets))}
 
             def join(pairs):
                 p = list(range(len(sets)))
                 for i, j in pairs:
-                    a, b = op1._find(p, i), op1._find(p, j)
+                    a, b = _find(p, i), _find(p, j)
                     p[max(a, b)] = min(a, b)
                 return p
+            every = {tuple(sorted(p)) for p in op1.cell_join(left, right).tolist()}
+            assert every == {tuple(sorted(p)) for p in want}
             got = op1.cell_links(left, right)
             assert all(op1.linked(sets[i], sets[j], 75) for i, j in got)
             assert same(got) == same(want)
@@ -142,8 +152,8 @@ def test_connected(spark):
     edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)] + [(200, x) for x in range(201, 240)]
     parent = list(range(300))
     for a, b in edges:
-        a, b = op1._find(parent, a), op1._find(parent, b)
+        a, b = _find(parent, a), _find(parent, b)
         parent[max(a, b)] = min(a, b)
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert got == {x: op1._find(parent, x) for a, b in edges if a != b for x in (a, b)} | {x: op1._find(parent, x) for a, b in edges for x in (a, b) if op1._find(parent, x) != x}
+    assert got == {x: _find(parent, x) for a, b in edges if a != b for x in (a, b)} | {x: _find(parent, x) for a, b in edges for x in (a, b) if _find(parent, x) != x}
     assert connected(spark.createDataFrame([], "u long, v long")).count() == 0
