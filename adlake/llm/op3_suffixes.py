@@ -29,18 +29,20 @@ compared strings, with the seed key beside them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from adlake.llm.tables import document_key, maybe_in, written
 from adlake.llm.tokens import byte_values, column_bytes, mix, pieces, powers
+from adlake.sources.versioned import VersionedTable
 
 MATCH = 400
 WINDOW = 256
@@ -175,6 +177,8 @@ class Levels:
 
     levels: list[tuple[int, DataFrame]] = field(default_factory=list)
     rows: int | None = None  # bound of a run's rows, if known
+    folder: str | None = None  # where runs are kept, if not in the shared folder
+    paths: dict[int, str] = field(default_factory=dict)  # of kept runs, by the frame's identity
 
     def add(self, suffixes: DataFrame) -> list[DataFrame]:
         """Index a batch; the seeds that it has twice or shares with a level."""
@@ -188,7 +192,14 @@ class Levels:
         return shared
 
     def _run(self, seeds: DataFrame) -> DataFrame:
-        return written(seeds.sortWithinPartitions("seed"), "suffix-run", self.rows)
+        seeds = seeds.sortWithinPartitions("seed")
+        if self.folder is None:
+            return written(seeds, "suffix-run", self.rows)
+        path = f"{self.folder}/run-{uuid.uuid4().hex}"
+        seeds.write.parquet(path)
+        run = seeds.sparkSession.read.schema(seeds.schema).parquet(path)
+        self.paths[id(run)] = path
+        return run
 
 
 def shared_seeds(found: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -289,19 +300,18 @@ def _with_texts(texts: DataFrame, marks: DataFrame, fields: list[str]) -> DataFr
     return texts.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "marks")
 
 
-def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): the texts with matching seeds (k1, k2, text), once each,
-    and the places (k1, k2, lo, hi), hi included, where repeated strings start."""
-    found = written(suffixes(docs, match, window, batches), "suffixes")
-    n = found.count()  # bounds the tables below; ranges and strings in doubt are of the same order
-    suffix, inside = found.where("n > 0"), found.where("n = 0")
-    shared = shared_seeds(suffix, batches)
-    hits = written(maybe_in(suffix.drop("batch"), "seed", shared).join(shared, "seed"), "suffix-hits", n)
-    some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents", n)
-    rows = docs.select(document_key().alias("d"), "text").select("d.k1", "d.k2", F.col("text").cast("string").alias("text"))
-    # Copies are dropped inside the tasks that read them, before they could meet in one.
-    texts = written(maybe_in(rows, "k1", some).dropDuplicates(["k1", "k2"]).join(some, ["k1", "k2"]), "suffix-texts", n)
+def documents_with(texts: DataFrame, some: DataFrame, n: int) -> DataFrame:
+    """(k1, k2, text) of the texts (k1, k2, text) among `some` (k1, k2), once
+    each.  Copies are dropped inside the tasks that read them, before they
+    could meet in one."""
+    return written(maybe_in(texts, "k1", some).dropDuplicates(["k1", "k2"]).join(some, ["k1", "k2"]), "suffix-texts", n)
+
 
+def resolved_spans(hits: DataFrame, inside: DataFrame, texts: DataFrame, n: int, match: int) -> DataFrame:
+    """(k1, k2, lo, hi): the places where repeated strings start, from the
+    suffixes that share a seed, those repeated inside a text and the texts of
+    both.  `n` bounds the suffixes; ranges and strings in doubt are of the same
+    order."""
     whole, doubt = _repeated(hits, "seed", "span", ["k1", "k2", "at", "lo", "hi"], "suffix", n)
     spans = [inside.select("k1", "k2", "lo", "hi"), whole.select("k1", "k2", "lo", "hi")]
     ranges = _with_texts(texts, doubt, ["at", "lo", "hi", "seed"]).mapInArrow(
@@ -313,7 +323,69 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, ba
     strings = written(strings, "suffix-strings", n)
     twice = written(strings.groupBy("whole").agg(F.count("*").alias("n")).where("n > 1").select("whole"), "string-twice", n)
     spans.append(strings.join(twice, "whole").select("k1", "k2", F.col("start").alias("lo"), F.col("start").alias("hi")))
-    return texts, written(reduce(DataFrame.unionByName, spans).distinct(), "suffix-spans", n)
+    return written(reduce(DataFrame.unionByName, spans).distinct(), "suffix-spans", n)
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(document_key().alias("d"), "text").select("d.k1", "d.k2", F.col("text").cast("string").alias("text"))
+
+
+def repeated_spans(docs: DataFrame, match: int = MATCH, window: int = WINDOW, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
+    """(texts, spans): the texts with matching seeds (k1, k2, text), once each,
+    and the places (k1, k2, lo, hi), hi included, where repeated strings start."""
+    found = written(suffixes(docs, match, window, batches), "suffixes")
+    n = found.count()
+    suffix, inside = found.where("n > 0"), found.where("n = 0")
+    shared = shared_seeds(suffix, batches)
+    hits = written(maybe_in(suffix.drop("batch"), "seed", shared).join(shared, "seed"), "suffix-hits", n)
+    some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents", n)
+    texts = documents_with(keyed_texts(docs), some, n)
+    return texts, resolved_spans(hits, inside, texts, n, match)
+
+
+class SuffixIndex:
+    """The level family in a folder: `add` takes a new table at any time,
+    finds what it shares with all tables before, and indexes it.
+
+    The folder holds the sorted runs of the levels, and each batch's suffixes
+    and texts; a manifest that changes by one rename names them, so an `add`
+    that fails leaves the index as it was.  A batch costs its own suffixes, the
+    merge-joins with log2(n) + 1 levels, and what shares a seed with it."""
+
+    def __init__(self, spark: SparkSession, folder: str, match: int = MATCH, window: int = WINDOW) -> None:
+        self.spark, self.match, self.window = spark, match, window
+        self.table = VersionedTable(spark, folder)
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.table.path}/{path}")
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """(k1, k2, n_removed, n_spans, kept) of each text of `docs` that loses
+        bytes: those covered by a string that also starts elsewhere in `docs`
+        or in a table added before (whose own results don't change)."""
+        before, manifest = self.table.manifest()
+        name, old = uuid.uuid4().hex, manifest.get("suffix_batches", [])
+        folder = f"{self.table.path}/batch-{name}"
+        suffixes(docs, self.match, self.window, 1).drop("batch").write.parquet(f"{folder}/suffixes")
+        keyed_texts(docs).dropDuplicates(["k1", "k2"]).write.parquet(f"{folder}/texts")
+        found = self._read(f"batch-{name}/suffixes")
+        suffix, inside = found.where("n > 0"), found.where("n = 0")
+        levels = Levels(folder=self.table.path)
+        for rank, run in manifest.get("levels", []):
+            level = self._read(run)
+            levels.levels.append((rank, level))
+            levels.paths[id(level)] = f"{self.table.path}/{run}"
+        shared = written(reduce(DataFrame.unionByName, levels.add(suffix)).distinct(), "suffix-seeds")
+        batches = [*old, name]
+        every = reduce(DataFrame.unionByName, [self._read(f"batch-{b}/suffixes").where("n > 0") for b in batches])
+        hits = written(maybe_in(every, "seed", shared).join(shared, "seed"), "suffix-hits")
+        some = written(hits.select("k1", "k2").unionByName(inside.select("k1", "k2")).distinct(), "suffix-documents")
+        texts = documents_with(reduce(DataFrame.unionByName, [self._read(f"batch-{b}/texts") for b in batches]), some, some.count())
+        spans = resolved_spans(hits, inside, texts, hits.count() + inside.count(), self.match)
+        own = self._read(f"batch-{name}/texts").select("k1", "k2")
+        runs = [(rank, levels.paths[id(level)].removeprefix(f"{self.table.path}/")) for rank, level in levels.levels]
+        self.table.commit(before, manifest | {"levels": runs, "suffix_batches": batches})
+        return cut_spans(texts, spans.join(own, ["k1", "k2"], "left_semi"), self.match)
 
 
 def cut(text: Column, marks: Column, match: int) -> Column:
@@ -339,13 +411,17 @@ def cut(text: Column, marks: Column, match: int) -> Column:
     return run(text, marks)
 
 
-def cut_texts(docs: DataFrame, match: int = MATCH, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
-    """(k1, k2, n_removed, n_spans, kept) of each text that loses bytes; `kept`
-    is binary, as a cut may fall inside a code point."""
-    texts, spans = repeated_spans(docs, match, window, batches)
+def cut_spans(texts: DataFrame, spans: DataFrame, match: int) -> DataFrame:
+    """(k1, k2, n_removed, n_spans, kept) of each text with spans; `kept` is
+    binary, as a cut may fall inside a code point."""
     return _with_texts(texts, spans, ["lo", "hi"]).select("k1", "k2", cut(F.col("text"), F.col("marks"), match).alias("c")).select("k1", "k2", "c.*")
 
 
+def cut_texts(docs: DataFrame, match: int = MATCH, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
+    """`cut_spans` of each text that loses bytes."""
+    return cut_spans(*repeated_spans(docs, match, window, batches), match)
+
+
 def report(docs: DataFrame, match: int = MATCH, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
 

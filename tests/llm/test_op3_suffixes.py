@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.llm import op3_suffixes as op3
 
@@ -74,6 +75,36 @@ def test_levels_merge_geometrically(spark):
     assert set(shared) == {s for s, n in seen.items() if n > 1}
 
 
+def test_index_takes_new_tables(spark, tmp_path):
+    """Batches one after the other, by index objects of their own, and one that
+    fails: each batch loses what it shares with itself and all before."""
+    rows, folder = corpus(6, 60, n=36), str(tmp_path / "index")
+    parts = [rows[i::5] for i in range(5)]
+    seen = []
+    for no, part in enumerate(parts):
+        docs = frame(spark, part).repartition(2)
+        if no == 2:
+            broken = docs.withColumn("text", F.when(F.col("doc_id") >= 0, F.raise_error(F.lit("broken"))).otherwise(F.col("text")).cast("string"))
+            with pytest.raises(Exception, match="broken"):
+                op3.SuffixIndex(spark, folder, 60, 30).add(broken)
+        got = {(r.k1, r.k2): (r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in op3.SuffixIndex(spark, folder, 60, 30).add(docs).collect()}
+        seen += part
+        own = {}
+        counts = Counter(b[i : i + 60] for b in ((t or "").encode() for _, t, *_ in seen) for i in range(len(b) - 59))
+        for _, text, *_ in part:
+            body = (text or "").encode()
+            gone = bytearray(len(body))
+            for i in range(len(body) - 59):
+                if counts[body[i : i + 60]] > 1:
+                    gone[i : i + 60] = b"\1" * 60
+            if any(gone):
+                runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+                own[text] = (sum(gone), runs, hashlib.sha256(bytes(c for c, g in zip(body, gone) if not g)).hexdigest())
+        assert sorted(got.values()) == sorted(own.values())
+    ranks = [rank for rank, _ in op3.SuffixIndex(spark, folder).table.manifest()[1]["levels"]]
+    assert ranks == sorted(ranks, reverse=True) and len(ranks) <= 3
+
+
 def test_anchors_follow_the_content():
     rng = np.random.default_rng(1)
     body = rng.integers(97, 123, 300, dtype=np.uint8)
