@@ -2,9 +2,10 @@
 daily traffic, renamed campaigns and monthly product traffic per row.
 
 Inputs (see FIXTURES.md): ``search_terms``, ``sales_traffic``,
-``campaign_map``, ``asin_traffic``.  The small per-key tables (daily traffic,
-mappings) are broadcast by AQE from runtime sizes, the monthly aggregates are
-partial aggregates.
+``campaign_map``, ``asin_traffic``.  The per-key tables beside the facts (monthly
+totals, daily traffic, mappings, products) are partial aggregates, evaluated
+once and written; the planner then knows their sizes, and as long as they are
+under the broadcast threshold the facts are joined where they are read.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.session import materialise
+
 TRAFFIC = ("Ordered_Product_Sales", "sessions_total", "Units_Ordered", "Total_Order_Items",
            "Units_Refunded", "Feedback_Received")
 ADJUSTED = ("ordered_product_sales_adjusted", "sessions_adjusted", "units_ordered_adjusted",
@@ -38,7 +41,7 @@ def ads_summary(search_terms: DataFrame, sales_traffic: DataFrame, campaign_map:
     the mappings, are the rows of a product type."""
     facts = search_terms.withColumn("month", F.month("Date")).withColumn("year", F.year("Date"))
     sums = [_exact_decimal("spend"), F.sum("Clicks").alias("Clicks"), _exact_decimal("_14_Day_Total_Sales")]
-    base = facts.groupBy("Customer_Search_Term", "Targeting", "month", "year").agg(*sums)
+    base = materialise(facts.groupBy("Customer_Search_Term", "Targeting", "month", "year").agg(*sums), "ads-months")
 
     def monthly(key: str, stem: str) -> DataFrame:
         g = base.where(F.col(key).isNotNull()).groupBy(key, "month", "year").agg(*sums)
@@ -46,10 +49,10 @@ def ads_summary(search_terms: DataFrame, sales_traffic: DataFrame, campaign_map:
                         F.col("_14_Day_Total_Sales").cast("double").alias(f"{stem}_monthly_sales"))
 
     per_day = facts.groupBy("Date").agg(F.count("*").alias("_rows"))
-    daily = sales_traffic.join(per_day, "Date", "left").select(
-        "Date", *TRAFFIC, *[(F.col(t) / F.col("_rows")).alias(a) for t, a in zip(TRAFFIC, ADJUSTED)])
-    campaigns = campaign_map.select(F.col("campaign").alias("campaign_name"), "campaign_new").distinct()
-    groups = campaign_map.select(F.col("ad_group").alias("ad_group_name"), "ad_group_new", "product_type").distinct()
+    daily = materialise(sales_traffic.join(per_day, "Date", "left").select(
+        "Date", *TRAFFIC, *[(F.col(t) / F.col("_rows")).alias(a) for t, a in zip(TRAFFIC, ADJUSTED)]), "ads-days")
+    campaigns = materialise(campaign_map.select(F.col("campaign").alias("campaign_name"), "campaign_new").distinct(), "ads-campaigns")
+    groups = materialise(campaign_map.select(F.col("ad_group").alias("ad_group_name"), "ad_group_new", "product_type").distinct(), "ads-groups")
 
     def mapped(rows: DataFrame) -> DataFrame:  # a name with two new names makes two rows
         return rows.join(campaigns, "campaign_name", "left").join(groups, "ad_group_name", "left")
@@ -58,8 +61,8 @@ def ads_summary(search_terms: DataFrame, sales_traffic: DataFrame, campaign_map:
     per_type = per_type.where("product_type is not null").groupBy("year", "month", "product_type").agg(F.sum("rows").alias("divisor"))
     products = (asin_traffic.groupBy(F.year("Date").alias("year"), F.month("Date").alias("month"), "product_type")
                 .agg(*[(_exact_decimal(c).cast("double") if c == "ordered_product_sales" else F.sum(c)).alias(f"_{c}") for c, _, _ in ASIN_T]))
-    products = products.join(per_type, ["year", "month", "product_type"], "left").select(
-        "year", "month", "product_type", *[round2(F.col(f"_{c}") / F.col("divisor")).alias(out) for c, _, out in ASIN_T])
+    products = materialise(products.join(per_type, ["year", "month", "product_type"], "left").select(
+        "year", "month", "product_type", *[round2(F.col(f"_{c}") / F.col("divisor")).alias(out) for c, _, out in ASIN_T]), "ads-products")
 
     rows = (mapped(facts).join(monthly("Customer_Search_Term", "st"), ["Customer_Search_Term", "month", "year"], "left")
             .join(monthly("Targeting", "kw"), ["Targeting", "month", "year"], "left").join(daily, "Date", "left")

@@ -16,6 +16,7 @@ from adlake.operators.filters import banded_flag, name_filter
 from adlake.operators.lookup import first_match_lookup, last_match_lookup
 from adlake.operators.relational import first_by_priority
 from adlake.operators.reshape import global_rank, positions
+from adlake.session import materialise
 
 # Stock bands (low, high, change threshold) for the drop flag;
 # a band matches when low <= current <= high and change < threshold.
@@ -220,8 +221,9 @@ def trends_long(counts: DataFrame, geo: str, keyword: str, value: str, size: int
     A batch is a table of ``size`` fixed slots for each geo, as it comes from
     the service; the slots are then turned into rows.  Neither the number of
     keywords nor of batches shapes the plan."""
+    counts = materialise(counts.select(geo, keyword, value), "trend-counts")  # read three times below
     ranked = global_rank(counts.where(F.col(keyword).isNotNull()).select(keyword).distinct(), keyword, "_no")
-    batch = ranked.select(F.col(keyword), F.floor(F.col("_no") / size).cast("bigint").alias("batch_id"), (F.col("_no") % size).cast("int").alias("_slot"))
+    batch = materialise(ranked.select(F.col(keyword), F.floor(F.col("_no") / size).cast("bigint").alias("batch_id"), (F.col("_no") % size).cast("int").alias("_slot")), "trend-batches")
     slots = range(size)
     names = batch.groupBy("batch_id").agg(*[F.max(F.when(F.col("_slot") == i, F.col(keyword))).alias(f"_k{i}") for i in slots])
     last = names.agg(F.max("batch_id")).scalar()

@@ -71,7 +71,7 @@ class VersionedTable:
         finally:
             stream.close()
 
-    def _commit(self, before: int, manifest: dict) -> None:
+    def commit(self, before: int, manifest: dict) -> None:
         """Version before + 1 appears by a rename; FileExistsError if another
         writer was first."""
         draft, fs = self._file(f"drafts/{uuid.uuid4().hex}")
@@ -135,17 +135,17 @@ class VersionedTable:
     def overwrite(self, df: DataFrame, cluster: Sequence[str] = ()) -> None:
         """SK1: the table becomes `df`."""
         before, manifest = self.manifest()
-        self._commit(before, manifest | {"segments": [self._segment(df, cluster)]})
+        self.commit(before, manifest | {"segments": [self._segment(df, cluster)]})
 
     def rotate(self, df: DataFrame, cluster: Sequence[str] = ()) -> None:
         """SK9: what was current is the previous generation, `df` is current;
         both change at once."""
         before, manifest = self.manifest()
-        self._commit(before, manifest | {"segments": [self._segment(df, cluster)], "previous": manifest["segments"]})
+        self.commit(before, manifest | {"segments": [self._segment(df, cluster)], "previous": manifest["segments"]})
 
     def append(self, df: DataFrame, cluster: Sequence[str] = ()) -> None:
         before, manifest = self.manifest()
-        self._commit(before, manifest | {"segments": [*manifest["segments"], self._segment(df, cluster)]})
+        self.commit(before, manifest | {"segments": [*manifest["segments"], self._segment(df, cluster)]})
 
     def replace_from(self, df: DataFrame, date_col: str, start: Start | Mapping[object, Start] = None,
                      scope: Sequence[str] = (), batch: tuple[str, int] | None = None) -> dict[tuple, dt.date] | None:
@@ -185,7 +185,7 @@ class VersionedTable:
         if len(segments) > MOST_SEGMENTS:
             segments = [self._segment(self._rows(segments), [*scope, date_col])]
         batches = manifest["batches"] | ({batch[0]: batch[1]} if batch else {})
-        self._commit(before, manifest | {"segments": segments, "batches": batches})
+        self.commit(before, manifest | {"segments": segments, "batches": batches})
         return starts
 
     def vacuum(self, keep: int = 2) -> int:

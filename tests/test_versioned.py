@@ -87,7 +87,7 @@ def test_failure_between_segment_and_version(spark, tmp_path, monkeypatch):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(VersionedTable, "_commit", fail)
+        m.setattr(VersionedTable, "commit", fail)
         for write in (lambda: t.rotate(days(spark, 1, 2, 3)), lambda: t.replace_from(days(spark, 1, 2, 3), "d"), lambda: t.overwrite(days(spark, 1, 2, 3))):
             with pytest.raises(RuntimeError, match="lost"):
                 write()
@@ -110,7 +110,7 @@ def test_one_of_two_writers_fails(spark, tmp_path):
     before, manifest = t.manifest()
     VersionedTable(spark, t.path).append(days(spark, 2, 1, 2))
     with pytest.raises(FileExistsError):
-        t._commit(before, manifest)
+        t.commit(before, manifest)
     assert held(t.read()) == [(1, 1), (2, 2)]
 
 
