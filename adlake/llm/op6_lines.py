@@ -47,7 +47,7 @@ def _named(rows: DataFrame, by: list[str], step: str, n: int) -> DataFrame:
     partial; its result is written, so that the join can split a hot name."""
     names = written(rows.groupBy(*by).agg(F.min(F.struct("doc", "pos")).alias("name"), F.count("*").alias("n"))
                     .where("n > 1").drop("n"), f"line-names-{step}", n)
-    return rows.join(names, by).drop(*by)
+    return rows.join(names.hint("merge"), by).drop(*by)
 
 
 def line_suffixes(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -106,8 +106,9 @@ def copied_runs(once: DataFrame, n: int, min_lines: int = MIN_LINES) -> DataFram
     runs = later.where(~F.coalesce(F.col("before") == same, F.lit(False)))
     runs = written(runs.select("doc", "pos", F.col("name").alias("source"), F.lit(0).alias("length")), "line-runs", n)
     for k in range(len(names) - 1, -1, -1):
-        here = names[k].select("doc", F.col("pos").alias("at"), F.col("name").alias("here"))
-        there = names[k].select(F.struct("doc", "pos").alias("to"), F.col("name").alias("there"))
+        # Files of a few repeated values are small and their rows many: no broadcast by file size.
+        here = names[k].select("doc", F.col("pos").alias("at"), F.col("name").alias("here")).hint("merge")
+        there = names[k].select(F.struct("doc", "pos").alias("to"), F.col("name").alias("there")).hint("merge")
         runs = runs.withColumn("at", F.col("pos") + F.col("length")).join(here, ["doc", "at"], "left")
         runs = runs.withColumn("to", F.struct(F.col("source.doc").alias("doc"), (F.col("source.pos") + F.col("length")).alias("pos"))).join(there, "to", "left")
         grown = F.when(F.col("here") == F.col("there"), F.col("length") + (1 << k)).otherwise(F.col("length"))
