@@ -24,7 +24,7 @@ def _t(spark, sf):
 
 # ---------------------------------------------------------------- landed files
 
-LANDED = T.StructType.fromDDL("order_no bigint, day date, amount decimal(12,2), priority string")
+LANDED = "order_no bigint, day date, amount decimal(12,2), priority string"
 
 
 @register("landed_csv", """
@@ -48,7 +48,7 @@ def landed_csv(spark, sf):
                           F.struct(F.lit(1).alias("no"), F.to_csv(F.struct(*[F.lit(x).alias(f"c{i}") for i, x in enumerate(titles)])).alias("value")))).alias("h"), "year")
     both = heads.select("h.no", "h.value", "year").unionByName(lines.select(F.lit(2).alias("no"), "value", "year"))
     both.repartition("year").sortWithinPartitions("year", "no").select("value", "year").write.partitionBy("year").text(path)
-    rows, rejected = read_csv_renamed(spark, f"{path}/year=*", LANDED, titles)
+    rows, rejected = read_csv_renamed(spark, f"{path}/year=*", T.StructType.fromDDL(LANDED), titles)
     late = rejected.select(F.col("order_no").cast("bigint").alias("order_no"), F.to_date(F.substring("day", 4, 10)).alias("day"),
                            F.col("amount").cast("double").alias("amount"), "priority", F.array_contains("failed_rules", "day").alias("rejected"))
     return rows.select("order_no", "day", F.col("amount").cast("double").alias("amount"), "priority", F.lit(False).alias("rejected")).unionByName(late)
