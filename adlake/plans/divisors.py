@@ -9,8 +9,8 @@ Inputs:
 * ``pnl``: purchased_date_utc, asin, item_price_usd
 * ``bulk``: campaign_id, creative_asins1..3
 
-Plan notes: the name match is the substring join of ``operators.textjoin``,
-which reads each name once and moves nothing; the three per-slot sales lookups are one join of the
+Plan notes: the name match is the substring join of ``operators.textjoin``, an
+equi-join on each product id's rarest gram; the three per-slot sales lookups are one join of the
 unpivoted slots with daily sales, folded back by a grouped ``max(when)``
 (one shuffle instead of three); every "one row per key" step is a partial
 aggregate.
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from adlake.functions.core import money_sum
 from adlake.operators.relational import first_by_priority, latest_per_key, nth_rows_to_columns, pick_per_key
 from adlake.operators.textjoin import contains_join
+from adlake.session import materialise
 
 SLOTS = ("creative_asin1", "creative_asin2", "creative_asin3")
 KEY = ["report_date", "campaign_id"]
@@ -45,7 +46,7 @@ def name_rows(ad_groups: list[DataFrame], product_master: DataFrame) -> DataFram
     for g in ad_groups:
         g = g.select("campaign_id", "campaign_name", "report_date")
         camp = g if camp is None else camp.unionByName(g)
-    camp = pick_per_key(camp, ["campaign_id", "report_date"], ["campaign_name"], latest=False, payload=[])
+    camp = materialise(pick_per_key(camp, ["campaign_id", "report_date"], ["campaign_name"], latest=False, payload=[]), "campaign-names")  # read three times by the join
     asins = latest_per_key(product_master, ["child_asin"], "last_updated_date", payload=["brand"]) \
         .select(F.col("child_asin").alias("asin"))
     matched = contains_join(camp, "campaign_name", asins, "asin")
