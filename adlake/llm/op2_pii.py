@@ -313,7 +313,12 @@ def find(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Mode
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
+
+    Null and empty texts have no spans; repeated rows get equal results; spans
+    are ordered by kind, then start, and added ones touch no base span; long
+    texts are scanned whole; other columns are not read; an empty table gives
+    no rows."""
     rows, _ = find(docs)
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
     return rows.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),

@@ -143,8 +143,9 @@ def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_entropy of
     every row of `docs`.
 
-    Null and empty texts have no spans; repeated rows get equal results; long
-    texts are scanned whole; other columns are not read."""
+    Null and empty texts have no spans; repeated rows get equal results; spans
+    that start together are ordered by kind; long texts are scanned whole; other
+    columns are not read; an empty table gives no rows."""
     count = lambda kind: F.size(F.filter("all", lambda s: s["kind"] == kind)).cast("bigint")
     return spans(docs).select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                               F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("all").alias("spans"), count(3).alias("n_entropy"))
