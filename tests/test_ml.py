@@ -110,6 +110,28 @@ def test_boosting_equals_the_rule_by_hand(spark):
     assert abs(loss.log_loss + np.log(chance[np.arange(240), y]).mean()) < 1e-6 and loss.n == 240
 
 
+def test_a_level_is_summed_in_its_tasks(spark):
+    """Each task sends a cell once, however many rows it read, with exact sums."""
+    rng = np.random.default_rng(7)
+    x, model = rng.integers(0, 3, (500, 2)), rng.integers(0, 2, 500)
+    g, h = rng.integers(-(1 << 32), 1 << 32, (500, 2)), rng.integers(0, 1 << 32, (500, 2))
+    rows = spark.createDataFrame([(int(model[i]), x[i].tolist(), g[i].tolist(), h[i].tolist()) for i in range(500)], "model int, b array<int>, g array<bigint>, h array<bigint>")
+    feature, last = np.zeros((2, 2, 4), int), np.ones((2, 2, 4), int)
+    feature[1, 1, 1] = -1
+    want = {}
+    for i in range(500):
+        for k in range(2):
+            node = 1 if feature[model[i], k, 1] >= 0 and x[i, 0] > 1 else 0
+            for f in range(2):
+                cell = int((((model[i] * 2 + k) * 2 + node) * 2 + f) * 3 + x[i, f])
+                a, b = want.get(cell, (0, 0))
+                want[cell] = a + int(g[i, k]), b + int(h[i, k])
+    sums = boosting._histograms(rows.repartition(3), feature, last, 1, 2, 2)
+    assert {r.cell: (r.g, r.h) for r in sums.collect()} == want
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
 def test_boosting_folds_and_odd_rows(spark):
     df = animals(spark, 400)
     fitted, bins, scored = M.boosted_trees(df.withColumn("outcome", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("outcome"))), "outcome", ["days"], ["kind", "sex"],
