@@ -46,6 +46,14 @@ def test_models_learn_separable_data(spark):
         assert M.accuracy_evaluator().evaluate(fitted.transform(held)) > 0.9
 
 
+def test_forest_keeps_nodes_and_grows_the_same_trees(spark):
+    df = animals(spark, 200).fillna(0.0, ["days"])
+    forest = M.random_forest(trees=6)
+    assert forest.getCacheNodeIds()
+    trees = [M.fit_pipeline(df, ["kind", "sex"], ["days"], "outcome", forest.copy({forest.cacheNodeIds: kept})).stages[-1].toDebugString.split("\n", 1)[1] for kept in (True, False)]
+    assert trees[0] == trees[1]
+
+
 def test_grid_metrics_equal_sql_over_predictions(spark):
     import duckdb
     df = animals(spark, 300).fillna(0.0, ["days"])
