@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from adlake.functions.features import neutered_state, sex_of
 from adlake.ml import boosting
 from adlake.ml import models as M
+from tests.conftest import SMOKE
 
 
 def animals(spark, n=600, seed=1):
@@ -54,6 +55,12 @@ def test_forest_keeps_nodes_and_grows_the_same_trees(spark):
     assert trees[0] == trees[1]
 
 
+def test_quality_models_read_the_texts_once(spark):
+    from adlake.plans.keys_ml import quality_models
+    files = quality_models(spark, SMOKE).inputFiles()
+    assert files and not any("documents" in f for f in files)
+
+
 def test_grid_metrics_equal_sql_over_predictions(spark):
     import duckdb
     df = animals(spark, 300).fillna(0.0, ["days"])
