@@ -13,7 +13,9 @@ the domain-filtered products (the source's left join plus ``brand IS NOT
 NULL`` is an inner join) -> left join volume on (phrase, week, year) -> left
 join latest weekly status on (asin, year, week) -> one projection.  The
 weekly status pick is a partial ``max(struct)`` aggregate, so a product that
-dominates the status feed is reduced before its shuffle.
+dominates the status feed is reduced before its shuffle.  The volume is
+evaluated first: while it is small (phrases times weeks), the ad rows meet it
+where they are and aren't shuffled by phrase.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from adlake.functions.core import (contains_text, greatest_strict, is_true, safe_divide,
                                    sunday_week, truncate_upper)
 from adlake.operators.relational import latest_per_key
+from adlake.session import materialise
 
 # Fixed values (must equal the source model):
 # ad arms in union order: (ad_type, target_type)
@@ -103,10 +106,10 @@ def ppc_mart(arms: list[DataFrame], products: DataFrame, volume: DataFrame,
                  + F.col("sales")) > 0)
     prod = (products.where((F.col("scrap_rank") == 1) & (F.col("bsr_tree_rank") == 1)
                            & (F.lower("amazon_domain") == p.domain) & F.col("brand").isNotNull())
-            .select(F.col("asin").alias("branded_asin"), F.col("title").alias("p_title"),
+            .select(F.col("asin").alias("branded_asin"), truncate_upper("title").alias("title"),
                     F.col("brand").alias("p_brand")))
-    vol = volume.select(F.col("phrase").alias("keyword_or_target"), "week", "year",
-                        F.col("search_volume").alias("keyword_search_volume"))
+    vol = materialise(volume.select(F.col("phrase").alias("keyword_or_target"), "week", "year",
+                                    F.col("search_volume").alias("keyword_search_volume")), "phrase-volume")
     st = weekly_status(status_daily).withColumnRenamed("child_asin", "branded_asin")
 
     j = (u.join(prod, "branded_asin", "inner")
@@ -132,7 +135,6 @@ def ppc_mart(arms: list[DataFrame], products: DataFrame, volume: DataFrame,
 
     base = j.select(
         "*",
-        truncate_upper("p_title").alias("title"),
         F.upper("p_brand").alias("brand"),
         target_new.alias("target_type_new"),
         *[safe_divide(F.col(f), net).alias(f"{FEE_STEM[f]}_perc") for f in FEES],

@@ -103,3 +103,10 @@ def test_trends_batches(spark):
     out = {(r.batch_id, r.geo, r.keyword): (r.raw, r.score) for r in trends_long(counts, "geo", "keyword", "n").collect()}
     assert len(out) == 8 and out[0, "g1", "a"] == (4, 50) and out[0, "g2", "b"] == (8, 100) and out[0, "g1", "b"] == (None, None)
     assert out[1, "g1", "é"] == (1, 100) and out[1, "g2", "é"] == (None, None)
+
+
+def test_ppc_ad_rows_are_not_shuffled_by_phrase(spark):
+    from adlake.plans.keys_ppc import build_ppc
+    from tests.conftest import SMOKE
+    plan = build_ppc(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(keyword_or_target" not in plan
