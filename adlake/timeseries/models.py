@@ -315,7 +315,9 @@ def arima_fit(daily: DataFrame, order: tuple[int, int, int] = (3, 1, 2)) -> Data
     shorter).  A series too short for the order, or constant, has coefficients
     0, a drift only."""
     p, d, q = order
-    rows = _placed(daily)
+    spark = daily.sparkSession
+    tasks = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)  # not that of the rows, or it has no effect
+    rows = _placed(daily.repartition(tasks, "series_id"))  # little data and much work: AQE would make it one task
     w = F.col("value")
     for _ in range(d):
         rows = rows.withColumn("w", w)
@@ -379,13 +381,14 @@ def arima(daily: DataFrame, order: tuple[int, int, int] = (3, 1, 2), steps: int
     for k in range(d):  # differences of order 0, 1, .. at the end
         levels.insert(0, last[0])
         last = [a - b for a, b in zip(last, last[1:])]
+    weights = _running_sum(F.transform(psi_weights(F.col("coefs"), p, d, q, steps), lambda v: v * v))
     fit = fit.select(
         "series_id", "days", "ys", "shocks",
         forecast_path(latest("xs", p), latest("shocks", q), F.array(*levels).cast("array<double>"), F.col("coefs"), F.col("mean"), p, d, q, steps).alias("ahead"),
-        F.transform(_running_sum(F.transform(psi_weights(F.col("coefs"), p, d, q, steps), lambda v: v * v)), lambda v: F.sqrt(F.col("sigma2") * v)).alias("errors"))
+        F.get(F.transform(F.array("sigma2"), lambda sigma2: F.transform(weights, lambda v: F.sqrt(sigma2 * v))), 0).alias("errors"))  # sigma2 evaluated once
     fitted = F.transform("days", lambda day, i: F.struct(
         F.lit("fitted").alias("kind"), i.alias("step"), day.alias("day"), (F.get("ys", i) - F.get("shocks", i - d)).alias("mean"), F.lit(None).cast("double").alias("std_error")))
-    ahead = F.transform("ahead", lambda mean, i: F.struct(
-        F.lit("forecast").alias("kind"), (i + 1).alias("step"), F.date_add(F.element_at("days", -1), i + 1).alias("day"), mean.alias("mean"), F.get("errors", i).alias("std_error")))
+    ahead = F.transform(F.arrays_zip("ahead", "errors"), lambda x, i: F.struct(  # not F.get("errors", i), which evaluates the array for every step
+        F.lit("forecast").alias("kind"), (i + 1).alias("step"), F.date_add(F.element_at("days", -1), i + 1).alias("day"), x["ahead"].alias("mean"), x["errors"].alias("std_error")))
     rows = fit.select("series_id", F.explode(F.concat(fitted, ahead)).alias("r")).select("series_id", "r.*")
     return rows.select("*", (F.col("mean") - NORMAL_975 * F.col("std_error")).alias("lower"), (F.col("mean") + NORMAL_975 * F.col("std_error")).alias("upper"))

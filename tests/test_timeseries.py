@@ -209,6 +209,12 @@ def test_short_and_constant_series_drift(spark):
     assert arima(frame(spark, {1: [1.0]}).limit(0)).count() == 0
 
 
+def test_series_are_fitted_in_many_tasks(spark):
+    from adlake.plans.keys_aggwin import arima_forecast
+    rows = arima_forecast(spark, SMOKE)
+    assert rows.rdd.getNumPartitions() == 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def test_rows_of_days_stay_in_the_jvm(spark):
     plan = arima(frame(spark, {1: [1.0, 2.0]}))._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroups" not in plan and "MapInPandas" not in plan
