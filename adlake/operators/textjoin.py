@@ -18,12 +18,18 @@ candidates:
    joined with it.  Only keys that reach beyond the bytes around their gram are
    compared again, with the whole text.
 
+Many keys of one kind (numbered ids) share so few grams that each place would
+meet more keys the more there are.  Keys of up to ``WHOLE`` bytes whose rarest
+gram has over ``CROWD`` keys are therefore looked up whole, by each of their
+sizes, at the places where a gram begins one of them: each place meets a key of a
+size once, however many keys there are.
+
 Grams are bytes of UTF-8, where containment is the same as in code points.
 Before anything of a text is shuffled it passes a broadcast filter of at most
 ``FILTER_BUCKETS`` remainders; whether the index itself is broadcast is AQE's
 size check.  Each place of a text is a row of generated code.  Everything runs
 in the JVM; no key or text comes to the driver, only which lengths the short
-keys have.
+and crowded keys have.
 """
 
 from __future__ import annotations
@@ -40,6 +46,8 @@ Q = 4  # bytes of a gram
 AROUND = 48  # bytes to either side of a gram that travel with it
 PIECE = 1 << 15  # places of a text that are listed at once
 FILTER_BUCKETS = 1 << 20
+CROWD = 32  # keys of a gram
+WHOLE = 16  # bytes of the longest crowded key that is looked up whole
 
 
 def _places(texts: DataFrame) -> DataFrame:
@@ -79,6 +87,21 @@ def gram_index(texts: DataFrame, keys: DataFrame) -> DataFrame:
 def _by_rarest_gram(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """(t, u, key, sure) for keys of Q bytes or more: found, or to be compared."""
     index = gram_index(texts, keys)
+    crowds = index.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    size = F.octet_length("key")
+    crowded = materialise(index.join(crowds, "gram", "left_semi").where(size <= WHOLE).select("key"), "gram-crowded")
+    used = crowded.agg(*[F.max(size == s) for s in range(Q, WHOLE + 1)]).first()
+    sizes = [s for s, there in enumerate(used, Q) if there]
+    if not sizes:
+        return _by_index(texts, index)
+    index = materialise(index.join(crowded, "key", "left_anti").select("gram", "off", "key"), "gram-index")
+    starts = crowded.select(F.xxhash64(_gram(F.col("key").cast("binary"), F.lit(1), Q)).alias("gram"))
+    places = _among(_places(texts), F.xxhash64(_gram("all", "at", Q)), starts)
+    return _by_index(texts, index).unionByName(_whole(places, crowded, sizes))
+
+
+def _by_index(texts: DataFrame, index: DataFrame) -> DataFrame:
+    """(t, u, key, sure) for the keys of an index."""
     found = _among(_places(texts), F.xxhash64(_gram("all", "at", Q)), index)
     first = F.greatest(F.col("at") - AROUND, F.lit(1))
     found = found.select("t", "u", F.xxhash64(_gram("all", "at", Q)).alias("gram"), F.substring("all", first, F.lit(2 * AROUND + Q)).alias("around"),
@@ -90,10 +113,10 @@ def _by_rarest_gram(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return hits.where(~fits | same).select("t", "u", "key", fits.alias("sure")).distinct()
 
 
-def _short(texts: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
-    """(t, u, key, sure) for keys of the given sizes, all under Q bytes."""
-    own = keys.where((F.octet_length("key") > 0) & (F.octet_length("key") < Q)).select(F.col("key").cast("binary").alias("gram"), "key")
-    grams = _places(texts).select("t", "u", F.explode(F.array(*[_gram("all", "at", s) for s in sizes])).alias("gram"))
+def _whole(places: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """(t, u, key, sure) for keys of the given sizes at places (t, u, all, at)."""
+    own = keys.select(F.col("key").cast("binary").alias("gram"), "key")
+    grams = places.select("t", "u", F.explode(F.array(*[_gram("all", "at", s) for s in sizes])).alias("gram"))
     hashed = own.select(F.xxhash64("gram").alias("gram"))
     hits = _among(grams, F.xxhash64("gram"), hashed).distinct().join(own, "gram")
     return hits.select("t", "u", "key", F.lit(True).alias("sure"))
@@ -111,7 +134,7 @@ def _matched(left: DataFrame, keep: Sequence[str], text: Column, keys: DataFrame
     rows = left.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text.alias("text"),
                        F.xxhash64(text).alias("t"), F.xxhash64(F.lit("2"), text).alias("u"))
     texts = rows.where("text is not null").select("t", "u", "text")
-    hits = ([_by_rarest_gram(texts, keys.where(size >= Q))] if long else []) + ([_short(texts, keys, sizes)] if sizes else [])
+    hits = ([_by_rarest_gram(texts, keys.where(size >= Q))] if long else []) + ([_whole(_places(texts), keys.where((size > 0) & (size < Q)), sizes)] if sizes else [])
     none = F.array().cast("array<string>")
     found = F.when(F.col("text").isNotNull(), F.array(F.lit("")) if empty else none).otherwise(none)
     if hits:

@@ -116,3 +116,23 @@ def test_nth_rows_to_columns(spark):
                                "k int, o int, v string")
     out = {r.k: (r.slot1, r.slot2, r.slot3) for r in R.nth_rows_to_columns(df, ["k"], ["o"], "v").collect()}
     assert out == {1: ("a", "b", "c"), 2: ("x", None, None)}
+
+
+def test_contains_join_of_crowded_keys(spark):
+    """Numbered ids of several sizes share few grams: looked up whole, and each
+    found wherever it is, inside other ids, at the end and beside longer keys."""
+    from adlake.operators import textjoin
+    ids = [f"P{i}" for i in range(1, 6000)] + ["P1234567", "item-P77", "P12", "+P4", "a key longer than sixteen bytes P55"]
+    texts = ["cmp P12+P5999+P1234567", "P5", "xP4321", "item-P777 P98", "P", "", None, "a key longer than sixteen bytes P55", "P0123"]
+    left = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    keys = spark.createDataFrame([(k,) for k in ids], "key string")
+    index = textjoin.gram_index(left.select(F.xxhash64("text").alias("t"), F.lit(0).cast("long").alias("u"), "text").where("text is not null"), keys.where("length(key) >= 4"))
+    assert index.groupBy("gram").count().agg(F.max("count")).first()[0] > 2
+    want = {(i, k) for i, t in enumerate(texts) if t is not None for k in ids if k in t}
+    for crowd in (textjoin.CROWD, 2):
+        kept, textjoin.CROWD = textjoin.CROWD, crowd
+        try:
+            got = [(r.id, r.key) for r in textjoin.contains_matches(left, ["id"], "text", keys, "key").collect()]
+        finally:
+            textjoin.CROWD = kept
+        assert set(got) == want and len(got) == len(want)
