@@ -14,9 +14,11 @@ candidates:
 3. candidates: the places of the texts whose q-gram is in the index meet it,
    with ``AROUND`` bytes to either side, in which the key is compared.  Keys
    shorter than a gram are looked up among the texts' own 1- to 3-byte grams;
-4. each distinct text (by 128 bits) gets an array of its keys, and the rows are
-   joined with it.  Only keys that reach beyond the bytes around their gram are
-   compared again, with the whole text.
+4. keys are numbered, and what a distinct text (by 128 bits) has of 64 keys is the
+   bits of one number, an aggregate of numbers before anything is shuffled;
+5. each text gets an array of its keys, and the rows are joined with it.  Only keys
+   that reach beyond the bytes around their gram are compared again, with the
+   whole text.
 
 Many keys of one kind (numbered ids) share so few grams that each place would
 meet more keys the more there are.  Keys of up to ``WHOLE`` bytes whose rarest
@@ -26,7 +28,7 @@ size once, however many keys there are.
 
 Grams are bytes of UTF-8, where containment is the same as in code points.
 Before anything of a text is shuffled it passes a broadcast filter of at most
-``FILTER_BUCKETS`` remainders; whether the index itself is broadcast is AQE's
+``FILTER_BUCKETS`` numbers; whether the index itself is broadcast is AQE's
 size check.  Each place of a text is a row of generated code.  Everything runs
 in the JVM; no key or text comes to the driver, only which lengths the short
 and crowded keys have.
@@ -45,7 +47,9 @@ from adlake.session import materialise
 Q = 4  # bytes of a gram
 AROUND = 48  # bytes to either side of a gram that travel with it
 PIECE = 1 << 15  # places of a text that are listed at once
-FILTER_BUCKETS = 1 << 20
+FILTER_BUCKETS = 1 << 20  # a power of two
+FEW = 1 << 16  # keys that are broadcast,
+ROOM = 1 << 23  # of as many bytes together
 CROWD = 32  # keys of a gram
 WHOLE = 16  # bytes of the longest crowded key that is looked up whole
 
@@ -65,85 +69,113 @@ def _gram(binary: Column | str, at: Column | str, size: int) -> Column:
 
 
 def _among(rows: DataFrame, gram: Column, index: DataFrame) -> DataFrame:
-    """Rows whose `gram` may be one of the index: a semi-join with remainders,
+    """Rows whose `gram` may be one of the index: a semi-join with its last bits,
     a broadcast of FILTER_BUCKETS numbers at most, however many grams."""
-    bucket = lambda g: F.pmod(g, F.lit(FILTER_BUCKETS)).cast("int").alias("bucket")
+    bucket = lambda g: g.bitwiseAND(F.lit(FILTER_BUCKETS - 1).cast("long")).alias("bucket")
     some = index.select(bucket(F.col("gram"))).distinct()
     return rows.withColumn("bucket", bucket(gram)).join(F.broadcast(some), "bucket", "left_semi").drop("bucket")
 
 
 def gram_index(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """(gram, off, key) of the distinct `keys` (key) of Q bytes or more that can
-    occur in `texts` (t, u, text): each under its rarest gram and a place of it."""
-    places = keys.select("key", F.col("key").cast("binary").alias("all"), F.explode(F.sequence(F.lit(1), F.octet_length("key") - Q + 1)).alias("at"))
-    of_keys = materialise(places.select("key", F.xxhash64(_gram("all", "at", Q)).alias("gram"), "at"), "gram-keys")
+    """(gram, off) and the columns of the distinct `keys` (key, ...) of Q bytes or more that
+    can occur in `texts` (t, u, text): each under its rarest gram and a place of it."""
+    places = keys.select("*", F.col("key").cast("binary").alias("all"), F.explode(F.sequence(F.lit(1), F.octet_length("key") - Q + 1)).alias("at"))
+    of_keys = materialise(places.select(*keys.columns, F.xxhash64(_gram("all", "at", Q)).alias("gram"), "at"), "gram-keys")
     gram = F.xxhash64(_gram("all", "at", Q))
     counts = _among(_places(texts), gram, of_keys).groupBy(gram.alias("gram")).agg(F.count("*").alias("n"))
     rarest = (of_keys.join(materialise(counts, "gram-counts"), "gram", "left")
-              .groupBy("key").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "at")).alias("least")))
-    return materialise(rarest.where("least.n > 0").select("least.gram", F.col("least.at").alias("off"), "key"), "gram-index")
+              .groupBy(*keys.columns).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "at")).alias("least")))
+    return materialise(rarest.where("least.n > 0").select("least.gram", F.col("least.at").alias("off"), *keys.columns), "gram-index")
 
 
-def _by_rarest_gram(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """(t, u, key, sure) for keys of Q bytes or more: found, or to be compared."""
+def _by_rarest_gram(texts: DataFrame, keys: DataFrame) -> list[DataFrame]:
+    """(t, u, slot, bit, sure) for `keys` (slot, bit, key) of Q bytes or more: found, or to be compared."""
     index = gram_index(texts, keys)
     crowds = index.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
     size = F.octet_length("key")
-    crowded = materialise(index.join(crowds, "gram", "left_semi").where(size <= WHOLE).select("key"), "gram-crowded")
-    used = crowded.agg(*[F.max(size == s) for s in range(Q, WHOLE + 1)]).first()
+    crowded = materialise(index.join(crowds, "gram", "left_semi").where(size <= WHOLE).select("slot", "bit", "key"), "gram-crowded")
+    n, *used = crowded.agg(F.count("*"), *[F.max(size == s) for s in range(Q, WHOLE + 1)]).first()
     sizes = [s for s, there in enumerate(used, Q) if there]
     if not sizes:
-        return _by_index(texts, index)
-    index = materialise(index.join(crowded, "key", "left_anti").select("gram", "off", "key"), "gram-index")
+        return [_by_index(texts, index)]
+    index = materialise(index.join(crowded, "key", "left_anti").select("gram", "off", "slot", "bit", "key"), "gram-index")
     starts = crowded.select(F.xxhash64(_gram(F.col("key").cast("binary"), F.lit(1), Q)).alias("gram"))
     places = _among(_places(texts), F.xxhash64(_gram("all", "at", Q)), starts)
-    return _by_index(texts, index).unionByName(_whole(places, crowded, sizes))
+    return [_by_index(texts, index), _whole(places, crowded, sizes, n)]
 
 
 def _by_index(texts: DataFrame, index: DataFrame) -> DataFrame:
-    """(t, u, key, sure) for the keys of an index."""
-    found = _among(_places(texts), F.xxhash64(_gram("all", "at", Q)), index)
+    """(t, u, slot, bit, sure) for the keys of an index.  Few keys come to the places of
+    the texts, each of which is compared there with all of the text at hand."""
+    size, gram = F.octet_length("key"), F.xxhash64(_gram("all", "at", Q))
+    n, room = index.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    if n <= FEW and room <= ROOM:
+        index = index.select("gram", "slot", "bit", "off", size.alias("size"), F.col("key").cast("binary").alias("own"))
+        hits = _places(texts).select("t", "u", "all", "at", gram.alias("gram")).join(F.broadcast(index), "gram")
+        same = F.substring("all", F.col("at") - F.col("off") + 1, F.col("size")) == F.col("own")
+        return hits.where((F.col("at") >= F.col("off")) & same).select("t", "u", "slot", "bit", F.lit(True).alias("sure"))
+    found = _among(_places(texts), gram, index)
     first = F.greatest(F.col("at") - AROUND, F.lit(1))
-    found = found.select("t", "u", F.xxhash64(_gram("all", "at", Q)).alias("gram"), F.substring("all", first, F.lit(2 * AROUND + Q)).alias("around"),
+    found = found.select("t", "u", gram.alias("gram"), F.substring("all", first, F.lit(2 * AROUND + Q)).alias("around"),
                          (F.col("at") - first + 1).alias("here"))
     hits = found.join(index, "gram")
-    begin, size = F.col("here") - F.col("off") + 1, F.octet_length("key")  # of the key in `around`
+    begin = F.col("here") - F.col("off") + 1  # of the key in `around`
     fits = (F.col("off") <= AROUND + 1) & (size - F.col("off") < AROUND + Q)
     same = (begin >= 1) & (F.substring("around", F.greatest(begin, F.lit(1)), size) == F.col("key").cast("binary"))
-    return hits.where(~fits | same).select("t", "u", "key", fits.alias("sure")).distinct()
-
-
-def _whole(places: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
-    """(t, u, key, sure) for keys of the given sizes at places (t, u, all, at)."""
-    own = keys.select(F.col("key").cast("binary").alias("gram"), "key")
-    grams = places.select("t", "u", F.explode(F.array(*[_gram("all", "at", s) for s in sizes])).alias("gram"))
-    hashed = own.select(F.xxhash64("gram").alias("gram"))
-    hits = _among(grams, F.xxhash64("gram"), hashed).distinct().join(own, "gram")
-    return hits.select("t", "u", "key", F.lit(True).alias("sure"))
+    return hits.where(~fits | same).select("t", "u", "slot", "bit", fits.alias("sure")).distinct()
+
+
+def _whole(places: DataFrame, keys: DataFrame, sizes: Sequence[int], n: int) -> DataFrame:
+    """(t, u, slot, bit, sure) for the `n` keys of the given sizes at places (t, u, all, at)."""
+    own = keys.select(F.xxhash64(F.col("key").cast("binary")).alias("hash"), F.col("key").cast("binary").alias("own"), "slot", "bit")
+    pieces = [_gram("all", "at", s) for s in sizes]
+    if n <= FEW and max(sizes) < Q:  # the hash of up to 3 bytes is no other's
+        grams = places.select("t", "u", F.explode(F.array(*map(F.xxhash64, pieces))).alias("hash"))
+        return grams.join(F.broadcast(own), "hash").select("t", "u", "slot", "bit", F.lit(True).alias("sure"))
+    grams = places.select("t", "u", F.explode(F.array(*pieces)).alias("gram")).select("t", "u", "gram", F.xxhash64("gram").alias("hash"))
+    if n > FEW:
+        grams = _among(grams, F.col("hash"), own.select(F.col("hash").alias("gram"))).distinct()
+    same = F.startswith("gram", "own") & F.startswith("own", "gram")  # an equality would join by two keys, far slower than by one number
+    hits = grams.join(own if n > FEW else F.broadcast(own), "hash").where(same)
+    return hits.select("t", "u", "slot", "bit", F.lit(True).alias("sure"))
+
+
+def _collected(found: Sequence[DataFrame], keys: DataFrame) -> DataFrame:
+    """(t, u, sure, open): the distinct keys of a text, of hits (t, u, slot, bit, sure)
+    with keys of their own each."""
+    bits = reduce(DataFrame.unionByName, [hits.groupBy("t", "u", "sure", "slot").agg(F.bit_or("bit").alias("bits")) for hits in found])
+    slots = keys.groupBy("slot").agg(F.collect_list(F.struct("bit", "key")).alias("keys"))
+    some = F.transform(F.filter("keys", lambda k: k["bit"].bitwiseAND(F.col("bits")) != 0), lambda k: k["key"])
+    named = bits.join(slots, "slot").select("t", "u", "sure", some.alias("keys"))
+    return named.groupBy("t", "u").agg(F.flatten(F.collect_list(F.when(F.col("sure"), F.col("keys")))).alias("sure"),
+                                       F.flatten(F.collect_list(F.when(~F.col("sure"), F.col("keys")))).alias("open"))
 
 
 def _matched(left: DataFrame, keep: Sequence[str], text: Column, keys: DataFrame, key_col: str, ignore_case: bool) -> DataFrame:
     """Rows (row, found): the `keep` columns of each row of `left` as a struct,
     and the distinct keys that its text contains."""
     key = F.col(f"`{key_col}`").cast("string")
-    keys = materialise(keys.select((F.lower(key) if ignore_case else key).alias("key")).where("key is not null").distinct(), "gram-distinct")
+    keys = keys.select((F.lower(key) if ignore_case else key).alias("key")).where("key is not null").distinct()
+    keys = keys.withColumn("id", F.monotonically_increasing_id()).select("key", F.shiftright("id", 6).alias("slot"), F.expr("shiftleft(1L, cast(id & 63 AS int))").alias("bit"))
+    keys = materialise(keys, "gram-distinct")
     size = F.octet_length("key")
-    empty, *short, long = keys.agg(*[F.max(size == s) for s in range(Q)], F.max(size >= Q)).first()
+    empty, few, *short, long = keys.agg(F.max(size == 0), F.count_if((size > 0) & (size < Q)), *[F.max(size == s) for s in range(1, Q)], F.max(size >= Q)).first()
     sizes = [s for s, used in enumerate(short, 1) if used]
     text = F.lower(text) if ignore_case else text
     rows = left.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text.alias("text"),
                        F.xxhash64(text).alias("t"), F.xxhash64(F.lit("2"), text).alias("u"))
     texts = rows.where("text is not null").select("t", "u", "text")
-    hits = ([_by_rarest_gram(texts, keys.where(size >= Q))] if long else []) + ([_whole(_places(texts), keys.where((size > 0) & (size < Q)), sizes)] if sizes else [])
+    hits = (_by_rarest_gram(texts, keys.where(size >= Q)) if long else []) + ([_whole(_places(texts), keys.where((size > 0) & (size < Q)), sizes, few)] if sizes else [])
     none = F.array().cast("array<string>")
-    found = F.when(F.col("text").isNotNull(), F.array(F.lit("")) if empty else none).otherwise(none)
+    rows = rows.withColumn("found", F.when(F.col("text").isNotNull(), F.array(F.lit("")) if empty else none).otherwise(none))
     if hits:
-        arrays = reduce(DataFrame.unionByName, hits).groupBy("t", "u").agg(
-            F.collect_list(F.when(F.col("sure"), F.col("key"))).alias("sure"), F.collect_list(F.when(~F.col("sure"), F.col("key"))).alias("open"))
-        rows = rows.join(materialise(arrays, "gram-matches"), ["t", "u"], "left")
-        compared = F.filter(F.coalesce("open", none), lambda k: F.contains(F.col("text"), k))
-        found = F.concat(found, F.coalesce("sure", none), compared)
-    return rows.select("row", F.coalesce(found, none).alias("found"))
+        arrays = materialise(_collected(hits, keys), "gram-matches")
+        rows = rows.join(arrays, ["t", "u"], "left")
+        found = [F.col("found"), F.coalesce("sure", none)]
+        if arrays.agg(F.max(F.size("open") > 0)).first()[0]:  # else no text is needed again
+            found.append(F.filter(F.coalesce("open", none), lambda k: F.contains(F.col("text"), k)))
+        rows = rows.select("row", F.concat(*found).alias("found"))
+    return rows.select("row", "found")
 
 
 def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: DataFrame, key_col: str,

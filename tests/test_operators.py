@@ -136,3 +136,34 @@ def test_contains_join_of_crowded_keys(spark):
         finally:
             textjoin.CROWD = kept
         assert set(got) == want and len(got) == len(want)
+
+
+def test_the_hash_of_up_to_three_bytes_is_no_others(spark):
+    codes = spark.range(256 + (1 << 16) + (1 << 24)).select(
+        F.when(F.col("id") < 256, F.lpad(F.hex("id"), 2, "0")).when(F.col("id") < 256 + (1 << 16), F.lpad(F.hex(F.col("id") - 256), 4, "0"))
+        .otherwise(F.lpad(F.hex(F.col("id") - 256 - (1 << 16)), 6, "0")).alias("code"))
+    n, distinct = codes.select(F.unhex("code").alias("b")).agg(F.count("*"), F.count_distinct(F.xxhash64("b"))).first()
+    assert n == distinct == 256 + (1 << 16) + (1 << 24)
+
+
+def test_contains_join_keeps_a_text_once_for_64_keys_before_it_is_shuffled(spark):
+    """Hits are numbers that are merged where they are found: one row for 64 keys
+    of a text and no text of a key, however often the keys occur."""
+    keys = spark.createDataFrame([(f"w{i}x",) for i in range(100, 164)] + [(f"{i}",) for i in range(10, 60)], "key string")
+    texts = [(i, " ".join(f"w{100 + (i + k) % 64}x" for k in range(200))) for i in range(6)]
+    left = spark.createDataFrame(texts, "id int, text string")
+    numbered = keys.coalesce(1).withColumn("id", F.monotonically_increasing_id()).select(
+        "key", F.shiftright("id", 6).alias("slot"), F.expr("shiftleft(1L, cast(id & 63 AS int))").alias("bit"))
+    rows = left.select(F.xxhash64("text").alias("t"), F.lit(0).cast("long").alias("u"), "text")
+    (hits,) = textjoin._by_rarest_gram(rows, textjoin.materialise(numbered.where("length(key) > 3"), "numbered"))
+    assert {k for _, k in hits.dtypes} == {"bigint", "boolean"}
+    bits = hits.groupBy("t", "u", "sure", "slot").agg(F.bit_or("bit").alias("bits"))
+    assert [r.n for r in bits.select(F.bit_count("bits").alias("n")).collect()] == [64] * 6
+    want = {(i, r.key) for i, t in texts for r in keys.collect() if r.key in t}
+    for few, room in ((textjoin.FEW, textjoin.ROOM), (0, 0)):
+        kept, (textjoin.FEW, textjoin.ROOM) = (textjoin.FEW, textjoin.ROOM), (few, room)
+        try:
+            got = [(r.id, r.key) for r in contains_matches(left, ["id"], "text", keys, "key").collect()]
+        finally:
+            textjoin.FEW, textjoin.ROOM = kept
+        assert set(got) == want and len(got) == len(want)
