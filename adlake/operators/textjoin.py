@@ -14,8 +14,9 @@ candidates:
 3. candidates: the places of the texts whose q-gram is in the index meet it,
    with ``AROUND`` bytes to either side, in which the key is compared.  Keys
    shorter than a gram are looked up among the texts' own 1- to 3-byte grams;
-4. keys are numbered, and what a distinct text (by 128 bits) has of 64 keys is the
-   bits of one number, an aggregate of numbers before anything is shuffled;
+4. keys are numbered by length, as short ones occur together, and what a distinct
+   text (by 128 bits) has of 64 keys is the bits of one number, an aggregate of
+   numbers before anything is shuffled;
 5. each text gets an array of its keys, and the rows are joined with it.  Only keys
    that reach beyond the bytes around their gram are compared again, with the
    whole text.
@@ -28,10 +29,11 @@ size once, however many keys there are.
 
 Grams are bytes of UTF-8, where containment is the same as in code points.
 Before anything of a text is shuffled it passes a broadcast filter of at most
-``FILTER_BUCKETS`` numbers; whether the index itself is broadcast is AQE's
-size check.  Each place of a text is a row of generated code.  Everything runs
-in the JVM; no key or text comes to the driver, only which lengths the short
-and crowded keys have.
+``FILTER_BUCKETS`` numbers; an index of up to ``FEW`` keys and ``ROOM`` bytes is
+broadcast itself, and its keys are compared in the whole text at hand; of larger
+ones AQE's size check decides.  Each place of a text is a row of generated code.
+Everything runs in the JVM; besides what is broadcast no key or text comes to the
+driver, only counts, and which lengths the short and crowded keys have.
 """
 
 from __future__ import annotations
@@ -156,7 +158,8 @@ def _matched(left: DataFrame, keep: Sequence[str], text: Column, keys: DataFrame
     and the distinct keys that its text contains."""
     key = F.col(f"`{key_col}`").cast("string")
     keys = keys.select((F.lower(key) if ignore_case else key).alias("key")).where("key is not null").distinct()
-    keys = keys.withColumn("id", F.monotonically_increasing_id()).select("key", F.shiftright("id", 6).alias("slot"), F.expr("shiftleft(1L, cast(id & 63 AS int))").alias("bit"))
+    keys = keys.orderBy(F.octet_length("key"), "key").withColumn("id", F.monotonically_increasing_id())
+    keys = keys.select("key", F.shiftright("id", 6).alias("slot"), F.expr("shiftleft(1L, cast(id & 63 AS int))").alias("bit"))
     keys = materialise(keys, "gram-distinct")
     size = F.octet_length("key")
     empty, few, *short, long = keys.agg(F.max(size == 0), F.count_if((size > 0) & (size < Q)), *[F.max(size == s) for s in range(1, Q)], F.max(size >= Q)).first()
