@@ -27,6 +27,12 @@ gram has over ``CROWD`` keys are therefore looked up whole, by each of their
 sizes, at the places where a gram begins one of them: each place meets a key of a
 size once, however many keys there are.
 
+Over ``FEW`` keys of up to ``WHOLE`` bytes are all looked up whole, and no place is
+shuffled: the distinct texts are dealt out once, blocks of ``BLOCK`` keys are
+broadcast in buckets, one block after the other, and a text gets a list of numbers,
+the places with the sizes of the keys that begin there.  The keys themselves are
+cut from the text when its rows are at hand.
+
 Grams are bytes of UTF-8, where containment is the same as in code points.
 Before anything of a text is shuffled it passes a broadcast filter of at most
 ``FILTER_BUCKETS`` numbers; an index of up to ``FEW`` keys and ``ROOM`` bytes is
@@ -44,7 +50,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.session import materialise
+from adlake.session import materialise, settle
 
 Q = 4  # bytes of a gram
 AROUND = 48  # bytes to either side of a gram that travel with it
@@ -53,7 +59,9 @@ FILTER_BUCKETS = 1 << 20  # a power of two
 FEW = 1 << 16  # keys that are broadcast,
 ROOM = 1 << 23  # of as many bytes together
 CROWD = 32  # keys of a gram
-WHOLE = 16  # bytes of the longest crowded key that is looked up whole
+WHOLE = 16  # bytes of the longest key that is looked up whole
+BLOCK = 1 << 22  # keys of up to WHOLE bytes that are broadcast at once
+TOGETHER = 4  # sizes that a place looks up in one row
 
 
 def _places(texts: DataFrame) -> DataFrame:
@@ -96,14 +104,14 @@ def _by_rarest_gram(texts: DataFrame, keys: DataFrame) -> list[DataFrame]:
     crowds = index.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
     size = F.octet_length("key")
     crowded = materialise(index.join(crowds, "gram", "left_semi").where(size <= WHOLE).select("slot", "bit", "key"), "gram-crowded")
-    n, *used = crowded.agg(F.count("*"), *[F.max(size == s) for s in range(Q, WHOLE + 1)]).first()
+    used = crowded.agg(*[F.max(size == s) for s in range(Q, WHOLE + 1)]).first()
     sizes = [s for s, there in enumerate(used, Q) if there]
     if not sizes:
         return [_by_index(texts, index)]
     index = materialise(index.join(crowded, "key", "left_anti").select("gram", "off", "slot", "bit", "key"), "gram-index")
     starts = crowded.select(F.xxhash64(_gram(F.col("key").cast("binary"), F.lit(1), Q)).alias("gram"))
     places = _among(_places(texts), F.xxhash64(_gram("all", "at", Q)), starts)
-    return [_by_index(texts, index), _whole(places, crowded, sizes, n)]
+    return [_by_index(texts, index), _whole(places, crowded, sizes)]
 
 
 def _by_index(texts: DataFrame, index: DataFrame) -> DataFrame:
@@ -127,19 +135,51 @@ def _by_index(texts: DataFrame, index: DataFrame) -> DataFrame:
     return hits.where(~fits | same).select("t", "u", "slot", "bit", fits.alias("sure")).distinct()
 
 
-def _whole(places: DataFrame, keys: DataFrame, sizes: Sequence[int], n: int) -> DataFrame:
-    """(t, u, slot, bit, sure) for the `n` keys of the given sizes at places (t, u, all, at)."""
+def _whole(places: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """(t, u, slot, bit, sure) for few keys of the given sizes at places (t, u, all, at)."""
     own = keys.select(F.xxhash64(F.col("key").cast("binary")).alias("hash"), F.col("key").cast("binary").alias("own"), "slot", "bit")
     pieces = [_gram("all", "at", s) for s in sizes]
-    if n <= FEW and max(sizes) < Q:  # the hash of up to 3 bytes is no other's
+    if max(sizes) < Q:  # the hash of up to 3 bytes is no other's
         grams = places.select("t", "u", F.explode(F.array(*map(F.xxhash64, pieces))).alias("hash"))
         return grams.join(F.broadcast(own), "hash").select("t", "u", "slot", "bit", F.lit(True).alias("sure"))
     grams = places.select("t", "u", F.explode(F.array(*pieces)).alias("gram")).select("t", "u", "gram", F.xxhash64("gram").alias("hash"))
-    if n > FEW:
-        grams = _among(grams, F.col("hash"), own.select(F.col("hash").alias("gram"))).distinct()
     same = F.startswith("gram", "own") & F.startswith("own", "gram")  # an equality would join by two keys, far slower than by one number
-    hits = grams.join(own if n > FEW else F.broadcast(own), "hash").where(same)
-    return hits.select("t", "u", "slot", "bit", F.lit(True).alias("sure"))
+    return grams.join(F.broadcast(own), "hash").where(same).select("t", "u", "slot", "bit", F.lit(True).alias("sure"))
+
+
+def _by_blocks(texts: DataFrame, keys: DataFrame, sizes: Sequence[int], n: int) -> list[DataFrame]:
+    """A table (t, u, spots) for each block of the `n` keys (key) of the given sizes,
+    up to WHOLE bytes: a spot is a place of the text, times 2^WHOLE, and bit s - 1
+    for a key of s bytes that begins there."""
+    blocks, start = -(-n // BLOCK), min(sizes[0], Q)
+    bucket = lambda key: F.xxhash64(key).bitwiseAND(F.lit((1 << max(0, (n >> 4).bit_length())) - 1).cast("long"))
+    starts = keys.select(F.xxhash64(_gram(F.col("key").cast("binary"), F.lit(1), start)).alias("gram"))
+    buckets = settle(keys.groupBy(bucket(F.col("key")).alias("bucket")).agg(F.collect_list("key").alias("keys")), "gram-buckets")
+    texts = texts.groupBy("t", "u").agg(F.min("text").alias("text"))  # the one exchange: what follows stays with the text
+    places = _among(_places(texts), F.xxhash64(_gram("all", "at", start)), starts)
+    groups = [sizes[i : i + TOGETHER] for i in range(0, len(sizes), TOGETHER)]
+    groups = F.explode(F.array(*[F.struct(*[F.lit(g[k] if k < len(g) else None).cast("int").alias(f"s{k}") for k in range(TOGETHER)]) for g in groups]))
+    rows = places.select("t", "u", "all", "at", groups.alias("g"))
+    size = [F.col(f"g.s{k}") for k in range(TOGETHER)]
+    piece = [F.when(F.col("at") + s - 1 <= F.octet_length("all"), F.substring("all", F.col("at"), s).cast("string")).alias(f"p{k}") for k, s in enumerate(size)]
+    rows = rows.select("t", "u", "at", *[s.alias(f"s{k}") for k, s in enumerate(size)], *piece)
+    found = []
+    for i in range(blocks):
+        block, looked = buckets.where(F.pmod("bucket", F.lit(blocks)) == i), rows
+        for k in range(TOGETHER):
+            looked = looked.join(F.broadcast(block.select(F.col("bucket").alias(f"b{k}"), F.col("keys").alias(f"k{k}"))), bucket(F.col(f"p{k}")) == F.col(f"b{k}"), "left")
+        bits = [F.when(F.array_contains(f"k{k}", F.col(f"p{k}")), F.call_function("shiftleft", F.lit(1).cast("long"), F.col(f"s{k}") - 1)).otherwise(F.lit(0).cast("long")) for k in range(TOGETHER)]
+        spots = looked.select("t", "u", "at", reduce(Column.__add__, bits).alias("bits")).where("bits > 0")
+        spot = F.shiftleft(F.col("at").cast("long"), WHOLE) + F.col("bits")
+        found.append(settle(spots.groupBy("t", "u").agg(F.collect_list(spot).alias("spots")), "gram-spots"))
+    return found
+
+
+def _cut(text: Column, spots: Column, sizes: Sequence[int]) -> Column:
+    """The keys of a text's spots."""
+    at = lambda spot: F.shiftright(spot, WHOLE).cast("int")
+    there = lambda spot: F.array(*[F.when(spot.bitwiseAND(F.lit(1 << (s - 1)).cast("long")) != 0, F.substring(text.cast("binary"), at(spot), F.lit(s)).cast("string")) for s in sizes])
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(spots, there))))
 
 
 def _collected(found: Sequence[DataFrame], keys: DataFrame) -> DataFrame:
@@ -154,31 +194,38 @@ def _collected(found: Sequence[DataFrame], keys: DataFrame) -> DataFrame:
 
 
 def _matched(left: DataFrame, keep: Sequence[str], text: Column, keys: DataFrame, key_col: str, ignore_case: bool) -> DataFrame:
-    """Rows (row, found): the `keep` columns of each row of `left` as a struct,
-    and the distinct keys that its text contains."""
+    """Rows (c0, c1, .., found): the `keep` columns of each row of `left`, and the
+    distinct keys that its text contains."""
     key = F.col(f"`{key_col}`").cast("string")
     keys = keys.select((F.lower(key) if ignore_case else key).alias("key")).where("key is not null").distinct()
     keys = keys.orderBy(F.octet_length("key"), "key").withColumn("id", F.monotonically_increasing_id())
     keys = keys.select("key", F.shiftright("id", 6).alias("slot"), F.expr("shiftleft(1L, cast(id & 63 AS int))").alias("bit"))
-    keys = materialise(keys, "gram-distinct")
+    keys = settle(keys, "gram-distinct")
     size = F.octet_length("key")
-    empty, few, *short, long = keys.agg(F.max(size == 0), F.count_if((size > 0) & (size < Q)), *[F.max(size == s) for s in range(1, Q)], F.max(size >= Q)).first()
-    sizes = [s for s, used in enumerate(short, 1) if used]
+    empty, few, whole, *used, long = keys.agg(F.max(size == 0), F.count_if((size > 0) & (size < Q)), F.count_if((size > 0) & (size <= WHOLE)), *[F.max(size == s) for s in range(1, WHOLE + 1)], F.max(size > WHOLE)).first()
+    sizes = [s for s, there in enumerate(used, 1) if there]
     text = F.lower(text) if ignore_case else text
-    rows = left.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text.alias("text"),
+    rows = left.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], text.alias("text"),
                        F.xxhash64(text).alias("t"), F.xxhash64(F.lit("2"), text).alias("u"))
     texts = rows.where("text is not null").select("t", "u", "text")
-    hits = (_by_rarest_gram(texts, keys.where(size >= Q)) if long else []) + ([_whole(_places(texts), keys.where((size > 0) & (size < Q)), sizes, few)] if sizes else [])
     none = F.array().cast("array<string>")
-    rows = rows.withColumn("found", F.when(F.col("text").isNotNull(), F.array(F.lit("")) if empty else none).otherwise(none))
+    found, tables, hits = [F.when(F.col("text").isNotNull(), F.array(F.lit(""))).otherwise(none)] if empty else [], [], []
+    if whole > FEW:
+        tables = _by_blocks(texts, keys.where((size > 0) & (size <= WHOLE)), sizes, whole)
+        hits = _by_rarest_gram(texts, keys.where(size > WHOLE)) if long else []
+    else:
+        hits = _by_rarest_gram(texts, keys.where(size >= Q)) if long or any(s >= Q for s in sizes) else []
+        hits += [_whole(_places(texts), keys.where((size > 0) & (size < Q)), [s for s in sizes if s < Q])] if few else []
+    for i, spots in enumerate(tables):
+        rows = rows.join(spots.withColumnRenamed("spots", f"spots{i}"), ["t", "u"], "left")
+        found.append(F.coalesce(_cut(F.col("text"), F.col(f"spots{i}"), sizes), none))
     if hits:
-        arrays = materialise(_collected(hits, keys), "gram-matches")
+        arrays = settle(_collected(hits, keys), "gram-matches")
         rows = rows.join(arrays, ["t", "u"], "left")
-        found = [F.col("found"), F.coalesce("sure", none)]
+        found.append(F.coalesce("sure", none))
         if arrays.agg(F.max(F.size("open") > 0)).first()[0]:  # else no text is needed again
             found.append(F.filter(F.coalesce("open", none), lambda k: F.contains(F.col("text"), k)))
-        rows = rows.select("row", F.concat(*found).alias("found"))
-    return rows.select("row", "found")
+    return rows.select(*[F.col(f"c{i}") for i in range(len(keep))], (F.concat(*found) if found else none).alias("found"))
 
 
 def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: DataFrame, key_col: str,
@@ -187,11 +234,11 @@ def contains_matches(left: DataFrame, ids: Sequence[str], text_col: str, keys: D
     each distinct key once for a left row.  A NULL text contains nothing, a
     NULL key is in nothing, the empty key in every text."""
     rows = _matched(left, ids, F.col(f"`{text_col}`"), keys, key_col, ignore_case)
-    return rows.select("row", F.explode("found").alias("found")).select("row.*", F.col("found").alias(key_col))
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(ids)], F.explode("found").alias(key_col))
 
 
 def contains_join(left: DataFrame, text_col: str, keys: DataFrame, key_col: str, ignore_case: bool = False) -> DataFrame:
     """Left theta join on containment: every left row once per matching key,
     or once with a NULL key when nothing matches."""
     rows = _matched(left, left.columns, F.col(f"`{text_col}`"), keys, key_col, ignore_case)
-    return rows.select("row", F.explode_outer("found").alias("found")).select("row.*", F.col("found").alias(key_col))
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(left.columns)], F.explode_outer("found").alias(key_col))

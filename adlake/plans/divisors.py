@@ -9,8 +9,9 @@ Inputs:
 * ``pnl``: purchased_date_utc, asin, item_price_usd
 * ``bulk``: campaign_id, creative_asins1..3
 
-Plan notes: the name match is the substring join of ``operators.textjoin``, an
-equi-join on each product id's rarest gram; the three per-slot sales lookups are one join of the
+Plan notes: the name match is the substring join of ``operators.textjoin``, which
+looks many product ids up whole; names, slots and chosen slots are written, and
+what was shuffled for each leaves the disks before the next; the three per-slot sales lookups are one join of the
 unpivoted slots with daily sales, folded back by a grouped ``max(when)``
 (one shuffle instead of three); every "one row per key" step is a partial
 aggregate.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from adlake.functions.core import money_sum
 from adlake.operators.relational import first_by_priority, latest_per_key, nth_rows_to_columns, pick_per_key
 from adlake.operators.textjoin import contains_join
-from adlake.session import materialise
+from adlake.session import settle
 
 SLOTS = ("creative_asin1", "creative_asin2", "creative_asin3")
 KEY = ["report_date", "campaign_id"]
@@ -46,11 +47,11 @@ def name_rows(ad_groups: list[DataFrame], product_master: DataFrame) -> DataFram
     for g in ad_groups:
         g = g.select("campaign_id", "campaign_name", "report_date")
         camp = g if camp is None else camp.unionByName(g)
-    camp = materialise(pick_per_key(camp, ["campaign_id", "report_date"], ["campaign_name"], latest=False, payload=[]), "campaign-names")  # read three times by the join
+    camp = settle(pick_per_key(camp, ["campaign_id", "report_date"], ["campaign_name"], latest=False, payload=[]), "campaign-names")  # read three times by the join
     asins = latest_per_key(product_master, ["child_asin"], "last_updated_date", payload=["brand"]) \
         .select(F.col("child_asin").alias("asin"))
     matched = contains_join(camp, "campaign_name", asins, "asin")
-    slots = nth_rows_to_columns(matched, KEY, ["asin"], "asin", 3, prefix="_slot")
+    slots = settle(nth_rows_to_columns(matched, KEY, ["asin"], "asin", 3, prefix="_slot"), "name-slots")
     return slots.select(*KEY, *[F.col(f"_slot{i + 1}").alias(s) for i, s in enumerate(SLOTS)],
                         F.when(F.col("_slot1").isNull(), F.lit(3)).otherwise(F.lit(1)).alias("data_source_priority"))
 
@@ -65,8 +66,8 @@ def sales_divisors(api: DataFrame, ad_groups: list[DataFrame], product_master: D
     both = api_rows(api).unionByName(name_rows(ad_groups, product_master))
     chosen = first_by_priority(both, KEY, ["data_source_priority"], payload=list(SLOTS))
     b = bulk.groupBy("campaign_id").agg(*[F.min(f"creative_asins{i + 1}").alias(f"_b{i + 1}") for i in range(3)])
-    ads = chosen.join(b, "campaign_id", "left").select(
-        *KEY, *[F.coalesce(s, f"_b{i + 1}").alias(s) for i, s in enumerate(SLOTS)])
+    ads = settle(chosen.join(b, "campaign_id", "left").select(
+        *KEY, *[F.coalesce(s, f"_b{i + 1}").alias(s) for i, s in enumerate(SLOTS)]), "divisor-slots")  # read twice below
 
     # slot sales: unpivot -> one join -> fold back
     long = ads.select(*KEY, F.explode(F.array(*[F.struct(F.lit(i + 1).alias("k"), F.col(s).alias("asin"))

@@ -167,3 +167,46 @@ def test_contains_join_keeps_a_text_once_for_64_keys_before_it_is_shuffled(spark
         finally:
             textjoin.FEW, textjoin.ROOM = kept
         assert set(got) == want and len(got) == len(want)
+
+
+def test_contains_join_of_many_short_keys_by_blocks(spark):
+    """Each block finds its keys, whatever their sizes, in equal, odd and empty texts."""
+    ids = [f"P{i}" for i in range(0, 3000, 2)] + ["é7", "P", "+P4", "sixteen bytes 12", "a key longer than sixteen bytes P55"]
+    texts = ["cmp P12+P5999+P12", "P", "xP432é7", "P777 P98 sixteen bytes 12", "", None, "a key longer than sixteen bytes P55", "P0123"] + ["cmp P12+P2998"] * 300
+    left = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    keys = spark.createDataFrame([(k,) for k in ids + ids[:9] + [None]], "key string")
+    want = sorted((i, k) for i, t in enumerate(texts) if t is not None for k in ids if k in t)
+    kept, (textjoin.FEW, textjoin.BLOCK) = (textjoin.FEW, textjoin.BLOCK), (100, 700)
+    try:
+        assert sorted((r.id, r.key) for r in contains_matches(left, ["id"], "text", keys, "key").collect()) == want
+        outer = sorted((r.id, r.text or "", r.key or "") for r in contains_join(left.unionAll(left), "text", keys, "key").collect())
+    finally:
+        textjoin.FEW, textjoin.BLOCK = kept
+    assert outer == sorted(2 * ([(i, texts[i], k) for i, k in want] + [(i, t or "", "") for i, t in enumerate(texts) if not t]))
+
+
+def test_contains_join_of_many_keys_leaves_no_places_on_the_disks(spark):
+    """The places of the texts aren't shuffled, and what was goes at once."""
+    import time
+    texts = [(i, "+".join(f"P{(i * 37 + k * 101) % 20000}" for k in range(12))) for i in range(4000)]
+    left = spark.createDataFrame(texts, "id int, text string")
+    keys = spark.range(20000).select(F.concat(F.lit("P"), "id").alias("key"))
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disks.getAllFiles()
+        return {files.apply(i).getPath(): files.apply(i).length() for i in range(files.size())}
+
+    kept, textjoin.FEW = textjoin.FEW, 1000
+    try:
+        before = shuffled()
+        rows = contains_join(left, "text", keys, "key")
+    finally:
+        textjoin.FEW = kept
+    for _ in range(50):
+        left_over = sum(n for f, n in shuffled().items() if f not in before and "shuffle_" in f)
+        if left_over < 100_000:
+            break
+        time.sleep(0.2)
+    assert left_over < 100_000 < sum(len(t) for _, t in texts)
+    assert rows.where("id = 5").count() == len({k for k in (f"P{i}" for i in range(20000)) if k in texts[5][1]})
