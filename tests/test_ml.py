@@ -61,6 +61,33 @@ def test_quality_models_read_the_texts_once(spark):
     assert files and not any("documents" in f for f in files)
 
 
+def _many_labelled(spark, n=210_000):
+    return spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("web").alias("source"), (F.col("id") % 2).cast("string").alias("quality"),
+                                 *[(F.col("id") % k).cast("double").alias(c) for k, c in enumerate(("chars", "symbols", "capitals", "variety"), 5)])
+
+
+def test_grid_search_fits_on_all_labelled_rows(spark, monkeypatch):
+    from adlake.plans import keys_ml
+    seen = []
+
+    def predictions(rows, key):
+        seen.append((rows.count(), rows.select(key).distinct().count()))
+        return rows.limit(10).select(F.lit(1).alias("trees"), F.lit("auto").alias("subset"), F.lit(0).alias("fold"), key, F.lit(1).alias("label"), F.lit(1).alias("predicted"))
+
+    monkeypatch.setattr(keys_ml, "labelled", lambda *_: _many_labelled(spark))
+    monkeypatch.setattr(M, "grid_predictions", predictions)
+    assert keys_ml.grid_search(spark, SMOKE).count() == 2
+    assert seen == [(210_000, 210_000)]
+
+
+def test_grid_cells_are_written_one_by_one(spark):
+    """No forest is needed for the predictions of a finished cell."""
+    df = animals(spark, 100).fillna(0.0, ["days"])
+    rows = Pipeline(stages=[*M.feature_stages(["kind", "sex"], ["days"]), M.label_indexer("outcome")]).fit(df)
+    found = M.grid_predictions(rows.transform(df), "id", trees=(1, 2), subsets=("sqrt",), folds=2, depth=3)
+    assert len({f.rsplit("/", 2)[1] for f in found.inputFiles()}) == 4 and found.count() == 200
+
+
 def test_grid_metrics_equal_sql_over_predictions(spark):
     import duckdb
     df = animals(spark, 300).fillna(0.0, ["days"])
