@@ -80,6 +80,23 @@ def test_grid_search_fits_on_all_labelled_rows(spark, monkeypatch):
     assert seen == [(210_000, 210_000)]
 
 
+def test_quality_models_fit_on_all_training_rows(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from adlake.plans import keys_ml
+    rows, seen = _many_labelled(spark, 300_000), []
+
+    def fit(train, *_):
+        seen.append(train.count())
+        return SimpleNamespace(transform=lambda held: held.select("*", F.lit(1).alias("label_index"), F.lit(1).alias("prediction")))
+
+    monkeypatch.setattr(keys_ml, "labelled", lambda *_: rows)
+    monkeypatch.setattr(M, "fit_pipeline", fit)
+    train, held = M.hash_split(rows, "doc_id")
+    assert keys_ml.quality_models(spark, SMOKE).count() == 2 * held.count()
+    assert seen == 2 * [train.count()] and seen[0] > 205_000
+
+
 def test_grid_cells_are_written_one_by_one(spark):
     """No forest is needed for the predictions of a finished cell."""
     df = animals(spark, 100).fillna(0.0, ["days"])
