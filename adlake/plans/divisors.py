@@ -11,10 +11,10 @@ Inputs:
 
 Plan notes: the name match is the substring join of ``operators.textjoin``, which
 looks many product ids up whole; names, slots and chosen slots are written, and
-what was shuffled for each leaves the disks before the next; the three per-slot sales lookups are one join of the
-unpivoted slots with daily sales, folded back by a grouped ``max(when)``
-(one shuffle instead of three); every "one row per key" step is a partial
-aggregate.
+what was shuffled for each leaves the disks before the next; the three per-slot
+sales lookups are one join of the unpivoted slots with daily sales, folded back by
+a grouped ``max(when)`` (one shuffle instead of three); every "one row per key"
+step is a partial aggregate.
 """
 
 from __future__ import annotations
